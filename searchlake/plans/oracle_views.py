@@ -1,0 +1,53 @@
+"""The derived views of :mod:`searchlake.sources.testviews` in DuckDB SQL.
+
+The oracle never reads JSON: where the Spark side builds and parses API
+responses, the SQL here states the expected rows straight from the tables.
+``with_views(sql, names)`` prefixes the CTEs a check needs.
+"""
+
+from __future__ import annotations
+
+VIEWS: dict[str, str] = {}
+
+# ranked keyword rows the flattener must produce (B6), straight from lineitem
+VIEWS["v_ranked"] = """
+SELECT p.p_name AS keyword,
+       CAST(l.l_linenumber AS BIGINT) AS rank,
+       'https://site' || CAST(l.l_orderkey % 1000 AS VARCHAR) || '.com/p/' || CAST(l.l_partkey AS VARCHAR) AS url,
+       CASE WHEN l.l_orderkey % 31 = 0 THEN NULL ELSE CAST(l.l_quantity AS BIGINT) END AS search_volume,
+       CAST(l.l_partkey % 100 AS BIGINT) AS keyword_difficulty,
+       CAST(2840 AS BIGINT) AS national_location_code,
+       l.l_extendedprice AS traffic_volume,
+       CAST(2840 AS BIGINT) AS keyword_location_code,
+       'en' AS language_code,
+       'site' || CAST(l.l_orderkey % 1000 AS VARCHAR) || '.com' AS main_domain,
+       l.l_discount AS cpc,
+       l.l_tax AS competition,
+       CASE l.l_linenumber % 3 WHEN 0 THEN 'LOW' WHEN 1 THEN 'MEDIUM' ELSE 'HIGH' END AS competition_level,
+       CASE WHEN l.l_orderkey % 37 = 0 THEN NULL ELSE l.l_shipdate END AS keyword_info_last_updated_time,
+       l.l_linenumber = 7 AS is_another_language,
+       CAST(l.l_linenumber + 1 AS BIGINT) AS rank_absolute,
+       'left' AS position,
+       CASE l.l_partkey % 4 WHEN 0 THEN 'informational' WHEN 1 THEN 'navigational'
+            WHEN 2 THEN 'commercial' ELSE 'transactional' END AS main_intent,
+       CASE WHEN l.l_partkey % 2 = 0 THEN
+            CASE l.l_partkey % 4 WHEN 0 THEN 'informational' WHEN 1 THEN 'navigational'
+                 WHEN 2 THEN 'commercial' ELSE 'transactional' END || ',commercial' END AS foreign_intent,
+       'organic' AS serp_item_type,
+       l.l_linenumber = 1 AS is_featured_snippet,
+       CAST(l.l_linenumber + 2 AS BIGINT) AS previous_rank_absolute,
+       l.l_returnflag = 'N' AS rank_is_new,
+       CAST(l.l_suppkey AS BIGINT) AS serp_item_backlinks,
+       l.l_linestatus = 'F' AS is_lost,
+       'task-' || CAST(l.l_orderkey AS VARCHAR) AS task_id
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+WHERE (l.l_orderkey + l.l_linenumber) % 23 <> 0
+  AND NOT (l.l_orderkey % 41 = 0 AND l.l_linenumber = 1)
+  AND l.l_orderkey % 43 <> 0
+  AND l.l_orderkey % 29 <> 0
+"""
+
+
+def with_views(sql: str, *names: str) -> str:
+    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
+    return f"WITH {ctes}\n{sql}"

@@ -1,0 +1,135 @@
+"""Tables of the engine's domain, derived from the given TESTDATA tables.
+
+TESTDATA has no API responses, upload logs or entity tables, so each is
+derived here by a fixed rule from the star schema and the event table, at
+the full size of its source (every row takes part; the rules are plain
+column expressions, joins and groupings, so the work grows with the data).
+``searchlake.plans.oracle_views`` states the same rules in DuckDB SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from searchlake.sources.tables import Tables
+
+PRIORITIES = ["VERY LOW", "LOW", "NORMAL", "HIGH", "VERY HIGH"]
+
+
+def _pick(key, values):
+    """values[key % len(values)] as a CASE expression."""
+    e = None
+    n = len(values)
+    for i, v in enumerate(values):
+        cond = (key % n) == i
+        e = F.when(cond, F.lit(v)) if e is None else e.when(cond, F.lit(v))
+    return e
+
+
+def _s(c):
+    return F.col(c).cast("string")
+
+
+# ---------------------------------------------------------------- responses
+def ranked_items(t: Tables) -> DataFrame:
+    """One ranked-keyword item per line item (lineitem join part)."""
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                           "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                           "l_returnflag", "l_linestatus", "l_shipdate")
+    part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    x = li.join(part, "l_partkey")
+    ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    qty = F.col("l_quantity").cast("bigint").cast("string")
+    volume = (F.when(ok % 29 == 0, F.lit(None))
+              .when(ok % 31 == 0, F.concat(qty, F.lit(".5")))
+              .when(ln == 2, F.concat(qty, F.lit(".0")))
+              .otherwise(qty))
+    target = F.concat(F.lit("site"), (ok % 1000).cast("string"), F.lit(".com"))
+    intent = _pick(pk, ["informational", "navigational", "commercial", "transactional"])
+    updated = F.when(ok % 37 == 0, F.lit("not a date")).otherwise(
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss '+00:00'"))
+    item = F.struct(
+        F.lit("google").alias("se_type"),
+        F.struct(
+            F.when((ok + ln) % 23 != 0, F.col("p_name")).alias("keyword"),
+            F.lit(2840).alias("location_code"),
+            F.lit("en").alias("language_code"),
+            F.struct(
+                volume.alias("search_volume"),
+                F.col("l_discount").alias("cpc"),
+                F.col("l_tax").alias("competition"),
+                _pick(ln, ["LOW", "MEDIUM", "HIGH"]).alias("competition_level"),
+                updated.alias("last_updated_time"),
+            ).alias("keyword_info"),
+            F.struct(
+                (pk % 100).alias("keyword_difficulty"),
+                (ln == 7).alias("is_another_language"),
+            ).alias("keyword_properties"),
+            F.struct(
+                intent.alias("main_intent"),
+                F.when(pk % 2 == 0, F.array(intent, F.lit("commercial"))).alias("foreign_intent"),
+            ).alias("search_intent_info"),
+        ).alias("keyword_data"),
+        F.struct(
+            F.struct(
+                F.lit("organic").alias("type"),
+                F.when(~((ok % 41 == 0) & (ln == 1)), ln).alias("rank_group"),
+                (ln + 1).alias("rank_absolute"),
+                F.when(ok % 43 == 0, F.lit("")).otherwise(
+                    F.concat(F.lit("https://"), target, F.lit("/p/"), pk.cast("string"))).alias("url"),
+                F.col("l_extendedprice").alias("etv"),
+                target.alias("main_domain"),
+                F.lit("left").alias("position"),
+                (ln == 1).alias("is_featured_snippet"),
+                F.struct(
+                    (ln + 2).alias("previous_rank_absolute"),
+                    (F.col("l_returnflag") == "N").alias("is_new"),
+                ).alias("rank_changes"),
+                F.struct(F.col("l_suppkey").alias("backlinks")).alias("backlinks_info"),
+            ).alias("serp_item"),
+            (F.col("l_linestatus") == "F").alias("is_lost"),
+        ).alias("ranked_serp_element"),
+    )
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    target.alias("target"), item.alias("item"))
+
+
+def ranked_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_responses for ranked keywords: one response per (order, page of 100).
+
+    Page groups are bounded (at most 100 line numbers each), so no group can
+    grow with a hot key.
+    """
+    t = Tables(spark, sf_dir)
+    items = ranked_items(t)
+    # position inside the order; the window and the grouping below share the
+    # order-key partitioning, so this costs no extra shuffle
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    items = items.withColumn("pos", F.row_number().over(w) - 1)
+    items = items.withColumn("page", (F.col("pos") / 100).cast("bigint"))
+    grouped = items.groupBy("l_orderkey", "page", "target").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("its"))
+    ok = F.col("l_orderkey")
+    response = F.struct(
+        F.lit(20000).alias("status_code"),
+        F.array(F.struct(
+            F.concat(F.lit("task-"), ok.cast("string")).alias("id"),
+            F.lit(20000).alias("status_code"),
+            F.lit("Ok.").alias("status_message"),
+            F.lit(0.0101).alias("cost"),
+            F.struct(F.col("target").alias("target"),
+                     F.lit(2840).alias("location_code")).alias("data"),
+            F.array(F.struct(
+                F.col("target").alias("target"),
+                F.size("its").alias("items_count"),
+                F.transform("its", lambda s: s["item"]).alias("items"),
+            )).alias("result"),
+        )).alias("tasks"),
+    )
+    return grouped.select(
+        F.lit("ranked_keywords").alias("endpoint"),
+        "target",
+        (F.col("page") * 100).cast("bigint").alias("offset"),
+        F.to_json(response).alias("raw"),
+    )
