@@ -34,3 +34,111 @@ def top_keywords(ranked: DataFrame, n: int = 50, domain: str | None = None,
                                              F.col("keyword").asc())
     return (per_kw.withColumn("kw_rank", F.row_number().over(w))
             .where(F.col("kw_rank") <= n))
+
+
+def _filters(**kw) -> list[Column]:
+    conds = []
+    for col, val in kw.items():
+        if val is None:
+            continue
+        if col == "since":
+            conds.append(F.col("ingest_timestamp") >= F.lit(val).cast("timestamp_ntz"))
+        else:
+            conds.append(F.col(col) == F.lit(val))
+    return conds
+
+
+def search_uploads(log: DataFrame, client_id=None, project_id=None, job_id=None,
+                   upload_id=None, dataset=None, table=None, since=None,
+                   limit: int | None = 50) -> DataFrame:
+    """AND of the given filters, newest first, then ``limit``.
+
+    Null client or project ids never match a filter (they are lower bounds).
+    The order is total (timestamp, then upload id) so the limit is stable.
+    """
+    conds = _filters(client_id=client_id, project_id=project_id, job_id=job_id,
+                     upload_id=upload_id, dataset=dataset, table_name=table, since=since)
+    df = log.where(_and(conds)) if conds else log
+    df = df.orderBy(F.col("ingest_timestamp").desc(), F.col("upload_id").asc())
+    return df.limit(limit) if limit is not None else df
+
+
+def upload_summary(log: DataFrame, client_id=None) -> DataFrame:
+    """Per dataset and table: rows, uploads, latest upload; newest first."""
+    df = log.where(F.col("client_id") == client_id) if client_id is not None else log
+    return (df.groupBy("dataset", "table_name")
+            .agg(F.sum("row_count").alias("total_rows"),
+                 F.count(F.lit(1)).alias("uploads"),
+                 F.max("ingest_timestamp").alias("latest"))
+            .orderBy(F.col("latest").desc(), "dataset", "table_name"))
+
+
+def preview_upload(log: DataFrame, data: DataFrame, upload_id: str,
+                   limit: int | None = 100) -> DataFrame:
+    """D3: rows of the data table that carry a logged ``upload_id``; empty
+    when the log does not know it. Semi join against the one log row."""
+    known = log.where(F.col("upload_id") == upload_id).select("upload_id").distinct()
+    df = data.where(F.col("upload_id") == upload_id).join(known, "upload_id", "left_semi")
+    return df.limit(limit) if limit is not None else df
+
+
+def available_datasets(log: DataFrame, client_id=None) -> DataFrame:
+    """Distinct datasets, sorted; empty and null left out."""
+    df = log.where(F.col("client_id") == client_id) if client_id is not None else log
+    return (df.where(F.col("dataset").isNotNull() & (F.col("dataset") != ""))
+            .select("dataset").distinct().orderBy("dataset"))
+
+
+def available_tables(log: DataFrame, dataset=None, client_id=None) -> DataFrame:
+    """Distinct tables (of a dataset), sorted."""
+    conds = _filters(dataset=dataset, client_id=client_id)
+    df = log.where(_and(conds)) if conds else log
+    return (df.where(F.col("table_name").isNotNull() & (F.col("table_name") != ""))
+            .select("table_name").distinct().orderBy("table_name"))
+
+
+def client_job_ids(log: DataFrame, client_id, dataset=None, table=None) -> DataFrame:
+    """Distinct job ids of a client, sorted."""
+    conds = _filters(client_id=client_id, dataset=dataset, table_name=table)
+    return (log.where(_and(conds)).where(F.col("job_id").isNotNull())
+            .select("job_id").distinct().orderBy("job_id"))
+
+
+def client_data(data: DataFrame, log: DataFrame, client_id, table=None,
+                limit: int | None = None) -> DataFrame:
+    """Data rows whose job id the log lists for the client (and table).
+
+    ``left_semi`` join; the log side is a projection of job ids, so AQE
+    broadcasts it when it is small and shuffles otherwise.
+    """
+    jobs = log.where(_and(_filters(client_id=client_id, table_name=table))).select("job_id")
+    df = data.join(jobs, "job_id", "left_semi")
+    return df.limit(limit) if limit is not None else df
+
+
+def project_data(data: DataFrame, log: DataFrame, project_id, table=None,
+                 limit: int | None = None) -> DataFrame:
+    """As D7 by project."""
+    jobs = log.where(_and(_filters(project_id=project_id, table_name=table))).select("job_id")
+    df = data.join(jobs, "job_id", "left_semi")
+    return df.limit(limit) if limit is not None else df
+
+
+def client_data_by_domain(data: DataFrame, client_domains: DataFrame, domains: DataFrame,
+                          client_id, limit: int | None = None) -> DataFrame:
+    """Data rows whose domain is one of the client's own (non-competitor)
+    domains, in one plan: links join domains, then a semi join."""
+    own = (client_domains.where((F.col("client_id") == client_id) & ~F.col("is_competitor"))
+           .join(domains.select("domain_id", "domain"), "domain_id")
+           .select("domain"))
+    df = data.join(own, "domain", "left_semi")
+    return df.limit(limit) if limit is not None else df
+
+
+def html_ok_urls(crawl: DataFrame, job_id=None) -> DataFrame:
+    """Addresses with an html content type and status 200, sorted."""
+    df = crawl.where(F.col("job_id") == job_id) if job_id is not None else crawl
+    return (df.where(F.lower(F.col("content_type").cast("string")).like("%html%")
+                     & (F.col("status_code").cast("string") == "200")
+                     & F.col("address").isNotNull() & (F.col("address") != ""))
+            .select("address").orderBy("address"))

@@ -50,4 +50,115 @@ WHERE (l.l_orderkey + l.l_linenumber) % 23 <> 0
 
 def with_views(sql: str, *names: str) -> str:
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{sql}"
+
+
+def _pick(key: str, values: list) -> str:
+    n = len(values)
+    arms = " ".join(f"WHEN {i} THEN {v!r}" if isinstance(v, str) else f"WHEN {i} THEN {v}"
+                    for i, v in enumerate(values))
+    return f"(CASE {key} % {n} {arms} END)"
+
+
+VIEWS["v_uploads"] = """
+SELECT 'job-' || CAST(user_id % 40 AS VARCHAR) AS job_id,
+       'up-' || CAST(event_id AS VARCHAR) AS upload_id,
+       'api' AS source,
+       'prog-' || CAST(event_id % 3 AS VARCHAR) AS source_program,
+       event_type AS dataset,
+       't' || CAST(event_id % 7 AS VARCHAR) AS table_name,
+       CAST(floor(value) AS BIGINT) AS row_count,
+       ts AS ingest_timestamp,
+       CASE WHEN event_id % 5 <> 0 THEN user_id % 20 END AS client_id,
+       CASE WHEN event_id % 3 <> 0 THEN user_id % 30 END AS project_id,
+       CAST(NULL AS VARCHAR) AS notes
+FROM events
+"""
+
+_CODES = [40601, 40602, 40402, 50000, 20000, 20000, 20000, 20000, 20000, 20000]
+_MSGS = ["Task Handed.", "Task In Queue.", "Task Not Found.", "Internal Error.",
+         "Ok.", "Ok.", "Ok.", "Ok.", "Ok.", "Ok."]
+
+VIEWS["v_attempts"] = f"""
+SELECT 'job-' || CAST(user_id % 40 AS VARCHAR) AS job_id,
+       'att-' || CAST(event_id // 1000 AS VARCHAR) AS upload_id,
+       event_id,
+       event_type AS endpoint,
+       'kw-' || CAST(user_id AS VARCHAR) AS target,
+       event_id % 3 + 1 AS attempt,
+       ts AS started_at,
+       CAST(floor(value * 100) AS BIGINT) AS duration_ms,
+       CAST(CASE WHEN event_id % 11 = 0 THEN 500 ELSE 200 END AS BIGINT) AS http_status,
+       CAST({_pick('event_id', _CODES)} AS BIGINT) AS task_status_code,
+       {_pick('event_id', _MSGS)} AS task_status_message,
+       CASE WHEN event_id % 6 <> 0 THEN value / 1000 END AS task_cost,
+       CAST(CASE WHEN event_type = 'error' OR event_id % 4 = 0 THEN 0 ELSE floor(value) END AS BIGINT) AS n_items,
+       CASE WHEN event_type = 'error' THEN 'HTTP 500: failure on ' || CAST(user_id AS VARCHAR) END AS error
+FROM events
+"""
+
+_SUPP_DOMAIN = "('supp' || CAST({k} AS VARCHAR) || " + _pick("{k}", [".com", ".com.au", ".co.nz"]) + ")"
+
+
+def supp_domain(k: str) -> str:
+    return _SUPP_DOMAIN.replace("{k}", k)
+
+
+def raw_domain(k: str, v: str) -> str:
+    d = supp_domain(k)
+    return (f"(CASE {v} % 4 WHEN 0 THEN {d} WHEN 1 THEN 'https://www.' || {d} || '/' "
+            f"WHEN 2 THEN upper({d}) ELSE 'http://' || {d} || ':8080/x' END)")
+
+
+VIEWS["v_domains"] = f"""
+SELECT s_suppkey AS domain_id, {supp_domain('s_suppkey')} AS domain,
+       'Supp' || CAST(s_suppkey AS VARCHAR) AS domain_name,
+       s_acctbal > 0 AS is_active, CAST(NULL AS VARCHAR) AS notes
+FROM supplier
+"""
+
+VIEWS["v_data"] = f"""
+SELECT CASE WHEN l_orderkey % 13 = 0 THEN 'pending-backfill'
+            ELSE 'job-' || CAST(l_suppkey % 40 AS VARCHAR) END AS job_id,
+       CASE WHEN l_orderkey % 17 = 0 THEN 'pending-backfill'
+            ELSE 'up-' || CAST(l_orderkey AS VARCHAR) END AS upload_id,
+       l_shipdate AS ingest_timestamp,
+       CASE WHEN l_orderkey % 19 <> 0 THEN l_suppkey END AS domain_id,
+       {raw_domain('l_suppkey', 'l_orderkey')} AS domain,
+       'kw' || CAST(l_partkey AS VARCHAR) AS keyword,
+       CAST(l_quantity AS BIGINT) AS search_volume,
+       CAST(l_linenumber AS BIGINT) AS rank,
+       l_extendedprice AS traffic_volume
+FROM lineitem
+"""
+
+VIEWS["v_client_domains"] = """
+SELECT client_id, domain_id, (client_id + domain_id) % 4 = 0 AS is_competitor,
+       CASE (client_id + domain_id) % 5 WHEN 0 THEN 'VERY LOW' WHEN 1 THEN 'LOW'
+            WHEN 2 THEN 'NORMAL' WHEN 3 THEN 'HIGH' ELSE 'VERY HIGH' END AS priority,
+       CAST(NULL AS VARCHAR) AS notes
+FROM (SELECT DISTINCT o.o_custkey AS client_id, l.l_suppkey AS domain_id
+      FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey) p
+"""
+
+VIEWS["v_crawl"] = """
+SELECT 'crawl-' || CAST(page_id % 2 AS VARCHAR) AS job_id, url AS address,
+       CASE page_id % 5 WHEN 0 THEN 'application/json' WHEN 1 THEN 'TEXT/HTML; charset=UTF-8'
+            WHEN 2 THEN 'text/html' WHEN 3 THEN 'text/html' ELSE 'image/png' END AS content_type,
+       CAST(CASE WHEN page_id % 7 = 0 THEN 404 ELSE 200 END AS BIGINT) AS status_code
+FROM pages
+"""
+
+_U = "md5(CAST(event_id AS VARCHAR))"
+_UUID = (f"substr({_U},1,8)||'-'||substr({_U},9,4)||'-'||substr({_U},13,4)||'-'"
+         f"||substr({_U},17,4)||'-'||substr({_U},21,12)")
+VIEWS["v_api_urls"] = f"""
+SELECT event_id,
+       CASE WHEN event_id % 3 = 0 THEN 'https://api.host/v3/' || event_type || '/task_get/' || {_UUID} || '/extra'
+            WHEN event_id % 3 = 1 THEN 'https://api.host/v3/' || event_type || '/live'
+            ELSE 'https://other.host/' || event_type END AS url
+FROM events
+"""

@@ -15,6 +15,8 @@ ORACLES: dict[str, str] = {}
 
 _MODULES = [
     "searchlake.plans.q_responses",
+    "searchlake.plans.q_logs",
+    "searchlake.plans.q_scalars",
 ]
 
 

@@ -133,3 +133,196 @@ def ranked_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("page") * 100).cast("bigint").alias("offset"),
         F.to_json(response).alias("raw"),
     )
+
+
+# ---------------------------------------------------------------- logs
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_uploads: one upload event per event row."""
+    e = Tables(spark, sf_dir).events
+    eid, uid = F.col("event_id"), F.col("user_id")
+    return e.select(
+        F.concat(F.lit("job-"), (uid % 40).cast("string")).alias("job_id"),
+        F.concat(F.lit("up-"), eid.cast("string")).alias("upload_id"),
+        F.lit("api").alias("source"),
+        F.concat(F.lit("prog-"), (eid % 3).cast("string")).alias("source_program"),
+        F.col("event_type").alias("dataset"),
+        F.concat(F.lit("t"), (eid % 7).cast("string")).alias("table_name"),
+        F.floor("value").cast("bigint").alias("row_count"),
+        F.col("ts").alias("ingest_timestamp"),
+        F.when(eid % 5 != 0, uid % 20).alias("client_id"),
+        F.when(eid % 3 != 0, uid % 30).alias("project_id"),
+        F.lit(None).cast("string").alias("notes"),
+    )
+
+
+STATUS_CODES = [40601, 40602, 40402, 50000, 20000, 20000, 20000, 20000, 20000, 20000]
+STATUS_MESSAGES = ["Task Handed.", "Task In Queue.", "Task Not Found.", "Internal Error.",
+                   "Ok.", "Ok.", "Ok.", "Ok.", "Ok.", "Ok."]
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_attempts: one call attempt per event row."""
+    e = Tables(spark, sf_dir).events
+    eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    return e.select(
+        F.concat(F.lit("job-"), (uid % 40).cast("string")).alias("job_id"),
+        F.concat(F.lit("att-"), (eid / 1000).cast("bigint").cast("string")).alias("upload_id"),
+        eid.alias("event_id"),
+        et.alias("endpoint"),
+        F.concat(F.lit("kw-"), uid.cast("string")).alias("target"),
+        (eid % 3 + 1).alias("attempt"),
+        F.col("ts").alias("started_at"),
+        F.floor(F.col("value") * 100).cast("bigint").alias("duration_ms"),
+        F.when(eid % 11 == 0, F.lit(500)).otherwise(F.lit(200)).cast("bigint").alias("http_status"),
+        _pick(eid, STATUS_CODES).cast("bigint").alias("task_status_code"),
+        _pick(eid, STATUS_MESSAGES).alias("task_status_message"),
+        F.when(eid % 6 != 0, F.col("value") / 1000).alias("task_cost"),
+        F.when((et == "error") | (eid % 4 == 0), F.lit(0)).otherwise(
+            F.floor("value")).cast("bigint").alias("n_items"),
+        F.when(et == "error", F.concat(F.lit("HTTP 500: failure on "), uid.cast("string"))).alias("error"),
+    )
+
+
+def attempt_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw call records (C1 input): payload and response as JSON text."""
+    a = attempts(spark, sf_dir)
+    resp = F.when(
+        F.col("http_status") == 200,
+        F.to_json(F.struct(
+            F.lit(20000).alias("status_code"),
+            F.array(F.struct(
+                F.concat(F.lit("task-"), F.col("event_id").cast("string")).alias("id"),
+                F.col("task_status_code").alias("status_code"),
+                F.col("task_status_message").alias("status_message"),
+                F.col("task_cost").alias("cost"),
+                F.array(F.struct(
+                    F.col("n_items").alias("items_count"),
+                    F.array_repeat(F.struct(F.col("target").alias("keyword")),
+                                   F.col("n_items").cast("int")).alias("items"),
+                )).alias("result"),
+            )).alias("tasks"))))
+    payload = F.to_json(F.array(F.struct(F.col("target").alias("keyword"),
+                                         F.lit(2840).alias("location_code"))))
+    target = F.when(F.col("event_id") % 9 == 0, F.array(F.col("target"), F.lit("extra")))
+    return a.select(
+        "job_id", "upload_id", "event_id", "endpoint",
+        F.when(target.isNotNull(), F.to_json(target)).otherwise(F.col("target")).alias("target"),
+        "attempt",
+        F.date_format("started_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("started_at"),
+        "duration_ms", "http_status", payload.alias("payload"), resp.alias("response"), "error",
+    )
+
+
+# ---------------------------------------------------------------- entities
+SUFFIXES = [".com", ".com.au", ".co.nz"]
+
+
+def supplier_domain(key) -> "F.Column":
+    return F.concat(F.lit("supp"), key.cast("string"), _pick(key, SUFFIXES))
+
+
+RAW_FORMS = 4
+
+
+def raw_domain(key, variant) -> "F.Column":
+    """A messy spelling of the supplier domain (as landed in data tables)."""
+    d = supplier_domain(key)
+    return (F.when(variant % RAW_FORMS == 0, d)
+            .when(variant % RAW_FORMS == 1, F.concat(F.lit("https://www."), d, F.lit("/")))
+            .when(variant % RAW_FORMS == 2, F.upper(d))
+            .otherwise(F.concat(F.lit("http://"), d, F.lit(":8080/x"))))
+
+
+def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Tables(spark, sf_dir).supplier
+    k = F.col("s_suppkey")
+    return s.select(
+        k.alias("domain_id"), supplier_domain(k).alias("domain"),
+        F.concat(F.lit("Supp"), k.cast("string")).alias("domain_name"),
+        (F.col("s_acctbal") > 0).alias("is_active"),
+        F.lit(None).cast("string").alias("notes"),
+    )
+
+
+def data_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_data: endpoint rows as stored (lineitem), with lineage columns."""
+    li = Tables(spark, sf_dir).lineitem
+    ok, sk = F.col("l_orderkey"), F.col("l_suppkey")
+    return li.select(
+        F.when(ok % 13 == 0, F.lit("pending-backfill")).otherwise(
+            F.concat(F.lit("job-"), (sk % 40).cast("string"))).alias("job_id"),
+        F.when(ok % 17 == 0, F.lit("pending-backfill")).otherwise(
+            F.concat(F.lit("up-"), ok.cast("string"))).alias("upload_id"),
+        F.col("l_shipdate").alias("ingest_timestamp"),
+        F.when(ok % 19 != 0, sk).alias("domain_id"),
+        raw_domain(sk, ok).alias("domain"),
+        F.concat(F.lit("kw"), F.col("l_partkey").cast("string")).alias("keyword"),
+        F.col("l_quantity").cast("bigint").alias("search_volume"),
+        F.col("l_linenumber").cast("bigint").alias("rank"),
+        F.col("l_extendedprice").alias("traffic_volume"),
+    )
+
+
+def client_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_client_domains: distinct (customer, supplier) pairs of orders."""
+    t = Tables(spark, sf_dir)
+    pairs = (t.orders.select("o_orderkey", "o_custkey")
+             .join(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey"),
+                   "o_orderkey")
+             .select(F.col("o_custkey").alias("client_id"), F.col("l_suppkey").alias("domain_id"))
+             .distinct())
+    s = F.col("client_id") + F.col("domain_id")
+    return pairs.select("client_id", "domain_id", (s % 4 == 0).alias("is_competitor"),
+                        _pick(s, PRIORITIES).alias("priority"),
+                        F.lit(None).cast("string").alias("notes"))
+
+
+def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_crawl: a site crawl export per page."""
+    p = Tables(spark, sf_dir).pages
+    k = F.col("page_id")
+    return p.select(
+        F.concat(F.lit("crawl-"), (k % 2).cast("string")).alias("job_id"),
+        F.col("url").alias("address"),
+        _pick(k, ["application/json", "TEXT/HTML; charset=UTF-8", "text/html",
+                  "text/html", "image/png"]).alias("content_type"),
+        F.when(k % 7 == 0, F.lit(404)).otherwise(F.lit(200)).cast("bigint").alias("status_code"),
+    )
+
+
+def _uuidish(c):
+    u = F.md5(c.cast("string"))
+    return F.concat_ws("-", F.substring(u, 1, 8), F.substring(u, 9, 4), F.substring(u, 13, 4),
+                       F.substring(u, 17, 4), F.substring(u, 21, 12))
+
+
+def api_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_api_urls: request URLs of the attempt log (for G8)."""
+    e = Tables(spark, sf_dir).events
+    k, et = F.col("event_id"), F.col("event_type")
+    url = (F.when(k % 3 == 0, F.concat(F.lit("https://api.host/v3/"), et, F.lit("/task_get/"),
+                                       _uuidish(k), F.lit("/extra")))
+           .when(k % 3 == 1, F.concat(F.lit("https://api.host/v3/"), et, F.lit("/live")))
+           .otherwise(F.concat(F.lit("https://other.host/"), et)))
+    return e.select("event_id", url.alias("url"))
+
+
+def task_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submit answers: one task per attempt, 20100 when accepted."""
+    a = attempts(spark, sf_dir)
+    k = F.col("event_id")
+    task = F.struct(
+        F.when(k % 8 != 0, F.concat(F.lit("task-"), k.cast("string"))).alias("id"),
+        F.when(k % 5 == 0, F.lit(40501)).otherwise(F.lit(20100)).alias("status_code"),
+        F.struct(F.col("target").alias("tag")).alias("data"))
+    return a.select("event_id", F.to_json(F.struct(F.array(task).alias("tasks"))).alias("response"))
+
+
+def task_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ready-list answers: per job a list of finished task ids."""
+    a = attempts(spark, sf_dir).where(F.col("event_id") % 3 != 0)
+    res = F.struct(F.concat(F.lit("task-"), F.col("event_id").cast("string")).alias("id"),
+                   F.lit(20000).alias("status_code"), F.lit("Ok.").alias("status_message"))
+    grouped = a.groupBy("upload_id").agg(F.collect_list(res).alias("result"))
+    return grouped.select(F.to_json(F.struct(F.array(F.struct(F.col("result").alias("result")))
+                                             .alias("tasks"))).alias("response"))
