@@ -51,6 +51,8 @@ WHERE (l.l_orderkey + l.l_linenumber) % 23 <> 0
 def with_views(sql: str, *names: str) -> str:
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
     body = sql.lstrip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{sql}"
@@ -162,3 +164,20 @@ SELECT event_id,
             ELSE 'https://other.host/' || event_type END AS url
 FROM events
 """
+
+
+VIEWS["v_usage"] = """
+SELECT conv_id, turn, role, text, (CASE conv_id % 6 WHEN 0 THEN 'openai' WHEN 1 THEN 'gemini' WHEN 2 THEN 'perplexity' WHEN 3 THEN 'anthropic' WHEN 4 THEN 'grok' WHEN 5 THEN 'mystery' END) AS provider,
+       (CASE conv_id % 6 WHEN 0 THEN (CASE (conv_id + turn) % 3 WHEN 0 THEN 'gpt-4o' WHEN 1 THEN 'gpt-5-mini' WHEN 2 THEN 'gpt-unknown' END) WHEN 1 THEN (CASE (conv_id + turn) % 3 WHEN 0 THEN 'gemini-2.5-flash' WHEN 1 THEN 'gemini-3-pro' WHEN 2 THEN 'gemini-x' END) WHEN 2 THEN (CASE (conv_id + turn) % 3 WHEN 0 THEN 'sonar' WHEN 1 THEN 'sonar-pro' WHEN 2 THEN 'sonar-x' END) WHEN 3 THEN (CASE (conv_id + turn) % 3 WHEN 0 THEN 'claude-sonnet-4-20250514' WHEN 1 THEN 'claude-haiku-3-5-20241022' WHEN 2 THEN 'claude-x' END) WHEN 4 THEN (CASE (conv_id + turn) % 3 WHEN 0 THEN 'grok-3' WHEN 1 THEN 'grok-3-mini' WHEN 2 THEN 'grok-x' END) WHEN 5 THEN (CASE (conv_id + turn) % 3 WHEN 0 THEN 'm1' WHEN 1 THEN 'm2' WHEN 2 THEN 'm3' END) END) AS model,
+       (CASE turn % 3 WHEN 0 THEN 'enrichment' WHEN 1 THEN 'answer' WHEN 2 THEN 'fact_check' END) AS step,
+       CAST(floor(length(text) / 3) AS BIGINT) AS input_tokens,
+       CAST(floor(length(text) / 4) AS BIGINT) AS output_tokens
+FROM conversations
+"""
+
+VIEWS["v_locations"] = """
+SELECT CAST(2000 + n_nationkey AS BIGINT) AS location_code, n_name || ',' || r_name AS location_name,
+       (CASE n_nationkey % 3 WHEN 0 THEN 'City' WHEN 1 THEN 'State' WHEN 2 THEN 'Country' END) AS location_type,
+       substr(n_name, 1, 2) AS country_iso_code
+FROM nation JOIN region ON n_regionkey = r_regionkey
+"""

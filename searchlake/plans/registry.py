@@ -17,6 +17,7 @@ _MODULES = [
     "searchlake.plans.q_responses",
     "searchlake.plans.q_logs",
     "searchlake.plans.q_scalars",
+    "searchlake.plans.q_usage",
 ]
 
 

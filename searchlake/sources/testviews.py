@@ -326,3 +326,45 @@ def task_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = a.groupBy("upload_id").agg(F.collect_list(res).alias("result"))
     return grouped.select(F.to_json(F.struct(F.array(F.struct(F.col("result").alias("result")))
                                              .alias("tasks"))).alias("response"))
+
+
+# ---------------------------------------------------------------- usage
+PROVIDERS = ["openai", "gemini", "perplexity", "anthropic", "grok", "mystery"]
+MODELS = {
+    "openai": ["gpt-4o", "gpt-5-mini", "gpt-unknown"],
+    "gemini": ["gemini-2.5-flash", "gemini-3-pro", "gemini-x"],
+    "perplexity": ["sonar", "sonar-pro", "sonar-x"],
+    "anthropic": ["claude-sonnet-4-20250514", "claude-haiku-3-5-20241022", "claude-x"],
+    "grok": ["grok-3", "grok-3-mini", "grok-x"],
+    "mystery": ["m1", "m2", "m3"],
+}
+STEPS = ["enrichment", "answer", "fact_check"]
+
+
+def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_usage: one model call per conversation turn."""
+    c = Tables(spark, sf_dir).conversations
+    cid, turn = F.col("conv_id"), F.col("turn")
+    provider = _pick(cid, PROVIDERS)
+    model = None
+    for i, p in enumerate(PROVIDERS):
+        m = _pick(cid + turn, MODELS[p])
+        model = F.when(cid % len(PROVIDERS) == i, m) if model is None else model.when(
+            cid % len(PROVIDERS) == i, m)
+    n = F.length("text")
+    return c.select(cid.alias("conv_id"), turn.alias("turn"), "role", "text",
+                    provider.alias("provider"), model.alias("model"),
+                    _pick(turn, STEPS).alias("step"),
+                    F.floor(n / 3).cast("bigint").alias("input_tokens"),
+                    F.floor(n / 4).cast("bigint").alias("output_tokens"))
+
+
+def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_locations: nation x region as a locations list."""
+    t = Tables(spark, sf_dir)
+    n = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    k = F.col("n_nationkey")
+    return n.select((F.lit(2000) + k).cast("bigint").alias("location_code"),
+                    F.concat(F.col("n_name"), F.lit(","), F.col("r_name")).alias("location_name"),
+                    _pick(k, ["City", "State", "Country"]).alias("location_type"),
+                    F.substring("n_name", 1, 2).alias("country_iso_code"))
