@@ -97,7 +97,7 @@ def title_case(s: Column) -> Column:
 def domain_to_name(s: Column, suffixes=PUBLIC_SUFFIXES) -> Column:
     """Registered name as a display title; no known suffix -> first label
     of the text without ``www.``; ``-`` and ``_`` become spaces."""
-    labels, n, k = _suffix_parts(s, suffixes)
+    labels, n, k = _suffix_parts(url_host(s), suffixes)
     name = F.when(k > 0, F.element_at(labels, F.greatest(n - k, F.lit(1))))
     fallback = F.split(F.replace(F.lower(s), F.lit("www."), F.lit("")), r"\.")[0]
     name = F.when(F.coalesce(name, F.lit("")) == "", fallback).otherwise(name)
@@ -126,6 +126,17 @@ def registered_domain(url: Column, suffixes=PUBLIC_SUFFIXES) -> Column:
     return F.when((k > 0) & ~is_ip, with_suffix).otherwise(no_suffix)
 
 
+def registered_name(url: Column, suffixes=PUBLIC_SUFFIXES) -> Column:
+    """The label before the public suffix; with no known suffix the last
+    label (the whole host for an IP address)."""
+    host = url_host(url)
+    labels, n, k = _suffix_parts(host, suffixes)
+    is_ip = host.rlike(r"^[0-9]+(\.[0-9]+){3}$")
+    return (F.when(is_ip, host)
+            .when(k > 0, F.element_at(labels, F.greatest(n - k, F.lit(1))))
+            .otherwise(F.element_at(labels, -1)))
+
+
 def url_path(url: Column) -> Column:
     """Path of a URL, ``/`` when it has none."""
     rest = F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")

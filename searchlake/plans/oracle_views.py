@@ -181,3 +181,76 @@ SELECT CAST(2000 + n_nationkey AS BIGINT) AS location_code, n_name || ',' || r_n
        substr(n_name, 1, 2) AS country_iso_code
 FROM nation JOIN region ON n_regionkey = r_regionkey
 """
+
+VIEWS["v_clients"] = """
+SELECT c_custkey AS client_id, c_name AS client_name, 'C' || CAST(c_custkey % 97 AS VARCHAR) AS abbreviation,
+       c_acctbal > 0 AS is_active, c_mktsegment AS notes, CAST(NULL AS TIMESTAMP) AS created_at
+FROM customer
+"""
+
+VIEWS["v_projects"] = """
+SELECT o_orderkey AS project_id, o_custkey AS client_id, o_orderpriority AS project_type,
+       'project_' || CAST(o_orderkey AS VARCHAR) AS project_name,
+       CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'F' THEN 'completed' ELSE 'paused' END AS status,
+       CAST(NULL AS VARCHAR) AS notes, o_orderdate AS created_at
+FROM orders
+"""
+
+VIEWS["v_project_domains"] = f"""
+SELECT project_id, domain_id,
+       CASE WHEN (project_id + domain_id) % 2 = 0 THEN 'primary' ELSE 'competitor' END AS role,
+       CASE WHEN (project_id + domain_id) % 7 <> 0 THEN
+            {_pick('(project_id + domain_id)', ['VERY LOW', 'LOW', 'NORMAL', 'HIGH', 'VERY HIGH'])} END AS priority,
+       CAST(NULL AS VARCHAR) AS notes
+FROM (SELECT DISTINCT l_orderkey AS project_id, l_suppkey AS domain_id FROM lineitem) p
+"""
+
+_DOM_US = "replace(" + supp_domain("(p_partkey % 50)") + ", '.', '_')"
+VIEWS["v_dataset_names"] = f"""
+SELECT p_partkey AS part_id,
+  CASE p_partkey % 6 WHEN 0 THEN 'analytics_' || CAST(p_partkey AS VARCHAR)
+       WHEN 1 THEN 'jepto_gsc_' || {_DOM_US}
+       WHEN 2 THEN 'searchconsole_x_sc_domain_www_' || {_DOM_US}
+       WHEN 3 THEN 'JEPTO_GMB_' || CAST(p_partkey AS VARCHAR)
+       WHEN 4 THEN 'Searchconsole_' || {_DOM_US}
+       ELSE 'misc_' || {_DOM_US} || '_' || CAST(p_partkey AS VARCHAR) END AS dataset
+FROM part
+"""
+
+VIEWS["v_dataset_catalog"] = f"""
+SELECT dataset,
+  CASE part_id % 6 WHEN 0 THEN 'ga4' WHEN 3 THEN 'gmb' WHEN 5 THEN 'other' ELSE 'gsc' END AS dataset_type,
+  CASE WHEN part_id % 6 = 0 THEN 'www.' || {supp_domain('(part_id % 50 + 1)')} END AS hostname,
+  part_id % 2 = 0 AS is_standardized, 'team' AS owner, part_id % 9 <> 0 AS active,
+  CAST(NULL AS TIMESTAMP) AS updated_at
+FROM v_dataset_names WHERE part_id % 10 <> 9
+"""
+
+VIEWS["v_client_datasets"] = """
+SELECT g.o_custkey AS client_id, CASE WHEN g.l_partkey % 4 <> 0 THEN g.s END AS domain_id,
+       n.dataset AS dataset_id, (g.o_custkey + g.l_partkey) % 5 <> 0 AS is_active,
+       CAST(NULL AS VARCHAR) AS notes, CAST(NULL AS TIMESTAMP) AS created_at
+FROM (SELECT o.o_custkey, l.l_partkey, min(l.l_suppkey) AS s
+      FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+      WHERE l.l_linenumber = 1 AND l.l_partkey % 7 = 0 GROUP BY 1, 2) g
+JOIN v_dataset_names n ON n.part_id = g.l_partkey
+"""
+
+VIEWS["v_table_groups"] = """
+SELECT 'ds' || CAST(l_suppkey % 3 AS VARCHAR) AS dataset,
+       CASE WHEN l_partkey % 53 = 0 THEN 'temp_' || CAST(l_partkey % 50 AS VARCHAR)
+            WHEN l_partkey % 59 = 0 THEN '_temp_' || CAST(l_partkey % 50 AS VARCHAR)
+            ELSE 't' || CAST(l_partkey % 50 AS VARCHAR) END AS table_name,
+       count(*) AS row_count, CAST(sum(floor(l_extendedprice)) AS BIGINT) AS size_bytes
+FROM lineitem GROUP BY 1, 2
+"""
+
+VIEWS["v_table_catalog"] = """
+SELECT dataset, 't' || CAST(t AS VARCHAR) AS table_name, CAST(NULL AS BIGINT) AS row_count,
+       CAST(sz AS BIGINT) AS size_bytes, t % 4 <> 0 AS is_active,
+       TIMESTAMP '2024-01-01 00:00:00' AS status_changed_at, CAST(NULL AS VARCHAR) AS notes,
+       CAST(NULL AS TIMESTAMP) AS last_indexed_at
+FROM (SELECT 'ds' || CAST(p_partkey % 3 AS VARCHAR) AS dataset, p_partkey % 60 AS t, min(p_size) AS sz
+      FROM part GROUP BY 1, 2) g
+WHERE t % 11 <> 5
+"""

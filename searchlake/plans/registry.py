@@ -18,6 +18,7 @@ _MODULES = [
     "searchlake.plans.q_logs",
     "searchlake.plans.q_scalars",
     "searchlake.plans.q_usage",
+    "searchlake.plans.q_catalog",
 ]
 
 

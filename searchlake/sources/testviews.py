@@ -368,3 +368,119 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.col("n_name"), F.lit(","), F.col("r_name")).alias("location_name"),
                     _pick(k, ["City", "State", "Country"]).alias("location_type"),
                     F.substring("n_name", 1, 2).alias("country_iso_code"))
+
+
+# ---------------------------------------------------------------- catalog
+def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Tables(spark, sf_dir).customer
+    k = F.col("c_custkey")
+    return c.select(k.alias("client_id"), F.col("c_name").alias("client_name"),
+                    F.concat(F.lit("C"), (k % 97).cast("string")).alias("abbreviation"),
+                    (F.col("c_acctbal") > 0).alias("is_active"),
+                    F.col("c_mktsegment").alias("notes"),
+                    F.lit(None).cast("timestamp_ntz").alias("created_at"))
+
+
+PROJECT_STATUS = {"O": "active", "F": "completed", "P": "paused"}
+
+
+def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = Tables(spark, sf_dir).orders
+    st = F.col("o_orderstatus")
+    status = (F.when(st == "O", F.lit("active")).when(st == "F", F.lit("completed"))
+              .otherwise(F.lit("paused")))
+    return o.select(F.col("o_orderkey").alias("project_id"), F.col("o_custkey").alias("client_id"),
+                    F.col("o_orderpriority").alias("project_type"),
+                    F.concat(F.lit("project_"), F.col("o_orderkey").cast("string")).alias("project_name"),
+                    status.alias("status"), F.lit(None).cast("string").alias("notes"),
+                    F.col("o_orderdate").alias("created_at"))
+
+
+def project_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = Tables(spark, sf_dir).lineitem
+    pairs = li.select(F.col("l_orderkey").alias("project_id"),
+                      F.col("l_suppkey").alias("domain_id")).distinct()
+    s = F.col("project_id") + F.col("domain_id")
+    return pairs.select("project_id", "domain_id",
+                        F.when(s % 2 == 0, F.lit("primary")).otherwise(F.lit("competitor")).alias("role"),
+                        F.when(s % 7 != 0, _pick(s, PRIORITIES)).alias("priority"),
+                        F.lit(None).cast("string").alias("notes"))
+
+
+def dataset_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_dataset_names: warehouse dataset names, one per part."""
+    p = Tables(spark, sf_dir).part
+    k = F.col("p_partkey")
+    dom_us = F.replace(supplier_domain(k % 50), F.lit("."), F.lit("_"))
+    name = (F.when(k % 6 == 0, F.concat(F.lit("analytics_"), k.cast("string")))
+            .when(k % 6 == 1, F.concat(F.lit("jepto_gsc_"), dom_us))
+            .when(k % 6 == 2, F.concat(F.lit("searchconsole_x_sc_domain_www_"), dom_us))
+            .when(k % 6 == 3, F.concat(F.lit("JEPTO_GMB_"), k.cast("string")))
+            .when(k % 6 == 4, F.concat(F.lit("Searchconsole_"), dom_us))
+            .otherwise(F.concat(F.lit("misc_"), dom_us, F.lit("_"), k.cast("string"))))
+    return p.select(k.alias("part_id"), name.alias("dataset"))
+
+
+def dataset_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_dataset_catalog: catalog rows for most dataset names."""
+    n = dataset_names(spark, sf_dir)
+    k = F.col("part_id")
+    host = F.when(k % 6 == 0, F.concat(F.lit("www."), supplier_domain(k % 50 + 1)))
+    return n.where(k % 10 != 9).select(
+        "dataset",
+        F.when(k % 6 == 0, F.lit("ga4")).when(k % 6 == 3, F.lit("gmb"))
+        .when(k % 6 == 5, F.lit("other")).otherwise(F.lit("gsc")).alias("dataset_type"),
+        host.alias("hostname"),
+        (k % 2 == 0).alias("is_standardized"),
+        F.lit("team").alias("owner"),
+        (k % 9 != 0).alias("active"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+
+
+def client_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_client_datasets: links from the first line of each order."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.where(F.col("l_linenumber") == 1).select("l_orderkey", "l_partkey", "l_suppkey")
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    g = (li.join(o, "l_orderkey").where(F.col("l_partkey") % 7 == 0)
+         .groupBy("o_custkey", "l_partkey").agg(F.min("l_suppkey").alias("s")))
+    names = dataset_names(spark, sf_dir).withColumnRenamed("part_id", "l_partkey")
+    j = g.join(names, "l_partkey")
+    s = F.col("o_custkey") + F.col("l_partkey")
+    return j.select(F.col("o_custkey").alias("client_id"),
+                    F.when(F.col("l_partkey") % 4 != 0, F.col("s")).alias("domain_id"),
+                    F.col("dataset").alias("dataset_id"),
+                    (s % 5 != 0).alias("is_active"), F.lit(None).cast("string").alias("notes"),
+                    F.lit(None).cast("timestamp_ntz").alias("created_at"))
+
+
+def table_scan(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(inventory, storage) of warehouse tables, from lineitem groups."""
+    li = Tables(spark, sf_dir).lineitem
+    pk = F.col("l_partkey")
+    name = (F.when(pk % 53 == 0, F.concat(F.lit("temp_"), (pk % 50).cast("string")))
+            .when(pk % 59 == 0, F.concat(F.lit("_temp_"), (pk % 50).cast("string")))
+            .otherwise(F.concat(F.lit("t"), (pk % 50).cast("string"))))
+    g = li.groupBy((F.concat(F.lit("ds"), (F.col("l_suppkey") % 3).cast("string"))).alias("dataset"),
+                   name.alias("table_name")).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.floor("l_extendedprice")).cast("bigint").alias("size_bytes"))
+    inventory = g.select("dataset", "table_name",
+                         F.when(F.col("table_name").endswith("7"), F.lit("VIEW"))
+                         .otherwise(F.lit("BASE TABLE")).alias("table_type"))
+    storage = g.where(~F.col("table_name").endswith("3"))
+    return inventory, storage
+
+
+def table_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Tables(spark, sf_dir).part
+    k = F.col("p_partkey")
+    g = p.groupBy(F.concat(F.lit("ds"), (k % 3).cast("string")).alias("dataset"),
+                  (k % 60).alias("t")).agg(F.min("p_size").alias("sz"))
+    return g.where(F.col("t") % 11 != 5).select(
+        "dataset", F.concat(F.lit("t"), F.col("t").cast("string")).alias("table_name"),
+        F.lit(None).cast("bigint").alias("row_count"), F.col("sz").cast("bigint").alias("size_bytes"),
+        (F.col("t") % 4 != 0).alias("is_active"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("status_changed_at"),
+        F.lit(None).cast("string").alias("notes"),
+        F.lit(None).cast("timestamp").alias("last_indexed_at"))
