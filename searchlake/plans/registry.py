@@ -19,6 +19,7 @@ _MODULES = [
     "searchlake.plans.q_scalars",
     "searchlake.plans.q_usage",
     "searchlake.plans.q_catalog",
+    "searchlake.plans.q_reconcile",
 ]
 
 
