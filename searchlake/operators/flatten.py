@@ -5,6 +5,10 @@ One generic job per endpoint: ``from_json`` with every leaf read as STRING
 task, explode the items (or the results), keep rows that carry the required
 values, then apply the single typing rule of :mod:`searchlake.functions.typing`.
 All of it is one narrow stage: no shuffle, no Python in the row path.
+
+Where the reference tells a missing key from an explicit null (``dict.get(k,
+default)``), the element is kept as JSON text too and its key list
+(``json_object_keys``) decides; otherwise only the typed struct is parsed.
 """
 
 from __future__ import annotations
@@ -38,12 +42,15 @@ def _struct(tree: dict) -> T.StructType:
     ])
 
 
+def _paths(ep: Endpoint) -> list[str]:
+    out = [p for _, p, _ in ep.columns]
+    out += [p for p, _ in ep.fallbacks.values()]
+    return [p for p in out if not p.startswith("$")]
+
+
 def _split_paths(ep: Endpoint):
     item, task, result = [], [], []
-    paths = [p for _, p, _ in ep.columns] + [p for p, _ in ep.fallbacks.values()]
-    for p in paths:
-        if p.startswith("$"):
-            continue
+    for p in _paths(ep):
         if p.startswith("task."):
             task.append(p[5:])
         elif p.startswith("result."):
@@ -53,29 +60,95 @@ def _split_paths(ep: Endpoint):
     return item, task, result
 
 
-def response_schema(ep: Endpoint, item_as_text: bool = False) -> T.StructType:
+def _modes(ep: Endpoint) -> set[str]:
+    return {mode for _, mode in ep.fallbacks.values()}
+
+
+def _needs_item_text(ep: Endpoint) -> bool:
+    return ("missing" in _modes(ep) or ep.skip_empty_items
+            or any(p == "$item_json" for _, p, _ in ep.columns))
+
+
+def _needs_result_text(ep: Endpoint) -> bool:
+    return (ep.explode == "first_items" or "missing_res" in _modes(ep)
+            or any(p == "$result_data" for _, p, _ in ep.columns))
+
+
+def item_schema(ep: Endpoint) -> T.StructType:
+    item_p, _, _ = _split_paths(ep)
+    return _struct(_tree(item_p))
+
+
+def result_schema(ep: Endpoint, item_t: T.DataType) -> T.StructType:
+    _, _, result_p = _split_paths(ep)
+    fields = [f for f in _struct(_tree(result_p)).fields if f.name != "items"]
+    return T.StructType(fields + [T.StructField("items", T.ArrayType(item_t))])
+
+
+def response_schema(ep: Endpoint) -> T.StructType:
     """Read schema of one raw response for ``ep`` (leaves as STRING)."""
-    item_p, task_p, result_p = _split_paths(ep)
-    item_t = T.StringType() if item_as_text else _struct(_tree(item_p))
-    task_tree = _tree(task_p)
+    item_t = T.StringType() if _needs_item_text(ep) else item_schema(ep)
+    _, task_p, _ = _split_paths(ep)
     task_fields = [T.StructField("id", T.StringType()),
                    T.StructField("status_code", T.StringType())]
-    task_fields += [f for f in _struct(task_tree).fields if f.name not in ("id", "status_code")]
+    task_fields += [f for f in _struct(_tree(task_p)).fields if f.name not in ("id", "status_code")]
     if ep.explode == "results":
         result_t = T.ArrayType(item_t)
+    elif _needs_result_text(ep):
+        result_t = T.ArrayType(T.StringType())
     else:
-        res_fields = list(_struct(_tree(result_p)).fields)
-        res_fields.append(T.StructField("items", T.ArrayType(item_t)))
-        result_t = T.ArrayType(T.StructType(res_fields))
+        result_t = T.ArrayType(result_schema(ep, item_t))
     task_fields.append(T.StructField("result", result_t))
     return T.StructType([T.StructField("tasks", T.ArrayType(T.StructType(task_fields)))])
 
 
-def _missing_fallbacks(ep: Endpoint) -> dict:
-    return {c: p for c, (p, mode) in ep.fallbacks.items() if mode == "missing"}
+def _explode(c: Column):
+    return F.posexplode(c).alias("_pos", "_it")
 
 
-def _leaf(path: str) -> Column:
+def explode_items(responses: DataFrame, ep: Endpoint, keep: list[str]) -> DataFrame:
+    """Rows of (keep..., _task, _res, _res_text, _pos, _it, _it_text); ``_pos``
+    is the element's position in its array."""
+    it_text = _needs_item_text(ep)
+    res_text = _needs_result_text(ep)
+    parsed = responses.select(*keep, F.from_json("raw", response_schema(ep)).alias("_r"))
+    task = parsed.select(*keep, F.get(F.col("_r.tasks"), 0).alias("_task"))
+    none = F.lit(None).cast("string")
+    if ep.explode == "results":
+        rows = task.select(*keep, "_task", F.lit(None).alias("_res"), none.alias("_res_text"),
+                           _explode(F.col("_task.result")))
+    else:
+        if res_text:
+            if ep.explode == "first_items":
+                block = F.get(F.filter(F.col("_task.result"), lambda r: F.array_contains(
+                    F.json_object_keys(r), F.lit("items"))), 0)
+            else:
+                block = F.get(F.col("_task.result"), 0)
+            item_t = T.StringType() if it_text else item_schema(ep)
+            first = task.select(*keep, "_task", block.alias("_res_text"))
+            first = first.select(*keep, "_task", "_res_text",
+                                 F.from_json("_res_text", result_schema(ep, item_t)).alias("_res"))
+        else:
+            first = task.select(*keep, "_task", none.alias("_res_text"),
+                                F.get(F.col("_task.result"), 0).alias("_res"))
+        rows = first.select(*keep, "_task", "_res", "_res_text", _explode(F.col("_res.items")))
+    if it_text:
+        rows = rows.select(*keep, "_task", "_res", "_res_text", "_pos", F.col("_it").alias("_it_text"),
+                           F.from_json(F.col("_it"), item_schema(ep)).alias("_it"))
+        if ep.skip_empty_items:
+            rows = rows.where(F.col("_it_text").isNotNull()
+                              & (F.regexp_replace("_it_text", r"\s", "") != "{}")
+                              & (F.col("_it_text") != "null"))
+    else:
+        rows = rows.withColumn("_it_text", none)
+    return rows
+
+
+def _leaf(path: str, target: Column | None = None) -> Column:
+    if path == "$target":
+        return target
+    if path.startswith("$lit:"):
+        return F.lit(path[5:])
     if path.startswith("task."):
         return F.col("_task." + path[5:])
     if path.startswith("result."):
@@ -83,62 +156,71 @@ def _leaf(path: str) -> Column:
     return F.col("_it." + path)
 
 
-def explode_items(responses: DataFrame, ep: Endpoint, keep: list[str]) -> DataFrame:
-    """Rows of (keep..., _task, _res, _it[, _it_text]) for each exploded element."""
-    missing = _missing_fallbacks(ep)
-    schema = response_schema(ep, item_as_text=bool(missing))
-    parsed = responses.select(*keep, F.from_json("raw", schema).alias("_r"))
-    task = parsed.select(*keep, F.get(F.col("_r.tasks"), 0).alias("_task"))
-    if ep.explode == "results":
-        rows = task.select(*keep, "_task", F.lit(None).alias("_res"),
-                           F.explode(F.col("_task.result")).alias("_it"))
-    else:
-        first = task.select(*keep, "_task", F.get(F.col("_task.result"), 0).alias("_res"))
-        rows = first.select(*keep, "_task", "_res", F.explode(F.col("_res.items")).alias("_it"))
-    if missing:
-        item_p, _, _ = _split_paths(ep)
-        rows = rows.select(*keep, "_task", "_res",
-                           F.col("_it").alias("_it_text"),
-                           F.from_json(F.col("_it"), _struct(_tree(item_p))).alias("_it"))
-    return rows
+def _has_key(text_col: str, path: str) -> Column:
+    top = path.split(".")[0]
+    return F.coalesce(F.array_contains(F.json_object_keys(F.col(text_col)), F.lit(top)), F.lit(False))
 
 
 def _raw_columns(ep: Endpoint, target: Column | None) -> dict[str, Column]:
-    missing = _missing_fallbacks(ep)
     out: dict[str, Column] = {}
     for name, path, _ in ep.columns:
-        if path.startswith("$"):
+        if path.startswith("$") and path != "$target":
             continue
-        c = _leaf(path)
+        c = _leaf(path, target)
         fb = ep.fallbacks.get(name)
         if fb is not None:
             fpath, mode = fb
+            alt = _leaf(fpath, target)
             if mode == "missing":
-                top = path.split(".")[0]
-                present = F.array_contains(F.json_object_keys(F.col("_it_text")), F.lit(top))
-                c = F.when(present, c).otherwise(_leaf(fpath))
+                c = F.when(_has_key("_it_text", path), c).otherwise(alt)
+            elif mode == "missing_res":
+                c = F.when(_has_key("_res_text", path[7:] if path.startswith("result.") else path),
+                           c).otherwise(alt)
             elif mode == "falsy":
-                alt = target if fpath == "$target" else _leaf(fpath)
                 c = F.coalesce(F.when(c != "", c), alt)
             else:
-                c = F.coalesce(c, _leaf(fpath))
+                c = F.coalesce(c, alt)
         out[name] = c
     return out
 
 
+def _derived(ep: Endpoint, name: str, raw: dict[str, Column]) -> Column:
+    if ep.name == "backlinks_summary" and name == "target_type":
+        # "url" when a "/" is left after the scheme, else "domain"
+        rest = F.regexp_replace(F.coalesce(raw["target"], F.lit("")), r"^.*?://", "")
+        return F.when(F.instr(rest, "/") > 0, F.lit("url")).otherwise(F.lit("domain"))
+    if ep.name == "bulk_pages_summary" and name in ("dofollow", "nofollow"):
+        attrs = raw["referring_links_attributes"]
+        nofollow = F.coalesce(cast_leaf(F.get_json_object(attrs, "$.nofollow"), "bigint"), F.lit(0))
+        if name == "nofollow":
+            return nofollow.cast("bigint")
+        backlinks = F.coalesce(cast_leaf(raw["backlinks"], "bigint"), F.lit(0))
+        return (backlinks - nofollow).cast("bigint")
+    if name == "data":
+        # the result object without its items, as JSON text
+        m = F.from_json(F.col("_res_text"), "map<string,variant>")
+        return F.to_json(F.map_filter(m, lambda k, v: k != "items"))
+    if name == "item":
+        return F.col("_it_text")
+    raise KeyError(f"no derived column {ep.name}.{name}")
+
+
 def flatten(responses: DataFrame, endpoint: str | Endpoint,
-            keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed endpoint rows plus ``task_id`` from a table with a ``raw`` column.
+            keep: tuple[str, ...] = (), with_position: bool = False) -> DataFrame:
+    """Typed endpoint rows plus ``task_id`` from a table with ``raw`` (and
+    ``target``, the requested target) columns.
 
-    ``keep`` names input columns carried through (e.g. ``target``).
-    Garbage, missing tasks or empty results give no rows; the schema is fixed.
+    ``keep`` names input columns carried through; ``with_position`` adds
+    ``item_pos``, the element's position in its response. Garbage, missing
+    tasks or empty results give no rows; the schema is fixed either way.
     """
     ep = ENDPOINTS[endpoint] if isinstance(endpoint, str) else endpoint
     keep = list(keep)
-    need_target = any(p == "$target" for p, _ in ep.fallbacks.values())
-    carry = keep + (["target"] if need_target and "target" not in keep else [])
+    uses_target = any(p == "$target" for _, p, _ in ep.columns) or any(
+        p == "$target" for p, _ in ep.fallbacks.values())
+    carry = keep + (["target"] if uses_target and "target" not in keep else [])
     rows = explode_items(responses, ep, carry)
-    raw = _raw_columns(ep, F.col("target") if need_target else None)
+    raw = _raw_columns(ep, F.col("target") if uses_target else None)
     cond = F.lit(True)
     for name in ep.required:
         cond = cond & raw[name].isNotNull()
@@ -148,20 +230,54 @@ def flatten(responses: DataFrame, endpoint: str | Endpoint,
         rows = rows.where(cond)
     typed = []
     for name, path, kind in ep.columns:
-        if path.startswith("$"):
-            typed.append(_derived(ep.name, name, raw).alias(name))
+        if path.startswith("$") and path != "$target":
+            typed.append(_derived(ep, name, raw).alias(name))
         else:
             typed.append(cast_leaf(raw[name], kind).alias(name))
     task_id = F.coalesce(F.col("_task.id"), F.lit("")).alias("task_id")
-    return rows.select(*keep, *typed, task_id)
+    pos = [F.col("_pos").cast("bigint").alias("item_pos")] if with_position else []
+    return rows.select(*keep, *typed, task_id, *pos)
 
 
-def _derived(endpoint: str, name: str, raw: dict[str, Column]) -> Column:
-    if endpoint == "backlinks_summary" and name == "target_type":
-        # "url" when a "/" is left after the scheme, else "domain"
-        rest = F.regexp_replace(F.coalesce(raw["target"], F.lit("")), r"^.*?://", "")
-        return F.when(F.instr(rest, "/") > 0, F.lit("url")).otherwise(F.lit("domain"))
-    raise KeyError(f"no derived column {endpoint}.{name}")
+def flatten_serp(responses: DataFrame, keep=()) -> DataFrame:
+    """B1: one row per SERP item; task and result fields on each item,
+    ``data`` = the result without items, ``item`` = the whole item (JSON)."""
+    return flatten(responses, "serp_organic", keep)
+
+
+def extract_paa(serp_rows: DataFrame) -> DataFrame:
+    """B2: people-also-ask questions from SERP rows: question = title,
+    answer = first expanded element's description (empty when none); missing
+    keys become empty text; an item that is not valid JSON is skipped."""
+    paa = serp_rows.where(F.col("item_type") == "people_also_ask")
+    schema = T.StructType([T.StructField("items", T.ArrayType(T.StructType([
+        T.StructField("title", T.StringType()), T.StructField("url", T.StringType()),
+        T.StructField("expanded_element", T.ArrayType(T.StructType([
+            T.StructField("description", T.StringType())])))])))])
+    parsed = paa.select("keyword", F.from_json("item", schema).alias("_p"))
+    qs = parsed.select("keyword", F.explode("_p.items").alias("q"))
+    first = F.get(F.col("q.expanded_element"), 0)
+    answer = F.when(F.size(F.col("q.expanded_element")) > 0,
+                    F.coalesce(first["description"], F.lit(""))).otherwise(F.lit(""))
+    return qs.select("keyword", F.coalesce(F.col("q.title"), F.lit("")).alias("question"),
+                     answer.alias("answer"), F.coalesce(F.col("q.url"), F.lit("")).alias("url"),
+                     F.coalesce(F.col("q.title"), F.lit("")).alias("title"))
+
+
+def flatten_backlinks(responses: DataFrame, keep=()) -> DataFrame:
+    """50 columns per backlink; ``url`` = requested target."""
+    return flatten(responses, "backlinks", keep)
+
+
+def flatten_bulk_pages(responses: DataFrame, keep=()) -> DataFrame:
+    """20 columns per page; null items skipped; nofollow from the link
+    attributes (0 when absent), dofollow = backlinks - nofollow."""
+    return flatten(responses, "bulk_pages_summary", keep)
+
+
+def flatten_backlinks_summary(responses: DataFrame, keep=()) -> DataFrame:
+    """One row per result; target falls back to the requested one."""
+    return flatten(responses, "backlinks_summary", keep)
 
 
 def flatten_ranked_keywords(responses: DataFrame, keep=()) -> DataFrame:
@@ -170,9 +286,20 @@ def flatten_ranked_keywords(responses: DataFrame, keep=()) -> DataFrame:
     return flatten(responses, "ranked_keywords", keep)
 
 
-def flatten_search_volume(responses: DataFrame, keep=()) -> DataFrame:
-    """Rows are the results themselves; no keyword -> dropped."""
-    return flatten(responses, "search_volume", keep)
+def flatten_keyword_suggestions(responses: DataFrame, keep=()) -> DataFrame:
+    """Items of the first result that has an ``items`` key."""
+    return flatten(responses, "keyword_suggestions", keep)
+
+
+def flatten_related_keywords(responses: DataFrame, keep=()) -> DataFrame:
+    """Related keywords; a null keyword is kept; task_id first."""
+    df = flatten(responses, "related_keywords", keep)
+    return df.select(*keep, "task_id", *[c for c in df.columns if c not in keep and c != "task_id"])
+
+
+def flatten_keyword_overview(responses: DataFrame, keep=()) -> DataFrame:
+    """30 columns; language falls back to the result block."""
+    return flatten(responses, "keyword_overview", keep)
 
 
 def flatten_search_intent(responses: DataFrame, keep=()) -> DataFrame:
@@ -180,6 +307,28 @@ def flatten_search_intent(responses: DataFrame, keep=()) -> DataFrame:
     return flatten(responses, "search_intent", keep)
 
 
-def flatten_backlinks_summary(responses: DataFrame, keep=()) -> DataFrame:
-    """One row per result; target falls back to the requested one."""
-    return flatten(responses, "backlinks_summary", keep)
+def flatten_domain_rank(responses: DataFrame, keep=(), with_position: bool = False) -> DataFrame:
+    """Organic and paid metric blocks per item."""
+    return flatten(responses, "domain_rank_overview", keep, with_position)
+
+
+def flatten_search_volume(responses: DataFrame, keep=()) -> DataFrame:
+    """Rows are the results themselves; no keyword -> dropped; empty
+    ``monthly_searches`` becomes null."""
+    df = flatten(responses, "search_volume", keep)
+    ms = F.col("monthly_searches")
+    return df.withColumn("monthly_searches",
+                         F.when(F.regexp_replace(ms, r"\s", "").isin("[]", "{}", '""', "null"),
+                                F.lit(None)).otherwise(ms))
+
+
+def keyword_count(domain_rank: DataFrame, targets: DataFrame) -> DataFrame:
+    """Organic keyword count of the first row per requested target; -1
+    when there is none or it is null. ``domain_rank`` comes from
+    ``flatten_domain_rank(..., with_position=True)``: first = lowest item_pos
+    (then task id)."""
+    first = domain_rank.groupBy("target").agg(
+        F.min(F.struct("item_pos", "task_id", "organic_count")).alias("_f"))
+    j = targets.select("target").join(first, "target", "left")
+    return j.select("target", F.coalesce(F.col("_f.organic_count"), F.lit(-1)).cast("bigint")
+                    .alias("keyword_count"))
