@@ -20,6 +20,7 @@ _MODULES = [
     "searchlake.plans.q_usage",
     "searchlake.plans.q_catalog",
     "searchlake.plans.q_reconcile",
+    "searchlake.plans.q_ingest",
 ]
 
 
