@@ -417,3 +417,45 @@ def q_h19(spark, d):
     return H.bad_timestamps({"orders": read_table(spark, d, "orders").select("o_orderdate"),
                              "lineitem": read_table(spark, d, "lineitem").select("l_shipdate"),
                              "events": read_table(spark, d, "events").select("ts")})
+
+
+def _collided_projects(spark, d):
+    p = V.projects(spark, d)
+    copies = p.where(F.col("project_id") % 97 == 0).withColumn(
+        "project_name", F.concat(V.supplier_domain(F.col("project_id") % 50), F.lit("_001")))
+    return p.unionByName(copies)
+
+
+_H17_SQL = f"""
+WITH p AS (SELECT * FROM v_projects
+           UNION ALL
+           SELECT project_id, client_id, project_type, {supp_domain('(project_id % 50)')} || '_001',
+                  status, notes, created_at FROM v_projects WHERE project_id % 97 = 0),
+pd AS (SELECT *, regexp_replace(project_name, '_[0-9]+$', '') AS dom FROM p),
+c AS (SELECT project_id FROM p GROUP BY 1 HAVING count(*) > 1),
+coll AS (SELECT pd.*, row_number() OVER (PARTITION BY project_id ORDER BY project_name) AS rk
+         FROM pd WHERE project_id IN (SELECT project_id FROM c)),
+movers AS (SELECT project_id, dom, (SELECT max(project_id) FROM p)
+                  + row_number() OVER (ORDER BY project_id, project_name) AS new_id
+           FROM coll WHERE rk > 1)"""
+
+
+@register("h17_split_collided_projects", W(_H17_SQL + """
+SELECT coalesce(m.new_id, pd.project_id) AS project_id, pd.client_id, pd.project_type, pd.project_name,
+       pd.status, pd.notes, pd.created_at
+FROM pd LEFT JOIN movers m ON m.project_id = pd.project_id AND m.dom = pd.dom""", "v_projects"))
+def q_h17p(spark, d):
+    projects, _ = H.split_collided(_collided_projects(spark, d), V.project_domains(spark, d),
+                                   V.domains(spark, d))
+    return scalar_output(projects)
+
+
+@register("h17_split_collided_links", W(_H17_SQL + """
+SELECT coalesce(m.new_id, l.project_id) AS project_id, l.domain_id, l.role, l.priority, l.notes
+FROM v_project_domains l LEFT JOIN v_domains d ON d.domain_id = l.domain_id
+LEFT JOIN movers m ON m.project_id = l.project_id AND m.dom = d.domain""",
+                                         "v_projects", "v_project_domains", "v_domains"))
+def q_h17l(spark, d):
+    _, links = H.split_collided(_collided_projects(spark, d), V.project_domains(spark, d),
+                                V.domains(spark, d))
+    return links
