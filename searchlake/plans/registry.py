@@ -21,6 +21,7 @@ _MODULES = [
     "searchlake.plans.q_catalog",
     "searchlake.plans.q_reconcile",
     "searchlake.plans.q_ingest",
+    "searchlake.plans.q_streaming",
 ]
 
 
