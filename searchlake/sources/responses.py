@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from searchlake.sources.tables import Tables
-from searchlake.sources.testviews import _pick, supplier_domain
+from searchlake.sources.testviews import _pick, landed, supplier_domain
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -86,6 +86,7 @@ def _ts_text(c: Column) -> Column:
 
 
 # ----------------------------------------------------------------- B1, B2
+@landed("serp_organic")
 def serp_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SERP: one response per order (target 'kw<order>'), items from its lines."""
     t = Tables(spark, sf_dir)
@@ -128,6 +129,7 @@ def serp_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- B3
+@landed("backlinks")
 def backlinks_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backlinks: target = supplier domain; one page per (supplier, order)."""
     li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -157,6 +159,7 @@ def backlinks_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- B4
+@landed("bulk_pages_summary")
 def bulk_pages_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk pages: parts in pages of 50 (partkey div 50); some null items."""
     p = Tables(spark, sf_dir).part.select("p_partkey", "p_size", "p_retailprice")
@@ -177,6 +180,7 @@ def bulk_pages_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- B5, B11
+@landed("backlinks_summary")
 def backlinks_summary_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backlinks summary: one response per supplier; the result is the row."""
     s = Tables(spark, sf_dir).supplier.select("s_suppkey", "s_acctbal")
@@ -195,6 +199,7 @@ def backlinks_summary_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(s, "backlinks_summary", target, raw)
 
 
+@landed("domain_rank_overview")
 def domain_rank_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain rank overview: per supplier, two items (two locations)."""
     s = Tables(spark, sf_dir).supplier.select("s_suppkey", "s_acctbal")
@@ -220,6 +225,7 @@ def _kw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumn("grp", (F.col("p_partkey") / 20).cast("bigint"))
 
 
+@landed("keyword_suggestions")
 def suggestions_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword suggestions: a result without items, then the block with items."""
     p = _kw_items(spark, sf_dir)
@@ -247,6 +253,7 @@ def suggestions_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(g, "keyword_suggestions", F.concat(F.lit("target"), grp.cast("string")), raw)
 
 
+@landed("related_keywords")
 def related_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _kw_items(spark, sf_dir)
     pk = F.col("p_partkey")
@@ -272,6 +279,7 @@ def related_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(g, "related_keywords", F.concat(F.lit("target"), grp.cast("string")), raw)
 
 
+@landed("keyword_overview")
 def overview_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _kw_items(spark, sf_dir)
     pk = F.col("p_partkey")
@@ -291,6 +299,7 @@ def overview_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(g, "keyword_overview", F.concat(F.lit("batch"), grp.cast("string")), raw)
 
 
+@landed("search_intent")
 def intent_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _kw_items(spark, sf_dir)
     pk = F.col("p_partkey")
@@ -309,6 +318,7 @@ def intent_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(g, "search_intent", F.concat(F.lit("batch"), grp.cast("string")), raw)
 
 
+@landed("search_volume")
 def volume_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search volume: the results are the rows."""
     p = _kw_items(spark, sf_dir)

@@ -16,6 +16,29 @@ from searchlake.sources.tables import Tables
 
 PRIORITIES = ["VERY LOW", "LOW", "NORMAL", "HIGH", "VERY HIGH"]
 
+# Landed copies of derived response tables: (endpoint, sf_dir) -> parquet path.
+_LANDED: dict = {}
+
+
+def landed(endpoint: str):
+    """Read a maker's output from its landing folder once it was landed."""
+    def deco(maker):
+        def wrapper(spark, sf_dir):
+            path = _LANDED.get((endpoint, sf_dir))
+            return spark.read.parquet(path) if path else maker(spark, sf_dir)
+        wrapper.__doc__ = maker.__doc__
+        wrapper.endpoint = endpoint
+        wrapper.maker = maker
+        return wrapper
+    return deco
+
+
+def land(spark, sf_dir: str, maker, path: str) -> str:
+    """Write a response maker's output once to ``path``; later calls read it."""
+    maker.maker(spark, sf_dir).write.mode("overwrite").parquet(path)
+    _LANDED[(maker.endpoint, sf_dir)] = path
+    return path
+
 
 def _pick(key, values):
     """values[key % len(values)] as a CASE expression."""
@@ -95,6 +118,7 @@ def ranked_items(t: Tables) -> DataFrame:
                     target.alias("target"), item.alias("item"))
 
 
+@landed("ranked_keywords")
 def ranked_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """v_responses for ranked keywords: one response per (order, page of 100).
 
