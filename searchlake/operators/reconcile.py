@@ -92,13 +92,18 @@ def intents_to_json(s: Column) -> Column:
 
 # ----------------------------------------------------------------- H5
 def verify_counts(pairs: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
-    """H5: old and new row counts per table and whether they agree."""
+    """H5: old and new row counts per table and whether they agree. Counts
+    of all tables are unioned and folded by one grouped aggregate (no join)."""
     parts = []
     for name, old, new in pairs:
-        a = old.agg(F.count(F.lit(1)).alias("old_rows")).withColumn("table_name", F.lit(name))
-        b = new.agg(F.count(F.lit(1)).alias("new_rows")).withColumn("table_name", F.lit(name))
-        parts.append(a.join(b, "table_name"))
-    out = reduce(DataFrame.unionByName, parts)
+        parts.append(old.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("table_name"), F.lit("old").alias("side"), "n"))
+        parts.append(new.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("table_name"), F.lit("new").alias("side"), "n"))
+    u = reduce(DataFrame.unionByName, parts)
+    out = u.groupBy("table_name").agg(
+        F.sum(F.when(F.col("side") == "old", F.col("n"))).alias("old_rows"),
+        F.sum(F.when(F.col("side") == "new", F.col("n"))).alias("new_rows"))
     return out.withColumn("equal", F.col("old_rows") == F.col("new_rows"))
 
 

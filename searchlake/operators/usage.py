@@ -171,41 +171,56 @@ def session_totals(turns: DataFrame, key: str = "conv_id", pos: str = "turn",
 
 def compaction_points(sends: DataFrame, tokens: int | None = None,
                       messages: int | None = None, key: str = "conv_id",
-                      pos: str = "turn") -> DataFrame:
+                      pos: str = "turn", block: int = 4096) -> DataFrame:
     """The sends after which the history is replaced by one summary.
 
     Each send adds two messages; after a send the check is: total tokens so
     far >= ``tokens`` (never reset) or messages since the last summary >=
     ``messages``; a summary needs more than 2 messages and leaves 1.
 
-    Closed form (no fold): with k the 1-based send number and cum_k the
-    running token total,
-      * the token rule fires at every k >= 2 from the first k with cum_k >= T
-        (before any summary there are 2k messages, after one 3);
+    Closed form (no fold), with k the 1-based send number and cum_k the
+    running token total:
+      * the token rule fires at every k >= 2 from the first k with
+        cum_k >= T (before any summary there are 2k messages, after one 3);
       * before that point the message rule fires at k1 = max(ceil(M/2), 2)
-        and then every p = max(ceil((M-1)/2), 1) sends.
-    ``messages_left`` is the message count after the send.
+        and then every p = max(ceil((M-1)/2), 1) sends;
+      * the last summary before k is then arithmetic, and
+        ``messages_left`` = 1 after a summary, else 2k or 1 + 2(k - last).
+    k and cum_k are skew-safe running sums (block sums + offsets); the first
+    token hit per conversation is a grouped minimum. No per-conversation
+    sort of all its sends.
     """
-    w = Window.partitionBy(key).orderBy(pos)
-    df = sends.withColumn("send_no", F.row_number().over(w))
-    df = df.withColumn("cum_tokens", F.sum(F.col("input_tokens") + F.col("output_tokens")).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
+    df = sends.withColumn("_one", F.lit(1)).withColumn(
+        "_tok", F.col("input_tokens") + F.col("output_tokens"))
+    df = running_sums(df, [key], pos, {"send_no": "_one", "cum_tokens": "_tok"}, block)
+    df = df.drop("_one", "_tok")
     k = F.col("send_no")
-    tok_hit = (F.col("cum_tokens") >= F.lit(tokens)) if tokens is not None else F.lit(False)
-    tok_fire = tok_hit & (k >= 2)
+    if tokens is not None:
+        hits = (df.where(F.col("cum_tokens") >= F.lit(tokens)).groupBy(key)
+                .agg(F.min("send_no").alias("_first_tok")))
+        df = df.join(hits, key, "left")
+    else:
+        df = df.withColumn("_first_tok", F.lit(None).cast("bigint"))
+    ft = F.col("_first_tok")
+    tok_from = F.when(ft.isNotNull(), F.greatest(ft, F.lit(2)))   # null when no token hit
+    tok_fire = F.coalesce(k >= tok_from, F.lit(False))
+    tok_last = F.when(k - 1 >= tok_from, k - 1)              # last token fire before k
     if messages is not None:
         k1 = max(-(-messages // 2), 2)
         p = max(-(-(messages - 1) // 2), 1)
-        first_tok = F.min(F.when(tok_hit, k)).over(Window.partitionBy(key))
-        before = first_tok.isNull() | (k < first_tok)
+        before = ft.isNull() | (k < ft)
         msg_fire = before & (k >= k1) & (((k - k1) % p) == 0)
+        upto = F.least(k - 1, F.coalesce(ft - 1, k - 1))       # message fires happen below ft
+        msg_last = F.when(upto >= k1, F.lit(k1) + F.floor((upto - k1) / p).cast("bigint") * p)
     else:
         msg_fire = F.lit(False)
-    df = df.withColumn("fired", tok_fire | msg_fire)
-    last = F.max(F.when(F.col("fired"), k)).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    df = df.withColumn("messages_left", F.when(F.col("fired"), F.lit(1)).otherwise(
-        F.when(last.isNull(), 2 * k).otherwise(1 + 2 * (k - last))))
-    return df
+        msg_last = F.lit(None).cast("bigint")
+    last = F.greatest(tok_last, msg_last)
+    fired = tok_fire | msg_fire
+    return (df.withColumn("fired", fired)
+            .withColumn("messages_left", F.when(fired, F.lit(1)).when(last.isNull(), 2 * k)
+                        .otherwise(1 + 2 * (k - last)).cast("bigint"))
+            .drop("_first_tok"))
 
 
 def transcript(turns: DataFrame, key: str = "conv_id", pos: str = "turn") -> DataFrame:

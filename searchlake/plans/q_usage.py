@@ -146,7 +146,7 @@ SELECT conv_id, turn, CAST(k AS BIGINT) AS send_no, CAST(cum AS BIGINT) AS cum_t
 def _compaction(spark, d, tokens, messages):
     sends = (V.usage(spark, d).where(F.col("role") == "assistant")
              .select("conv_id", "turn", "input_tokens", "output_tokens"))
-    out = I.compaction_points(sends, tokens=tokens, messages=messages)
+    out = I.compaction_points(sends, tokens=tokens, messages=messages, block=2)
     return scalar_output(out.select("conv_id", "turn", "send_no", "cum_tokens", "fired",
                                     "messages_left"))
 
