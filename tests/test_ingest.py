@@ -104,3 +104,30 @@ def test_stream_ingest_replay_is_idempotent(spark):
     assert spark.read.parquet(table).count() == 1
     ev = spark.read.parquet(events).collect()
     assert len(ev) == 1 and ev[0].upload_id == K.batch_upload_id("replay", 0)
+
+
+def test_task_states_ready_and_timeout(spark):
+    import shutil
+    base = tempfile.mkdtemp(prefix="sl-k3-")
+    schema = "task_id string, ts string, event_id bigint, status_code bigint, n_items bigint"
+    batches = [[("a", "2024-01-01 00:00:00", 1, 40602, 0), ("b", "2024-01-01 00:00:00", 2, 40602, 0)],
+               [("b", "2024-01-01 01:00:00", 3, 20000, 5), ("c", "2024-01-01 05:00:00", 4, 40602, 0),
+                ("d", "2024-01-01 05:00:00", 5, 40402, 0)]]
+    os.makedirs(os.path.join(base, "in"))
+    for i, rows in enumerate(batches):
+        out = os.path.join(base, f"p{i}")
+        spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp")) \
+            .coalesce(1).write.parquet(out)
+        part = [f for f in os.listdir(out) if f.endswith(".parquet")][0]
+        shutil.copy(os.path.join(out, part), os.path.join(base, "in", f"{i}.parquet"))
+    stream = spark.readStream.schema("task_id string, ts timestamp, event_id bigint, status_code bigint, "
+                                     "n_items bigint").option("maxFilesPerTrigger", 1) \
+        .parquet(os.path.join(base, "in"))
+    q = (K.task_states(stream).writeStream.queryName("k3_test").format("memory").outputMode("append")
+         .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.task_id: (r.state, r.reason) for r in spark.table("k3_test").collect()}
+    assert got["b"] == ("ready", None)
+    assert got["d"] == ("failed", "task_not_found (40402)")
+    assert got["a"] == ("timed_out", "timeout")      # watermark passed first sight + 2 h
+    assert "c" not in got                           # still within its 2 h
