@@ -205,16 +205,34 @@ def _derived(ep: Endpoint, name: str, raw: dict[str, Column]) -> Column:
     raise KeyError(f"no derived column {ep.name}.{name}")
 
 
+def project_endpoint(ep: Endpoint, columns) -> Endpoint:
+    """The endpoint restricted to ``columns`` (plus what its drop rules and
+    derived columns need), so the read schema only holds those leaves."""
+    from dataclasses import replace
+    need = set(columns) | set(ep.required) | set(ep.nonempty)
+    if ep.name == "bulk_pages_summary" and need & {"dofollow", "nofollow"}:
+        need |= {"backlinks", "referring_links_attributes"}
+    if ep.name == "backlinks_summary" and "target_type" in need:
+        need.add("target")
+    cols = [c for c in ep.columns if c[0] in need]
+    fallbacks = {k: v for k, v in ep.fallbacks.items() if k in need}
+    return replace(ep, columns=cols, fallbacks=fallbacks)
+
+
 def flatten(responses: DataFrame, endpoint: str | Endpoint,
-            keep: tuple[str, ...] = (), with_position: bool = False) -> DataFrame:
+            keep: tuple[str, ...] = (), with_position: bool = False,
+            columns=None) -> DataFrame:
     """Typed endpoint rows plus ``task_id`` from a table with ``raw`` (and
     ``target``, the requested target) columns.
 
     ``keep`` names input columns carried through; ``with_position`` adds
-    ``item_pos``, the element's position in its response. Garbage, missing
+    ``item_pos``, the element's position in its response; ``columns``
+    narrows the output (and the JSON read schema) to the columns named. Garbage, missing
     tasks or empty results give no rows; the schema is fixed either way.
     """
     ep = ENDPOINTS[endpoint] if isinstance(endpoint, str) else endpoint
+    if columns is not None:
+        ep = project_endpoint(ep, columns)
     keep = list(keep)
     uses_target = any(p == "$target" for _, p, _ in ep.columns) or any(
         p == "$target" for p, _ in ep.fallbacks.values())
@@ -280,10 +298,10 @@ def flatten_backlinks_summary(responses: DataFrame, keep=()) -> DataFrame:
     return flatten(responses, "backlinks_summary", keep)
 
 
-def flatten_ranked_keywords(responses: DataFrame, keep=()) -> DataFrame:
+def flatten_ranked_keywords(responses: DataFrame, keep=(), columns=None) -> DataFrame:
     """One row per ranked keyword; rows without keyword, rank, url or
     search volume are dropped (0 is kept, empty text is dropped)."""
-    return flatten(responses, "ranked_keywords", keep)
+    return flatten(responses, "ranked_keywords", keep, columns=columns)
 
 
 def flatten_keyword_suggestions(responses: DataFrame, keep=()) -> DataFrame:

@@ -118,3 +118,12 @@ def test_keyword_count(spark):
     targets = spark.createDataFrame([("x.com",), ("y.com",)], "target string")
     got = {r.target: r.keyword_count for r in B.keyword_count(dr, targets).collect()}
     assert got == {"x.com": 12, "y.com": -1}
+
+
+def test_column_pruned_flatten_keeps_rules(spark):
+    doc = {"tasks": [{"id": "t", "result": [{"items": [None, {"url": "x", "backlinks": 10,
+           "referring_links_attributes": {"nofollow": 3}}]}]}]}
+    df = B.flatten(responses(spark, [doc]), "bulk_pages_summary", columns=["url", "dofollow"])
+    r = df.first()
+    assert df.count() == 1 and (r.url, r.dofollow) == ("x", 7)
+    assert set(df.columns) >= {"url", "dofollow", "task_id"}
