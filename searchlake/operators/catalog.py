@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from searchlake.functions.domains import url_host
-
 # Dataset type prefixes, in lookup order.
 DEFAULT_DATASET_PREFIXES = [
     ("ga4", "analytics_"),

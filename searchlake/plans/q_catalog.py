@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from searchlake.operators import catalog as E
 from searchlake.operators import entities as Fx
 from searchlake.plans.checks import scalar_output
-from searchlake.plans.oracle_views import raw_domain, supp_domain
+from searchlake.plans.oracle_views import raw_domain
 from searchlake.plans.oracle_views import with_views as W
 from searchlake.plans.registry import register
 from searchlake.sources import testviews as V

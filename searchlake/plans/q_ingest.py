@@ -11,14 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from searchlake.functions import typing as TY
-from searchlake.operators import flatten as B
 from searchlake.operators import ingest as A
 from searchlake.operators import reconcile as H
 from searchlake.plans.checks import scalar_output
 from searchlake.plans.oracle_views import supp_domain
 from searchlake.plans.oracle_views import with_views as W
 from searchlake.plans.registry import register
-from searchlake.schemas import RANKED_KEYWORDS
 from searchlake.session import scratch_path
 from searchlake.sources import responses as R
 from searchlake.sources import testviews as V

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from searchlake.sources.tables import Tables
 from searchlake.sources.testviews import _pick, landed, supplier_domain

@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from searchlake.operators import flatten as B
 from searchlake.schemas import ENDPOINTS
