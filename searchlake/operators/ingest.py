@@ -247,6 +247,16 @@ def dedupe(df: DataFrame, key: list[str] | str, order_col: str = "ingest_timesta
                     *[F.col(f"_b.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+def dedupe_stream(df: DataFrame, key: list[str] | str, watermark_col: str = "ingest_timestamp",
+                  delay: str = "1 hour") -> DataFrame:
+    """B16 on a stream: drop rows whose natural key was already seen within
+    the watermark delay (``dropDuplicatesWithinWatermark``; the first row
+    seen is kept)."""
+    if isinstance(key, str):
+        key = [c for c in ENDPOINTS[key].key]
+    return df.withWatermark(watermark_col, delay).dropDuplicatesWithinWatermark(key)
+
+
 def assemble_pages(pages: DataFrame, mode: str, page_size: int = 1000, limit: int | None = None,
                    cap: int = 20000) -> DataFrame:
     """Which landed pages of each target the paging loop keeps.
@@ -289,7 +299,7 @@ PAYLOAD_DEFAULTS = {
                           "backlinks_status_type": "live"},
     "ranked_keywords": {"language_name": "English", "location_code": 2840, "limit": 1000, "offset": 0,
                         "load_rank_absolute": True,
-                        "order_by": ["ranked_serp_element.serp_item.etv,desc"]},
+                        "order_by": ["ranked_serp_element.serp_item.etv,desc"], "filters": None},
     "keyword_suggestions": {"location_code": 2840, "language_code": "en", "limit": 50,
                             "include_seed_keyword": False,
                             "filters": [["keyword_info.search_volume", ">", 10]],

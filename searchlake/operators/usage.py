@@ -223,6 +223,27 @@ def compaction_points(sends: DataFrame, tokens: int | None = None,
             .drop("_first_tok"))
 
 
+def apply_summaries(turns: DataFrame, points: DataFrame, summarize_fn, key: str = "conv_id",
+                    pos: str = "turn") -> DataFrame:
+    """I6 hook (off unless called): replace each conversation's history up
+    to its last compaction point by what ``summarize_fn`` returns.
+
+    ``summarize_fn(pdf) -> pdf`` receives one conversation's turns up to the
+    point (columns key, pos, role, text; ordered by ``pos``) and returns the
+    replacement rows with the same columns. Runs as a grouped
+    ``applyInPandas``; turns after the last point are kept as they are.
+    """
+    last = points.where(F.col("fired")).groupBy(key).agg(F.max(pos).alias("_upto"))
+    t = turns.select(key, pos, "role", "text").join(last, key, "left")
+    head = t.where(F.col("_upto").isNotNull() & (F.col(pos) <= F.col("_upto"))).drop("_upto")
+    tail = t.where(F.col("_upto").isNull() | (F.col(pos) > F.col("_upto"))).drop("_upto")
+
+    def run(pdf):
+        return summarize_fn(pdf.sort_values(pos).reset_index(drop=True))
+    summarized = head.groupBy(key).applyInPandas(run, schema=head.schema)
+    return summarized.unionByName(tail)
+
+
 def transcript(turns: DataFrame, key: str = "conv_id", pos: str = "turn") -> DataFrame:
     """``ROLE: content`` lines joined by newlines per conversation."""
     lines = F.array_sort(F.collect_list(F.struct(pos, F.concat(F.upper("role"), F.lit(": "),

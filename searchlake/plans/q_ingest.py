@@ -260,7 +260,8 @@ def q_b17r(spark, d):
 @register("b19_build_requests", f"""
 SELECT {supp_domain('s_suppkey')} AS target,
   '[{{"target":"' || {supp_domain('s_suppkey')} || '","language_name":"English","location_code":2840,'
-  || '"limit":1000,"offset":0,"load_rank_absolute":true,"order_by":["ranked_serp_element.serp_item.etv,desc"]}}]'
+  || '"limit":1000,"offset":0,"load_rank_absolute":true,"order_by":["ranked_serp_element.serp_item.etv,desc"],'
+  || '"filters":null}}]'
   AS payload
 FROM supplier""")
 def q_b19(spark, d):

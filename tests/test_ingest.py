@@ -131,3 +131,17 @@ def test_task_states_ready_and_timeout(spark):
     assert got["d"] == ("failed", "task_not_found (40402)")
     assert got["a"] == ("timed_out", "timeout")      # watermark passed first sight + 2 h
     assert "c" not in got                           # still within its 2 h
+
+
+def test_dedupe_stream(spark):
+    base = tempfile.mkdtemp(prefix="sl-dd-")
+    spark.createDataFrame([("k", 1, "2024-01-01 00:00:00"), ("k", 2, "2024-01-01 00:10:00"),
+                           ("j", 3, "2024-01-01 00:00:00")], "kw string, v bigint, ts string") \
+        .withColumn("ingest_timestamp", F.col("ts").cast("timestamp")).drop("ts") \
+        .coalesce(1).write.parquet(os.path.join(base, "in"))
+    src = spark.readStream.schema("kw string, v bigint, ingest_timestamp timestamp") \
+        .parquet(os.path.join(base, "in"))
+    q = (A.dedupe_stream(src, ["kw"]).writeStream.queryName("dd_test").format("memory")
+         .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.kw for r in spark.table("dd_test").collect()) == ["j", "k"]

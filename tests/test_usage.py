@@ -76,3 +76,16 @@ def test_json_block(spark):
                                 ("{\"a\": 3}",), ("```json {bad",)], "t string")
     out = [r.a for r in df.select(I.json_block(F.col("t"), "a bigint")["a"].alias("a")).collect()]
     assert out == [1, 2, 3, None]
+
+
+def test_apply_summaries_hook(spark):
+    c = spark.createDataFrame([(1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "user", "c"),
+                               (2, 1, "user", "x")], "conv_id bigint, turn bigint, role string, text string")
+    points = spark.createDataFrame([(1, 2, True), (2, 1, False)], "conv_id bigint, turn bigint, fired boolean")
+
+    def summarize(pdf):
+        import pandas as pd
+        return pd.DataFrame({"conv_id": [pdf.conv_id.iloc[0]], "turn": [pdf.turn.max()],
+                             "role": ["assistant"], "text": ["[Summary] " + " ".join(pdf.text)]})
+    out = {(r.conv_id, r.turn): r.text for r in I.apply_summaries(c, points, summarize).collect()}
+    assert out == {(1, 2): "[Summary] a b", (1, 3): "c", (2, 1): "x"}
