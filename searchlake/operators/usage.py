@@ -238,6 +238,9 @@ def apply_summaries(turns: DataFrame, points: DataFrame, summarize_fn, key: str
     head = t.where(F.col("_upto").isNotNull() & (F.col(pos) <= F.col("_upto"))).drop("_upto")
     tail = t.where(F.col("_upto").isNull() | (F.col(pos) > F.col("_upto"))).drop("_upto")
 
+    from searchlake.session import ship_package
+    ship_package(turns.sparkSession)
+
     def run(pdf):
         return summarize_fn(pdf.sort_values(pos).reset_index(drop=True))
     summarized = head.groupBy(key).applyInPandas(run, schema=head.schema)
