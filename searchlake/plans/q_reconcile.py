@@ -45,7 +45,7 @@ def _old(spark, d):
 @register("h1_align_schema", """
 SELECT 'kw' || CAST(l_partkey AS VARCHAR) AS keyword, CAST(l_quantity AS BIGINT) AS search_volume,
        CAST(l_linenumber AS BIGINT) AS rank, round(l_extendedprice, 6) AS traffic_volume,
-       to_json([l_partkey, l_suppkey]) AS categories,
+       CAST(to_json([l_partkey, l_suppkey]) AS VARCHAR) AS categories,
        '{"f":"' || l_returnflag || '","s":"' || l_linestatus || '"}' AS item,
        CAST(NULL AS DOUBLE) AS cpc, CAST(l_linenumber AS BIGINT) AS competition_index,
        CASE WHEN l_linestatus = 'F' THEN NULL ELSE false END AS is_lost
@@ -110,8 +110,8 @@ _INTENT_SRC = ("CASE p_partkey % 5 WHEN 0 THEN 'commercial,navigational' WHEN 1
 
 @register("h4_intents_to_json", f"""
 SELECT p_partkey, CASE WHEN trim(coalesce(s, '')) = '' THEN NULL ELSE
-  to_json(list_transform(list_filter(string_split(s, ','), lambda x: trim(x) <> ''),
-                         lambda x: {{'label': trim(x)}})) END AS intents
+  CAST(to_json(list_transform(list_filter(string_split(s, ','), lambda x: trim(x) <> ''),
+                              lambda x: {{'label': trim(x)}})) AS VARCHAR) END AS intents
 FROM (SELECT p_partkey, {_INTENT_SRC} AS s FROM part) x""")
 def q_h4(spark, d):
     p = read_table(spark, d, "part")

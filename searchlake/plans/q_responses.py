@@ -221,7 +221,7 @@ def _dr(loc: int, scale: int) -> str:
         "organic_is_lost": "CAST(s_suppkey % 6 AS BIGINT)", "organic_pos_1": "CAST(s_suppkey % 3 AS BIGINT)",
         "organic_pos_4_10": "CAST(s_suppkey % 11 AS BIGINT)",
         "organic_pos_91_100": "CAST(s_suppkey % 13 AS BIGINT)",
-        "paid_count": "CAST(s_suppkey % 2 AS BIGINT)", "paid_etv": "1.5",
+        "paid_count": "CAST(s_suppkey % 2 AS BIGINT)", "paid_etv": "CAST(1.5 AS DOUBLE)",
         "paid_is_up": "CAST(s_suppkey % 5 AS BIGINT)",
     }, "FROM supplier WHERE s_suppkey % 8 <> 7", extra=["'dr-' || CAST(s_suppkey AS VARCHAR) AS task_id"])
 
