@@ -72,15 +72,18 @@ def search_domains(domains: DataFrame, query: str, limit: int | None = 10) -> Da
     return df.limit(limit) if limit is not None else df
 
 
-def client_domain_list(client_domains: DataFrame, domains: DataFrame, client_id,
+def client_domain_list(client_domains: DataFrame, domains: DataFrame, client_id=None,
                        is_competitor: bool | None = None) -> DataFrame:
-    """a client's links joined to their domains, ordered."""
-    links = client_domains.where(F.col("client_id") == client_id)
+    """a client's links joined to their domains, ordered (all clients'
+    links when ``client_id`` is None)."""
+    links = client_domains
+    if client_id is not None:
+        links = links.where(F.col("client_id") == client_id)
     if is_competitor is not None:
         links = links.where(F.col("is_competitor") == is_competitor)
     return (links.join(domains.select("domain_id", "domain", "domain_name", "is_active"),
                        "domain_id")
-            .orderBy("is_competitor", "domain"))
+            .orderBy("client_id", "is_competitor", "domain"))
 
 
 def list_projects(projects: DataFrame, client_id=None, project_type=None, status=None) -> DataFrame:
@@ -92,11 +95,14 @@ def list_projects(projects: DataFrame, client_id=None, project_type=None, status
     return df.orderBy("project_id")
 
 
-def project_domain_list(project_domains: DataFrame, domains: DataFrame, project_id) -> DataFrame:
-    """links of a project joined to domains with role and priority."""
-    return (project_domains.where(F.col("project_id") == project_id)
-            .join(domains.select("domain_id", "domain", "domain_name"), "domain_id")
-            .orderBy("role", "domain"))
+def project_domain_list(project_domains: DataFrame, domains: DataFrame, project_id=None) -> DataFrame:
+    """links of a project (of all projects when ``project_id`` is None)
+    joined to domains with role and priority."""
+    links = project_domains
+    if project_id is not None:
+        links = links.where(F.col("project_id") == project_id)
+    return (links.join(domains.select("domain_id", "domain", "domain_name"), "domain_id")
+            .orderBy("project_id", "role", "domain"))
 
 
 # ----------------------------------------------------------------- writes

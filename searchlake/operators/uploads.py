@@ -73,13 +73,23 @@ def upload_summary(log: DataFrame, client_id=None) -> DataFrame:
             .orderBy(F.col("latest").desc(), "dataset", "table_name"))
 
 
-def preview_upload(log: DataFrame, data: DataFrame, upload_id: str,
-                   limit: int | None = 100) -> DataFrame:
-    """D3: rows of the data table that carry a logged ``upload_id``; empty
-    when the log does not know it. Semi join against the one log row."""
-    known = log.where(F.col("upload_id") == upload_id).select("upload_id").distinct()
-    df = data.where(F.col("upload_id") == upload_id).join(known, "upload_id", "left_semi")
-    return df.limit(limit) if limit is not None else df
+def preview_upload(log: DataFrame, data: DataFrame, upload_id: str | None = None,
+                   limit: int | None = 100, order: list[str] | None = None) -> DataFrame:
+    """D3: rows of the data table that carry a logged upload id; empty when
+    the log does not know it. With ``upload_id`` one upload (semi join
+    against its log row); without it every logged upload at once, each cut
+    to ``limit`` rows in ``order`` (a window group limit, applied map-side)."""
+    known = log.select("upload_id").distinct()
+    if upload_id is not None:
+        known = known.where(F.col("upload_id") == upload_id)
+        df = data.where(F.col("upload_id") == upload_id).join(known, "upload_id", "left_semi")
+        return df.limit(limit) if limit is not None else df
+    df = data.join(known, "upload_id", "left_semi")
+    if limit is None:
+        return df
+    order = order or [c for c in data.columns if c != "upload_id"]
+    w = Window.partitionBy("upload_id").orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
 
 
 def available_datasets(log: DataFrame, client_id=None) -> DataFrame:
@@ -97,31 +107,45 @@ def available_tables(log: DataFrame, dataset=None, client_id=None) -> DataFrame:
             .select("table_name").distinct().orderBy("table_name"))
 
 
-def client_job_ids(log: DataFrame, client_id, dataset=None, table=None) -> DataFrame:
-    """Distinct job ids of a client, sorted."""
+def client_job_ids(log: DataFrame, client_id=None, dataset=None, table=None) -> DataFrame:
+    """Distinct job ids of a client, sorted; without ``client_id`` the
+    distinct (client_id, job_id) pairs of all clients."""
     conds = _filters(client_id=client_id, dataset=dataset, table_name=table)
-    return (log.where(_and(conds)).where(F.col("job_id").isNotNull())
-            .select("job_id").distinct().orderBy("job_id"))
+    df = log.where(_and(conds)) if conds else log
+    df = df.where(F.col("job_id").isNotNull())
+    if client_id is not None:
+        return df.select("job_id").distinct().orderBy("job_id")
+    return (df.where(F.col("client_id").isNotNull()).select("client_id", "job_id").distinct()
+            .orderBy("client_id", "job_id"))
+
+
+def _by_owner(data: DataFrame, log: DataFrame, owner: str, owner_id, table, limit):
+    conds = _filters(**{owner: owner_id}, table_name=table)
+    jobs = log.where(_and(conds)) if conds else log
+    if owner_id is not None:
+        df = data.join(jobs.select("job_id"), "job_id", "left_semi")
+    else:
+        # every owner at once: (owner, job) pairs joined to the rows
+        pairs = jobs.where(F.col(owner).isNotNull()).select(owner, "job_id").distinct()
+        df = data.join(pairs, "job_id")
+    return df.limit(limit) if limit is not None else df
 
 
-def client_data(data: DataFrame, log: DataFrame, client_id, table=None,
+def client_data(data: DataFrame, log: DataFrame, client_id=None, table=None,
                 limit: int | None = None) -> DataFrame:
     """Data rows whose job id the log lists for the client (and table).
 
-    ``left_semi`` join; the log side is a projection of job ids, so AQE
-    broadcasts it when it is small and shuffles otherwise.
-    """
-    jobs = log.where(_and(_filters(client_id=client_id, table_name=table))).select("job_id")
-    df = data.join(jobs, "job_id", "left_semi")
-    return df.limit(limit) if limit is not None else df
+    One client: a ``left_semi`` join on job ids. No client: the rows of all
+    clients, each tagged with its ``client_id`` (join on distinct (client,
+    job) pairs). AQE broadcasts the log side when it is small, else
+    shuffles, and splits a hot job id (skew join)."""
+    return _by_owner(data, log, "client_id", client_id, table, limit)
 
 
-def project_data(data: DataFrame, log: DataFrame, project_id, table=None,
+def project_data(data: DataFrame, log: DataFrame, project_id=None, table=None,
                  limit: int | None = None) -> DataFrame:
     """As D7 by project."""
-    jobs = log.where(_and(_filters(project_id=project_id, table_name=table))).select("job_id")
-    df = data.join(jobs, "job_id", "left_semi")
-    return df.limit(limit) if limit is not None else df
+    return _by_owner(data, log, "project_id", project_id, table, limit)
 
 
 def client_data_by_domain(data: DataFrame, client_domains: DataFrame, domains: DataFrame,

@@ -288,10 +288,10 @@ def q_f4(spark, d):
 
 @register("f5_client_domains", W("""
 SELECT cd.domain_id, cd.client_id, cd.is_competitor, cd.priority, cd.notes, d.domain, d.domain_name, d.is_active
-FROM v_client_domains cd JOIN v_domains d ON d.domain_id = cd.domain_id WHERE cd.client_id = 7""",
+FROM v_client_domains cd JOIN v_domains d ON d.domain_id = cd.domain_id""",
                                  "v_client_domains", "v_domains"))
 def q_f5(spark, d):
-    return Fx.client_domain_list(V.client_domains(spark, d), V.domains(spark, d), 7)
+    return Fx.client_domain_list(V.client_domains(spark, d), V.domains(spark, d))
 
 
 @register("f6_list_projects", W("""
@@ -302,10 +302,10 @@ def q_f6(spark, d):
 
 @register("f7_project_domains", W("""
 SELECT pd.domain_id, pd.project_id, pd.role, pd.priority, pd.notes, d.domain, d.domain_name
-FROM v_project_domains pd JOIN v_domains d ON d.domain_id = pd.domain_id WHERE pd.project_id = 100""",
+FROM v_project_domains pd JOIN v_domains d ON d.domain_id = pd.domain_id""",
                                   "v_project_domains", "v_domains"))
 def q_f7(spark, d):
-    return Fx.project_domain_list(V.project_domains(spark, d), V.domains(spark, d), 100)
+    return Fx.project_domain_list(V.project_domains(spark, d), V.domains(spark, d))
 
 
 @register("f8_add_rows", W("""

@@ -36,12 +36,14 @@ def q_d2(spark, d):
 
 
 @register("d3_preview_upload", W(f"""
-SELECT {DATA_COLS} FROM v_data
-WHERE upload_id = 'up-5' AND upload_id IN (SELECT upload_id FROM v_uploads)""",
-                                 "v_uploads", "v_data"))
+SELECT {DATA_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY upload_id ORDER BY job_id NULLS FIRST,
+           ingest_timestamp NULLS FIRST, domain_id NULLS FIRST, domain NULLS FIRST, keyword NULLS FIRST,
+           search_volume NULLS FIRST, rank NULLS FIRST, traffic_volume NULLS FIRST) AS rn
+  FROM v_data WHERE upload_id IN (SELECT upload_id FROM v_uploads)) x
+WHERE rn <= 100""", "v_uploads", "v_data"))
 def q_d3(spark, d):
-    return scalar_output(U.preview_upload(V.uploads(spark, d), V.data_rows(spark, d), "up-5",
-                                          limit=None))
+    return scalar_output(U.preview_upload(V.uploads(spark, d), V.data_rows(spark, d), limit=100))
 
 
 @register("d4_available_datasets", W("""
@@ -58,17 +60,18 @@ def q_d5(spark, d):
 
 
 @register("d6_client_job_ids", W("""
-SELECT DISTINCT job_id FROM v_uploads WHERE client_id = 7""", "v_uploads"))
+SELECT DISTINCT client_id, job_id FROM v_uploads WHERE client_id IS NOT NULL AND job_id IS NOT NULL""",
+                                 "v_uploads"))
 def q_d6(spark, d):
-    return U.client_job_ids(V.uploads(spark, d), client_id=7)
+    return U.client_job_ids(V.uploads(spark, d))
 
 
 @register("d7_client_data", W(f"""
-SELECT {DATA_COLS} FROM v_data
-WHERE job_id IN (SELECT job_id FROM v_uploads WHERE client_id = 7 AND table_name = 't3')""",
-                              "v_uploads", "v_data"))
+SELECT p.client_id, {DATA_COLS} FROM v_data
+JOIN (SELECT DISTINCT client_id, job_id FROM v_uploads WHERE table_name = 't3' AND client_id IS NOT NULL) p
+USING (job_id)""", "v_uploads", "v_data"))
 def q_d7(spark, d):
-    return scalar_output(U.client_data(V.data_rows(spark, d), V.uploads(spark, d), 7, "t3"))
+    return scalar_output(U.client_data(V.data_rows(spark, d), V.uploads(spark, d), table="t3"))
 
 
 @register("d8_client_data_by_domain", W(f"""
@@ -83,11 +86,11 @@ def q_d8(spark, d):
 
 
 @register("d9_project_data", W(f"""
-SELECT {DATA_COLS} FROM v_data
-WHERE job_id IN (SELECT job_id FROM v_uploads WHERE project_id = 11)""",
+SELECT p.project_id, {DATA_COLS} FROM v_data
+JOIN (SELECT DISTINCT project_id, job_id FROM v_uploads WHERE project_id IS NOT NULL) p USING (job_id)""",
                                "v_uploads", "v_data"))
 def q_d9(spark, d):
-    return scalar_output(U.project_data(V.data_rows(spark, d), V.uploads(spark, d), 11))
+    return scalar_output(U.project_data(V.data_rows(spark, d), V.uploads(spark, d)))
 
 
 @register("d11_html_ok_urls", W("""
