@@ -18,7 +18,7 @@ CLEAN = [
 ]
 
 NAMES = [
-    ("example.com", "Example"), ("buscharter.com.au", "Buscharter"),
+    ("example.com", "Example"), ("harbourtours.com.au", "Harbourtours"),
     ("my-cool-site.com", "My Cool Site"), ("my_site.com", "My Site"), ("192.168.1.1", "192"),
     ("localhost", "Localhost"), ("", ""), (".com", ""), ("a1b-site.com", "A1B Site"),
 ]
@@ -32,7 +32,7 @@ def test_clean_domain(spark):
 
 
 def test_clean_domain_keep_path(spark):
-    cases = [("https://www.kitchenguard.com/fw/", "kitchenguard.com/fw"),
+    cases = [("https://www.shopfront.com/fw/", "shopfront.com/fw"),
              ("HTTP://Example.com:8080/a/b?x=1#f", "example.com/a/b"), ("example.com", "example.com")]
     df = col(spark, [c for c, _ in cases]).select("s", G.clean_domain_keep_path(F.col("s")).alias("o"))
     got = {r.s: r.o for r in df.collect()}
@@ -79,5 +79,5 @@ def test_endpoint_slug(spark):
 
 
 def test_project_domain_name(spark):
-    r = col(spark, ["bushire.com.au_001", "plain"]).select(G.project_domain_name(F.col("s")).alias("o"))
-    assert [x.o for x in r.collect()] == ["bushire.com.au", "plain"]
+    r = col(spark, ["parkside.com.au_001", "plain"]).select(G.project_domain_name(F.col("s")).alias("o"))
+    assert [x.o for x in r.collect()] == ["parkside.com.au", "plain"]

@@ -7,13 +7,13 @@ from searchlake.operators import flatten as B
 from searchlake.schemas import ENDPOINTS
 
 
-def responses(spark, docs, target="busbank"):
+def responses(spark, docs, target="seedword"):
     return spark.createDataFrame([(target, json.dumps(d) if not isinstance(d, str) else d) for d in docs],
                                  "target string, raw string")
 
 
 SUGG = {"status_code": 20000, "tasks": [{"id": "t1", "status_code": 20000, "status_message": "Ok.",
-        "cost": 0.0101, "result": [{"se_type": "google", "seed_keyword": "busbank", "location_code": 2840,
+        "cost": 0.0101, "result": [{"se_type": "google", "seed_keyword": "seedword", "location_code": 2840,
         "language_code": "en", "items": [{"keyword": "bus rental", "keyword_info": {"search_volume": 100}}]}]}]}
 
 
@@ -41,16 +41,16 @@ def test_suggestions_missing_key_vs_null(spark):
     rows = {r.keyword: r for r in B.flatten_keyword_suggestions(responses(spark, [doc])).collect()}
     assert rows["a"].location_code == 2840          # missing key: block value
     assert rows["b"].location_code is None          # explicit null stays null
-    assert rows["c"].seed_keyword == "busbank"      # missing in block: requested target
+    assert rows["c"].seed_keyword == "seedword"      # missing in block: requested target
     assert "" not in rows and rows["a"].se_type == "google"
 
 
 def test_related_one_item_keeps_null_keyword(spark):
-    doc = {"tasks": [{"id": "t2", "result": [{"seed_keyword": "charter", "items": [
-        {"keyword_data": {"keyword": "charter bus", "keyword_info": {"search_volume": 50}}, "depth": 1},
+    doc = {"tasks": [{"id": "t2", "result": [{"seed_keyword": "garden", "items": [
+        {"keyword_data": {"keyword": "garden hose", "keyword_info": {"search_volume": 50}}, "depth": 1},
         {"keyword_data": {}, "depth": 2}]}]}]}
     rows = B.flatten_related_keywords(responses(spark, [doc])).orderBy("depth").collect()
-    assert rows[0].related_keyword == "charter bus" and rows[0].search_volume == 50
+    assert rows[0].related_keyword == "garden hose" and rows[0].search_volume == 50
     assert rows[1].related_keyword is None
     assert B.flatten_related_keywords(responses(spark, [doc])).columns[0] == "task_id"
 
