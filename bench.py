@@ -18,7 +18,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -53,7 +52,6 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    scratch = tempfile.mkdtemp(prefix="searchlake-bench-")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("searchlake-bench")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
@@ -62,10 +60,11 @@ def main() -> None:
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
+
+    from searchlake.session import ensure_checkpoint_dir, scratch_path
+    ensure_checkpoint_dir(spark)   # the session's shared folder; a scratch one only when unset
 
     from searchlake.plans import registry
     from searchlake.sources import responses as R
@@ -73,7 +72,7 @@ def main() -> None:
 
     # untimed: land the API responses once, like an ingest job would find them
     for maker in (V.ranked_responses, R.serp_responses, R.backlinks_responses):
-        V.land(spark, sf_dir, maker, os.path.join(scratch, "landing", maker.endpoint))
+        V.land(spark, sf_dir, maker, scratch_path(spark, "landing-" + maker.endpoint))
 
     registry.load_all()
     times = {}

@@ -82,24 +82,34 @@ _SHIPPED: set = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``searchlake`` importable in Python workers (once per session).
 
-    Operators that run Python in tasks (grouped pandas functions) call this;
-    it zips the package and adds it with ``addPyFile``, as ``--py-files``
-    would on a cluster submit.
+    Operators that run Python in tasks (grouped pandas functions) call this.
+    The package is zipped in memory, written to the shared checkpoint
+    folder and added with ``addPyFile``, as ``--py-files`` would on a
+    cluster submit.
     """
+    import io
     import zipfile
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    fd, path = tempfile.mkstemp(prefix="searchlake-", suffix=".zip")
-    os.close(fd)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    path = scratch_path(spark, "pyfiles") + "/searchlake.zip"
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
     sc.addPyFile(path)
     _SHIPPED.add(key)
 
