@@ -30,7 +30,7 @@ def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     (``.../<endpoint>/<target>/<n>.json``)."""
     if fmt == "parquet":
         return spark.read.parquet(path)
-    df = spark.read.text(path, wholetext=True).withColumn("_path", F.input_file_name())
+    df = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("_path"))
     parts = F.split(F.col("_path"), "/")
     n = F.size(parts)
     return df.select(F.element_at(parts, n - 2).alias("endpoint"),

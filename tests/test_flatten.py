@@ -126,3 +126,20 @@ def test_column_pruned_flatten_keeps_rules(spark):
     r = df.first()
     assert df.count() == 1 and (r.url, r.dofollow) == ("x", 7)
     assert set(df.columns) >= {"url", "dofollow", "task_id"}
+
+
+def test_read_responses_json_files(spark):
+    import os
+    import tempfile
+    from searchlake.sources.responses import read_responses
+    base = tempfile.mkdtemp(prefix="sl-land-")
+    for target, doc in (("x.com", SUGG), ("y.com", {"random": "garbage"})):
+        d = os.path.join(base, "keyword_suggestions", target)
+        os.makedirs(d)
+        with open(os.path.join(d, "0.json"), "w") as f:
+            json.dump(doc, f, indent=2)
+    landed = read_responses(spark, os.path.join(base, "*", "*", "*.json"), fmt="json")
+    got = {r.target: r for r in landed.collect()}
+    assert set(got) == {"x.com", "y.com"} and got["x.com"].endpoint == "keyword_suggestions"
+    rows = B.flatten_keyword_suggestions(landed, keep=("target",)).collect()
+    assert [(r.target, r.keyword) for r in rows] == [("x.com", "bus rental")]
