@@ -133,13 +133,14 @@ def upload_event(df: DataFrame, source: str, source_program: str, dataset: str,
     count and ingest time, plus the caller's labels."""
     g = df.groupBy("job_id", "upload_id").agg(F.count(F.lit(1)).alias("row_count"),
                                               F.min("ingest_timestamp").alias("ingest_timestamp"))
-    return g.select(
+    out = g.select(
         "job_id", "upload_id", F.lit(source).alias("source"),
         F.lit(source_program).alias("source_program"), F.lit(dataset).alias("dataset"),
         F.lit(table).alias("table_name"), F.col("row_count").cast("bigint"), "ingest_timestamp",
         F.lit(client_id).cast("string").alias("client_id"),
         F.lit(project_id).cast("string").alias("project_id"),
         F.lit(notes).cast("string").alias("notes"))
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in UPLOAD_EVENT_SCHEMA.fields])
 
 
 def append_attempts(attempts: DataFrame, path: str, events_path: str | None = None) -> None:
@@ -346,10 +347,14 @@ def build_requests(targets: DataFrame, endpoint: str, overrides: dict | None = N
     return targets.select(*keep, payload.alias("payload"))
 
 
-def batch_targets(targets: DataFrame, size: int, order: list[str], target_col: str = "target") -> DataFrame:
-    """Cut an ordered target list into batches of ``size``: a dense
-    position (no single-task window), ``batch_no = pos div size``, then one
-    list per batch. Each batch holds at most ``size`` targets."""
+def batch_targets(targets: DataFrame, size: int | None, order: list[str], target_col: str = "target",
+                  endpoint: str | None = None) -> DataFrame:
+    """Cut an ordered target list into batches of ``size`` (default: the
+    endpoint's batch size): a dense position (no single-task window),
+    ``batch_no = pos div size``, then one list per batch. Each batch holds at
+    most ``size`` targets."""
+    if size is None:
+        size = BATCH_SIZES[endpoint]
     idx = dense_index(targets, order, start=0, name="_pos")
     g = idx.groupBy((F.col("_pos") / size).cast("bigint").alias("batch_no")).agg(
         F.array_sort(F.collect_list(F.struct("_pos", target_col))).alias("_t"))

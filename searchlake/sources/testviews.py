@@ -50,10 +50,6 @@ def _pick(key, values):
     return e
 
 
-def _s(c):
-    return F.col(c).cast("string")
-
-
 # ---------------------------------------------------------------- responses
 def ranked_items(t: Tables) -> DataFrame:
     """One ranked-keyword item per line item (lineitem join part)."""
@@ -405,9 +401,6 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("timestamp_ntz").alias("created_at"))
 
 
-PROJECT_STATUS = {"O": "active", "F": "completed", "P": "paused"}
-
-
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = Tables(spark, sf_dir).orders
     st = F.col("o_orderstatus")
