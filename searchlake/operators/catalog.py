@@ -104,6 +104,8 @@ def classify_dataset(name: Column, prefixes=DEFAULT_DATASET_PREFIXES, full: bool
 
 def classify_datasets(names: DataFrame, col: str = "dataset", prefixes=DEFAULT_DATASET_PREFIXES,
                       full: bool = True) -> DataFrame:
+    """E5: each dataset name with its type (first matching prefix, any
+    case); unknown names are ``other`` when ``full``, else left out."""
     out = names.withColumn("dataset_type", classify_dataset(F.col(col), prefixes, full))
     return out if full else out.where(F.col("dataset_type").isNotNull())
 
