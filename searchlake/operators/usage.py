@@ -247,12 +247,21 @@ def apply_summaries(turns: DataFrame, points: DataFrame, summarize_fn, key: str
     return summarized.unionByName(tail)
 
 
-def transcript(turns: DataFrame, key: str = "conv_id", pos: str = "turn") -> DataFrame:
-    """``ROLE: content`` lines joined by newlines per conversation."""
-    lines = F.array_sort(F.collect_list(F.struct(pos, F.concat(F.upper("role"), F.lit(": "),
-                                                                 F.col("text")).alias("line"))))
-    return turns.groupBy(key).agg(
-        F.array_join(F.transform(lines, lambda s: s["line"]), "\n").alias("transcript"))
+def transcript(turns: DataFrame, key: str = "conv_id", pos: str = "turn", block: int = 1024) -> DataFrame:
+    """``ROLE: content`` lines joined with newlines per conversation.
+
+    Two levels: lines are joined per block of ``block`` turns, then the
+    block texts per conversation, so no aggregation buffer holds more than
+    one block of lines or one conversation's block list; the result string
+    itself is one value per conversation."""
+    line = F.concat(F.upper("role"), F.lit(": "), F.col("text"))
+    blk = F.floor(F.col(pos) / F.lit(block)).cast("bigint")
+    parts = turns.groupBy(key, blk.alias("_blk")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos), line.alias("l")))),
+                                 lambda s: s["l"]), "\n").alias("_t"))
+    return parts.groupBy(key).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_blk", "_t"))),
+                                 lambda s: s["_t"]), "\n").alias("transcript"))
 
 
 def build_messages(turns: DataFrame, system: str | None = None, schema_hint: str | None = None,

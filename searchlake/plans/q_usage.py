@@ -170,7 +170,7 @@ def q_i6b(spark, d):
 SELECT conv_id, string_agg(upper(role) || ': ' || text, chr(10) ORDER BY turn) AS transcript
 FROM conversations GROUP BY conv_id""")
 def q_i7(spark, d):
-    return I.transcript(read_table(spark, d, "conversations"))
+    return I.transcript(read_table(spark, d, "conversations"), block=2)
 
 
 @register("i8_build_messages", """
