@@ -237,9 +237,12 @@ def match_datasets(catalog: DataFrame, links: DataFrame, domains: DataFrame) ->
     no pair-wise comparison of all datasets with all domains is made.
     """
     d = domains.select("domain_id", "domain").where(F.col("domain").isNotNull())
-    linked = links.select(F.col("dataset_id").alias("dataset")).distinct()
+    # one grouped pass over the links serves both "already linked" and the
+    # known domain of each linked dataset
+    link_agg = links.groupBy(F.col("dataset_id").alias("dataset")).agg(
+        F.min("domain_id").alias("domain_id"))
     cat = catalog.select("dataset", "dataset_type", "hostname")
-    open_ = cat.join(linked, "dataset", "left_anti")
+    open_ = cat.join(link_agg.select("dataset"), "dataset", "left_anti")
     host = F.regexp_replace(F.lower(F.col("hostname")), r"^www\.", "")
     h = open_.select("dataset", "dataset_type", host.alias("host")).where(F.col("host").isNotNull())
     d_first = d.withColumn("first_label", F.split(F.col("domain"), r"\.")[0])
@@ -287,9 +290,7 @@ def match_datasets(catalog: DataFrame, links: DataFrame, domains: DataFrame) ->
     w = Window.partitionBy("dataset").orderBy("rule", "sub", length_key, "domain", "domain_id")
     best = (cands.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
             .drop("_rn", "sub"))
-    known = (links.select(F.col("dataset_id").alias("dataset"), "domain_id").groupBy("dataset")
-             .agg(F.min("domain_id").alias("domain_id"))
-             .join(d, "domain_id", "left").withColumn("rule", F.lit(0)))
+    known = link_agg.join(d, "domain_id", "left").withColumn("rule", F.lit(0))
     return (cat.join(known.unionByName(best), "dataset", "left")
             .select("dataset", "dataset_type", "domain_id", "domain", "rule",
                     F.when(F.col("rule") == 0, F.lit("known"))
