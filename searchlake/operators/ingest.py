@@ -360,3 +360,32 @@ def batch_targets(targets: DataFrame, size: int | None, order: list[str], target
         F.array_sort(F.collect_list(F.struct("_pos", target_col))).alias("_t"))
     return g.select("batch_no", F.transform("_t", lambda s: s[target_col]).alias("targets"),
                     F.size("_t").alias("n_targets"))
+
+
+# ----------------------------------------------------------------- batch job
+def ingest_responses(responses: DataFrame, endpoint: str, table: str, events: str, job_id: str,
+                     domain_id: int | None = None, domain: str | None = None, mode: str = "live",
+                     upload_id: str | None = None, source_program: str | None = None) -> str | None:
+    """The batch ingest job: landed responses -> flatten ->
+    type -> stamp (fetch and upload) -> append to the endpoint table -> one
+    upload event. Returns the upload id, or None when nothing was written.
+
+    The flatten, typing and stamping are one narrow stage; the append
+    rebalances by ingest day; the event is a small aggregate of the written
+    rows (read back from the persisted batch, not recomputed).
+    """
+    from searchlake.operators.flatten import flatten
+    validate_job_id(job_id)
+    upload_id = upload_id or str(uuid.uuid4())
+    rows = flatten(responses, endpoint)
+    rows = stamp_fetch(rows, domain_id, domain, mode)
+    rows = stamp_upload(rows, job_id, upload_id)
+    rows = to_table_layout(rows, endpoint).persist()
+    try:
+        if not append_batch(rows, table):
+            return None
+        upload_event(rows, "api", source_program or f"ingest_{endpoint}", "warehouse", endpoint) \
+            .write.mode("append").parquet(events)
+    finally:
+        rows.unpersist()
+    return upload_id

@@ -288,3 +288,22 @@ def q_b20(spark, d):
     p = read_table(spark, d, "part").select("p_partkey", F.col("p_name").alias("target"))
     b = A.batch_targets(p, 7, ["p_partkey"])
     return b.select("batch_no", F.array_join("targets", "|").alias("targets"), "n_targets")
+
+
+@register("a4_ingest_responses_job", W("""
+SELECT count(*) AS row_count, CAST(sum(search_volume) AS BIGINT) AS search_volume,
+       CAST(1 AS BIGINT) AS uploads, CAST(1 AS BIGINT) AS events, CAST(count(*) AS BIGINT) AS event_rows
+FROM v_ranked""", "v_ranked"))
+def q_a4_job(spark, d):
+    table, events = scratch_path(spark, "ranked_job"), scratch_path(spark, "ranked_job_events")
+    stamped = A.to_table_layout(_stamped(spark, d).limit(0), "ranked_keywords")
+    A.create_table(spark, table, stamped.schema)
+    up = A.ingest_responses(V.ranked_responses(spark, d), "ranked_keywords", table, events, JOB,
+                            upload_id=UPLOAD)
+    rows = spark.read.parquet(table)
+    ev = spark.read.parquet(events).where(F.col("upload_id") == up)
+    stats = rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum("search_volume").alias("search_volume"),
+                     F.countDistinct("upload_id").alias("uploads"))
+    evs = ev.agg(F.count(F.lit(1)).alias("events"), F.sum("row_count").alias("event_rows")).first()
+    return stats.withColumns({"events": F.lit(evs["events"]).cast("bigint"),
+                              "event_rows": F.lit(evs["event_rows"]).cast("bigint")})

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from searchlake.operators import ingest as A
-from searchlake.streaming import pipeline as K
+from searchlake.streaming import jobs as K
 
 JOB = "3f2b8a1e-5d4c-4e7f-9a6b-1c2d3e4f5a6b"
 
