@@ -115,7 +115,9 @@ def gsc_hostname(dataset: Column) -> Column:
     (case-sensitive split, ``_`` -> ``.``, ``www.`` removed), else after
     ``jepto_gsc_`` or ``searchconsole_``; otherwise null."""
     low = F.lower(dataset)
-    after_sc = F.element_at(F.split(dataset, "_sc_domain_", 2), 2)
+    # the part between the first and a second separator; the split itself is
+    # case-sensitive (after a case-insensitive test), so no part -> null
+    after_sc = F.get(F.split(dataset, "_sc_domain_"), 1)
     sc = F.replace(F.lower(F.replace(after_sc, F.lit("_"), F.lit("."))), F.lit("www."), F.lit(""))
     jg = F.lower(F.replace(F.substring(dataset, len("jepto_gsc_") + 1, 1 << 30), F.lit("_"), F.lit(".")))
     sc2 = F.lower(F.replace(F.substring(dataset, len("searchconsole_") + 1, 1 << 30), F.lit("_"), F.lit(".")))
@@ -217,85 +219,100 @@ def approve_matches(catalog: DataFrame, links: DataFrame, approvals: DataFrame):
 
 
 # ----------------------------------------------------------------- E14
-def match_datasets(catalog: DataFrame, links: DataFrame, domains: DataFrame) -> DataFrame:
-    """Propose a domain for each catalog dataset.
-
-    Already linked datasets are ``known``. Otherwise ranked candidates from a
-    union of joins (lower rule number wins):
-      ga4:   1 host rule;
-      gsc:   1 host rule, 2 the name after ``_sc_domain_``, 3 after
-             ``jepto_gsc_``, 4 substring;
-      other: 1 host rule, 4 substring.
-    Host rule: exact domain; else the domain's first label equals the host or
-    the domain starts with host + ``.`` (shortest domain wins). Substring:
-    the longest known domain found in the name with ``_`` -> ``.``.
-    Ties: shorter (longer for substring) domain, then domain text, then id.
-
-    Exact and first-label candidates are equi joins. The prefix candidate
-    joins on the host's first label (which the domain must share), and the
-    substring candidate joins on the name's substrings of domain lengths, so
-    no pair-wise comparison of all datasets with all domains is made.
+def _norm_host(c: Column) -> Column:
+    """lower case, ``www.`` removed wherever it occurs"""
+    return F.replace(F.lower(c), F.lit("www."), F.lit(""))
+
+
+def match_lookup(client_domains: DataFrame, domains: DataFrame) -> DataFrame:
+    """The known domains a dataset may match: active domains linked to a
+    client as its own (not competitor). One entry per normalized domain;
+    a domain held by several clients goes to the lowest client id."""
+    own = client_domains.where(~F.col("is_competitor")).select("client_id", "domain_id")
+    act = domains.where(F.col("is_active") & F.col("domain").isNotNull()).select("domain_id", "domain")
+    j = own.join(act, "domain_id").withColumn("key", _norm_host(F.col("domain")))
+    best = j.groupBy("key").agg(F.min(F.struct("client_id", "domain_id", "domain")).alias("_b"))
+    return best.select("key", F.col("_b.client_id").alias("client_id"),
+                       F.col("_b.domain_id").alias("domain_id"), F.col("_b.domain").alias("domain"),
+                       F.split(F.col("key"), r"\.")[0].alias("first_label"))
+
+
+def _host_candidates(hosts: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Host rule for (dataset, rule, h): exact key (sub 0), else keys whose
+    first label equals h or that start with h + '.' (sub 1; shortest wins).
+    Both are equi joins (on the key, on the first label)."""
+    lk = lookup.select("key", "client_id", "domain_id", "domain", "first_label")
+    exact = hosts.join(lk, hosts["h"] == lk["key"]).select(
+        "dataset", "rule", F.lit(0).alias("sub"), "key", "client_id", "domain_id", "domain")
+    hp = hosts.withColumn("first_label", F.split(F.col("h"), r"\.")[0])
+    fuzzy = (hp.join(lk, "first_label")
+             .where((F.col("first_label") == F.col("h")) | F.col("key").startswith(F.concat(F.col("h"), F.lit("."))))
+             .select("dataset", "rule", F.lit(1).alias("sub"), "key", "client_id", "domain_id", "domain"))
+    return exact.unionByName(fuzzy)
+
+
+def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFrame,
+                   domains: DataFrame) -> DataFrame:
+    """Propose a client domain for each catalog dataset.
+
+    Datasets already linked to a client (active or not) are ``known``.
+    Otherwise, in order: (1) the host rule on the catalog hostname (all
+    types); for gsc only, (2) on the name after ``_sc_domain_`` and (3) on
+    the name after ``jepto_gsc_``; for gsc and other types, (4) the longest
+    known domain contained in the name with ``_`` -> ``.``. The host rule:
+    the exact normalized domain, else the shortest domain whose first label
+    equals the host or that starts with host + ``.``. Hosts and domains are
+    lower-cased with ``www.`` removed. Ties: domain text, then id.
+
+    Candidates come from a union of equi joins (exact key, first label, and
+    for the substring rule the name's substrings of the lengths known
+    domains have, at most 253), ranked per dataset.
     """
-    d = domains.select("domain_id", "domain").where(F.col("domain").isNotNull())
-    # one grouped pass over the links serves both "already linked" and the
-    # known domain of each linked dataset
+    lookup = match_lookup(client_domains, domains)
     link_agg = links.groupBy(F.col("dataset_id").alias("dataset")).agg(
-        F.min("domain_id").alias("domain_id"))
+        F.min("domain_id").alias("domain_id"), F.min("client_id").alias("client_id"))
     cat = catalog.select("dataset", "dataset_type", "hostname")
     open_ = cat.join(link_agg.select("dataset"), "dataset", "left_anti")
-    host = F.regexp_replace(F.lower(F.col("hostname")), r"^www\.", "")
-    h = open_.select("dataset", "dataset_type", host.alias("host")).where(F.col("host").isNotNull())
-    d_first = d.withColumn("first_label", F.split(F.col("domain"), r"\.")[0])
-    exact = h.join(d, h["host"] == d["domain"]).select(
-        "dataset", "domain_id", "domain", F.lit(1).alias("rule"), F.lit(0).alias("sub"))
-    by_label = h.join(d_first, h["host"] == d_first["first_label"]).select(
-        "dataset", "domain_id", "domain", F.lit(1).alias("rule"), F.lit(1).alias("sub"))
-    hp = h.withColumn("first_label", F.split(F.col("host"), r"\.")[0])
-    by_prefix = (hp.join(d_first, "first_label")
-                 .where(F.col("domain").startswith(F.concat(F.col("host"), F.lit("."))))
-                 .select("dataset", "domain_id", "domain", F.lit(1).alias("rule"), F.lit(1).alias("sub")))
-    low = F.lower(F.col("dataset"))
-    gsc = open_.where(F.col("dataset_type") == "gsc")
-    sc_name = F.replace(F.replace(F.element_at(F.split(low, "_sc_domain_", 2), 2), F.lit("_"), F.lit(".")),
-                        F.lit("www."), F.lit(""))
-    r2 = (gsc.where(low.contains("_sc_domain_")).select("dataset", sc_name.alias("domain"))
-          .join(d, "domain").select("dataset", "domain_id", "domain", F.lit(2).alias("rule"),
-                                    F.lit(0).alias("sub")))
-    jg_name = F.replace(F.substring(low, len("jepto_gsc_") + 1, 1 << 30), F.lit("_"), F.lit("."))
-    r3 = (gsc.where(low.startswith("jepto_gsc_")).select("dataset", jg_name.alias("domain"))
-          .join(d, "domain").select("dataset", "domain_id", "domain", F.lit(3).alias("rule"),
-                                    F.lit(0).alias("sub")))
-    # substring: the name (``_`` -> ``.``) contains the domain. Candidate
-    # keys are the name's substrings of the lengths that domains have (at
-    # most 253 distinct lengths, a proven bound for host names, read once as
-    # a literal list), so the match is an equi join on the substring and
-    # exact.
-    dotted = F.replace(low, F.lit("_"), F.lit("."))
-    lengths = sorted(r[0] for r in d.select(F.length("domain")).distinct().limit(254).collect())
+    ds, typ = F.col("dataset"), F.col("dataset_type")
+    low = F.lower(ds)
+    gsc = typ == "gsc"
+    sc_part = F.get(F.split(ds, "_sc_domain_"), 1)
+    hosts = (open_.where(F.col("hostname").isNotNull())
+             .select("dataset", F.lit(1).alias("rule"), _norm_host(F.col("hostname")).alias("h"))
+             .unionByName(open_.where(gsc & ds.contains("_sc_domain_") & sc_part.isNotNull())
+                          .select("dataset", F.lit(2).alias("rule"),
+                                  _norm_host(F.replace(sc_part, F.lit("_"), F.lit("."))).alias("h")))
+             .unionByName(open_.where(gsc & low.startswith("jepto_gsc_"))
+                          .select("dataset", F.lit(3).alias("rule"),
+                                  F.lower(F.replace(F.substring(ds, len("jepto_gsc_") + 1, 1 << 30),
+                                                    F.lit("_"), F.lit("."))).alias("h"))))
+    host_c = _host_candidates(hosts, lookup)
+    # substring rule: the name contains the key; candidate keys are the
+    # name's substrings of the lengths keys have (a proven bound, read once)
+    lengths = sorted(r[0] for r in lookup.select(F.length("key")).distinct().limit(254).collect())
     if len(lengths) > 253:
         raise ValueError("domain lengths exceed the host-name bound of 253")
     lens = F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")
-    names = open_.where(F.col("dataset_type") != "ga4").select("dataset", dotted.alias("nm"))
-    starts = names.select("dataset", "nm",
-                          F.explode(F.sequence(F.lit(1), F.length("nm"))).alias("i"))
+    names = open_.where(typ.isNull() | (typ != "ga4")).select(
+        "dataset", F.replace(low, F.lit("_"), F.lit(".")).alias("nm"))
+    starts = names.select("dataset", "nm", F.explode(F.sequence(F.lit(1), F.length("nm"))).alias("i"))
     fits = F.filter(lens, lambda n: n <= F.length("nm") - F.col("i") + 1)
     subs = (starts.select("dataset", "nm", "i", F.explode(fits).alias("len"))
-            .select("dataset", F.substring("nm", F.col("i"), F.col("len")).alias("domain"))
-            .distinct())
-    r4 = subs.join(d, "domain").select("dataset", "domain_id", "domain", F.lit(4).alias("rule"),
-                                       F.lit(2).alias("sub"))
-    cands = exact.unionByName(by_label).unionByName(by_prefix).unionByName(r2) \
-                 .unionByName(r3).unionByName(r4)
-    length_key = F.when(F.col("rule") == 4, -F.length("domain")).otherwise(F.length("domain"))
-    w = Window.partitionBy("dataset").orderBy("rule", "sub", length_key, "domain", "domain_id")
+            .select("dataset", F.substring("nm", F.col("i"), F.col("len")).alias("key")).distinct())
+    sub_c = subs.join(lookup.drop("first_label"), "key").select(
+        "dataset", F.lit(4).alias("rule"), F.lit(0).alias("sub"), "key", "client_id", "domain_id", "domain")
+    cands = host_c.unionByName(sub_c)
+    length_key = F.when(F.col("rule") == 4, -F.length("key")).otherwise(F.length("key"))
+    w = Window.partitionBy("dataset").orderBy("rule", "sub", length_key, "key", "domain_id")
     best = (cands.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-            .drop("_rn", "sub"))
-    known = link_agg.join(d, "domain_id", "left").withColumn("rule", F.lit(0))
+            .select("dataset", "client_id", "domain_id", "domain", "rule"))
+    known = (link_agg.join(domains.select("domain_id", "domain"), "domain_id", "left")
+             .select("dataset", "client_id", "domain_id", "domain", F.lit(0).alias("rule")))
+    names_of_rule = {0: "known", 1: "host", 2: "sc_domain", 3: "jepto_gsc", 4: "substring"}
+    rule_name = None
+    for k, v in names_of_rule.items():
+        cond = F.col("rule") == k
+        rule_name = F.when(cond, F.lit(v)) if rule_name is None else rule_name.when(cond, F.lit(v))
     return (cat.join(known.unionByName(best), "dataset", "left")
-            .select("dataset", "dataset_type", "domain_id", "domain", "rule",
-                    F.when(F.col("rule") == 0, F.lit("known"))
-                    .when(F.col("rule") == 1, F.lit("host"))
-                    .when(F.col("rule") == 2, F.lit("sc_domain"))
-                    .when(F.col("rule") == 3, F.lit("jepto_gsc"))
-                    .when(F.col("rule") == 4, F.lit("substring"))
-                    .alias("match_rule")))
+            .select("dataset", "dataset_type", "client_id", "domain_id", "domain", "rule",
+                    rule_name.alias("match_rule")))

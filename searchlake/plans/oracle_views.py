@@ -205,14 +205,15 @@ SELECT project_id, domain_id,
 FROM (SELECT DISTINCT l_orderkey AS project_id, l_suppkey AS domain_id FROM lineitem) p
 """
 
-_DOM_US = "replace(" + supp_domain("(p_partkey % 50)") + ", '.', '_')"
+_DOM_US = "replace(" + supp_domain("p_partkey") + ", '.', '_')"
 VIEWS["v_dataset_names"] = f"""
 SELECT p_partkey AS part_id,
-  CASE p_partkey % 6 WHEN 0 THEN 'analytics_' || CAST(p_partkey AS VARCHAR)
-       WHEN 1 THEN 'jepto_gsc_' || {_DOM_US}
-       WHEN 2 THEN 'searchconsole_x_sc_domain_www_' || {_DOM_US}
-       WHEN 3 THEN 'JEPTO_GMB_' || CAST(p_partkey AS VARCHAR)
-       WHEN 4 THEN 'Searchconsole_' || {_DOM_US}
+  CASE WHEN p_partkey % 6 = 0 THEN 'analytics_' || CAST(p_partkey AS VARCHAR)
+       WHEN p_partkey % 6 = 1 THEN 'jepto_gsc_' || {_DOM_US}
+       WHEN p_partkey % 12 = 8 THEN 'searchconsole_x_SC_DOMAIN_www_' || {_DOM_US}
+       WHEN p_partkey % 6 = 2 THEN 'searchconsole_x_sc_domain_www_' || {_DOM_US}
+       WHEN p_partkey % 6 = 3 THEN 'JEPTO_GMB_' || CAST(p_partkey AS VARCHAR)
+       WHEN p_partkey % 6 = 4 THEN 'JEPTO_GSC_supp' || CAST(p_partkey AS VARCHAR)
        ELSE 'misc_' || {_DOM_US} || '_' || CAST(p_partkey AS VARCHAR) END AS dataset
 FROM part
 """

@@ -87,7 +87,8 @@ def q_e5(spark, d):
 
 
 _GSC_HOST = """CASE WHEN contains(lower(dataset), '_sc_domain_') THEN
-            replace(lower(replace(split_part(dataset, '_sc_domain_', 2), '_', '.')), 'www.', '')
+            CASE WHEN contains(dataset, '_sc_domain_') THEN
+                 replace(lower(replace(split_part(dataset, '_sc_domain_', 2), '_', '.')), 'www.', '') END
        WHEN starts_with(lower(dataset), 'jepto_gsc_') THEN lower(replace(substr(dataset, 11), '_', '.'))
        WHEN starts_with(lower(dataset), 'searchconsole_') THEN lower(replace(substr(dataset, 15), '_', '.'))
   END"""
@@ -178,44 +179,53 @@ def q_e13(spark, d):
     return E.dataset_assignment(V.client_datasets(spark, d), V.clients(spark, d))
 
 
-@register("e14_match_datasets", W("""
-WITH linked AS (SELECT DISTINCT dataset_id AS dataset FROM v_client_datasets),
+_E14_SQL = """
+WITH lk0 AS (SELECT replace(lower(d.domain), 'www.', '') AS key, cd.client_id, d.domain_id, d.domain,
+                    row_number() OVER (PARTITION BY replace(lower(d.domain), 'www.', '')
+                                       ORDER BY cd.client_id, d.domain_id, d.domain) AS rn
+             FROM v_client_domains cd JOIN v_domains d ON d.domain_id = cd.domain_id
+             WHERE NOT cd.is_competitor AND d.is_active AND d.domain IS NOT NULL),
+lk AS (SELECT key, client_id, domain_id, domain, split_part(key, '.', 1) AS first_label FROM lk0 WHERE rn = 1),
+linked AS (SELECT dataset_id AS dataset, min(domain_id) AS domain_id, min(client_id) AS client_id
+           FROM v_client_datasets GROUP BY 1),
 open AS (SELECT * FROM v_dataset_catalog WHERE dataset NOT IN (SELECT dataset FROM linked)),
-h AS (SELECT dataset, dataset_type, regexp_replace(lower(hostname), '^www\\.', '') AS host
-      FROM open WHERE hostname IS NOT NULL),
-cands AS (
-  SELECT h.dataset, d.domain_id, d.domain, 1 AS rule, 0 AS sub FROM h JOIN v_domains d ON d.domain = h.host
+hosts AS (
+  SELECT dataset, 1 AS rule, replace(lower(hostname), 'www.', '') AS h FROM open WHERE hostname IS NOT NULL
   UNION ALL
-  SELECT h.dataset, d.domain_id, d.domain, 1, 1 FROM h JOIN v_domains d
-    ON split_part(d.domain, '.', 1) = h.host OR starts_with(d.domain, h.host || '.')
+  SELECT dataset, 2, replace(lower(replace(split_part(dataset, '_sc_domain_', 2), '_', '.')), 'www.', '')
+  FROM open WHERE dataset_type = 'gsc' AND contains(dataset, '_sc_domain_')
   UNION ALL
-  SELECT o.dataset, d.domain_id, d.domain, 2, 0 FROM open o JOIN v_domains d
-    ON d.domain = replace(replace(split_part(lower(o.dataset), '_sc_domain_', 2), '_', '.'), 'www.', '')
-   WHERE o.dataset_type = 'gsc' AND contains(lower(o.dataset), '_sc_domain_')
+  SELECT dataset, 3, lower(replace(substr(dataset, 11), '_', '.'))
+  FROM open WHERE dataset_type = 'gsc' AND starts_with(lower(dataset), 'jepto_gsc_')),
+cands AS (
+  SELECT h.dataset, h.rule, 0 AS sub, lk.key, lk.client_id, lk.domain_id, lk.domain
+  FROM hosts h JOIN lk ON lk.key = h.h
   UNION ALL
-  SELECT o.dataset, d.domain_id, d.domain, 3, 0 FROM open o JOIN v_domains d
-    ON d.domain = replace(substr(lower(o.dataset), 11), '_', '.')
-   WHERE o.dataset_type = 'gsc' AND starts_with(lower(o.dataset), 'jepto_gsc_')
+  SELECT h.dataset, h.rule, 1, lk.key, lk.client_id, lk.domain_id, lk.domain
+  FROM hosts h JOIN lk ON lk.first_label = split_part(h.h, '.', 1)
+  WHERE lk.first_label = h.h OR starts_with(lk.key, h.h || '.')
   UNION ALL
-  SELECT o.dataset, d.domain_id, d.domain, 4, 2 FROM open o JOIN v_domains d
-    ON contains(replace(lower(o.dataset), '_', '.'), d.domain)
-   WHERE o.dataset_type <> 'ga4'),
-best AS (SELECT dataset, domain_id, domain, rule FROM (
+  SELECT o.dataset, 4, 0, lk.key, lk.client_id, lk.domain_id, lk.domain
+  FROM open o JOIN lk ON contains(replace(lower(o.dataset), '_', '.'), lk.key)
+  WHERE o.dataset_type IS NULL OR o.dataset_type <> 'ga4'),
+best AS (SELECT dataset, client_id, domain_id, domain, rule FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY rule, sub,
-           CASE WHEN rule = 4 THEN -length(domain) ELSE length(domain) END, domain, domain_id) AS rn
+           CASE WHEN rule = 4 THEN -length(key) ELSE length(key) END, key, domain_id) AS rn
   FROM cands) x WHERE rn = 1),
-known AS (SELECT k.dataset, k.domain_id, d.domain, 0 AS rule
-          FROM (SELECT dataset_id AS dataset, min(domain_id) AS domain_id FROM v_client_datasets GROUP BY 1) k
-          LEFT JOIN v_domains d ON d.domain_id = k.domain_id),
+known AS (SELECT l.dataset, l.client_id, l.domain_id, d.domain, 0 AS rule
+          FROM linked l LEFT JOIN v_domains d ON d.domain_id = l.domain_id),
 m AS (SELECT * FROM known UNION ALL SELECT * FROM best)
-SELECT c.dataset, c.dataset_type, m.domain_id, m.domain, m.rule,
+SELECT c.dataset, c.dataset_type, m.client_id, m.domain_id, m.domain, m.rule,
        CASE m.rule WHEN 0 THEN 'known' WHEN 1 THEN 'host' WHEN 2 THEN 'sc_domain'
                    WHEN 3 THEN 'jepto_gsc' WHEN 4 THEN 'substring' END AS match_rule
-FROM v_dataset_catalog c LEFT JOIN m ON m.dataset = c.dataset""",
-                                   "v_dataset_names", "v_dataset_catalog", "v_client_datasets",
-                                   "v_domains"))
+FROM v_dataset_catalog c LEFT JOIN m ON m.dataset = c.dataset"""
+
+
+@register("e14_match_datasets", W(_E14_SQL, "v_dataset_names", "v_dataset_catalog", "v_client_datasets",
+                                  "v_domains", "v_client_domains"))
 def q_e14(spark, d):
-    return E.match_datasets(V.dataset_catalog(spark, d), V.client_datasets(spark, d), V.domains(spark, d))
+    return E.match_datasets(V.dataset_catalog(spark, d), V.client_datasets(spark, d),
+                            V.client_domains(spark, d), V.domains(spark, d))
 
 
 @register("e15_approve_matches_links", W("""

@@ -428,12 +428,13 @@ def dataset_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """v_dataset_names: warehouse dataset names, one per part."""
     p = Tables(spark, sf_dir).part
     k = F.col("p_partkey")
-    dom_us = F.replace(supplier_domain(k % 50), F.lit("."), F.lit("_"))
+    dom_us = F.replace(supplier_domain(k), F.lit("."), F.lit("_"))
     name = (F.when(k % 6 == 0, F.concat(F.lit("analytics_"), k.cast("string")))
             .when(k % 6 == 1, F.concat(F.lit("jepto_gsc_"), dom_us))
+            .when(k % 12 == 8, F.concat(F.lit("searchconsole_x_SC_DOMAIN_www_"), dom_us))
             .when(k % 6 == 2, F.concat(F.lit("searchconsole_x_sc_domain_www_"), dom_us))
             .when(k % 6 == 3, F.concat(F.lit("JEPTO_GMB_"), k.cast("string")))
-            .when(k % 6 == 4, F.concat(F.lit("Searchconsole_"), dom_us))
+            .when(k % 6 == 4, F.concat(F.lit("JEPTO_GSC_supp"), k.cast("string")))
             .otherwise(F.concat(F.lit("misc_"), dom_us, F.lit("_"), k.cast("string"))))
     return p.select(k.alias("part_id"), name.alias("dataset"))
 

@@ -115,3 +115,32 @@ def test_parse_decisions(spark):
     assert got["a.com"].domain_id == 5 and got["b.com"].provision_target == "b.com"
     assert got["c.com"].provision_target == "c2.com" and got["d.com"].action == "SKIP"
     assert got["e.com"].error.startswith("empty") and got["f.com"].error.startswith("unparseable")
+
+
+def test_match_datasets_rules(spark):
+    domains = spark.createDataFrame(
+        [(1, "acme.com", None, True, None), (2, "acme.com.au", None, True, None),
+         (3, "www.bolt.co.nz", None, True, None), (4, "minibolt.co.nz", None, True, None),
+         (5, "rival.com", None, True, None), (6, "gone.com", None, False, None)], DOM_SCHEMA)
+    cd = spark.createDataFrame([(10, 1, False, "LOW", None), (10, 2, False, "LOW", None),
+                                (11, 3, False, "LOW", None), (12, 4, False, "LOW", None),
+                                (10, 5, True, "LOW", None), (13, 6, False, "LOW", None)], LINK_SCHEMA)
+    catalog = spark.createDataFrame([
+        ("analytics_1", "ga4", "www.acme.com"),            # exact host
+        ("jepto_gsc_acme", "gsc", None),                   # fuzzy: shortest of acme.com / acme.com.au
+        ("sc_x_sc_domain_www_bolt_co_nz", "gsc", None),    # name after _sc_domain_, www. removed
+        ("misc_minibolt_co_nz_data", "other", None),       # substring: longest contained domain
+        ("analytics_2", "ga4", "rival.com"),               # competitor domains are not candidates
+        ("jepto_gsc_gone_com", "gsc", None),               # inactive domains are not candidates
+        ("linked_ds", "other", None)], "dataset string, dataset_type string, hostname string")
+    links = spark.createDataFrame([(13, None, "linked_ds", True, None, None)],
+                                  "client_id bigint, domain_id bigint, dataset_id string, is_active boolean, "
+                                  "notes string, created_at timestamp")
+    got = {r.dataset: (r.match_rule, r.domain, r.client_id)
+           for r in E.match_datasets(catalog, links, cd, domains).collect()}
+    assert got["analytics_1"] == ("host", "acme.com", 10)
+    assert got["jepto_gsc_acme"] == ("jepto_gsc", "acme.com", 10)
+    assert got["sc_x_sc_domain_www_bolt_co_nz"] == ("sc_domain", "www.bolt.co.nz", 11)
+    assert got["misc_minibolt_co_nz_data"] == ("substring", "minibolt.co.nz", 12)
+    assert got["analytics_2"][0] is None and got["jepto_gsc_gone_com"][0] is None
+    assert got["linked_ds"][0] == "known"
