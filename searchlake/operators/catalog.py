@@ -68,16 +68,18 @@ def catalog_diff_summary(catalog: DataFrame, scan: DataFrame) -> DataFrame:
 
 
 def apply_catalog_diff(catalog: DataFrame, scan: DataFrame, now) -> DataFrame:
-    """The next catalog snapshot. Scanned tables take rows and bytes and
-    are active; ``status_changed_at`` moves only when a table turns active
-    again (or is new) or is turned off; other tables stay untouched."""
+    """The next catalog snapshot. Scanned tables take rows and bytes, are
+    active and indexed now; ``status_changed_at`` moves only when an
+    inactive table turns active again (a new table has none yet) or an
+    active one is turned off (also indexed now); other tables stay
+    untouched."""
     now_c = F.lit(now).cast("timestamp")
     s = scan.select("dataset", "table_name", F.col("row_count").alias("_rows"),
                     F.col("size_bytes").alias("_bytes"), F.lit(True).alias("_in_scan"))
     j = catalog.withColumn("_in_cat", F.lit(True)).join(s, ["dataset", "table_name"], "full_outer")
     in_scan = F.col("_in_scan").isNotNull()
     was = F.coalesce(F.col("is_active"), F.lit(False))
-    turned_on = in_scan & (F.col("_in_cat").isNull() | ~was)
+    turned_on = in_scan & F.col("_in_cat").isNotNull() & ~was
     turned_off = ~in_scan & was
     return j.select(
         "dataset", "table_name",
@@ -87,7 +89,7 @@ def apply_catalog_diff(catalog: DataFrame, scan: DataFrame, now) -> DataFrame:
          .otherwise(F.col("is_active")).alias("is_active"),
         F.when(turned_on | turned_off, now_c).otherwise(F.col("status_changed_at")).alias("status_changed_at"),
         F.col("notes"),
-        F.when(in_scan, now_c).otherwise(F.col("last_indexed_at")).alias("last_indexed_at"),
+        F.when(in_scan | turned_off, now_c).otherwise(F.col("last_indexed_at")).alias("last_indexed_at"),
     )
 
 

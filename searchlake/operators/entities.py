@@ -224,29 +224,26 @@ def delete_keys(table: DataFrame, keys: DataFrame, key_cols: list[str]) -> DataF
 
 
 def deactivate_clients(clients: DataFrame, ids: DataFrame, client_domains: DataFrame,
-                       client_datasets: DataFrame, cascade: bool = True):
-    """switch clients off; with ``cascade`` also their dataset links, and
-    the dataset links of their domains that no other active client holds.
-
-    Returns (clients, client_datasets) snapshots.
+                       domains: DataFrame, client_datasets: DataFrame, cascade: bool = True):
+    """switch clients off. With ``cascade`` also switch off their
+    domains that no other active client is linked to (own or competitor),
+    and all their dataset links.
+
+    For a batch of ids, "other" means active and not in the batch (the
+    result of switching them off one after the other). Returns the
+    (clients, domains, client_datasets) snapshots.
     """
-    off = ids.select("client_id").distinct()
+    off = ids.select("client_id").distinct().withColumn("_off", F.lit(True))
     new_clients = set_status(clients, off, "client_id", "is_active", False)
     if not cascade:
-        return new_clients, client_datasets
-    their_domains = client_domains.join(off, "client_id", "left_semi").select("domain_id").distinct()
-    still_active = (new_clients.where(F.col("is_active")).select("client_id"))
-    others = (client_domains.join(still_active, "client_id", "left_semi")
-              .select("domain_id").distinct())
-    orphaned = their_domains.join(others, "domain_id", "left_anti")
-    hit_c = client_datasets.join(off, "client_id", "left_semi").select("client_id", "dataset_id")
-    hit_d = (client_datasets.where(F.col("domain_id").isNotNull())
-             .join(orphaned, "domain_id", "left_semi").select("client_id", "dataset_id"))
-    hits = hit_c.unionByName(hit_d).distinct().withColumn("_hit", F.lit(True))
-    new_links = (client_datasets.join(hits, ["client_id", "dataset_id"], "left")
-                 .withColumn("is_active", F.when(F.col("_hit"), F.lit(False)).otherwise(F.col("is_active")))
-                 .drop("_hit"))
-    return new_clients, new_links
+        return new_clients, domains, client_datasets
+    theirs = client_domains.join(off, "client_id", "left_semi").select("domain_id").distinct()
+    still_active = new_clients.where(F.col("is_active")).select("client_id")
+    others = client_domains.join(still_active, "client_id", "left_semi").select("domain_id").distinct()
+    orphaned = theirs.join(others, "domain_id", "left_anti")
+    new_domains = set_status(domains, orphaned, "domain_id", "is_active", False)
+    new_links = set_status(client_datasets, off, "client_id", "is_active", False)
+    return new_clients, new_domains, new_links
 
 
 def resolve_domains(domains: DataFrame, targets: DataFrame):

@@ -62,11 +62,12 @@ SELECT coalesce(c.dataset, s.dataset) AS dataset, coalesce(c.table_name, s.table
        CASE WHEN s.table_name IS NOT NULL THEN s.size_bytes ELSE c.size_bytes END AS size_bytes,
        CASE WHEN s.table_name IS NOT NULL THEN true
             WHEN coalesce(c.is_active, false) THEN false ELSE c.is_active END AS is_active,
-       CASE WHEN (s.table_name IS NOT NULL AND (c.table_name IS NULL OR NOT coalesce(c.is_active, false)))
+       CASE WHEN (s.table_name IS NOT NULL AND c.table_name IS NOT NULL AND NOT coalesce(c.is_active, false))
               OR (s.table_name IS NULL AND coalesce(c.is_active, false))
             THEN TIMESTAMP '{NOW}' ELSE c.status_changed_at END AS status_changed_at,
        c.notes,
-       CASE WHEN s.table_name IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE c.last_indexed_at END AS last_indexed_at
+       CASE WHEN s.table_name IS NOT NULL OR coalesce(c.is_active, false) THEN TIMESTAMP '{NOW}'
+            ELSE c.last_indexed_at END AS last_indexed_at
 FROM v_table_catalog c FULL OUTER JOIN scan s
   ON c.dataset = s.dataset AND c.table_name = s.table_name""", "v_table_groups", "v_table_catalog"))
 def q_e4(spark, d):
@@ -412,28 +413,51 @@ def q_f12(spark, d):
     return Fx.delete_keys(cd, keys, ["client_id", "domain_id"])
 
 
-@register("f13_deactivate_clients_cascade", W("""
-WITH off AS (SELECT client_id FROM v_clients WHERE client_id IN
-               (SELECT c_custkey FROM customer WHERE c_nationkey = 3)),
-newc AS (SELECT client_id, CASE WHEN client_id IN (SELECT client_id FROM off) THEN false ELSE is_active END AS is_active
-         FROM v_clients),
+_F13 = """
+WITH off AS (SELECT c_custkey AS client_id FROM customer WHERE c_nationkey = 3),
+newc AS (SELECT client_id, CASE WHEN client_id IN (SELECT client_id FROM off) THEN false ELSE is_active END
+                AS is_active FROM v_clients),
 theirs AS (SELECT DISTINCT domain_id FROM v_client_domains WHERE client_id IN (SELECT client_id FROM off)),
 others AS (SELECT DISTINCT domain_id FROM v_client_domains
            WHERE client_id IN (SELECT client_id FROM newc WHERE is_active)),
-orphaned AS (SELECT domain_id FROM theirs WHERE domain_id NOT IN (SELECT domain_id FROM others))
+orphaned AS (SELECT domain_id FROM theirs WHERE domain_id NOT IN (SELECT domain_id FROM others))"""
+
+
+@register("f13_deactivate_clients_datasets", W(_F13 + """
 SELECT l.client_id, l.domain_id, l.dataset_id,
-       CASE WHEN l.client_id IN (SELECT client_id FROM off)
-              OR (l.domain_id IS NOT NULL AND l.domain_id IN (SELECT domain_id FROM orphaned))
-            THEN false ELSE l.is_active END AS is_active, l.notes, l.created_at
+       CASE WHEN l.client_id IN (SELECT client_id FROM off) THEN false ELSE l.is_active END AS is_active,
+       l.notes, l.created_at
 FROM v_client_datasets l""", "v_clients", "v_client_domains", "v_dataset_names", "v_client_datasets"))
 def q_f13(spark, d):
-    c = V.clients(spark, d)
     ids = read_table(spark, d, "customer").where(F.col("c_nationkey") == 3).select(
         F.col("c_custkey").alias("client_id"))
-    _, links = Fx.deactivate_clients(c, ids, V.client_domains(spark, d), V.client_datasets(spark, d))
+    _, _, links = Fx.deactivate_clients(V.clients(spark, d), ids, V.client_domains(spark, d),
+                                        V.domains(spark, d), V.client_datasets(spark, d))
     return scalar_output(links)
 
 
+@register("f13_deactivate_clients_domains", W(_F13 + """
+SELECT domain_id, domain, domain_name,
+       CASE WHEN domain_id IN (SELECT domain_id FROM orphaned) THEN false ELSE is_active END AS is_active, notes
+FROM v_domains""", "v_clients", "v_client_domains", "v_domains"))
+def q_f13d(spark, d):
+    ids = read_table(spark, d, "customer").where(F.col("c_nationkey") == 3).select(
+        F.col("c_custkey").alias("client_id"))
+    _, doms, _ = Fx.deactivate_clients(V.clients(spark, d), ids, V.client_domains(spark, d),
+                                       V.domains(spark, d), V.client_datasets(spark, d))
+    return doms
+
+
+@register("f13_deactivate_clients", W(_F13 + """
+SELECT * FROM newc""", "v_clients", "v_client_domains"))
+def q_f13c(spark, d):
+    ids = read_table(spark, d, "customer").where(F.col("c_nationkey") == 3).select(
+        F.col("c_custkey").alias("client_id"))
+    clients, _, _ = Fx.deactivate_clients(V.clients(spark, d), ids, V.client_domains(spark, d),
+                                          V.domains(spark, d), V.client_datasets(spark, d))
+    return clients.select("client_id", "is_active")
+
+
 @register("f14_resolve_domains", W(f"""
 WITH t AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN
                     CASE WHEN l_orderkey % 23 = 0 THEN l_suppkey + 1000000 ELSE l_suppkey END END AS target_id,
