@@ -142,8 +142,9 @@ def gsc_datasets(names: DataFrame, col: str = "dataset") -> DataFrame:
 
 def upsert_datasets(catalog: DataFrame, found: DataFrame, keep_hostname: bool = True,
                     now=None) -> DataFrame:
-    """Upsert by dataset. With ``keep_hostname`` (the scan path) a null
-    new hostname keeps the old one; otherwise (the link path) it overwrites."""
+    """Upsert by dataset: type replaced, the row made active and stamped
+    ``now``. With ``keep_hostname`` (the scan path) a null new hostname
+    keeps the old one; otherwise (the link path) it overwrites."""
     f = found.select("dataset", F.col("dataset_type").alias("_t"), F.col("hostname").alias("_h"),
                      F.lit(True).alias("_hit"))
     j = catalog.join(f, "dataset", "full_outer")
@@ -158,7 +159,7 @@ def upsert_datasets(catalog: DataFrame, found: DataFrame, keep_hostname: bool =
         if c == "updated_at" and now is not None:
             cols.append(F.when(hit, F.lit(now).cast("timestamp")).otherwise(F.col(c)).alias(c))
         elif c == "active":
-            cols.append(F.when(hit, F.coalesce(F.col(c), F.lit(True))).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(hit, F.lit(True)).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
     return j.select(*cols)

@@ -133,7 +133,7 @@ SELECT coalesce(c.dataset, f.dataset) AS dataset,
        CASE WHEN f.dataset IS NOT NULL THEN f.dataset_type ELSE c.dataset_type END AS dataset_type,
        CASE WHEN f.dataset IS NOT NULL THEN coalesce(f.hostname, c.hostname) ELSE c.hostname END AS hostname,
        c.is_standardized, c.owner,
-       CASE WHEN f.dataset IS NOT NULL THEN coalesce(c.active, true) ELSE c.active END AS active,
+       CASE WHEN f.dataset IS NOT NULL THEN true ELSE c.active END AS active,
        CASE WHEN f.dataset IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE c.updated_at END AS updated_at
 FROM v_dataset_catalog c FULL OUTER JOIN found f ON c.dataset = f.dataset""",
                                   "v_dataset_names", "v_dataset_catalog"))
