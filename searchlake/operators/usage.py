@@ -266,20 +266,33 @@ def transcript(turns: DataFrame, key: str = "conv_id", pos: str = "turn", block:
 
 def build_messages(turns: DataFrame, system: str | None = None, schema_hint: str | None = None,
                    key: str = "conv_id", pos: str = "turn") -> DataFrame:
-    """I8: message rows per conversation: the system text first (with the
-    optional schema instruction appended, or as its own system text), then
-    the turns in order. Output: key, position, role, content."""
-    msgs = turns.select(key, (F.col(pos) + 1).alias("position"), "role",
+    """I8: message rows per conversation: the session's system text first
+    (position 0), then the turns in order (position turn + 1).
+
+    With ``schema_hint`` every system message gets ``"\n\n" + hint``
+    appended; a conversation with no system message at all gets the hint as
+    a new system message at position 0. "Has a system message" is one
+    grouped flag per conversation (no window). Output: key, position, role,
+    content.
+    """
+    msgs = turns.select(key, (F.col(pos) + 1).cast("bigint").alias("position"), "role",
                         F.col("text").alias("content"))
-    sys_text = system
-    if schema_hint is not None:
-        sys_text = f"{system}\n\n{schema_hint}" if system else schema_hint
-    if sys_text is None:
+    convs = turns.groupBy(key).agg(F.max((F.col("role") == "system").cast("int")).alias("_sys"))
+    if system is not None:
+        heads = convs.select(key, F.lit(0).cast("bigint").alias("position"), F.lit("system").alias("role"),
+                             F.lit(system).alias("content"))
+        msgs = heads.unionByName(msgs)
+    if schema_hint is None:
         return msgs
-    heads = turns.select(key).distinct().select(
-        key, F.lit(0).cast("bigint").alias("position"), F.lit("system").alias("role"),
-        F.lit(sys_text).alias("content"))
-    return heads.unionByName(msgs)
+    msgs = msgs.withColumn("content", F.when(F.col("role") == "system",
+                                             F.concat(F.col("content"), F.lit("\n\n" + schema_hint)))
+                           .otherwise(F.col("content")))
+    if system is None:
+        bare = convs.where(F.col("_sys") == 0).select(
+            key, F.lit(0).cast("bigint").alias("position"), F.lit("system").alias("role"),
+            F.lit(schema_hint).alias("content"))
+        msgs = bare.unionByName(msgs)
+    return msgs
 
 
 def split_system(turns: DataFrame, key: str = "conv_id", pos: str = "turn") -> DataFrame:

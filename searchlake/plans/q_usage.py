@@ -174,7 +174,9 @@ def q_i7(spark, d):
 
 
 @register("i8_build_messages", """
-SELECT conv_id, CAST(turn + 1 AS BIGINT) AS position, role, text AS content FROM conversations
+SELECT conv_id, CAST(turn + 1 AS BIGINT) AS position, role,
+       CASE WHEN role = 'system' THEN text || chr(10) || chr(10) || 'Reply as JSON.' ELSE text END AS content
+FROM conversations
 UNION ALL
 SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 'system', 'Answer briefly.' || chr(10) || chr(10) || 'Reply as JSON.'
 FROM conversations""")
@@ -183,6 +185,17 @@ def q_i8(spark, d):
                             schema_hint="Reply as JSON.")
 
 
+@register("i8_build_messages_schema_only", """
+SELECT conv_id, CAST(turn + 1 AS BIGINT) AS position, role,
+       CASE WHEN role = 'system' THEN text || chr(10) || chr(10) || 'Reply as JSON.' ELSE text END AS content
+FROM conversations
+UNION ALL
+SELECT conv_id, CAST(0 AS BIGINT), 'system', 'Reply as JSON.'
+FROM conversations GROUP BY conv_id HAVING max(CASE WHEN role = 'system' THEN 1 ELSE 0 END) = 0""")
+def q_i8s(spark, d):
+    return I.build_messages(read_table(spark, d, "conversations"), schema_hint="Reply as JSON.")
+
+
 @register("i9_split_system", """
 SELECT conv_id, max_by(CASE WHEN role = 'system' THEN text END,
                        CASE WHEN role = 'system' THEN turn END) AS system_prompt,
