@@ -194,7 +194,8 @@ def drop_invalid_targets(batch: DataFrame, responses: DataFrame,
 
 def accepted_tasks(posts: DataFrame, mode: str = "serp") -> DataFrame:
     """Explode the tasks of submit answers; SERP keeps status 20100 with
-    an id (and its tag), volume keeps any task with an id."""
+    a non-empty id and tag (the tag is the keyword), volume keeps any task
+    with an id."""
     schema = T.StructType([T.StructField("tasks", T.ArrayType(T.StructType([
         T.StructField("id", T.StringType()), T.StructField("status_code", T.StringType()),
         T.StructField("data", T.StructType([T.StructField("tag", T.StringType())]))])))])
@@ -202,23 +203,25 @@ def accepted_tasks(posts: DataFrame, mode: str = "serp") -> DataFrame:
     t = t.select(F.col("t.id").alias("task_id"),
                  F.col("t.status_code").try_cast("bigint").alias("status_code"),
                  F.col("t.data.tag").alias("tag"))
-    cond = F.col("task_id").isNotNull()
+    cond = F.coalesce(F.col("task_id"), F.lit("")) != ""
     if mode == "serp":
-        cond = cond & (F.col("status_code") == SUBMITTED)
+        cond = cond & (F.col("status_code") == SUBMITTED) & (F.coalesce(F.col("tag"), F.lit("")) != "")
     return t.where(cond)
 
 
 def ready_ids(responses: DataFrame) -> DataFrame:
-    """Ids (with status and message) of every result of every task."""
+    """Ids (with status and message) of every result of every task;
+    entries without an id are skipped."""
     schema = T.StructType([T.StructField("tasks", T.ArrayType(T.StructType([
         T.StructField("result", T.ArrayType(T.StructType([
             T.StructField("id", T.StringType()), T.StructField("status_code", T.StringType()),
             T.StructField("status_message", T.StringType())])))])))])
     t = responses.select(F.explode(F.from_json("response", schema)["tasks"]).alias("t"))
     r = t.select(F.explode("t.result").alias("r"))
-    return r.select(F.col("r.id").alias("task_id"),
-                    F.col("r.status_code").try_cast("bigint").alias("status_code"),
-                    F.col("r.status_message").alias("status_message"))
+    return (r.select(F.col("r.id").alias("task_id"),
+                     F.col("r.status_code").try_cast("bigint").alias("status_code"),
+                     F.col("r.status_message").alias("status_message"))
+            .where(F.coalesce(F.col("task_id"), F.lit("")) != ""))
 
 
 def incomplete_tasks(submitted: DataFrame, ready: DataFrame) -> DataFrame:
