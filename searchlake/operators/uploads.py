@@ -68,9 +68,9 @@ def upload_summary(log: DataFrame, client_id=None) -> DataFrame:
     df = log.where(F.col("client_id") == client_id) if client_id is not None else log
     return (df.groupBy("dataset", "table_name")
             .agg(F.sum("row_count").alias("total_rows"),
-                 F.count(F.lit(1)).alias("uploads"),
-                 F.max("ingest_timestamp").alias("latest"))
-            .orderBy(F.col("latest").desc(), "dataset", "table_name"))
+                 F.count(F.lit(1)).alias("upload_count"),
+                 F.max("ingest_timestamp").alias("latest_upload"))
+            .orderBy(F.col("latest_upload").desc(), "dataset", "table_name"))
 
 
 def preview_upload(log: DataFrame, data: DataFrame, upload_id: str | None = None,

@@ -29,7 +29,7 @@ def q_d1(spark, d):
 
 @register("d2_upload_summary", W("""
 SELECT dataset, table_name, CAST(sum(row_count) AS BIGINT) AS total_rows,
-       count(*) AS uploads, max(ingest_timestamp) AS latest
+       count(*) AS upload_count, max(ingest_timestamp) AS latest_upload
 FROM v_uploads GROUP BY dataset, table_name""", "v_uploads"))
 def q_d2(spark, d):
     return scalar_output(U.upload_summary(V.uploads(spark, d)))
