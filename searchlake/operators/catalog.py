@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from searchlake.session import cut_lineage
+
 # Dataset type prefixes, in lookup order.
 DEFAULT_DATASET_PREFIXES = [
     ("ga4", "analytics_"),
@@ -271,7 +273,10 @@ def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFra
     for the substring rule the name's substrings of the lengths known
     domains have, at most 253), ranked per dataset.
     """
-    lookup = match_lookup(client_domains, domains)
+    # the lookup feeds three joins and the length list: materialize it once
+    # (reliable checkpoint in the shared folder) instead of re-aggregating
+    # the client-domain links for each of them
+    lookup = cut_lineage(match_lookup(client_domains, domains))
     link_agg = links.groupBy(F.col("dataset_id").alias("dataset")).agg(
         F.min("domain_id").alias("domain_id"), F.min("client_id").alias("client_id"))
     cat = catalog.select("dataset", "dataset_type", "hostname")
@@ -300,8 +305,10 @@ def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFra
         "dataset", F.replace(low, F.lit("_"), F.lit(".")).alias("nm"))
     starts = names.select("dataset", "nm", F.explode(F.sequence(F.lit(1), F.length("nm"))).alias("i"))
     fits = F.filter(lens, lambda n: n <= F.length("nm") - F.col("i") + 1)
+    # no distinct: a repeated (dataset, key) only repeats an equally ranked
+    # candidate, and skipping it saves a shuffle of every substring
     subs = (starts.select("dataset", "nm", "i", F.explode(fits).alias("len"))
-            .select("dataset", F.substring("nm", F.col("i"), F.col("len")).alias("key")).distinct())
+            .select("dataset", F.substring("nm", F.col("i"), F.col("len")).alias("key")))
     sub_c = subs.join(lookup.drop("first_label"), "key").select(
         "dataset", F.lit(4).alias("rule"), F.lit(0).alias("sub"), "key", "client_id", "domain_id", "domain")
     cands = host_c.unionByName(sub_c)
