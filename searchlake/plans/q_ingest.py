@@ -307,3 +307,22 @@ def q_a4_job(spark, d):
     evs = ev.agg(F.count(F.lit(1)).alias("events"), F.sum("row_count").alias("event_rows")).first()
     return stats.withColumns({"events": F.lit(evs["events"]).cast("bigint"),
                               "event_rows": F.lit(evs["event_rows"]).cast("bigint")})
+
+
+@register("h5_h15_append_reconciles", """
+SELECT 'ranked_keywords' AS table_name, CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b,
+       'clean' AS status, (SELECT count(*) FROM lineitem) AS old_rows, (SELECT count(*) FROM lineitem) AS new_rows,
+       true AS equal""")
+def q_h5_h15(spark, d):
+    """The write path checked with the reconciliation operators: the rows
+    appended (A4) and the rows read back agree in count (H5) and as a
+    multiset on the business columns (H15)."""
+    path = scratch_path(spark, "reconciled")
+    rows = A.to_table_layout(_stamped(spark, d), "ranked_keywords")
+    A.create_table(spark, path, rows.schema)
+    A.append_batch(rows.withColumn("ingest_timestamp", F.lit(TS).cast("timestamp")), path)
+    back = spark.read.parquet(path)
+    cols = ["keyword", "search_volume", "rank", "traffic_volume", "job_id", "upload_id", "domain_id"]
+    dr = H.drift_summary(rows, back, cols, "ranked_keywords")
+    vc = H.verify_counts([("ranked_keywords", rows, back)])
+    return dr.join(vc, "table_name")
