@@ -37,3 +37,17 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0 and df.columns == ["domain", "keyword", "search_volume", "kw_rank"]
+
+
+def test_d8_rows_for_every_client(spark, con):
+    """D8 row by row for all clients (the registered check compares summaries)."""
+    from searchlake.plans import q_logs
+    from searchlake.plans.checks import scalar_output
+    from searchlake.plans.oracle_views import with_views
+    sdf = scalar_output(q_logs.d8_rows(spark, SF))
+    res = con.execute(with_views(q_logs.D8_ROWS_SQL, "v_data", "v_client_domains", "v_domains"))
+    drows = res.fetchall()
+    assert len(drows) > 0
+    problem = diff(sdf.columns, [tuple(r) for r in sdf.collect()],
+                   [c[0] for c in res.description], drows)
+    assert problem is None, problem
