@@ -85,22 +85,27 @@ JOIN (SELECT cd.client_id, dm.domain FROM v_client_domains cd JOIN v_domains dm
 
 
 @register("d8_client_data_by_domain", W(f"""
-SELECT client_id, count(*) AS n_rows, count(DISTINCT domain) AS n_domains,
+SELECT client_id, count(*) AS n_rows,
        CAST(sum(search_volume) AS BIGINT) AS search_volume, CAST(sum(rank) AS BIGINT) AS rank_sum,
        round(sum(traffic_volume), 2) AS traffic_volume,
-       min(keyword) AS min_keyword, max(keyword) AS max_keyword,
-       min(upload_id) AS min_upload_id, max(upload_id) AS max_upload_id,
+       CAST(sum(length(domain)) AS BIGINT) AS domain_chars,
+       CAST(sum(length(keyword)) AS BIGINT) AS keyword_chars,
+       CAST(sum(length(upload_id)) AS BIGINT) AS upload_id_chars,
+       CAST(sum(length(job_id)) AS BIGINT) AS job_id_chars,
        min(ingest_timestamp) AS first_ingest, max(ingest_timestamp) AS last_ingest
 FROM ({D8_ROWS_SQL}) r GROUP BY client_id""", "v_data", "v_client_domains", "v_domains"))
 def q_d8(spark, d):
+    # fixed-width aggregates only, so the summary stays a hash aggregate over
+    # the expanded rows (string min/max would sort them)
     rows = d8_rows(spark, d)
+    chars = {c: F.sum(F.length(c)).cast("bigint").alias(f"{c}_chars")
+             for c in ("domain", "keyword", "upload_id", "job_id")}
     return scalar_output(rows.groupBy("client_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("domain").alias("n_domains"),
+        F.count(F.lit(1)).alias("n_rows"),
         F.sum("search_volume").cast("bigint").alias("search_volume"),
         F.sum("rank").cast("bigint").alias("rank_sum"),
         F.round(F.sum("traffic_volume"), 2).alias("traffic_volume"),
-        F.min("keyword").alias("min_keyword"), F.max("keyword").alias("max_keyword"),
-        F.min("upload_id").alias("min_upload_id"), F.max("upload_id").alias("max_upload_id"),
+        *chars.values(),
         F.min("ingest_timestamp").alias("first_ingest"), F.max("ingest_timestamp").alias("last_ingest")))
 
 
