@@ -154,10 +154,9 @@ def client_data_by_domain(data: DataFrame, client_domains: DataFrame, domains: D
     domains, in one plan: links join domains, then a semi join.
 
     With ``client_id=None`` every client is answered at once: each data row is
-    emitted once per client that owns its domain, with a leading ``client_id``.
-    The data side is first semi-joined to the owned domains (a narrow, distinct
-    set) so rows no client owns never reach the expanding join; a domain held
-    by very many clients is a skewed key that AQE splits on the data side.
+    emitted once per client that owns its domain, with a leading ``client_id``
+    (one equi join on the domain; a domain held by very many clients is a
+    skewed key that AQE splits on the data side).
     """
     own = (client_domains.where(~F.col("is_competitor"))
            .join(domains.select("domain_id", "domain"), "domain_id")
@@ -166,8 +165,7 @@ def client_data_by_domain(data: DataFrame, client_domains: DataFrame, domains: D
         df = data.join(own.where(F.col("client_id") == client_id).select("domain"), "domain",
                        "left_semi")
     else:
-        owned = data.join(own.select("domain").distinct(), "domain", "left_semi")
-        df = owned.join(own, "domain").select("client_id", *data.columns)
+        df = data.join(own, "domain").select("client_id", *data.columns)
     return df.limit(limit) if limit is not None else df
 
 
