@@ -99,12 +99,15 @@ def available_datasets(log: DataFrame, client_id=None) -> DataFrame:
             .select("dataset").distinct().orderBy("dataset"))
 
 
-def available_tables(log: DataFrame, dataset=None, client_id=None) -> DataFrame:
-    """Distinct tables (of a dataset), sorted."""
+def available_tables(log: DataFrame, dataset=None, client_id=None,
+                     per_dataset: bool = False) -> DataFrame:
+    """Distinct tables (of a dataset), sorted; with ``per_dataset`` the
+    distinct (dataset, table_name) pairs, answering every dataset at once."""
     conds = _filters(dataset=dataset, client_id=client_id)
     df = log.where(_and(conds)) if conds else log
+    keys = ["dataset", "table_name"] if per_dataset else ["table_name"]
     return (df.where(F.col("table_name").isNotNull() & (F.col("table_name") != ""))
-            .select("table_name").distinct().orderBy("table_name"))
+            .select(*keys).distinct().orderBy(*keys))
 
 
 def client_job_ids(log: DataFrame, client_id=None, dataset=None, table=None) -> DataFrame:

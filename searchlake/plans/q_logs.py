@@ -54,9 +54,10 @@ def q_d4(spark, d):
 
 
 @register("d5_available_tables", W("""
-SELECT DISTINCT table_name FROM v_uploads WHERE dataset = 'view'""", "v_uploads"))
+SELECT DISTINCT dataset, table_name FROM v_uploads
+WHERE table_name IS NOT NULL AND table_name <> ''""", "v_uploads"))
 def q_d5(spark, d):
-    return U.available_tables(V.uploads(spark, d), dataset="view")
+    return U.available_tables(V.uploads(spark, d), per_dataset=True)
 
 
 @register("d6_client_job_ids", W("""
