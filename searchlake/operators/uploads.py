@@ -122,27 +122,32 @@ def client_job_ids(log: DataFrame, client_id=None, dataset=None, table=None) ->
             .orderBy("client_id", "job_id"))
 
 
-def _by_owner(data: DataFrame, log: DataFrame, owner: str, owner_id, table, limit):
+def _by_owner(data: DataFrame, log: DataFrame, owner: str, owner_id, table, limit,
+              per_table: bool = False):
     conds = _filters(**{owner: owner_id}, table_name=table)
     jobs = log.where(_and(conds)) if conds else log
     if owner_id is not None:
         df = data.join(jobs.select("job_id"), "job_id", "left_semi")
     else:
-        # every owner at once: (owner, job) pairs joined to the rows
-        pairs = jobs.where(F.col(owner).isNotNull()).select(owner, "job_id").distinct()
+        # every owner at once: (owner, job) pairs joined to the rows; with
+        # per_table, (owner, table, job) triples answer every table as well
+        keys = [owner, "table_name"] if per_table else [owner]
+        pairs = (jobs.where(_and([F.col(k).isNotNull() for k in keys]))
+                 .select(*keys, "job_id").distinct())
         df = data.join(pairs, "job_id")
     return df.limit(limit) if limit is not None else df
 
 
 def client_data(data: DataFrame, log: DataFrame, client_id=None, table=None,
-                limit: int | None = None) -> DataFrame:
+                limit: int | None = None, per_table: bool = False) -> DataFrame:
     """Data rows whose job id the log lists for the client (and table).
 
     One client: a ``left_semi`` join on job ids. No client: the rows of all
     clients, each tagged with its ``client_id`` (join on distinct (client,
-    job) pairs). AQE broadcasts the log side when it is small, else
-    shuffles, and splits a hot job id (skew join)."""
-    return _by_owner(data, log, "client_id", client_id, table, limit)
+    job) pairs; with ``per_table`` also tagged with its ``table_name``).
+    AQE broadcasts the log side when it is small, else shuffles, and splits
+    a hot job id (skew join)."""
+    return _by_owner(data, log, "client_id", client_id, table, limit, per_table)
 
 
 def project_data(data: DataFrame, log: DataFrame, project_id=None, table=None,

@@ -68,11 +68,12 @@ def q_d6(spark, d):
 
 
 @register("d7_client_data", W(f"""
-SELECT p.client_id, {DATA_COLS} FROM v_data
-JOIN (SELECT DISTINCT client_id, job_id FROM v_uploads WHERE table_name = 't3' AND client_id IS NOT NULL) p
+SELECT p.client_id, p.table_name, {DATA_COLS} FROM v_data
+JOIN (SELECT DISTINCT client_id, table_name, job_id FROM v_uploads
+      WHERE client_id IS NOT NULL AND table_name IS NOT NULL) p
 USING (job_id)""", "v_uploads", "v_data"))
 def q_d7(spark, d):
-    return scalar_output(U.client_data(V.data_rows(spark, d), V.uploads(spark, d), table="t3"))
+    return scalar_output(U.client_data(V.data_rows(spark, d), V.uploads(spark, d), per_table=True))
 
 
 # D8 for every client at once is one output row per (data row, owning client):
