@@ -4,12 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from searchlake.plans import registry
 from searchlake.plans.compare import diff
 from searchlake.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+registry.load_all()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
