@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup
+from . import exact_dedup, line_dedup, substring_dedup
 
 QUERIES = {
     "op2_line_dedup": line_dedup.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op8_substring_dedup": substring_dedup.query,
 }
 
 ORACLES = {
     "op2_line_dedup": line_dedup.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
+    "op8_substring_dedup": substring_dedup.SQL,
 }
