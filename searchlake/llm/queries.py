@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, substring_dedup
+from . import exact_dedup, line_dedup, near_dedup, substring_dedup
 
 QUERIES = {
     "op2_line_dedup": line_dedup.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op7_near_dedup": near_dedup.query,
     "op8_substring_dedup": substring_dedup.query,
 }
 
 ORACLES = {
     "op2_line_dedup": line_dedup.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
+    "op7_near_dedup": near_dedup.SQL,
     "op8_substring_dedup": substring_dedup.SQL,
 }
