@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, near_dedup, substring_dedup
+from . import exact_dedup, line_dedup, near_dedup, packing, substring_dedup
 
 QUERIES = {
     "op2_line_dedup": line_dedup.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op6_packing": packing.query,
     "op7_near_dedup": near_dedup.query,
     "op8_substring_dedup": substring_dedup.query,
 }
