@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, near_dedup, packing, substring_dedup
+from . import exact_dedup, line_dedup, near_dedup, packing, substring_dedup, warc
 
 QUERIES = {
     "op2_line_dedup": line_dedup.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_packing": packing.query,
     "op7_near_dedup": near_dedup.query,
     "op8_substring_dedup": substring_dedup.query,
+    "op9_warc": warc.query,
 }
 
 ORACLES = {
@@ -17,4 +18,5 @@ ORACLES = {
     "op3_exact_dedup": exact_dedup.SQL,
     "op7_near_dedup": near_dedup.SQL,
     "op8_substring_dedup": substring_dedup.SQL,
+    "op9_warc": warc.SQL,
 }
