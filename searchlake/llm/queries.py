@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, near_dedup, packing, substring_dedup, warc
+from . import exact_dedup, language_id, line_dedup, near_dedup, packing, substring_dedup, warc
 
 QUERIES = {
+    "op1_language_id": language_id.query,
     "op2_line_dedup": line_dedup.query,
     "op3_exact_dedup": exact_dedup.query,
     "op6_packing": packing.query,
