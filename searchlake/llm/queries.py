@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, line_dedup, near_dedup, packing, quality, substring_dedup, warc
+from . import exact_dedup, language_id, line_dedup, near_dedup, packing, quality, substring_dedup, token_counts, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_near_dedup": near_dedup.query,
     "op8_substring_dedup": substring_dedup.query,
     "op9_warc": warc.query,
+    "op10_token_counts": token_counts.query,
 }
 
 ORACLES = {
