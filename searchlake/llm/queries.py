@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, line_dedup, near_dedup, packing, quality, substring_dedup, token_counts, warc
+from . import decontaminate, exact_dedup, language_id, line_dedup, near_dedup, packing, quality, substring_dedup, token_counts, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
     "op2_line_dedup": line_dedup.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op4_decontamination": decontaminate.query,
     "op5_quality": quality.query,
     "op6_packing": packing.query,
     "op7_near_dedup": near_dedup.query,
