@@ -196,13 +196,13 @@ def predictor(model: Model):
     return predict
 
 
-def _predict(model: Model):
+def _predict(model: Model, text_at: int, keep: int):
     predict = predictor(model)
     names = pa.array([*model.languages, "und"], pa.string())
 
     def run(batches):
         for batch in batches:
-            data, offsets = tc.buffers(batch.column(0))
+            data, offsets = tc.buffers(batch.column(text_at))
             best, score = [np.zeros(0, int)], [np.zeros(0)]
             for i, j in tc.slices(offsets, 1 << 20):
                 b, s = predict(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
@@ -211,22 +211,23 @@ def _predict(model: Model):
             best, score = np.concatenate(best), np.concatenate(score)
             found = np.where(best < 0, len(model.languages), best)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], names.take(pa.array(found)), pa.array(score), pa.array((best >= 0) & (score >= model.threshold))],
-                [*batch.schema.names[1:], "lang_pred", "score", "accepted"])
+                [*batch.columns[:keep], names.take(pa.array(found)), pa.array(score), pa.array((best >= 0) & (score >= model.threshold))],
+                [*batch.schema.names[:keep], *ADDED])
     return run
 
 
-def predict_language(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """``carry`` columns (default all but the text) with lang_pred, score, accepted.
+ADDED = ("lang_pred", "score", "accepted")
 
-    These three replace input columns of the same names.
-    """
+
+def predict_language(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``carry`` columns (default: all) with lang_pred, score and accepted, which replace input columns of these names."""
     prepare(docs.sparkSession)
-    carry = [c for c in (carry if carry is not None else docs.columns) if c not in ("lang_pred", "score", "accepted")]
-    inner = docs.select(F.col(f"`{text_col}`").alias("__text"), *[F.col(f"`{c}`") for c in carry])
-    schema = T.StructType([*inner.schema.fields[1:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                           T.StructField("accepted", T.BooleanType())])
-    return inner.mapInArrow(_predict(model), schema)
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in ADDED]
+    read = carry if text_col in carry else [*carry, text_col]
+    inner = docs.select(*[F.col(f"`{c}`") for c in read])
+    schema = T.StructType([*inner.schema.fields[:len(carry)], *(T.StructField(n, t) for n, t in zip(
+        ADDED, (T.StringType(), T.DoubleType(), T.BooleanType())))])
+    return inner.mapInArrow(_predict(model, read.index(text_col), len(carry)), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
