@@ -15,7 +15,7 @@ only 3 of 7 positions are hashed in the first round:
    distinct anchor hashes, as one sorted block per hash range, to that range;
 2. a range answers each chunk with the anchors that occur in several documents;
 3. *extension*: a chunk takes the 13-word windows that contain such an anchor
-   and sends their 128-bit hashes, with the smallest and largest doc_id;
+   and sends their 96-bit hashes, with the smallest and largest doc_id;
 4. a range answers with the smallest doc_id of every window, where it is
    smaller than one in the asking chunk;
 5. the chunk removes the covered words.
@@ -114,6 +114,27 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Integers as base, width and differences of the least width that holds them."""
+    base = numbers.min()
+    delta = (numbers - base).astype(np.uint64)
+    kind = np.min_scalar_type(delta.max())
+    return np.int64(base).tobytes() + bytes([kind.itemsize]) + delta.astype(kind).tobytes()
+
+
+def _unpacked(column) -> np.ndarray:
+    """All packed integers of a column, in a row."""
+    parts = [np.zeros(0, np.int64)]
+    for x in column.to_pylist():
+        delta = np.frombuffer(x, f"u{x[8]}", offset=9).astype(np.uint64).view(np.int64)
+        parts.append(delta + np.frombuffer(x, np.int64, 1))
+    return np.concatenate(parts)
+
+
+def _low(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype(np.uint32)
+
+
 def _arrays(column, dtype) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype) for x in column.to_pylist()]
 
@@ -156,7 +177,7 @@ def _answer_anchors(key, table):
 
 
 def _send_windows(length: int, ranges: int):
-    columns = ("hi", "lo", "least", "most")
+    columns = ("hi", "lo", "least", "wide")
 
     def run(key, table, answers):
         rows = []
@@ -173,7 +194,7 @@ def _send_windows(length: int, ranges: int):
             period = period_for(length)
             s = np.flatnonzero(whole)
             s = s[seen[s + period] > seen[s]]
-            hi, lo = _gathered(first, s, length, 2), _gathered(chunk.hashes(1), s, length, 3)
+            hi, lo = _gathered(first, s, length, 2), _low(_gathered(chunk.hashes(1), s, length, 3))
             ids = chunk.ids[chunk.doc[s]]
             order = np.lexsort((lo, hi))
             hi, lo, ids = hi[order], lo[order], ids[order]
@@ -181,7 +202,7 @@ def _send_windows(length: int, ranges: int):
             if len(at):
                 least, most = np.minimum.reduceat(ids, at), np.maximum.reduceat(ids, at)
                 hi, lo = hi[at], lo[at]
-                rows = [(r, key[0].as_py(), *(x[i:j].tobytes() for x in (hi, lo, least, most)))
+                rows = [(r, key[0].as_py(), hi[i:j].tobytes(), lo[i:j].tobytes(), _packed(least[i:j]), _packed((most - least)[i:j]))
                         for r, i, j in _range_cuts(hi, ranges)]
         return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
                          *[pa.array([r[2 + c] for r in rows], pa.binary()) for c in range(4)]],
@@ -190,10 +211,10 @@ def _send_windows(length: int, ranges: int):
 
 
 def _answer_windows(key, table):
-    his, los = _arrays(table.column("hi"), np.uint64), _arrays(table.column("lo"), np.uint64)
+    his, los = _arrays(table.column("hi"), np.uint64), _arrays(table.column("lo"), np.uint32)
     hi, lo = np.concatenate(his), np.concatenate(los)
-    least = np.concatenate(_arrays(table.column("least"), np.int64))
-    most = np.concatenate(_arrays(table.column("most"), np.int64))
+    least = _unpacked(table.column("least"))
+    most = least + _unpacked(table.column("wide"))
     order = np.lexsort((lo, hi))
     at = _runs(hi[order], lo[order])
     first = np.empty(len(hi), np.int64)
@@ -203,7 +224,7 @@ def _answer_windows(key, table):
     for c, b in zip(table.column("chunk").to_pylist(), his):
         b, e = slice(e, e + len(b)), e + len(b)
         if later[b].any():
-            rows.append((c, *(x[b][later[b]].tobytes() for x in (hi, lo, first))))
+            rows.append((c, hi[b][later[b]].tobytes(), lo[b][later[b]].tobytes(), _packed(first[b][later[b]])))
     return pa.table([pa.array([r[0] for r in rows], pa.int64()),
                      *[pa.array([r[1 + c] for r in rows], pa.binary()) for c in range(3)]],
                     names=["chunk", "hi", "lo", "first"])
@@ -215,8 +236,8 @@ def _remove(length: int):
             return _result(pa.array([], pa.int64()), [], [], pa.array([], pa.string()), [])
         chunk = _Chunk(table)
         n = len(chunk.doc)
-        hi, lo = (np.concatenate([np.zeros(0, np.uint64), *_arrays(answers.column(c), np.uint64)]) for c in ("hi", "lo"))
-        first = np.concatenate([np.zeros(0, np.int64), *_arrays(answers.column("first"), np.int64)])
+        hi, lo = (np.concatenate([np.zeros(0, t), *_arrays(answers.column(c), t)]) for c, t in (("hi", np.uint64), ("lo", np.uint32)))
+        first = _unpacked(answers.column("first"))
         gone = np.zeros(n, bool)
         if len(hi):
             order = np.lexsort((lo, hi))
@@ -226,7 +247,7 @@ def _remove(length: int):
             left = np.searchsorted(hi, h)
             known = hi[np.minimum(left, len(hi) - 1)] == h
             s, h, left = s[known], h[known], left[known]
-            low, ids = _gathered(chunk.hashes(1), s, length, 3), chunk.ids[chunk.doc[s]]
+            low, ids = _low(_gathered(chunk.hashes(1), s, length, 3)), chunk.ids[chunk.doc[s]]
             later = np.zeros(len(s), bool)
             for step in range(int(np.max(np.diff([*_runs(hi), len(hi)])))):  # 1, but for equal first halves
                 i = np.minimum(left + step, len(hi) - 1)
@@ -297,7 +318,7 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
     shared = (by_chunk.applyInArrow(_send_anchors(length, ranges), "range int, chunk long, hashes binary")
               .groupBy("range").applyInArrow(_answer_anchors, "chunk long, hashes binary"))
     owned = (by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(
-        _send_windows(length, ranges), "range int, chunk long, hi binary, lo binary, least binary, most binary")
+        _send_windows(length, ranges), "range int, chunk long, hi binary, lo binary, least binary, wide binary")
         .groupBy("range").applyInArrow(_answer_windows, "chunk long, hi binary, lo binary, first binary"))
     return by_chunk.cogroup(owned.groupBy("chunk")).applyInArrow(
         _remove(length), "doc_id long, n_words long, n_removed long, text string, "
