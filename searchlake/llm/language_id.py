@@ -6,8 +6,9 @@ text), hashed into ``buckets`` rows of an embedding table. The mean of the rows
 goes through a linear softmax over the languages seen in training. Table and
 softmax are trained together by stochastic gradient descent in numpy, on the
 driver, from a sample of at most ``sample`` labelled rows with at most
-``train_bytes`` bytes each (a window at a hashed place). That bound is the only
-one: every row is predicted from its whole text.
+``train_bytes`` bytes each (a window of hashed length and place, so that short
+texts are learned and calibrated too). That bound is the only one: every row is
+predicted from its whole text.
 
 Calibration: a fifth of the sample is kept from training. A temperature is
 fitted to it, so that ``score`` is the probability that the prediction is right,
@@ -66,6 +67,7 @@ def subwords(data: np.ndarray, offsets: np.ndarray, buckets: int):
     text[1:][(text[:-1] == 0xC3) & (text[1:] >= 0x80) & (text[1:] <= 0x9E) & (text[1:] != 0x97)] |= 0x20
     begin = offsets[:-1] + np.arange(n)
     docs = np.append(begin, len(text))
+    stop = np.append(docs[1:-1] + 1, docs[-1:]) if n else docs[:0]  # after the space that follows the text
     wide = text.astype(np.uint32)
     shift = np.uint32(32 - int(buckets).bit_length() + 1)
     out = []
@@ -80,8 +82,8 @@ def subwords(data: np.ndarray, offsets: np.ndarray, buckets: int):
         got[:m] = h >> shift
         # the last places of a text reach into the next one
         for k in range(1, order):
-            late = docs[1:] - k + (docs[1:] < len(text))
-            got[late[(late >= 0) & (late < len(text)) & (late > docs[:-1])]] = buckets
+            late = stop - order + k
+            got[late[(late >= docs[:-1]) & (late < docs[1:])]] = buckets
         out.append(got)
     return out, docs
 
@@ -92,9 +94,11 @@ def _examples(buckets: int, train_bytes: int):
             rows = []
             for doc, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = text.encode()
-                if len(raw) > train_bytes:
-                    start = (doc * 2654435761) % (len(raw) - train_bytes)
-                    raw = raw[start:start + train_bytes]
+                place = int(tc.mix(np.array([doc], np.int64).view(np.uint64))[0])
+                most = max(64, train_bytes >> place % 7)
+                if len(raw) > most:
+                    start = (place >> 8) % (len(raw) - most)
+                    raw = raw[start:start + most]
                 data = np.frombuffer(raw, np.uint8)
                 grams, _ = subwords(data, np.array([0, len(data)]), buckets)
                 ids, counts = np.unique(np.concatenate(grams), return_counts=True)
