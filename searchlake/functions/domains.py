@@ -1,26 +1,22 @@
 """Domain, URL and name functions (G1-G9) as native column expressions.
 
 No Python UDF: each function is a short chain of regex and array built-ins,
-so it stays inside whole-stage codegen.
+so it stays inside whole-stage codegen. The functions that need public
+suffixes (G5, G6) work on frames and take the suffix rules as a table, see
+:func:`suffix_rules`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import glob
+import os
+import zipfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Public suffixes known to the name functions (G5, G6). A
-# small table of common suffixes; callers with a full public suffix list
-# pass it as ``suffixes``.
-PUBLIC_SUFFIXES = (
-    "com net org info biz io co ai app dev xyz online site shop store blog tech "
-    "edu gov mil int me tv us ca uk au nz de fr es it nl be ch at se no dk fi ie "
-    "pl pt cz ru jp cn in br mx ar za sg hk tw kr "
-    "com.au net.au org.au edu.au gov.au asn.au id.au "
-    "co.nz net.nz org.nz govt.nz ac.nz "
-    "co.uk org.uk ac.uk gov.uk me.uk ltd.uk plc.uk "
-    "com.br com.mx com.ar co.za co.jp co.in com.sg com.hk co.kr com.cn"
-).split()
+#: A rule table of at most this many rows (about 1 MB) is broadcast.
+BROADCAST_RULES = 20_000
 
 _WS = r"(?s)^\s+|\s+$"
 
@@ -71,17 +67,68 @@ def normalize_domain_review(s: Column) -> Column:
     return F.coalesce(F.lower(d), F.lit(""))
 
 
-def _suffix_parts(host: Column, suffixes=PUBLIC_SUFFIXES, max_labels: int = 3):
-    """(labels, k): k = labels in the longest known suffix with at least one
-    label left before it; 0 when none."""
+def read_suffix_list(path: str | None = None) -> list[str]:
+    """Rules of the ICANN part of a public suffix list file.
+
+    Without a path, the copy that Spark's HTTP client jar carries is read.
+    No list at all is an error: a guess would cut names in the wrong place.
+    """
+    if path is not None:
+        with open(path, encoding="utf-8") as f:
+            text = f.read()
+    else:
+        import pyspark
+        home = os.environ.get("SPARK_HOME") or os.path.dirname(pyspark.__file__)
+        jars = glob.glob(os.path.join(home, "jars", "httpclient-4*.jar"))
+        if not jars:
+            raise FileNotFoundError("no public suffix list: give the path of one")
+        with zipfile.ZipFile(jars[0]) as z:
+            text = z.read("mozilla/public-suffix-list.txt").decode("utf-8")
+    part = text.split("===BEGIN ICANN DOMAINS===")[-1].split("===END ICANN DOMAINS===")[0]
+    rules = [x.split()[0].lower() for x in part.splitlines() if x.strip() and not x.startswith("//")]
+    if not rules:
+        raise ValueError("the public suffix list has no rules")
+    return rules
+
+
+def suffix_rules(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """The suffix rules as a table: tail, labels, and whether the tail is a
+    plain rule, the base of a wildcard rule, or an exception."""
+    rows = []
+    for rule in read_suffix_list(path):
+        tail = rule.lstrip("!").removeprefix("*.")
+        rows.append((tail, tail.count(".") + 1, not rule.startswith(("!", "*.")), rule.startswith("*."), rule.startswith("!")))
+    df = spark.createDataFrame(rows, "tail string, labels int, plain boolean, wild boolean, exception boolean")
+    return df.groupBy("tail", "labels").agg(*[F.max(c).alias(c) for c in ("plain", "wild", "exception")])
+
+
+def with_suffix_size(df: DataFrame, host: Column, rules: DataFrame, out: str = "_k") -> DataFrame:
+    """Add ``out``: the number of labels in the host's public suffix, 0 when none.
+
+    One equi join per label count that rules have, on the host's last labels.
+    An exception rule wins and is one label shorter; else the longest match
+    wins, and a wildcard takes one label more than its base, if there is one.
+    """
+    n_rules, most = rules.agg(F.count(F.lit(1)), F.max("labels")).first()
+    if not n_rules:
+        raise ValueError("no public suffix rules")
     labels = F.split(host, r"\.")
-    n = F.size(labels)
-    known = F.array(*[F.lit(x) for x in sorted(set(suffixes))])
-    k = F.lit(0)
-    for size in range(1, max_labels + 1):   # later (longer) matches win
-        cand = F.array_join(F.slice(labels, F.greatest(n - size + 1, F.lit(1)), size), ".")
-        k = F.when((n > size) & F.array_contains(known, cand), F.lit(size)).otherwise(k)
-    return labels, n, k
+    df = df.withColumns({"_labels": labels, "_n": F.size(labels)})
+    plain = wild = exception = F.lit(0)
+    drop = ["_labels", "_n"]
+    for size in range(1, most + 1):
+        side = rules.where(F.col("labels") == size).select(
+            F.col("tail").alias(f"_tail{size}"), F.col("plain").alias(f"_p{size}"),
+            F.col("wild").alias(f"_w{size}"), F.col("exception").alias(f"_e{size}"))
+        if n_rules <= BROADCAST_RULES:
+            side = F.broadcast(side)
+        tail = F.when(F.col("_n") >= size, F.array_join(F.slice("_labels", -size, size), "."))
+        df = df.withColumn(f"_tail{size}", tail).join(side, f"_tail{size}", "left")
+        plain = F.when(F.col(f"_p{size}"), F.lit(size)).otherwise(plain)
+        wild = F.when(F.col(f"_w{size}") & (F.col("_n") > size), F.lit(size + 1)).otherwise(wild)
+        exception = F.when(F.col(f"_e{size}"), F.lit(size - 1)).otherwise(exception)
+        drop += [f"_tail{size}", f"_p{size}", f"_w{size}", f"_e{size}"]
+    return df.withColumn(out, F.when(exception > 0, exception).otherwise(F.greatest(plain, wild))).drop(*drop)
 
 
 def title_case(s: Column) -> Column:
@@ -94,15 +141,17 @@ def title_case(s: Column) -> Column:
         "")
 
 
-def domain_to_name(s: Column, suffixes=PUBLIC_SUFFIXES) -> Column:
-    """Registered name as a display title; no known suffix -> first label
-    of the text without ``www.``; ``-`` and ``_`` become spaces."""
-    labels, n, k = _suffix_parts(url_host(s), suffixes)
-    name = F.when(k > 0, F.element_at(labels, F.greatest(n - k, F.lit(1))))
+def domain_to_name(df: DataFrame, col: str, rules: DataFrame, out: str = "domain_name") -> DataFrame:
+    """Add ``out``, the registered name of ``col`` as a display title; no
+    known suffix or name -> first label of the text without ``www.``; ``-``
+    and ``_`` become spaces."""
+    s = F.col(col)
+    labels = F.split(url_host(s), r"\.")
+    k, n = F.col("_k"), F.size(labels)
+    name = F.when((k > 0) & (n > k), F.get(labels, n - k - 1))
     fallback = F.split(F.replace(F.lower(s), F.lit("www."), F.lit("")), r"\.")[0]
     name = F.when(F.coalesce(name, F.lit("")) == "", fallback).otherwise(name)
-    name = F.translate(name, "-_", "  ")
-    return title_case(name)
+    return with_suffix_size(df, url_host(s), rules).withColumn(out, title_case(F.translate(name, "-_", "  "))).drop("_k")
 
 
 def url_host(url: Column) -> Column:
@@ -114,27 +163,33 @@ def url_host(url: Column) -> Column:
     return F.lower(h)
 
 
-def registered_domain(url: Column, suffixes=PUBLIC_SUFFIXES) -> Column:
-    """``name.suffix`` of a URL; with no known suffix the last label (or
-    the whole IP address) followed by ``.``."""
-    host = url_host(url)
-    labels, n, k = _suffix_parts(host, suffixes)
-    is_ip = host.rlike(r"^[0-9]+(\.[0-9]+){3}$")
-    suffix = F.array_join(F.slice(labels, F.greatest(n - k + 1, F.lit(1)), F.greatest(k, F.lit(1))), ".")
-    with_suffix = F.concat(F.element_at(labels, F.greatest(n - k, F.lit(1))), F.lit("."), suffix)
+_IP = r"^[0-9]+(\.[0-9]+){3}$"
+
+
+def registered_domain(df: DataFrame, col: str, rules: DataFrame, out: str = "registered") -> DataFrame:
+    """Add ``out``, the ``name.suffix`` of a URL (an empty name when the
+    host is a suffix); with no known suffix the last label (or the whole IP
+    address) followed by ``.``."""
+    host = url_host(F.col(col))
+    labels, k = F.split(host, r"\."), F.col("_k")
+    n, is_ip = F.size(labels), host.rlike(_IP)
+    with_suffix = F.concat(F.coalesce(F.get(labels, n - k - 1), F.lit("")), F.lit("."),
+                           F.array_join(F.slice(labels, n - k + 1, F.greatest(k, F.lit(1))), "."))
     no_suffix = F.concat(F.when(is_ip, host).otherwise(F.element_at(labels, -1)), F.lit("."))
-    return F.when((k > 0) & ~is_ip, with_suffix).otherwise(no_suffix)
-
-
-def registered_name(url: Column, suffixes=PUBLIC_SUFFIXES) -> Column:
-    """The label before the public suffix; with no known suffix the last
-    label (the whole host for an IP address)."""
-    host = url_host(url)
-    labels, n, k = _suffix_parts(host, suffixes)
-    is_ip = host.rlike(r"^[0-9]+(\.[0-9]+){3}$")
-    return (F.when(is_ip, host)
-            .when(k > 0, F.element_at(labels, F.greatest(n - k, F.lit(1))))
-            .otherwise(F.element_at(labels, -1)))
+    return with_suffix_size(df, host, rules).withColumn(
+        out, F.when((k > 0) & ~is_ip, with_suffix).otherwise(no_suffix)).drop("_k")
+
+
+def registered_name(df: DataFrame, col: str, rules: DataFrame, out: str = "name") -> DataFrame:
+    """Add ``out``, the label before the public suffix; with no known suffix
+    the last label (the whole host for an IP address)."""
+    host = url_host(F.col(col))
+    labels, k = F.split(host, r"\."), F.col("_k")
+    n = F.size(labels)
+    return with_suffix_size(df, host, rules).withColumn(
+        out, F.when(host.rlike(_IP), host)
+        .when(k > 0, F.coalesce(F.get(labels, n - k - 1), F.lit("")))
+        .otherwise(F.element_at(labels, -1))).drop("_k")
 
 
 def url_path(url: Column) -> Column:

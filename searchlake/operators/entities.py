@@ -61,11 +61,12 @@ def client_counts(clients: DataFrame, client_domains: DataFrame, domains: DataFr
     return out.fillna(0, ["domain_count", "competitor_count", "project_count"])
 
 
-def search_domains(domains: DataFrame, query: str, limit: int | None = 10) -> DataFrame:
+def search_domains(domains: DataFrame, query: str, rules: DataFrame, limit: int | None = 10) -> DataFrame:
     """domains whose text contains the registered name of the query
     (the query itself when it has none); a stable order before the limit."""
     spark = domains.sparkSession
-    term = spark.range(1).select(registered_name(F.lit(query)).alias("t")).first()["t"]
+    one = spark.range(1).select(F.lit(query).alias("q"))
+    term = registered_name(one, "q", rules, "t").first()["t"]
     term = (term or query).lower()
     df = (domains.where(F.lower("domain").contains(F.lit(term)))
           .select("domain_id", "domain", "domain_name", "is_active").orderBy("domain_id"))
@@ -131,37 +132,37 @@ def normalize_priority(p: Column, strict: bool = False) -> Column:
     return F.when(ok, u).otherwise(F.lit(None) if strict else F.lit(DEFAULT_PRIORITY))
 
 
-def add_domains(domains: DataFrame, client_domains: DataFrame, batch: DataFrame,
-                client_id=None, is_competitor: bool = False, priority: str = "NORMAL",
+def add_domains(domains: DataFrame, client_domains: DataFrame, batch: DataFrame, rules: DataFrame,
+                clients: DataFrame | None = None, client_id=None, is_competitor: bool = False, priority: str = "NORMAL",
                 raw_col: str = "raw", pos_col: str = "pos"):
     """add a batch of raw domain texts.
 
     Clean (keeping paths), drop empties, keep the first of equal texts, reuse
     ids of known domains, give new ones ids above the maximum (in first
-    position order) and display names, and link to ``client_id`` the pairs
-    not linked yet. Returns (result, new_domains, new_links): result has
-    domain_id, domain, domain_name, skipped per distinct cleaned domain.
+    position order) and display names (``rules``: the public suffixes), and
+    link to ``client_id`` the pairs not linked yet; a client that is not in
+    ``clients`` is refused. Returns (result, new_domains, new_links): result
+    has domain_id, domain, domain_name, skipped per distinct cleaned domain.
     """
     p = (priority or DEFAULT_PRIORITY).strip().upper()
     if p not in PRIORITIES:
-        raise ValueError(f"Invalid priority '{priority}'. Must be one of: {sorted(PRIORITIES)}")
+        raise ValueError(f"priority {priority!r} is not one of {', '.join(PRIORITIES)}")
+    if client_id is not None and clients is not None and clients.where(F.col("client_id") == client_id).isEmpty():
+        raise ValueError(f"no client has the id {client_id}")
     cleaned = (batch.where(F.trim(F.col(raw_col)) != "")
                .select(clean_domain_keep_path(F.col(raw_col)).alias("domain"), F.col(pos_col))
                .where(F.col("domain") != ""))
-    firsts = cleaned.groupBy("domain").agg(F.min(pos_col).alias("first_pos"))
+    firsts = domain_to_name(cleaned.groupBy("domain").agg(F.min(pos_col).alias("first_pos")), "domain", rules)
     known = firsts.join(domains.select("domain", "domain_id"), "domain", "left")
     new = known.where(F.col("domain_id").isNull()).drop("domain_id")
     new_rows = dense_index(new, ["first_pos", "domain"], start=max_id(domains, "domain_id") + 1,
                            name="domain_id")
-    new_domains = new_rows.select("domain_id", "domain",
-                                  domain_to_name(F.col("domain")).alias("domain_name"),
-                                  F.lit(True).alias("is_active"),
+    new_domains = new_rows.select("domain_id", "domain", "domain_name", F.lit(True).alias("is_active"),
                                   F.lit(None).cast("string").alias("notes"))
     ids = (known.where(F.col("domain_id").isNotNull())
-           .unionByName(new_rows.select("domain", "first_pos", "domain_id")))
+           .unionByName(new_rows.select("domain", "first_pos", "domain_name", "domain_id")))
     if client_id is None:
-        result = ids.select("domain_id", "domain", domain_to_name(F.col("domain")).alias("domain_name"),
-                            F.lit(False).alias("skipped"), "first_pos")
+        result = ids.select("domain_id", "domain", "domain_name", F.lit(False).alias("skipped"), "first_pos")
         return result, new_domains, client_domains.limit(0)
     linked = client_domains.where(F.col("client_id") == client_id).select("domain_id")
     flagged = ids.join(linked.withColumn("skipped", F.lit(True)), "domain_id", "left") \
@@ -170,9 +171,7 @@ def add_domains(domains: DataFrame, client_domains: DataFrame, batch: DataFrame,
         F.lit(client_id).cast("bigint").alias("client_id"), "domain_id",
         F.lit(is_competitor).alias("is_competitor"), F.lit(p).alias("priority"),
         F.lit(None).cast("string").alias("notes"))
-    result = flagged.select("domain_id", "domain", domain_to_name(F.col("domain")).alias("domain_name"),
-                            "skipped", "first_pos")
-    return result, new_domains, new_links
+    return flagged.select("domain_id", "domain", "domain_name", "skipped", "first_pos"), new_domains, new_links
 
 
 def patch(table: DataFrame, changes: DataFrame, keys: list[str],

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from searchlake.functions.domains import suffix_rules
 from searchlake.operators import catalog as E
 from searchlake.operators import entities as Fx
 from searchlake.plans.checks import scalar_output
 from searchlake.plans.oracle_views import raw_domain
 from searchlake.plans.oracle_views import with_views as W
+from searchlake.plans.q_scalars import duck_name
 from searchlake.plans.registry import register
 from searchlake.sources import testviews as V
 from searchlake.sources.tables import read_table
@@ -294,7 +296,7 @@ def q_f3(spark, d):
 SELECT domain_id, domain, domain_name, is_active FROM v_domains
 WHERE contains(lower(domain), 'supp12') ORDER BY domain_id LIMIT 10""", "v_domains"))
 def q_f4(spark, d):
-    return Fx.search_domains(V.domains(spark, d), "https://www.supp12.com.au/x", 10)
+    return Fx.search_domains(V.domains(spark, d), "https://www.supp12.com.au/x", suffix_rules(spark), 10)
 
 
 @register("f5_client_domains", W("""
@@ -354,14 +356,16 @@ k AS (SELECT f.domain, f.first_pos, d.domain_id FROM firsts f LEFT JOIN v_domain
 ids AS (SELECT domain, first_pos, domain_id FROM k WHERE domain_id IS NOT NULL
         UNION ALL
         SELECT domain, first_pos, (SELECT max(domain_id) FROM v_domains)
-               + row_number() OVER (ORDER BY first_pos, domain) FROM k WHERE domain_id IS NULL)
+               + row_number() OVER (ORDER BY first_pos, domain) FROM k WHERE domain_id IS NULL),
+flagged AS (
 SELECT i.domain_id, i.domain, i.first_pos,
        EXISTS (SELECT 1 FROM v_client_domains l WHERE l.client_id = 7 AND l.domain_id = i.domain_id) AS skipped
-FROM ids i""", "v_domains", "v_client_domains"))
+FROM ids i)
+{duck_name("flagged", "domain", "domain_id, domain, first_pos, skipped")}""", "v_domains", "v_client_domains"))
 def q_f9(spark, d):
     res, _, _ = Fx.add_domains(V.domains(spark, d), V.client_domains(spark, d), _f9_batch(spark, d),
-                               client_id=7)
-    return res.drop("domain_name")
+                               suffix_rules(spark), V.clients(spark, d), client_id=7)
+    return res
 
 
 @register("f10_patch_clients", W("""

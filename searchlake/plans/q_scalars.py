@@ -10,18 +10,36 @@ from searchlake.plans.registry import register
 from searchlake.sources import testviews as V
 from searchlake.sources.tables import read_table
 
-_SFX = "[" + ", ".join(f"'{s}'" for s in sorted(set(G.PUBLIC_SUFFIXES))) + "]"
+def _duck_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in sorted(values)) + "]"
 
 
-def _duck_suffix_k(host: str) -> str:
-    """DuckDB: labels in the longest known suffix (0 when none)."""
+_RULES = G.read_suffix_list()
+_MOST = max(r.lstrip("!").removeprefix("*.").count(".") + 1 for r in _RULES)
+_KINDS = {
+    "plain": {r for r in _RULES if not r.startswith(("!", "*."))},
+    "wild": {r[2:] for r in _RULES if r.startswith("*.")},
+    "exception": {r[1:] for r in _RULES if r.startswith("!")},
+}
+
+
+def duck_host(url: str) -> str:
+    return (f"lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace({url}, "
+            "'^[A-Za-z][A-Za-z0-9+.-]*://', ''), '[/?#].*$', ''), '^.*@', ''), ':[0-9]*$', ''))")
+
+
+def duck_suffix_k(host: str) -> str:
+    """DuckDB: labels in the public suffix (0 when none)."""
     labels = f"string_split({host}, '.')"
     n = f"len({labels})"
-    k = "0"
-    for size in (1, 2, 3):
+    k = {kind: "0" for kind in _KINDS}
+    for size in range(1, _MOST + 1):
         cand = f"array_to_string({labels}[{n}-{size}+1:{n}], '.')"
-        k = f"CASE WHEN {n} > {size} AND list_contains({_SFX}, {cand}) THEN {size} ELSE {k} END"
-    return k
+        for kind, least, take in (("plain", size, size), ("wild", size + 1, size + 1), ("exception", size, size - 1)):
+            by_size = {r for r in _KINDS[kind] if r.count(".") + 1 == size}
+            if by_size:
+                k[kind] = f"CASE WHEN {n} >= {least} AND list_contains({_duck_list(by_size)}, {cand}) THEN {take} ELSE {k[kind]} END"
+    return f"CASE WHEN ({k['exception']}) > 0 THEN ({k['exception']}) ELSE greatest({k['plain']}, {k['wild']}) END"
 
 
 def _duck_title(s: str) -> str:
@@ -77,36 +95,56 @@ def q_g4(spark, d):
                                         G.normalize_domain_review(F.col("domain")).alias("norm"))
 
 
-def _duck_name(dom: str) -> str:
-    labels = f"string_split({dom}, '.')"
-    k = _duck_suffix_k(dom)
-    name = f"(CASE WHEN {k} > 0 THEN {labels}[greatest(len({labels}) - ({k}), 1)] END)"
-    fallback = f"string_split(replace(lower({dom}), 'www.', ''), '.')[1]"
-    pick = f"(CASE WHEN coalesce({name}, '') = '' THEN {fallback} ELSE {name} END)"
-    return _duck_title(f"translate({pick}, '-_', '  ')")
+def duck_name(source: str, text: str, keep: str) -> str:
+    """DuckDB: ``keep`` columns and the display name of ``text`` over ``source``."""
+    pick = "CASE WHEN k > 0 AND len(labels) > k AND labels[len(labels) - k] <> '' THEN labels[len(labels) - k] ELSE fallback END"
+    named = _duck_title(f"translate({pick}, '-_', '  ')")
+    return f"""
+SELECT {keep}, {named} AS domain_name
+FROM (SELECT *, string_split(host, '.') AS labels, {duck_suffix_k('host')} AS k,
+             string_split(replace(lower({text}), 'www.', ''), '.')[1] AS fallback
+      FROM (SELECT *, {duck_host(text)} AS host FROM {source}) a) b"""
 
 
-@register("g5_domain_to_name", W(f"""
-SELECT domain_id, {_duck_name('domain')} AS name FROM v_domains""", "v_domains"))
-def q_g5(spark, d):
-    return V.domains(spark, d).select("domain_id", G.domain_to_name(F.col("domain")).alias("name"))
+# one domain of every kind of rule: plain, two labels, wildcard, exception,
+# four labels, a bare suffix, an unknown one
+SUFFIX_CASES = ["com", "eu", "co.uk", "co.il", "com.tr", "ck", "www.ck", "kawasaki.jp", "x.kawasaki.jp",
+                "city.kawasaki.jp", "pvt.k12.ma.us", "nosuchtld"]
+_CASE_SQL = (f"(SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'shop-' || s_suppkey || '.' END || "
+             f"([{', '.join(repr(c) for c in SUFFIX_CASES)}])[s_suppkey % {len(SUFFIX_CASES)} + 1] AS domain FROM supplier) AS cases")
 
 
-_HOST = ("lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(url, "
-         "'^[A-Za-z][A-Za-z0-9+.-]*://', ''), '[/?#].*$', ''), '^.*@', ''), ':[0-9]*$', ''))")
+def _suffix_cases(spark, d):
+    k = F.col("s_suppkey")
+    return read_table(spark, d, "supplier").select(k, F.concat(
+        F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("shop-"), k.cast("string"), F.lit("."))),
+        F.get(F.array(*[F.lit(c) for c in SUFFIX_CASES]), (k % len(SUFFIX_CASES)).cast("int"))).alias("domain"))
 
 
-@register("g6_registered_domain", f"""
-SELECT page_id,
+@register("g5_domain_to_name", duck_name(_CASE_SQL, "domain", "s_suppkey, domain"))
+def q_g5(spark, d):
+    return G.domain_to_name(_suffix_cases(spark, d), "domain", G.suffix_rules(spark))
+
+
+_REGISTERED = f"""
+SELECT id, url,
   CASE WHEN k > 0 AND NOT regexp_matches(host, '^[0-9]+(\\.[0-9]+){{3}}$')
-       THEN labels[greatest(len(labels) - k, 1)] || '.' || array_to_string(labels[len(labels)-k+1:len(labels)], '.')
+       THEN CASE WHEN len(labels) > k THEN labels[len(labels) - k] ELSE '' END || '.' ||
+            array_to_string(labels[len(labels)-k+1:len(labels)], '.')
        ELSE (CASE WHEN regexp_matches(host, '^[0-9]+(\\.[0-9]+){{3}}$') THEN host ELSE labels[len(labels)] END) || '.'
   END AS registered
-FROM (SELECT page_id, host, string_split(host, '.') AS labels, {_duck_suffix_k('host')} AS k
-      FROM (SELECT page_id, {_HOST} AS host FROM pages) a) b""")
+FROM (SELECT id, url, host, string_split(host, '.') AS labels, {duck_suffix_k('host')} AS k
+      FROM (SELECT *, {duck_host('url')} AS host FROM (
+        SELECT page_id AS id, url FROM pages
+        UNION ALL SELECT -1 - s_suppkey, 'https://u@www.' || domain || ':8080/p' FROM {_CASE_SQL}) u) a) b"""
+
+
+@register("g6_registered_domain", _REGISTERED)
 def q_g6(spark, d):
-    p = read_table(spark, d, "pages")
-    return p.select("page_id", G.registered_domain(F.col("url")).alias("registered"))
+    p = read_table(spark, d, "pages").select(F.col("page_id").alias("id"), "url")
+    cases = _suffix_cases(spark, d).select((-1 - F.col("s_suppkey")).alias("id"), F.concat(
+        F.lit("https://u@www."), F.col("domain"), F.lit(":8080/p")).alias("url"))
+    return G.registered_domain(p.unionByName(cases), "url", G.suffix_rules(spark))
 
 
 @register("g7_url_path", """

@@ -50,7 +50,7 @@ def test_normalizers_differ_on_case(spark):
 
 
 def test_domain_to_name(spark):
-    df = col(spark, [c for c, _ in NAMES]).select("s", G.domain_to_name(F.col("s")).alias("o"))
+    df = G.domain_to_name(col(spark, [c for c, _ in NAMES]), "s", G.suffix_rules(spark), "o")
     got = {r.s: r.o for r in df.collect()}
     for raw, want in NAMES:
         assert got[raw] == want, raw
@@ -59,11 +59,21 @@ def test_domain_to_name(spark):
 @pytest.mark.parametrize("url,dom,path", [
     ("https://blog.example.co.uk/a/b?x=1", "example.co.uk", "/a/b"),
     ("http://example.com", "example.com", "/"),
+    ("https://foo.eu/x", "foo.eu", "/x"),
+    ("https://shop.foo.co.il/", "foo.co.il", "/"),
+    ("https://a.foo.com.tr/", "foo.com.tr", "/"),
+    ("https://a.b.x.ck/", "b.x.ck", "/"),
+    ("https://a.www.ck/", "www.ck", "/"),
+    ("https://a.city.kawasaki.jp/", "city.kawasaki.jp", "/"),
+    ("https://a.b.c.kawasaki.jp/", "b.c.kawasaki.jp", "/"),
+    ("https://a.b.pvt.k12.ma.us/", "b.pvt.k12.ma.us", "/"),
+    ("https://co.uk/", ".co.uk", "/"),
+    ("https://10.0.0.1/", "10.0.0.1.", "/"),
+    ("https://a.nosuchtld/", "nosuchtld.", "/"),
     ("https://user@shop.example.com.au:8443/p#top", "example.com.au", "/p"),
 ])
 def test_registered_domain_and_path(spark, url, dom, path):
-    r = col(spark, [url]).select(G.registered_domain(F.col("s")).alias("d"),
-                                 G.url_path(F.col("s")).alias("p")).first()
+    r = G.registered_domain(col(spark, [url]), "s", G.suffix_rules(spark), "d").withColumn("p", G.url_path(F.col("s"))).first()
     assert (r.d, r.p) == (dom, path)
 
 
@@ -81,3 +91,13 @@ def test_endpoint_slug(spark):
 def test_project_domain_name(spark):
     r = col(spark, ["parkside.com.au_001", "plain"]).select(G.project_domain_name(F.col("s")).alias("o"))
     assert [x.o for x in r.collect()] == ["parkside.com.au", "plain"]
+
+
+def test_missing_suffix_data_is_an_error(spark, tmp_path):
+    (tmp_path / "empty.txt").write_text("// nothing\n")
+    with pytest.raises(ValueError):
+        G.suffix_rules(spark, str(tmp_path / "empty.txt"))
+    with pytest.raises(FileNotFoundError):
+        G.suffix_rules(spark, str(tmp_path / "none.txt"))
+    with pytest.raises(ValueError):
+        G.domain_to_name(col(spark, ["a.com"]), "s", G.suffix_rules(spark).limit(0))

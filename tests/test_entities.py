@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from searchlake.functions.domains import suffix_rules
 from searchlake.operators import catalog as E
 from searchlake.operators import entities as Fx
 from searchlake.operators import reconcile as H
@@ -17,16 +18,20 @@ def test_add_domains_twice_gives_one_id(spark):
     domains = spark.createDataFrame([], DOM_SCHEMA)
     links = spark.createDataFrame([], LINK_SCHEMA)
     batch = spark.createDataFrame([("https://www.acme.com/", 0), ("acme.com", 1)], "raw string, pos bigint")
-    res, new_domains, new_links = Fx.add_domains(domains, links, batch, client_id=1)
+    rules = suffix_rules(spark)
+    res, new_domains, new_links = Fx.add_domains(domains, links, batch, rules, client_id=1)
     r = res.collect()
     assert len(r) == 1 and r[0].domain == "acme.com" and r[0].domain_name == "Acme" and not r[0].skipped
     assert new_domains.count() == 1 and new_links.count() == 1
-    res2, nd2, nl2 = Fx.add_domains(new_domains, new_links, batch, client_id=1)
+    res2, nd2, nl2 = Fx.add_domains(new_domains, new_links, batch, rules, client_id=1)
     r2 = res2.collect()
     assert r2[0].domain_id == r[0].domain_id and r2[0].skipped
     assert nd2.count() == 0 and nl2.count() == 0
     with pytest.raises(ValueError):
-        Fx.add_domains(domains, links, batch, client_id=1, priority="URGENT")
+        Fx.add_domains(domains, links, batch, rules, client_id=1, priority="URGENT")
+    clients = spark.createDataFrame([(2,)], "client_id bigint")
+    with pytest.raises(ValueError):
+        Fx.add_domains(domains, links, batch, rules, clients, client_id=1)
 
 
 def test_patch_priority_and_fields(spark):
