@@ -1,9 +1,9 @@
 """Call attempts and task states (C1-C12) over landed attempt logs.
 
 HTTP is not built; these operators read what the calls left behind. Per-target
-"first"/"last" picks use ``min``/``max`` of a struct (an ordinary partial
-aggregate), so a target with very many attempts never lands whole in one
-task or one window buffer.
+"first"/"last" picks use ``min``/``max`` of a struct (combined in each task
+before the shuffle), so a target with very many attempts never lands whole in
+one task or one window buffer.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from searchlake.operators.windows import running_sums
+
 # Task status codes of the remote API.
 OK = 20000
 SUBMITTED = 20100
@@ -36,13 +38,14 @@ def attempt_records(calls: DataFrame) -> DataFrame:
     Task status, message and cost come from ``tasks[0]`` of the response
     (cost 0.0 when absent or when there is no response); ``n_items`` is the
     item count of the first result; ``error`` defaults to the empty string.
+    With the flush's stamps (see ``ingest.attempt_log_rows``) and
+    ``is_terminal`` (:func:`mark_terminal`) these are the columns of the log.
     """
     r = F.from_json("response", _T0_SCHEMA)
     t0 = F.get(r["tasks"], 0)
     items = F.get(t0["result"], 0)["items"]
     return calls.select(
-        "job_id", "upload_id", "endpoint", "target", "attempt", "started_at",
-        "duration_ms", "http_status",
+        "endpoint", "target", "attempt", "started_at", "duration_ms", "thread_name", "http_status",
         t0["status_code"].try_cast("bigint").alias("task_status_code"),
         t0["status_message"].alias("task_status_message"),
         F.coalesce(t0["cost"].try_cast("double"), F.lit(0.0)).alias("task_cost"),
@@ -135,22 +138,35 @@ def failed_targets(attempts: DataFrame, max_error_retries: int = 3,
     ).where(F.col("reason").isNotNull())
 
 
-def empties_vs_successes(attempts: DataFrame, job_id: str | None = None,
-                         exact: bool = True) -> DataFrame:
-    """Median duration and count for empty vs non-empty answers."""
+def empties_vs_successes(attempts: DataFrame, job_id: str | None = None) -> DataFrame:
+    """Exact median duration and count for empty vs non-empty answers.
+
+    Durations are counted per millisecond value first (combined before the
+    shuffle); the median is read off the running counts of these histograms,
+    whose rows are distinct durations, not attempts.
+    """
     df = attempts if job_id is None else attempts.where(F.col("job_id") == job_id)
-    med = (F.percentile("duration_ms", 0.5) if exact
-           else F.percentile_approx("duration_ms", 0.5))
-    return df.groupBy((F.col("n_items") == 0).alias("is_empty")).agg(
-        med.alias("p50_ms"), F.count(F.lit(1)).alias("n"))
+    side = (F.col("n_items") == 0).alias("is_empty")
+    bins = df.groupBy(side, "duration_ms").agg(F.count(F.lit(1)).alias("c"))
+    total = bins.groupBy("is_empty").agg(F.sum("c").alias("n"),
+                                         F.sum(F.when(F.col("duration_ms").isNotNull(), F.col("c"))).alias("known"))
+    counted = running_sums(bins.where(F.col("duration_ms").isNotNull()), ["is_empty"], "duration_ms", {"upto": "c"})
+    at = counted.join(F.broadcast(total), "is_empty")  # at most three rows
+    # ranks are 1-based; an even count averages the two middle values
+    low, high = F.floor((F.col("known") + 1) / 2), F.ceil((F.col("known") + 1) / 2)
+    holds = lambda rank: (F.col("upto") >= rank) & (F.col("upto") - F.col("c") < rank)
+    mid = at.groupBy("is_empty").agg(((F.max(F.when(holds(low), F.col("duration_ms")))
+                                       + F.max(F.when(holds(high), F.col("duration_ms")))) / 2.0).alias("p50_ms"))
+    return total.join(mid, "is_empty", "left").select("is_empty", "p50_ms", "n")
 
 
 def cost_by_endpoint(attempts: DataFrame) -> DataFrame:
     """Cost sum and priced calls per endpoint plus a total row
-    (``endpoint`` null); calls without a cost are not counted."""
+    (``endpoint`` null); calls without a cost are not counted. Costs are
+    added as decimals, so the sum does not depend on the order."""
     priced = attempts.where(F.col("task_cost").isNotNull())
     return priced.rollup("endpoint").agg(
-        F.sum("task_cost").alias("total_cost"), F.count(F.lit(1)).alias("calls"),
+        F.sum(F.col("task_cost").cast("decimal(18,9)")).cast("double").alias("total_cost"), F.count(F.lit(1)).alias("calls"),
         F.grouping("endpoint").alias("is_total"))
 
 

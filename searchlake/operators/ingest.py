@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from searchlake.operators.ids import dense_index
 from searchlake.schemas import ENDPOINTS
 
+# Columns of an upload event, and of one row of the attempt log.
 UPLOAD_EVENT_SCHEMA = T.StructType([
     T.StructField("job_id", T.StringType(), False),
     T.StructField("upload_id", T.StringType(), False),
@@ -33,6 +34,27 @@ UPLOAD_EVENT_SCHEMA = T.StructType([
     T.StructField("notes", T.StringType()),
 ])
 
+ATTEMPT_LOG_SCHEMA = T.StructType([
+    T.StructField("job_id", T.StringType()),
+    T.StructField("upload_id", T.StringType()),
+    T.StructField("endpoint", T.StringType()),
+    T.StructField("target", T.StringType()),
+    T.StructField("attempt", T.LongType()),
+    T.StructField("is_terminal", T.BooleanType()),
+    T.StructField("started_at", T.StringType()),
+    T.StructField("duration_ms", T.LongType()),
+    T.StructField("thread_name", T.StringType()),
+    T.StructField("http_status", T.LongType()),
+    T.StructField("task_status_code", T.LongType()),
+    T.StructField("task_status_message", T.StringType()),
+    T.StructField("task_cost", T.DoubleType()),
+    T.StructField("n_items", T.LongType()),
+    T.StructField("payload", T.StringType()),
+    T.StructField("response", T.StringType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("ingest_timestamp", T.TimestampType()),
+])
+
 
 # ----------------------------------------------------------------- helpers
 def _fs(spark: SparkSession, path: str):
@@ -46,6 +68,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _read_lines(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+    finally:
+        stream.close()
+
+
+def _write_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray("\n".join(lines).encode()))
+    finally:
+        out.close()
+
+
 def validate_job_id(job_id: str) -> str:
     """A3: the job id must be a UUID."""
     try:
@@ -94,9 +141,12 @@ def to_table_layout(df: DataFrame, endpoint: str) -> DataFrame:
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType,
                  partition_col: str = "ingest_date") -> None:
-    """Create an empty table (schema only) so appends may go to it."""
-    empty = spark.createDataFrame([], schema).withColumn(partition_col, F.lit(None).cast("date"))
-    empty.write.mode("errorifexists").partitionBy(partition_col).parquet(path)
+    """Create an empty table so appends may go to it. A file without rows in
+    the null partition carries the schema, so that the table can be read."""
+    if path_exists(spark, path):
+        raise FileExistsError(f"table {path} exists")
+    empty = spark.createDataFrame([], schema).drop(partition_col)
+    empty.coalesce(1).write.parquet(f"{path}/{partition_col}=__HIVE_DEFAULT_PARTITION__")
 
 
 def append_batch(df: DataFrame, path: str, ts_col: str = "ingest_timestamp",
@@ -127,6 +177,45 @@ def append_batch(df: DataFrame, path: str, ts_col: str = "ingest_timestamp",
     return True
 
 
+def replace_upload(df: DataFrame, path: str, upload_id: str, ts_col: str | None = "ingest_timestamp",
+                   cluster=("domain_id", "job_id")) -> list[str]:
+    """A4 for streams: add the rows of one upload; a repeat with the same
+    ``upload_id`` replaces what the upload wrote before.
+
+    The rows go to a staging folder (hidden from readers), a manifest names
+    the final files, then the files are moved. Whatever step a failed attempt
+    got to, the next one deletes the files its manifest names and starts
+    over; nothing depends on the upload event or on how often it is tried.
+    ``ts_col`` None: the table has no day partitions. Returns the new files.
+    """
+    spark = df.sparkSession
+    manifest, staging = f"{path}/_uploads/{upload_id}", f"{path}/_staging/{upload_id}"
+    for name in _read_lines(spark, manifest):
+        _delete(spark, f"{path}/{name}")
+    _delete(spark, staging)
+    if ts_col is None:
+        df.coalesce(1).write.parquet(staging)
+    else:
+        out = df.withColumn("ingest_date", F.to_date(ts_col)).hint("rebalance", "ingest_date")
+        out.sortWithinPartitions("ingest_date", *cluster).write.partitionBy("ingest_date").parquet(staging)
+    fs, root = _fs(spark, staging)
+    base = fs.getFileStatus(root).getPath().toString().rstrip("/")
+    moves, files = [], fs.listFiles(root, True)
+    while files.hasNext():
+        source = files.next().getPath().toString()
+        folder, _, name = source[len(base) + 1:].rpartition("/")
+        if name.startswith("part-"):
+            moves.append((source, f"{folder}/{upload_id}-{name}".lstrip("/")))
+    _write_lines(spark, manifest, [m[1] for m in moves])
+    for source, name in moves:
+        _, target = _fs(spark, f"{path}/{name}")
+        fs.mkdirs(target.getParent())
+        if not fs.rename(_fs(spark, source)[1], target):
+            raise OSError(f"could not move {source}")
+    _delete(spark, staging)
+    return [f"{path}/{m[1]}" for m in moves]
+
+
 def upload_event(df: DataFrame, source: str, source_program: str, dataset: str, table: str,
                  client_id=None, project_id=None, notes=None) -> DataFrame:
     """A5: one audit row per (job_id, upload_id) of a written batch: row
@@ -143,13 +232,19 @@ def upload_event(df: DataFrame, source: str, source_program: str, dataset: str,
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in UPLOAD_EVENT_SCHEMA.fields])
 
 
-def append_attempts(attempts: DataFrame, path: str, events_path: str | None = None) -> None:
+def attempt_log_rows(records: DataFrame, job_id: str, upload_id: str | None = None, ts=None) -> DataFrame:
+    """Rows of the 18-column attempt log: C1 records with ``is_terminal``
+    (C3), stamped with the flush's job, upload and time."""
+    rows = stamp_upload(records, job_id, upload_id, ts)
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ATTEMPT_LOG_SCHEMA.fields])
+
+
+def append_attempts(rows: DataFrame, path: str, events_path: str | None = None) -> None:
     """Append attempt rows to the shared attempt log (partitioned by day,
     sorted by (job_id, endpoint)) and write one upload event per flush."""
-    append_batch(attempts, path, cluster=("job_id", "endpoint"))
-    if events_path is not None:
-        ev = upload_event(attempts, "debug_log", "attempt_log", "logs", "debug_request_logs")
-        ev.write.mode("append").parquet(events_path)
+    if append_batch(rows, path, cluster=("job_id", "endpoint")) and events_path is not None:
+        upload_event(rows, "debug_log", "attempt_log", "logs", "debug_request_logs") \
+            .write.mode("append").parquet(events_path)
 
 
 def snapshot(spark: SparkSession, src: str, dst: str) -> None:
@@ -158,16 +253,8 @@ def snapshot(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def _current_version(spark: SparkSession, base: str) -> int:
-    fs, p = _fs(spark, f"{base}/_CURRENT")
-    if not fs.exists(p):
-        return 0
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        return int(reader.readLine().strip())
-    finally:
-        stream.close()
+    lines = _read_lines(spark, f"{base}/_CURRENT")
+    return int(lines[0]) if lines else 0
 
 
 def reload(df: DataFrame, base: str) -> str:
@@ -178,12 +265,7 @@ def reload(df: DataFrame, base: str) -> str:
     version = _current_version(spark, base) + 1
     target = f"{base}/v{version}"
     df.write.mode("overwrite").parquet(target)
-    fs, p = _fs(spark, f"{base}/_CURRENT")
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(str(version).encode()))
-    finally:
-        out.close()
+    _write_lines(spark, f"{base}/_CURRENT", [str(version)])
     return target
 
 
@@ -236,8 +318,9 @@ def dedupe(df: DataFrame, key: list[str] | str, order_col: str = "ingest_timesta
     ties broken by the remaining columns in table order. ``key`` is a list of
     columns or an endpoint name (its declared key).
 
-    A grouped ``max`` of a struct, which Spark aggregates map-side, so a key
-    repeated very often is pre-reduced in each task and never sorted whole.
+    A grouped ``max`` of a struct, combined in each task before the shuffle
+    (as a sort aggregate: a task sorts its own rows), so a key repeated very
+    often reaches the shuffle once per task.
     """
     if isinstance(key, str):
         key = [c for c in ENDPOINTS[key].key]
@@ -259,39 +342,38 @@ def dedupe_stream(df: DataFrame, key: list[str] | str, watermark_col: str = "ing
 
 
 def assemble_pages(pages: DataFrame, mode: str, page_size: int = 1000, limit: int | None = None,
-                   cap: int = 20000) -> DataFrame:
+                   cap: int = 20000, run: tuple[str, ...] = ()) -> DataFrame:
     """Which landed pages of each target the paging loop keeps.
 
-    ``pages``: (target, offset, n_rows[, raw]). ``backlinks``: pages in
-    offset order until the first empty page (dropped) or short page (kept),
-    while offset < ``cap`` and fewer than ``limit`` rows were fetched; the
-    requested size of a page is min(page_size, limit - fetched).
-    ``ranked``: pages below ``limit`` until two empty pages in a row; empty
-    pages are not kept. Per-target page counts are bounded by cap/page size
-    or limit/page size, so the window groups are small.
+    ``pages``: (target, offset, n_rows[, raw]). ``run`` names the columns that
+    tell the fetches of one target apart (job or upload, and attempt); pages
+    of different runs never mix. ``backlinks``: pages in offset order until
+    the first empty page (dropped) or short page (kept), while offset <
+    ``cap`` and fewer than ``limit`` rows were fetched; the requested size of
+    a page is min(page_size, limit - fetched). ``ranked``: pages below
+    ``limit`` until two empty pages in a row; empty pages are not kept.
+    Pages past ``cap`` (``limit`` for ranked) go before the window, so a
+    group has at most cap / page size pages of one run.
     """
-    w = Window.partitionBy("target").orderBy("offset")
+    n, most = F.col("n_rows"), cap if mode == "backlinks" else limit
+    w = Window.partitionBy(*run, "target").orderBy("offset")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    n = F.col("n_rows")
+    df = pages if most is None else pages.where(F.col("offset") < most)
     if mode == "backlinks":
-        fetched = F.coalesce(F.sum(n).over(before), F.lit(0))
-        df = pages.withColumn("_fetched", fetched)
+        df = df.withColumn("_fetched", F.coalesce(F.sum(n).over(before), F.lit(0)))
         req = F.lit(page_size) if limit is None else F.least(F.lit(page_size), F.lit(limit) - F.col("_fetched"))
-        df = df.withColumn("_req", req)
-        df = df.withColumn("_stop", (n < F.col("_req")).cast("int"))
+        df = df.withColumn("_req", req).withColumn("_stop", (n < F.col("_req")).cast("int"))
         df = df.withColumn("_stopped", F.coalesce(F.max("_stop").over(before), F.lit(0)) == 1)
-        keep = (~F.col("_stopped")) & (n > 0) & (F.col("offset") < cap) & (F.col("_req") > 0)
-        return df.where(keep).drop("_fetched", "_req", "_stop", "_stopped")
+        return df.where((~F.col("_stopped")) & (n > 0) & (F.col("_req") > 0)).drop("_fetched", "_req", "_stop", "_stopped")
     if mode == "ranked":
-        two_empty = ((F.lag(n).over(w) == 0) & (n == 0)).cast("int")
-        df = pages.withColumn("_two", two_empty)
+        df = df.withColumn("_two", ((F.lag(n).over(w) == 0) & (n == 0)).cast("int"))
         df = df.withColumn("_stopped", F.coalesce(F.max("_two").over(before), F.lit(0)) == 1)
-        keep = (~F.col("_stopped")) & (n > 0) & ((F.col("offset") < limit) if limit is not None else F.lit(True))
-        return df.where(keep).drop("_two", "_stopped")
+        return df.where((~F.col("_stopped")) & (n > 0)).drop("_two", "_stopped")
     raise ValueError(mode)
 
 
-# Request payload defaults per endpoint.
+# Request payload defaults per endpoint, the payload fields of
+# targets, and batch sizes.
 PAYLOAD_DEFAULTS = {
     "serp_organic": {"location_code": 2840, "language_code": "en"},
     "backlinks": {"limit": 1000, "offset": 0, "filters": [["dofollow", "=", True]]},

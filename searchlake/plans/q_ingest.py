@@ -55,18 +55,20 @@ def q_a23(spark, d):
                                                    "job_id", "upload_id", "ingest_timestamp"))
 
 
-@register("a4_append_batch_roundtrip", """
-SELECT CAST(l_shipdate AS DATE) AS ingest_date, count(*) AS row_count,
-       CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS search_volume
-FROM lineitem GROUP BY 1""")
+@register("a4_append_batch_roundtrip", f"""
+SELECT CAST(l_shipdate AS DATE) AS ingest_date, 'kw' || CAST(l_partkey AS VARCHAR) AS keyword,
+       CAST(l_quantity AS BIGINT) AS search_volume, CAST(42 AS BIGINT) AS domain_id, 'site42.com' AS domain,
+       '{JOB}' AS job_id, '{UPLOAD}' AS upload_id, l_shipdate AS ingest_timestamp, CAST(0 AS BIGINT) AS rows_before
+FROM lineitem""")
 def q_a4(spark, d):
     path = scratch_path(spark, "ranked_table")
     schema = A.to_table_layout(_stamped(spark, d).limit(0), "ranked_keywords").schema
     A.create_table(spark, path, schema)
+    before = spark.read.parquet(path).count()
     A.append_batch(A.to_table_layout(_stamped(spark, d), "ranked_keywords"), path)
-    back = spark.read.parquet(path)
-    return back.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("row_count"),
-                                           F.sum("search_volume").alias("search_volume"))
+    return scalar_output(spark.read.parquet(path).select(
+        F.col("ingest_date").cast("date").alias("ingest_date"), "keyword", "search_volume", "domain_id", "domain", "job_id",
+        "upload_id", "ingest_timestamp", F.lit(before).cast("bigint").alias("rows_before")))
 
 
 @register("a5_upload_event", f"""
@@ -83,45 +85,59 @@ def q_a5(spark, d):
     return scalar_output(A.upload_event(rows, "api", "ranked", "warehouse", "ranked_keywords", client_id=7))
 
 
-@register("a6_append_attempts_roundtrip", W("""
-SELECT endpoint, count(*) AS n, CAST(sum(n_items) AS BIGINT) AS items FROM v_attempts GROUP BY endpoint""",
-                                            "v_attempts"))
-def q_a6(spark, d):
+def _attempt_log(spark, d):
+    """C1 and C3 output appended in two flushes; the log and its events."""
+    from searchlake.operators import attempts as C
     path, ev = scratch_path(spark, "attempt_log"), scratch_path(spark, "upload_events")
-    att = V.attempts(spark, d).withColumn("ingest_timestamp", F.col("started_at").cast("timestamp"))
-    A.create_table(spark, path, att.schema)
-    A.append_attempts(att, path, ev)
-    back = spark.read.parquet(path)
-    return back.groupBy("endpoint").agg(F.count(F.lit(1)).alias("n"), F.sum("n_items").alias("items"))
+    A.create_table(spark, path, A.ATTEMPT_LOG_SCHEMA)
+    calls = V.attempt_calls(spark, d)
+    for half, up in enumerate((UPLOAD, JOB)):
+        records = C.mark_terminal(C.attempt_records(calls.where(F.col("event_id") % 2 == half)))
+        A.append_attempts(A.attempt_log_rows(records, JOB, up, TS), path, ev)
+    return spark.read.parquet(path), spark.read.parquet(ev)
+
+
+@register("a6_append_attempts_roundtrip", W(f"""
+SELECT '{JOB}' AS job_id, CASE WHEN event_id % 2 = 0 THEN '{UPLOAD}' ELSE '{JOB}' END AS upload_id, endpoint,
+       CASE WHEN event_id % 9 = 0 THEN '["' || target || '","extra"]' ELSE target END AS target, attempt,
+       CASE WHEN http_status = 200 THEN n_items ELSE 0 END > 0 OR attempt >= 3 AS is_terminal,
+       strftime(started_at, '%Y-%m-%dT%H:%M:%S.%f') AS started_at, duration_ms, 'worker-' || event_id % 4 AS thread_name, http_status,
+       CASE WHEN http_status = 200 THEN task_status_code END AS task_status_code,
+       CASE WHEN http_status = 200 THEN task_status_message END AS task_status_message,
+       round(CASE WHEN http_status = 200 THEN coalesce(task_cost, 0.0) ELSE 0.0 END, 6) AS task_cost,
+       CASE WHEN http_status = 200 THEN n_items ELSE 0 END AS n_items,
+       '[{{"keyword":"' || target || '","location_code":2840}}]' AS payload, http_status = 200 AS has_response,
+       coalesce(error, '') AS error, TIMESTAMP '{TS}' AS ingest_timestamp
+FROM v_attempts""", "v_attempts"))
+def q_a6(spark, d):
+    log, _ = _attempt_log(spark, d)
+    assert sorted(c for c in log.columns if c != "ingest_date") == sorted(A.ATTEMPT_LOG_SCHEMA.names)
+    return scalar_output(log.withColumn("has_response", F.col("response").isNotNull()).drop("response", "ingest_date"))
 
 
-@register("a6_attempt_upload_events", W("""
-SELECT count(*) AS events, CAST(sum(c) AS BIGINT) AS rows FROM (
-  SELECT job_id, upload_id, count(*) AS c FROM v_attempts GROUP BY 1, 2) x""", "v_attempts"))
+@register("a6_attempt_upload_events", W(f"""
+SELECT '{JOB}' AS job_id, CASE WHEN event_id % 2 = 0 THEN '{UPLOAD}' ELSE '{JOB}' END AS upload_id, count(*) AS row_count
+FROM v_attempts GROUP BY 2""", "v_attempts"))
 def q_a6e(spark, d):
-    path, ev = scratch_path(spark, "attempt_log"), scratch_path(spark, "upload_events")
-    att = V.attempts(spark, d).withColumn("ingest_timestamp", F.col("started_at").cast("timestamp"))
-    A.create_table(spark, path, att.schema)
-    A.append_attempts(att, path, ev)
-    back = spark.read.parquet(ev)
-    return back.agg(F.count(F.lit(1)).alias("events"), F.sum("row_count").alias("rows"))
+    _, events = _attempt_log(spark, d)
+    return events.select("job_id", "upload_id", "row_count")
 
 
-@register("a7_snapshot", "SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys FROM customer")
+@register("a7_snapshot", "SELECT * FROM customer")
 def q_a7(spark, d):
     src, dst = scratch_path(spark, "clients"), scratch_path(spark, "clients_backup")
     read_table(spark, d, "customer").write.parquet(src)
     A.snapshot(spark, src, dst)
-    return spark.read.parquet(dst).agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
+    return spark.read.parquet(dst)
 
 
-@register("a8_reload", "SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F'")
+@register("a8_reload", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'F'")
 def q_a8(spark, d):
     base = scratch_path(spark, "projects")
-    o = read_table(spark, d, "orders")
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     A.reload(o, base)
     A.reload(o.where(F.col("o_orderstatus") == "F"), base)
-    return A.read_current(spark, base).agg(F.count(F.lit(1)).alias("n"))
+    return A.read_current(spark, base)
 
 
 @register("a9_a10_inventory_csv_roundtrip", W("""

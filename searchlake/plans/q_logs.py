@@ -135,7 +135,7 @@ def q_d11(spark, d):
 
 # ------------------------------------------------------------------ C rows
 @register("c1_attempt_records", W("""
-SELECT job_id, upload_id, endpoint,
+SELECT endpoint, 'worker-' || event_id % 4 AS thread_name,
        CASE WHEN event_id % 9 = 0 THEN '["' || target || '","extra"]' ELSE target END AS target,
        attempt, strftime(started_at, '%Y-%m-%dT%H:%M:%S.%f') AS started_at, duration_ms, http_status,
        CASE WHEN http_status = 200 THEN task_status_code END AS task_status_code,
@@ -242,14 +242,14 @@ def q_c8(spark, d):
 
 
 @register("c9_empties_vs_successes", W("""
-SELECT n_items = 0 AS is_empty, quantile_cont(duration_ms, 0.5) AS p50_ms, count(*) AS n
+SELECT n_items = 0 AS is_empty, quantile_cont(duration_ms, 0.5)::DOUBLE AS p50_ms, count(*) AS n
 FROM v_attempts GROUP BY 1""", "v_attempts"))
 def q_c9(spark, d):
     return scalar_output(A.empties_vs_successes(V.attempts(spark, d)))
 
 
 @register("c10_cost_by_endpoint", W("""
-SELECT endpoint, round(sum(task_cost), 6) AS total_cost, count(*) AS calls,
+SELECT endpoint, round(CAST(sum(CAST(task_cost AS DECIMAL(18, 9))) AS DOUBLE), 6) AS total_cost, count(*) AS calls,
        CAST(grouping(endpoint) AS TINYINT) AS is_total
 FROM v_attempts WHERE task_cost IS NOT NULL GROUP BY ROLLUP (endpoint)""", "v_attempts"))
 def q_c10(spark, d):

@@ -229,7 +229,8 @@ def attempt_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(target.isNotNull(), F.to_json(target)).otherwise(F.col("target")).alias("target"),
         "attempt",
         F.date_format("started_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("started_at"),
-        "duration_ms", "http_status", payload.alias("payload"), resp.alias("response"), "error",
+        "duration_ms", F.concat(F.lit("worker-"), (F.col("event_id") % 4).cast("string")).alias("thread_name"),
+        "http_status", payload.alias("payload"), resp.alias("response"), "error",
     )
 
 
