@@ -93,16 +93,23 @@ def with_prices(usage: DataFrame) -> DataFrame:
             .drop("_model", "def_in", "def_out"))
 
 
-def cost_expr(in_tok: Column, out_tok: Column) -> Column:
-    return (in_tok * F.col("in_per_m") / F.lit(1_000_000.0)
-            + out_tok * F.col("out_per_m") / F.lit(1_000_000.0))
+def cost_units(in_tok: Column, out_tok: Column) -> Column:
+    """Tokens x price as a decimal, in millionths of a USD. Prices have two
+    places, so sums of units are exact in any order; a cost is the sum of
+    units as a double divided by a million, rounded once."""
+    price = lambda c: F.col(c).cast("decimal(9,4)")
+    return in_tok.cast("decimal(18,0)") * price("in_per_m") + out_tok.cast("decimal(18,0)") * price("out_per_m")
+
+
+def in_usd(units: Column) -> Column:
+    return units.cast("double") / F.lit(1_000_000.0)
 
 
 def call_cost(usage: DataFrame, in_col: str = "input_tokens",
               out_col: str = "output_tokens") -> DataFrame:
     """Cost in USD of each call."""
     priced = with_prices(usage)
-    return priced.withColumn("cost", cost_expr(F.col(in_col), F.col(out_col))).drop(
+    return priced.withColumn("cost", in_usd(cost_units(F.col(in_col), F.col(out_col)))).drop(
         "in_per_m", "out_per_m")
 
 
@@ -121,8 +128,8 @@ def batch_estimate(jobs: DataFrame) -> DataFrame:
     df = (df.withColumn("estimated_input_tokens", F.col("total_questions") * F.col("avg_input_tokens"))
           .withColumn("estimated_output_tokens", F.col("total_questions") * F.col("avg_output_tokens")))
     df = with_prices(df)
-    df = df.withColumn("total_cost", cost_expr(F.col("estimated_input_tokens"),
-                                               F.col("estimated_output_tokens")))
+    df = df.withColumn("total_cost", in_usd(cost_units(F.col("estimated_input_tokens"),
+                                                       F.col("estimated_output_tokens"))))
     df = df.withColumn("cost_per_item", F.when(F.col("total_questions") > 0,
                                                F.col("total_cost") / F.col("total_questions"))
                        .otherwise(F.lit(0.0)))
@@ -138,24 +145,24 @@ def format_cost(c: Column) -> Column:
             .otherwise(F.format_string("$%.2f", c)))
 
 
-def step_costs(usage: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """I4: cost per step and total (``step`` null). Steps without a model use
-    the fixed three-step form, and anything else the default gpt-4o."""
-    spark = usage.sparkSession
-    steps = spark.createDataFrame(STEP_MODELS, "step string, _sm string, _sp string")
-    u = usage.join(F.broadcast(steps), "step", "left")
-    u = (u.withColumn("model", F.coalesce("model", "_sm", F.lit("gpt-4o")))
-         .withColumn("provider", F.coalesce("provider", "_sp", F.lit("openai")))
-         .drop("_sm", "_sp"))
-    priced = call_cost(u)
+def step_costs(usage: DataFrame, group: list[str] | None = None,
+               step_models: list[tuple[str, str, str]] | None = None) -> DataFrame:
+    """I4: cost per step and total (``step`` null). A step without a model
+    takes the default gpt-4o; ``step_models=STEP_MODELS`` is the fixed
+    three-step form, in which the steps named there have their own models."""
+    u = usage
+    if step_models:
+        steps = usage.sparkSession.createDataFrame(step_models, "step string, _sm string, _sp string")
+        u = (u.join(F.broadcast(steps), "step", "left").withColumn("model", F.coalesce("model", "_sm"))
+             .withColumn("provider", F.coalesce("provider", "_sp")).drop("_sm", "_sp"))
+    u = u.withColumns({"model": F.coalesce("model", F.lit("gpt-4o")), "provider": F.coalesce("provider", F.lit("openai"))})
+    units = with_prices(u).withColumn("_units", cost_units(F.col("input_tokens"), F.col("output_tokens")))
     keys = (group or []) + ["step"]
-    out = priced.rollup(*keys).agg(F.sum("cost").alias("cost"),
-                                   F.grouping_id(*keys).alias("_gid"))
+    out = units.rollup(*keys).agg(F.sum("_units").alias("_units"), F.grouping_id(*keys).alias("_gid"))
     # keep the per-step rows and the per-group totals, not partial group keys
-    full = 0
-    step_total = 1
-    return out.where(F.col("_gid").isin(full, step_total) |
-                     (F.col("_gid") == (1 << len(keys)) - 1)).drop("_gid")
+    full, step_total = 0, 1
+    out = out.where(F.col("_gid").isin(full, step_total) | (F.col("_gid") == (1 << len(keys)) - 1))
+    return out.select(*keys, in_usd(F.col("_units")).alias("cost"))
 
 
 def session_totals(turns: DataFrame, key: str = "conv_id", pos: str = "turn",

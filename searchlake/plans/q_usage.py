@@ -20,6 +20,15 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
 
 
+def _units(tokens_in: str, tokens_out: str) -> str:
+    return (f"(CAST({tokens_in} AS DECIMAL(18,0)) * CAST(in_per_m AS DECIMAL(9,4))"
+            f" + CAST({tokens_out} AS DECIMAL(18,0)) * CAST(out_per_m AS DECIMAL(9,4)))")
+
+
+def _usd(units: str) -> str:
+    return f"CAST({units} AS DOUBLE) / 1000000.0"
+
+
 PRICED = f"""
 priced AS (
   SELECT u.*, coalesce(p.in_m, d.in_m, 2.5) AS in_per_m, coalesce(p.out_m, d.out_m, 10.0) AS out_per_m
@@ -35,12 +44,12 @@ priced AS (
 @register("i1_call_cost", W(f"""
 WITH src AS (SELECT * FROM v_usage), {PRICED}
 SELECT conv_id, turn, provider, model, input_tokens, output_tokens,
-       round(input_tokens * in_per_m / 1000000.0 + output_tokens * out_per_m / 1000000.0, 9) AS cost
+       {_usd(_units('input_tokens', 'output_tokens'))} AS cost
 FROM priced""", "v_usage"))
 def q_i1(spark, d):
     u = V.usage(spark, d).select("conv_id", "turn", "provider", "model", "input_tokens",
                                  "output_tokens")
-    return scalar_output(I.call_cost(u), digits=9)
+    return I.call_cost(u)
 
 
 def _jobs(spark, d):
@@ -68,14 +77,14 @@ src AS (SELECT source, lang,
           CASE WHEN lang = 'en' THEN 'openai' ELSE 'perplexity' END AS provider FROM g), {PRICED}
 SELECT source, lang, total_questions, total_questions * avg_in AS estimated_input_tokens,
        total_questions * 1000 AS estimated_output_tokens,
-       round((total_questions * avg_in) * in_per_m / 1000000.0 + (total_questions * 1000) * out_per_m / 1000000.0, 6) AS total_cost,
-       round(CASE WHEN total_questions > 0 THEN ((total_questions * avg_in) * in_per_m / 1000000.0
-             + (total_questions * 1000) * out_per_m / 1000000.0) / total_questions ELSE 0.0 END, 6) AS cost_per_item
+       {_usd(_units('total_questions * avg_in', 'total_questions * 1000'))} AS total_cost,
+       CASE WHEN total_questions > 0 THEN {_usd(_units('total_questions * avg_in', 'total_questions * 1000'))} / total_questions
+            ELSE 0.0 END AS cost_per_item
 FROM priced""")
 def q_i2(spark, d):
     est = I.batch_estimate(_jobs(spark, d))
-    return scalar_output(est.select("source", "lang", "total_questions", "estimated_input_tokens",
-                                    "estimated_output_tokens", "total_cost", "cost_per_item"))
+    return est.select("source", "lang", "total_questions", "estimated_input_tokens",
+                      "estimated_output_tokens", "total_cost", "cost_per_item")
 
 
 @register("i3_format_cost", W("""
@@ -90,18 +99,30 @@ def q_i3(spark, d):
     return u.select("conv_id", "turn", I.format_cost(c).alias("cost_text"))
 
 
-@register("i4_step_costs", W(f"""
-WITH src AS (SELECT conv_id, step, input_tokens, output_tokens,
-                    CASE step WHEN 'enrichment' THEN 'openai' WHEN 'answer' THEN 'openai' ELSE 'perplexity' END AS provider,
-                    CASE step WHEN 'enrichment' THEN 'gpt-4o-mini' WHEN 'answer' THEN 'gpt-4o' ELSE 'sonar' END AS model
+def _i4_sql(provider: str, model: str) -> str:
+    return W(f"""
+WITH src AS (SELECT conv_id, step, input_tokens, output_tokens, {provider} AS provider, {model} AS model
              FROM v_usage), {PRICED}
-SELECT conv_id, step, round(sum(input_tokens * in_per_m / 1000000.0 + output_tokens * out_per_m / 1000000.0), 6) AS cost
-FROM priced GROUP BY GROUPING SETS ((conv_id, step), (conv_id), ())""", "v_usage"))
+SELECT conv_id, step, {_usd(f"sum({_units('input_tokens', 'output_tokens')})")} AS cost
+FROM priced GROUP BY GROUPING SETS ((conv_id, step), (conv_id), ())""", "v_usage")
+
+
+def _unmodelled(spark, d):
+    return V.usage(spark, d).select("conv_id", "step", "input_tokens", "output_tokens",
+                                    F.lit(None).cast("string").alias("model"),
+                                    F.lit(None).cast("string").alias("provider"))
+
+
+@register("i4_step_costs", _i4_sql(
+    "CASE step WHEN 'enrichment' THEN 'openai' WHEN 'answer' THEN 'openai' ELSE 'perplexity' END",
+    "CASE step WHEN 'enrichment' THEN 'gpt-4o-mini' WHEN 'answer' THEN 'gpt-4o' ELSE 'sonar' END"))
 def q_i4(spark, d):
-    u = V.usage(spark, d).select("conv_id", "step", "input_tokens", "output_tokens",
-                                 F.lit(None).cast("string").alias("model"),
-                                 F.lit(None).cast("string").alias("provider"))
-    return scalar_output(I.step_costs(u, group=["conv_id"]))
+    return I.step_costs(_unmodelled(spark, d), group=["conv_id"], step_models=I.STEP_MODELS)
+
+
+@register("i4_step_costs_default_model", _i4_sql("'openai'", "'gpt-4o'"))
+def q_i4_default(spark, d):
+    return I.step_costs(_unmodelled(spark, d), group=["conv_id"])
 
 
 @register("i5_session_totals", W("""
