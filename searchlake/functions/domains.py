@@ -21,14 +21,14 @@ BROADCAST_RULES = 20_000
 _WS = r"(?s)^\s+|\s+$"
 
 
-def _strip(c: Column) -> Column:
+def strip(c: Column) -> Column:
     """Python ``str.strip()``: all leading and trailing whitespace."""
     return F.regexp_replace(c, _WS, "")
 
 
 def _head(s: Column) -> Column:
     """Shared head of G1 and G2: strip, lower, cut scheme, drop leading www."""
-    d = F.lower(_strip(s))
+    d = F.lower(strip(s))
     d = F.regexp_replace(d, r"(?s)^.*?://", "")
     return F.regexp_replace(d, r"^www\.", "")
 
@@ -37,7 +37,7 @@ def clean_domain(s: Column) -> Column:
     """G1: bare host of a URL or domain text (no scheme, www, path, port)."""
     d = F.regexp_replace(_head(s), r"(?s)[/?#].*$", "")
     d = F.regexp_replace(d, r":[^:]*$", "")
-    return _strip(d)
+    return strip(d)
 
 
 def clean_domain_keep_path(s: Column) -> Column:
@@ -61,7 +61,7 @@ def normalize_domain_sql(s: Column) -> Column:
 
 def normalize_domain_review(s: Column) -> Column:
     """Trim first, case-insensitive prefix strip; null -> empty."""
-    d = F.regexp_replace(_strip(s), r"(?i)^(?:https?://)?(?:www\.)?", "")
+    d = F.regexp_replace(strip(s), r"(?i)^(?:https?://)?(?:www\.)?", "")
     d = F.regexp_replace(d, r"/+$", "")
     d = F.regexp_replace(d, r"\s+", "")
     return F.coalesce(F.lower(d), F.lit(""))

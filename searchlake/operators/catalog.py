@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from searchlake.session import cut_lineage
 
 # Dataset type prefixes, in lookup order.
 DEFAULT_DATASET_PREFIXES = [
@@ -204,26 +203,31 @@ def client_datasets(links: DataFrame, catalog: DataFrame, client_id=None,
 
 
 def dataset_assignment(links: DataFrame, clients: DataFrame) -> DataFrame:
-    """The client holding each dataset (active links; lowest client id
-    when more than one), joined to the client name."""
-    act = links.where(F.col("is_active"))
-    first = act.groupBy("dataset_id").agg(F.min("client_id").alias("client_id"))
+    """The client holding each dataset by any link, active or not (the
+    lowest client id when more than one), joined to the client name."""
+    first = links.join(clients.select("client_id"), "client_id", "left_semi").groupBy("dataset_id").agg(
+        F.min("client_id").alias("client_id"))
     return first.join(clients.select("client_id", "client_name"), "client_id", "inner")
 
 
-def approve_matches(catalog: DataFrame, links: DataFrame, approvals: DataFrame):
+def approve_matches(catalog: DataFrame, links: DataFrame, approvals: DataFrame, now):
     """Upsert the approved datasets into the catalog (link path: the
-    hostname given overwrites) and add the links not present yet.
-    Returns (catalog, new_links, count)."""
-    found = approvals.select(F.col("dataset_id").alias("dataset"), "dataset_type", "hostname")
-    new_catalog = upsert_datasets(catalog, found, keep_hostname=False)
-    new_links = (approvals.select("client_id", "domain_id", "dataset_id")
+    hostname given overwrites; made active, stamped ``now``) and add the links
+    not present yet. A dataset approved twice takes its last approval by
+    client id. Returns (catalog, new_links, count of approvals)."""
+    last = approvals.groupBy("dataset_id").agg(F.max(F.struct("client_id", "dataset_type", "hostname")).alias("_a"))
+    found = last.select(F.col("dataset_id").alias("dataset"), "_a.dataset_type", "_a.hostname")
+    new_catalog = upsert_datasets(catalog, found, keep_hostname=False, now=now)
+    new_links = (approvals.select("client_id", "domain_id", "dataset_id").distinct()
                  .join(links.select("client_id", "dataset_id"), ["client_id", "dataset_id"], "left_anti")
                  .withColumn("is_active", F.lit(True)))
-    return new_catalog, new_links
+    return new_catalog, new_links, approvals.agg(F.count(F.lit(1)).alias("saved"))
 
 
 # ----------------------------------------------------------------- E14
+GRAMS = (1, 2, 4, 8, 16)
+
+
 def _norm_host(c: Column) -> Column:
     """lower case, ``www.`` removed wherever it occurs"""
     return F.replace(F.lower(c), F.lit("www."), F.lit(""))
@@ -270,13 +274,17 @@ def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFra
     lower-cased with ``www.`` removed. Ties: domain text, then id.
 
     Candidates come from a union of equi joins (exact key, first label, and
-    for the substring rule the name's substrings of the lengths known
-    domains have, at most 253), ranked per dataset.
+    for the substring rule a gram: the key's first 16, 8, 4, 2 or 1
+    characters, whichever it has, against the same-sized grams of the name;
+    the whole key is then checked), ranked per dataset. A name of n
+    characters makes at most 5 n gram rows, whatever lengths domains have.
+
+    Returns one row per dataset: ``status`` is ``known``, ``proposed`` or
+    ``unmatched``; ``hostname`` is the cleaned host of a proposed ga4 dataset,
+    else the proposed domain; an unmatched dataset shows its own host name if
+    it is ga4, else none (the substring rule, tried last, clears it).
     """
-    # the lookup feeds three joins and the length list: materialize it once
-    # (reliable checkpoint in the shared folder) instead of re-aggregating
-    # the client-domain links for each of them
-    lookup = cut_lineage(match_lookup(client_domains, domains))
+    lookup = match_lookup(client_domains, domains)
     link_agg = links.groupBy(F.col("dataset_id").alias("dataset")).agg(
         F.min("domain_id").alias("domain_id"), F.min("client_id").alias("client_id"))
     cat = catalog.select("dataset", "dataset_type", "hostname")
@@ -295,21 +303,17 @@ def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFra
                                   F.lower(F.replace(F.substring(ds, len("jepto_gsc_") + 1, 1 << 30),
                                                     F.lit("_"), F.lit("."))).alias("h"))))
     host_c = _host_candidates(hosts, lookup)
-    # substring rule: the name contains the key; candidate keys are the
-    # name's substrings of the lengths keys have (a proven bound, read once)
-    lengths = sorted(r[0] for r in lookup.select(F.length("key")).distinct().limit(254).collect())
-    if len(lengths) > 253:
-        raise ValueError("domain lengths exceed the host-name bound of 253")
-    lens = F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")
+    # substring rule: grams of the name meet the first gram of a key
+    size = F.array_max(F.filter(F.array(*[F.lit(g) for g in GRAMS]), lambda g: g <= F.length("key")))
+    grams = lookup.drop("first_label").where(F.length("key") > 0).withColumn("size", size).withColumn(
+        "gram", F.substring(F.col("key"), F.lit(1), F.col("size")))
     names = open_.where(typ.isNull() | (typ != "ga4")).select(
         "dataset", F.replace(low, F.lit("_"), F.lit(".")).alias("nm"))
-    starts = names.select("dataset", "nm", F.explode(F.sequence(F.lit(1), F.length("nm"))).alias("i"))
-    fits = F.filter(lens, lambda n: n <= F.length("nm") - F.col("i") + 1)
-    # no distinct: a repeated (dataset, key) only repeats an equally ranked
-    # candidate, and skipping it saves a shuffle of every substring
-    subs = (starts.select("dataset", "nm", "i", F.explode(fits).alias("len"))
-            .select("dataset", F.substring("nm", F.col("i"), F.col("len")).alias("key")))
-    sub_c = subs.join(lookup.drop("first_label"), "key").select(
+    starts = names.where(F.length("nm") > 0).select("dataset", "nm", F.explode(F.sequence(F.lit(1), F.length("nm"))).alias("i"))
+    fits = F.filter(F.array(*[F.lit(g) for g in GRAMS]), lambda g: g <= F.length("nm") - F.col("i") + 1)
+    subs = (starts.select("dataset", "nm", "i", F.explode(fits).alias("size"))
+            .select("dataset", "nm", "size", F.substring("nm", F.col("i"), F.col("size")).alias("gram")))
+    sub_c = subs.join(grams, ["size", "gram"]).where(F.contains("nm", "key")).select(
         "dataset", F.lit(4).alias("rule"), F.lit(0).alias("sub"), "key", "client_id", "domain_id", "domain")
     cands = host_c.unionByName(sub_c)
     length_key = F.when(F.col("rule") == 4, -F.length("key")).otherwise(F.length("key"))
@@ -323,6 +327,13 @@ def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFra
     for k, v in names_of_rule.items():
         cond = F.col("rule") == k
         rule_name = F.when(cond, F.lit(v)) if rule_name is None else rule_name.when(cond, F.lit(v))
+    # the substring rule, tried last, leaves no host name when it finds nothing
+    missed = F.when(typ == "ga4", F.col("hostname"))
+    rule = F.col("rule")
     return (cat.join(known.unionByName(best), "dataset", "left")
-            .select("dataset", "dataset_type", "client_id", "domain_id", "domain", "rule",
-                    rule_name.alias("match_rule")))
+            .select("dataset", "dataset_type", "client_id", "domain_id", "domain", "rule", rule_name.alias("match_rule"),
+                    F.when(rule == 0, F.lit("known")).when(rule.isNotNull(), F.lit("proposed"))
+                    .otherwise(F.lit("unmatched")).alias("status"),
+                    F.when(rule == 0, F.col("hostname"))
+                    .when(rule.isNotNull() & (typ == "ga4"), _norm_host(F.col("hostname")))
+                    .when(rule.isNotNull(), F.col("domain")).otherwise(missed).alias("hostname")))

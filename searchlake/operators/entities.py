@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from searchlake.functions.domains import clean_domain, clean_domain_keep_path, domain_to_name
 from searchlake.functions.domains import registered_name
+from searchlake.operators.catalog import dataset_assignment, upsert_datasets
 from searchlake.operators.ids import dense_index
 
 # Link priorities, default priority and statuses.
@@ -223,7 +224,7 @@ def delete_keys(table: DataFrame, keys: DataFrame, key_cols: list[str]) -> DataF
 
 
 def deactivate_clients(clients: DataFrame, ids: DataFrame, client_domains: DataFrame,
-                       domains: DataFrame, client_datasets: DataFrame, cascade: bool = True):
+                       domains: DataFrame, client_datasets: DataFrame, cascade: bool = False):
     """switch clients off. With ``cascade`` also switch off their
     domains that no other active client is linked to (own or competitor),
     and all their dataset links.
@@ -274,21 +275,21 @@ def format_ids(ids: DataFrame, id_col: str) -> DataFrame:
     return ids.withColumn("formatted", F.lpad(s, F.greatest(F.lit(width), F.length(s)), "0"))
 
 
-def add_client_datasets(client_datasets: DataFrame, catalog: DataFrame, batch: DataFrame):
+def add_client_datasets(client_datasets: DataFrame, catalog: DataFrame, batch: DataFrame,
+                        clients: DataFrame, now):
     """F16: link datasets to clients.
 
-    Returns (warnings, catalog_rows, new_links): a warning for each dataset
-    already held by another client, catalog upserts for datasets not known
-    yet, and the link rows not present yet.
+    ``batch``: client_id, dataset_id, dataset_type, hostname, domain_id,
+    notes. Returns (warnings, catalog, new_links): a warning for each batch
+    row whose dataset has any link already (active or not, of any client;
+    the lowest client id is named), the catalog after the upsert (link path:
+    type and hostname overwrite, active, stamped ``now``; a dataset given
+    twice takes its last row by client id), and one link row per batch row.
     """
-    held = client_datasets.where(F.col("is_active")).select(
-        "dataset_id", F.col("client_id").alias("held_by"))
-    warnings = (batch.join(held, "dataset_id")
-                .where(F.col("held_by") != F.col("client_id"))
-                .select("dataset_id", "client_id", "held_by"))
-    new_catalog = (batch.select(F.col("dataset_id").alias("dataset")).distinct()
-                   .join(catalog.select("dataset"), "dataset", "left_anti"))
-    new_links = (batch.join(client_datasets.select("client_id", "dataset_id"),
-                            ["client_id", "dataset_id"], "left_anti")
-                 .withColumn("is_active", F.lit(True)))
-    return warnings, new_catalog, new_links
+    held = dataset_assignment(client_datasets, clients).select(
+        "dataset_id", F.col("client_id").alias("held_by"), F.col("client_name").alias("held_by_name"))
+    warnings = batch.join(held, "dataset_id").select("dataset_id", "client_id", "held_by", "held_by_name")
+    last = batch.groupBy("dataset_id").agg(F.max(F.struct("client_id", "dataset_type", "hostname")).alias("_l"))
+    found = last.select(F.col("dataset_id").alias("dataset"), "_l.dataset_type", "_l.hostname")
+    new_links = batch.select("client_id", "domain_id", "dataset_id", F.lit(True).alias("is_active"), "notes")
+    return warnings, upsert_datasets(catalog, found, keep_hostname=False, now=now), new_links

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from searchlake.functions.domains import clean_domain_keep_path, normalize_domain_sql
+from searchlake.functions.domains import clean_domain_keep_path, normalize_domain_sql, strip
+from searchlake.operators.ingest import UPLOAD_EVENT_SCHEMA
 from searchlake.schemas import SENTINEL
 
 
@@ -133,34 +134,43 @@ def backfill_ids_by_hour(df: DataFrame, table: str) -> DataFrame:
 
 
 def backfill_upload_by_job_hour(df: DataFrame, table: str) -> DataFrame:
-    """H7: only upload_id is the sentinel: a new id per (job_id, hour);
-    job_id never changes."""
+    """H7: a sentinel upload_id becomes a new id per (job_id, hour); job_id
+    never changes, also where it is the sentinel itself."""
     hb = F.date_format(hour_bucket(), "yyyy-MM-dd HH:mm:ss")
     up = synthetic_id(F.lit(table), F.col("job_id"), hb)
-    only_up = (F.col("upload_id") == SENTINEL) & (F.col("job_id") != SENTINEL)
-    return df.withColumn("upload_id", F.when(only_up, up).otherwise(F.col("upload_id")))
+    return df.withColumn("upload_id", F.when(F.col("upload_id") == SENTINEL, up).otherwise(F.col("upload_id")))
 
 
 def backfill_events(before: DataFrame, table: str, mode: str = "both",
-                    dataset: str = "warehouse") -> DataFrame:
-    """H8: one upload event per new upload id, with its row count and a note
-    naming the hour. ``mode`` is the backfill that made the ids: ``both``
-    (H6) or ``upload`` (H7); the same deterministic ids are recomputed."""
+                    dataset: str = "warehouse", now=None) -> DataFrame:
+    """H8: one upload event per group of backfilled rows, with its row count
+    and a note naming the hour.
+
+    ``both`` (H6): one event per hour, under the hour's pair of synthetic
+    ids, for all rows of the hour with either sentinel. ``upload`` (H7): one
+    event per (job_id, hour). All columns of the upload log; the event's time
+    is ``now`` (default: the current time).
+    """
+    hb = F.date_format("hour_bucket", "yyyy-MM-dd HH:mm:ss")
     if mode == "both":
         marked = before.where((F.col("job_id") == SENTINEL) | (F.col("upload_id") == SENTINEL))
-        after = backfill_ids_by_hour(marked, table)
+        g = marked.groupBy(hour_bucket().alias("hour_bucket")).agg(F.count(F.lit(1)).alias("row_count"))
+        g = g.withColumns({"job_id": synthetic_id(F.lit(table), F.lit("job"), hb),
+                           "upload_id": synthetic_id(F.lit(table), F.lit("upload"), hb)})
     else:
-        marked = before.where((F.col("upload_id") == SENTINEL) & (F.col("job_id") != SENTINEL))
-        after = backfill_upload_by_job_hour(marked, table)
-    g = after.groupBy("job_id", "upload_id", hour_bucket().alias("hour_bucket")).agg(
-        F.count(F.lit(1)).alias("row_count"))
-    return g.select(
+        marked = before.where(F.col("upload_id") == SENTINEL)
+        g = marked.groupBy("job_id", hour_bucket().alias("hour_bucket")).agg(F.count(F.lit(1)).alias("row_count"))
+        g = g.withColumn("upload_id", synthetic_id(F.lit(table), F.col("job_id"), hb))
+    none = F.lit(None).cast("string")
+    out = g.select(
         "job_id", "upload_id", F.lit("backfill").alias("source"),
         F.lit("migration").alias("source_program"), F.lit(dataset).alias("dataset"),
         F.lit(table).alias("table_name"), "row_count",
-        F.col("hour_bucket").alias("ingest_timestamp"),
+        (F.current_timestamp() if now is None else F.lit(now).cast("timestamp")).alias("ingest_timestamp"),
+        none.alias("client_id"), none.alias("project_id"),
         F.concat(F.lit("backfill of rows ingested in hour "),
                  F.date_format("hour_bucket", "yyyy-MM-dd HH:00")).alias("notes"))
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in UPLOAD_EVENT_SCHEMA.fields])
 
 
 # ----------------------------------------------------------------- H9-H14
@@ -230,22 +240,22 @@ def inventory_overlap(inv: DataFrame, a: str, b: str) -> DataFrame:
 def parse_decisions(decisions: DataFrame) -> DataFrame:
     """Decision text -> action (MATCH / CREATE / SKIP), domain id for
     MATCH, provision target for CREATE (the raw domain for bare CREATE), or
-    an error for blank and unparseable decisions."""
-    d = F.trim(F.coalesce(F.col("decision"), F.lit("")))
-    raw = F.trim(F.col("raw_domain").cast("string"))
-    m_id = F.regexp_extract(d, r"^MATCH\s+(\d+)$", 1)
-    c_tgt = F.trim(F.regexp_extract(d, r"^CREATE\s+(.+)$", 1))
+    an error for blank and unreadable decisions. ``pos`` is kept if given."""
+    d = strip(F.coalesce(F.col("decision"), F.lit("")))
+    raw = strip(F.col("raw_domain").cast("string"))
+    m_id = F.regexp_extract(d, r"^MATCH\s+(\d+)$", 1).try_cast("bigint")
+    c_tgt = strip(F.regexp_extract(d, r"(?s)^CREATE\s+(.+)$", 1))
     action = (F.when(d == "", F.lit(None))
               .when(d == "SKIP", F.lit("SKIP"))
-              .when(m_id != "", F.lit("MATCH"))
+              .when(m_id.isNotNull(), F.lit("MATCH"))
               .when(d == "CREATE", F.lit("CREATE"))
               .when(c_tgt != "", F.lit("CREATE")))
-    error = (F.when(d == "", F.concat(F.lit("empty decision for raw="), raw))
-             .when(action.isNull(), F.concat(F.lit("unparseable decision for raw="), raw,
-                                             F.lit(": "), d)))
+    error = (F.when(d == "", F.concat(F.lit("no decision for "), raw))
+             .when(action.isNull(), F.concat(F.lit("cannot read the decision for "), raw, F.lit(": "), d)))
     return decisions.select(
+        *[F.col("pos")] * ("pos" in decisions.columns),
         raw.alias("raw_domain"), action.alias("action"),
-        F.when(action == "MATCH", m_id.cast("bigint")).alias("domain_id"),
+        F.when(action == "MATCH", m_id).alias("domain_id"),
         F.when(action == "MATCH", F.col("meta_match_domain")).alias("canonical"),
         F.when(d == "CREATE", raw).when(action == "CREATE", c_tgt).alias("provision_target"),
         error.alias("error"))
@@ -259,7 +269,7 @@ def provision_list(parsed: DataFrame) -> DataFrame:
 
 def auto_decide(inventory: DataFrame) -> DataFrame:
     """An undecided row suggested MATCH with an id becomes ``MATCH id``."""
-    undecided = F.trim(F.coalesce(F.col("decision"), F.lit(""))) == ""
+    undecided = strip(F.coalesce(F.col("decision"), F.lit(""))) == ""
     auto = undecided & (F.col("suggested") == "MATCH") & F.col("meta_match_domain_id").isNotNull()
     return inventory.withColumn("decision", F.when(auto, F.concat(
         F.lit("MATCH "), F.col("meta_match_domain_id").cast("string"))).otherwise(F.col("decision")))
@@ -267,7 +277,7 @@ def auto_decide(inventory: DataFrame) -> DataFrame:
 
 def decision_progress(inventory: DataFrame) -> DataFrame:
     """H12 counts: total, already decided, auto-MATCH, left for review."""
-    decided = F.trim(F.coalesce(F.col("decision"), F.lit(""))) != ""
+    decided = strip(F.coalesce(F.col("decision"), F.lit(""))) != ""
     return inventory.agg(F.count(F.lit(1)).alias("total"), F.count_if(decided).alias("already_done"),
                          F.count_if(F.col("suggested") == "MATCH").alias("auto_matches")) \
         .withColumn("remaining_manual", F.col("total") - F.col("auto_matches") - F.col("already_done"))
@@ -276,23 +286,32 @@ def decision_progress(inventory: DataFrame) -> DataFrame:
 def decision_map(parsed: DataFrame, added: DataFrame):
     """Raw -> (domain_id, canonical) for MATCH and CREATE rows. CREATE
     looks up the G2-cleaned target in ``added`` (domain, domain_id); a miss is
-    an error. Returns (mapping, errors)."""
-    match = parsed.where(F.col("action") == "MATCH").select("raw_domain", "domain_id", "canonical")
+    an error. A raw domain decided more than once takes the last decision (by
+    ``pos``, if given). Returns (mapping, errors)."""
+    pos = F.col("pos") if "pos" in parsed.columns else F.lit(0)
+    match = parsed.where(F.col("action") == "MATCH").select(pos.alias("pos"), "raw_domain", "domain_id", "canonical")
     create = (parsed.where(F.col("action") == "CREATE")
-              .select("raw_domain", clean_domain_keep_path(F.col("provision_target")).alias("domain")))
+              .select(pos.alias("pos"), "raw_domain", clean_domain_keep_path(F.col("provision_target")).alias("domain")))
     found = create.join(added.select("domain", "domain_id"), "domain", "left")
     ok = found.where(F.col("domain_id").isNotNull()).select(
-        "raw_domain", "domain_id", F.col("domain").alias("canonical"))
+        "pos", "raw_domain", "domain_id", F.col("domain").alias("canonical"))
     errors = found.where(F.col("domain_id").isNull()).select("raw_domain", "domain")
-    return match.unionByName(ok), errors
+    return _one_per_raw(match.unionByName(ok)), errors
+
+
+def _one_per_raw(mapping: DataFrame) -> DataFrame:
+    keys = [c for c in ("pos", "domain_id", "canonical") if c in mapping.columns]
+    last = mapping.groupBy("raw_domain").agg(F.max(F.struct(*keys)).alias("_m"))
+    return last.select("raw_domain", "_m.domain_id", "_m.canonical")
 
 
 def apply_mapping(table: DataFrame, mapping: DataFrame) -> DataFrame:
     """Set domain_id and domain where domain equals a mapped raw value.
-    The mapping has one row per raw domain; it is broadcast when AQE sees it
-    is small, else shuffled."""
-    m = mapping.select(F.col("raw_domain").alias("domain"), F.col("domain_id").alias("_id"),
-                       F.col("canonical").alias("_canon"))
+    A raw domain mapped more than once counts once (its last entry), so rows
+    never multiply. The mapping is broadcast when AQE sees it is small, else
+    shuffled."""
+    m = _one_per_raw(mapping).select(F.col("raw_domain").alias("domain"), F.col("domain_id").alias("_id"),
+                                     F.col("canonical").alias("_canon"))
     j = table.join(m, "domain", "left")
     hit = F.col("_id").isNotNull()
     return j.withColumns({"domain_id": F.when(hit, F.col("_id")).otherwise(F.col("domain_id")),
@@ -308,18 +327,20 @@ def mapping_coverage(table: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- H15-H19
 def normalize_values(df: DataFrame, cols: list[str]) -> DataFrame:
     """Drift normalization: whole doubles compare equal to integers, NaN is
-    null, booleans stay booleans."""
+    null. Next to each value as text stands its kind (``_kind_<column>``), so
+    that the text ``1`` and the number 1 differ."""
     out = []
     for f in df.select(*cols).schema.fields:
-        c = F.col(f.name)
+        c, kind = F.col(f"`{f.name}`"), "text"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             d = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
-            c = F.when(d == F.floor(d), F.floor(d).cast("string")).otherwise(d.cast("string"))
+            whole = (d == F.floor(d)) & (F.abs(d) < 2.0**63)
+            c, kind = F.when(whole, F.floor(d).cast("string")).otherwise(d.cast("string")), "number"
         elif isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-            c = c.cast("bigint").cast("string")
+            c, kind = c.cast("bigint").cast("string"), "number"
         elif not isinstance(f.dataType, T.StringType):
-            c = c.cast("string")
-        out.append(c.alias(f.name))
+            c, kind = c.cast("string"), f.dataType.typeName()
+        out += [c.alias(f.name), F.when(c.isNotNull(), F.lit(kind)).alias(f"_kind_{f.name}")]
     return df.select(*out)
 
 
@@ -328,7 +349,7 @@ def drift(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
     ``a`` and only in ``b``. One union and one signed grouped count."""
     na = normalize_values(a, cols).withColumn("_s", F.lit(1))
     nb = normalize_values(b, cols).withColumn("_s", F.lit(-1))
-    g = na.unionByName(nb).groupBy(*cols).agg(F.sum("_s").alias("_net"))
+    g = na.unionByName(nb).groupBy(*cols, *[f"_kind_{c}" for c in cols]).agg(F.sum("_s").alias("_net"))
     return g.where(F.col("_net") != 0).select(
         *cols, F.when(F.col("_net") > 0, F.lit("only_a")).otherwise(F.lit("only_b")).alias("side"),
         F.abs("_net").alias("n"))
@@ -343,6 +364,34 @@ def drift_summary(a: DataFrame, b: DataFrame, cols: list[str], name: str) -> Dat
                     .otherwise(F.lit("DRIFT")).alias("status"))
 
 
+#: The compared columns of each entity table.
+DRIFT_TABLES = {
+    "clients": ["client_id", "client_name", "abbreviation", "is_active", "notes"],
+    "domains": ["domain_id", "domain", "domain_name", "is_active", "notes"],
+    "client_domains": ["client_id", "domain_id", "is_competitor", "priority", "notes"],
+    "projects": ["project_id", "client_id", "project_type", "project_name", "status", "notes"],
+    "project_domains": ["project_id", "domain_id", "role", "priority", "notes"],
+    "dataset_catalog": ["dataset", "dataset_type", "hostname", "is_standardized", "owner", "active"],
+    "client_datasets": ["client_id", "domain_id", "dataset_id", "is_active", "notes"],
+    "table_catalog": ["dataset", "table_name", "row_count", "size_bytes", "is_active"],
+}
+
+
+def drift_report(a: dict[str, DataFrame], b: dict[str, DataFrame], split_ids: DataFrame | None = None) -> DataFrame:
+    """One summary row per entity table. ``split_ids`` (project_id,
+    old_id) maps ids given by a project split (H17) back before comparing."""
+    parts = []
+    for name, cols in DRIFT_TABLES.items():
+        if name not in a:
+            continue
+        other = b[name]
+        if split_ids is not None and "project_id" in cols:
+            other = other.join(split_ids, "project_id", "left").withColumn(
+                "project_id", F.coalesce("old_id", "project_id"))
+        parts.append(drift_summary(a[name], other, cols, name))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def orphans(checks: list[tuple[str, DataFrame, list[str], DataFrame, list[str]]]) -> DataFrame:
     """Child rows whose parent key is missing, one anti join per check.
 
@@ -361,45 +410,64 @@ def orphans(checks: list[tuple[str, DataFrame, list[str], DataFrame, list[str]]]
     return reduce(DataFrame.unionByName, parts)
 
 
+def entity_orphans(clients: DataFrame, domains: DataFrame, client_domains: DataFrame, projects: DataFrame,
+                   project_domains: DataFrame, client_datasets: DataFrame) -> DataFrame:
+    """The seven foreign-key checks of the entity tables."""
+    cd = client_domains.select("client_id", "domain_id")
+    pd = project_domains.select("project_id", "domain_id")
+    ds = client_datasets.select("client_id", "domain_id", "dataset_id")
+    return orphans([
+        ("client_domains_bad_client", cd, ["client_id"], clients, ["client_id"]),
+        ("client_domains_bad_domain", cd, ["domain_id"], domains, ["domain_id"]),
+        ("projects_bad_client", projects.select("project_id", "client_id"), ["client_id"], clients, ["client_id"]),
+        ("project_domains_bad_project", pd, ["project_id"], projects, ["project_id"]),
+        ("project_domains_bad_domain", pd, ["domain_id"], domains, ["domain_id"]),
+        ("client_datasets_bad_client", ds, ["client_id"], clients, ["client_id"]),
+        ("client_datasets_bad_domain", ds, ["domain_id"], domains, ["domain_id"]),
+    ])
+
+
 def split_collided(projects: DataFrame, links: DataFrame, domains: DataFrame,
                    keepers: DataFrame | None = None):
     """Project ids used by more than one row. The named keeper (else the
-    first row by name) keeps the id; the others get new ids above the
-    maximum; links follow by (old id, domain). Returns (projects, links).
-
-    Keys of the id remap are (project_id, domain of the project name with a
-    trailing ``_digits`` stripped).
+    first row by name) keeps the id; each other row gets its own new id above
+    the maximum; links follow by (old id, domain).
+
+    A project's domain is its name with a trailing ``_digits`` stripped. Rows
+    are moved one by one, never joined back, so no row multiplies. Two rows
+    of one id with the same domain cannot be told apart by their links; these
+    pairs are reported, and their links stay with the kept row or go to the
+    first new id. Returns (projects, links, remap, duplicates): remap has
+    (project_id, old_id), duplicates (project_id, domain, n).
     """
     from searchlake.functions.domains import project_domain_name
     from searchlake.operators.ids import dense_index
     p = projects.withColumn("_dom", project_domain_name(F.col("project_name")))
-    counts = p.groupBy("project_id").agg(F.count(F.lit(1)).alias("_n"))
-    coll = p.join(counts.where(F.col("_n") > 1), "project_id")
+    shared = p.groupBy("project_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("project_id")
+    coll = p.join(shared, "project_id", "left_semi")
     if keepers is not None:
         coll = coll.join(keepers.select("project_id", F.col("domain").alias("_keep")), "project_id", "left")
     else:
         coll = coll.withColumn("_keep", F.lit(None).cast("string"))
-    has_keeper = F.max((F.col("_dom") == F.col("_keep")).cast("int")).over(
-        Window.partitionBy("project_id"))
-    coll = coll.withColumn("_has_keeper", F.coalesce(has_keeper, F.lit(0)) == 1)
-    coll = coll.withColumn("_is_keeper_row", F.when(F.col("_has_keeper"), F.col("_dom") == F.col("_keep"))
-                           .otherwise(F.lit(False)))
-    first_row = F.min(F.struct(F.col("_is_keeper_row").cast("int") * -1, F.col("project_name"))).over(
-        Window.partitionBy("project_id"))
-    coll = coll.withColumn("_keeps", F.struct(F.col("_is_keeper_row").cast("int") * -1,
-                                              F.col("project_name")) == first_row)
+    order = Window.partitionBy("project_id").orderBy(
+        F.coalesce(F.col("_dom") == F.col("_keep"), F.lit(False)).desc(), "project_name",
+        F.xxhash64(*[F.col(c) for c in projects.columns]))
+    coll = coll.withColumn("_nth", F.row_number().over(order))
     maxid = projects.agg(F.max("project_id")).first()[0] or 0
-    movers = dense_index(coll.where(~F.col("_keeps")), ["project_id", "project_name"],
-                         start=maxid + 1, name="_new_id")
-    remap = movers.select("project_id", "_dom", "_new_id")
-    new_p = (p.join(remap, ["project_id", "_dom"], "left")
-             .withColumn("project_id", F.coalesce("_new_id", "project_id"))
-             .drop("_new_id", "_dom"))
-    ldom = links.join(domains.select("domain_id", F.col("domain").alias("_dom")), "domain_id", "left")
-    new_l = (ldom.join(remap, ["project_id", "_dom"], "left")
-             .withColumn("project_id", F.coalesce("_new_id", "project_id"))
-             .drop("_new_id", "_dom"))
-    return new_p.select(*projects.columns), new_l.select(*links.columns)
+    movers = dense_index(coll.where("_nth > 1"), ["project_id", "_nth"], start=maxid + 1, name="_new_id")
+    kept = coll.where("_nth = 1")
+    new_p = (p.join(shared, "project_id", "left_anti").select(*projects.columns)
+             .unionByName(kept.select(*projects.columns))
+             .unionByName(movers.withColumn("project_id", F.col("_new_id")).select(*projects.columns)))
+    remap = movers.select(F.col("_new_id").alias("project_id"), F.col("project_id").alias("old_id"))
+    target = (movers.join(kept.select("project_id", "_dom"), ["project_id", "_dom"], "left_anti")
+              .groupBy("project_id", "_dom").agg(F.min("_new_id").alias("_new_id")))
+    new_l = (links.join(domains.select("domain_id", F.col("domain").alias("_dom")), "domain_id", "left")
+             .join(target, ["project_id", "_dom"], "left")
+             .withColumn("project_id", F.coalesce("_new_id", "project_id")))
+    duplicates = (coll.groupBy("project_id", F.col("_dom").alias("domain")).agg(F.count(F.lit(1)).alias("n"))
+                  .where(F.col("n") > 1))
+    return new_p, new_l.select(*links.columns), remap, duplicates
 
 
 def project_to_schema(df: DataFrame, target_cols: list[str]):

@@ -146,6 +146,32 @@ def q_e9(spark, d):
     return scalar_output(E.upsert_datasets(V.dataset_catalog(spark, d), found, True, NOW))
 
 
+@register("e9_upsert_datasets_link_path", W(f"""
+WITH found AS (SELECT dataset, {_CLASSIFY} AS dataset_type, {_GSC_HOST} AS hostname
+               FROM v_dataset_names WHERE part_id % 4 <> 0)
+SELECT coalesce(c.dataset, f.dataset) AS dataset,
+       CASE WHEN f.dataset IS NOT NULL THEN f.dataset_type ELSE c.dataset_type END AS dataset_type,
+       CASE WHEN f.dataset IS NOT NULL THEN f.hostname ELSE c.hostname END AS hostname,
+       c.is_standardized, c.owner,
+       CASE WHEN f.dataset IS NOT NULL THEN true ELSE c.active END AS active,
+       CASE WHEN f.dataset IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE c.updated_at END AS updated_at
+FROM v_dataset_catalog c FULL OUTER JOIN found f ON c.dataset = f.dataset""",
+                                            "v_dataset_names", "v_dataset_catalog"))
+def q_e9l(spark, d):
+    names = V.dataset_names(spark, d).where(F.col("part_id") % 4 != 0)
+    found = E.classify_datasets(names).select(
+        "dataset", "dataset_type", E.gsc_hostname(F.col("dataset")).alias("hostname"))
+    return scalar_output(E.upsert_datasets(V.dataset_catalog(spark, d), found, False, NOW))
+
+
+@register("e10_prune_datasets_full", W("""
+SELECT * FROM v_dataset_catalog c WHERE c.dataset IN (SELECT dataset FROM v_dataset_names WHERE part_id % 8 <> 0)""",
+                                       "v_dataset_names", "v_dataset_catalog"))
+def q_e10f(spark, d):
+    live = V.dataset_names(spark, d).where(F.col("part_id") % 8 != 0)
+    return scalar_output(E.prune_datasets(V.dataset_catalog(spark, d), live, full=True))
+
+
 @register("e10_prune_datasets", W(f"""
 SELECT * FROM v_dataset_catalog c
 WHERE NOT (c.dataset NOT IN (SELECT dataset FROM v_dataset_names WHERE part_id % 8 <> 0)
@@ -175,8 +201,8 @@ def q_e12(spark, d):
 
 @register("e13_dataset_assignment", W("""
 SELECT f.client_id, f.dataset_id, c.client_name
-FROM (SELECT dataset_id, min(client_id) AS client_id FROM v_client_datasets WHERE is_active
-      GROUP BY dataset_id) f JOIN v_clients c ON c.client_id = f.client_id""",
+FROM (SELECT dataset_id, min(client_id) AS client_id FROM v_client_datasets
+      WHERE client_id IN (SELECT client_id FROM v_clients) GROUP BY dataset_id) f JOIN v_clients c ON c.client_id = f.client_id""",
                                       "v_dataset_names", "v_client_datasets", "v_clients"))
 def q_e13(spark, d):
     return E.dataset_assignment(V.client_datasets(spark, d), V.clients(spark, d))
@@ -220,7 +246,12 @@ known AS (SELECT l.dataset, l.client_id, l.domain_id, d.domain, 0 AS rule
 m AS (SELECT * FROM known UNION ALL SELECT * FROM best)
 SELECT c.dataset, c.dataset_type, m.client_id, m.domain_id, m.domain, m.rule,
        CASE m.rule WHEN 0 THEN 'known' WHEN 1 THEN 'host' WHEN 2 THEN 'sc_domain'
-                   WHEN 3 THEN 'jepto_gsc' WHEN 4 THEN 'substring' END AS match_rule
+                   WHEN 3 THEN 'jepto_gsc' WHEN 4 THEN 'substring' END AS match_rule,
+       CASE WHEN m.rule = 0 THEN 'known' WHEN m.rule IS NOT NULL THEN 'proposed' ELSE 'unmatched' END AS status,
+       CASE WHEN m.rule = 0 THEN c.hostname
+            WHEN m.rule IS NOT NULL AND c.dataset_type = 'ga4' THEN replace(lower(c.hostname), 'www.', '')
+            WHEN m.rule IS NOT NULL THEN m.domain
+            WHEN c.dataset_type = 'ga4' THEN c.hostname END AS hostname
 FROM v_dataset_catalog c LEFT JOIN m ON m.dataset = c.dataset"""
 
 
@@ -231,31 +262,50 @@ def q_e14(spark, d):
                             V.client_domains(spark, d), V.domains(spark, d))
 
 
-@register("e15_approve_matches_links", W("""
+_APPROVALS = """
 WITH owner AS (SELECT domain_id, min(client_id) AS client_id FROM v_client_domains GROUP BY 1),
-appr AS (SELECT o.client_id, p.domain_id, p.dataset AS dataset_id FROM (
-           SELECT dataset, domain_id FROM v_dataset_catalog c JOIN v_domains d
+appr AS (SELECT o.client_id, p.domain_id, p.dataset AS dataset_id, p.dataset_type, p.hostname FROM (
+           SELECT c.dataset, c.dataset_type, d.domain AS hostname, domain_id FROM v_dataset_catalog c JOIN v_domains d
              ON d.domain = replace(replace(split_part(lower(c.dataset), '_sc_domain_', 2), '_', '.'), 'www.', '')
-           WHERE contains(lower(c.dataset), '_sc_domain_')) p JOIN owner o ON o.domain_id = p.domain_id)
-SELECT client_id, domain_id, dataset_id, true AS is_active FROM appr a
-WHERE NOT EXISTS (SELECT 1 FROM v_client_datasets l
-                  WHERE l.client_id = a.client_id AND l.dataset_id = a.dataset_id)""",
-                                         "v_dataset_names", "v_dataset_catalog", "v_client_datasets",
-                                         "v_domains", "v_client_domains"))
-def q_e15(spark, d):
+           WHERE contains(lower(c.dataset), '_sc_domain_')) p JOIN owner o ON o.domain_id = p.domain_id)"""
+_APPROVAL_VIEWS = ("v_dataset_names", "v_dataset_catalog", "v_client_datasets", "v_domains", "v_client_domains")
+
+
+def _approved(spark, d):
     cat = V.dataset_catalog(spark, d)
-    dom = V.domains(spark, d)
     owner = V.client_domains(spark, d).groupBy("domain_id").agg(F.min("client_id").alias("client_id"))
     sc = F.replace(F.replace(F.element_at(F.split(F.lower("dataset"), "_sc_domain_", 2), 2),
                              F.lit("_"), F.lit(".")), F.lit("www."), F.lit(""))
     picks = (cat.where(F.lower("dataset").contains("_sc_domain_"))
-             .select("dataset", "dataset_type", "hostname", sc.alias("domain"))
-             .join(dom.select("domain", "domain_id"), "domain"))
-    appr = picks.join(owner, "domain_id").select("client_id", "domain_id",
-                                                 F.col("dataset").alias("dataset_id"),
-                                                 "dataset_type", "hostname")
-    _, new_links = E.approve_matches(cat, V.client_datasets(spark, d), appr)
-    return new_links
+             .select("dataset", "dataset_type", sc.alias("domain"))
+             .join(V.domains(spark, d).select("domain", "domain_id"), "domain"))
+    appr = picks.join(owner, "domain_id").select("client_id", "domain_id", F.col("dataset").alias("dataset_id"),
+                                                 "dataset_type", F.col("domain").alias("hostname"))
+    return E.approve_matches(cat, V.client_datasets(spark, d), appr, NOW)
+
+
+@register("e15_approve_matches_links", W(_APPROVALS + """
+SELECT client_id, domain_id, dataset_id, true AS is_active FROM appr a
+WHERE NOT EXISTS (SELECT 1 FROM v_client_datasets l
+                  WHERE l.client_id = a.client_id AND l.dataset_id = a.dataset_id)""", *_APPROVAL_VIEWS))
+def q_e15(spark, d):
+    return _approved(spark, d)[1]
+
+
+@register("e15_approve_matches_catalog", W(_APPROVALS + f""",
+last AS (SELECT * FROM appr QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY client_id DESC) = 1)
+SELECT c.dataset, coalesce(a.dataset_type, c.dataset_type) AS dataset_type,
+       CASE WHEN a.dataset_id IS NOT NULL THEN a.hostname ELSE c.hostname END AS hostname, c.is_standardized, c.owner,
+       CASE WHEN a.dataset_id IS NOT NULL THEN true ELSE c.active END AS active,
+       CASE WHEN a.dataset_id IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE c.updated_at END AS updated_at
+FROM v_dataset_catalog c LEFT JOIN last a ON a.dataset_id = c.dataset""", *_APPROVAL_VIEWS))
+def q_e15c(spark, d):
+    return scalar_output(_approved(spark, d)[0])
+
+
+@register("e15_approve_matches_count", W(_APPROVALS + " SELECT count(*) AS saved FROM appr", *_APPROVAL_VIEWS))
+def q_e15n(spark, d):
+    return _approved(spark, d)[2]
 
 
 # ------------------------------------------------------------------ F rows
@@ -396,6 +446,31 @@ def q_f10p(spark, d):
     return Fx.patch(cd, ch, ["client_id", "domain_id"])
 
 
+@register("f10_patch_set_null", W("""
+SELECT client_id, CASE WHEN client_id % 6 = 0 THEN upper(client_name) ELSE client_name END AS client_name,
+       CASE WHEN client_id % 4 = 0 THEN NULL ELSE abbreviation END AS abbreviation, is_active,
+       CASE WHEN client_id % 4 = 0 AND client_id % 6 = 0 THEN NULL ELSE notes END AS notes
+FROM v_clients""", "v_clients"))
+def q_f10n(spark, d):
+    c = V.clients(spark, d).drop("created_at")
+    k = F.col("client_id")
+    nulls = F.when((k % 4 == 0) & (k % 6 == 0), F.array(F.lit("abbreviation"), F.lit("notes"))).when(
+        k % 4 == 0, F.array(F.lit("abbreviation"))).otherwise(F.array().cast("array<string>"))
+    changes = c.select("client_id", F.when(k % 6 == 0, F.upper("client_name")).alias("client_name"),
+                       F.lit(None).cast("string").alias("abbreviation"), F.lit(None).cast("string").alias("notes"),
+                       nulls.alias("to_null"))
+    return Fx.patch(c, changes, ["client_id"], set_null="to_null")
+
+
+@register("f10_project_status", W("""
+SELECT project_id, CASE WHEN project_id % 11 = 0 THEN 'active' WHEN project_id % 5 = 0 THEN 'completed' ELSE status END AS status
+FROM v_projects""", "v_projects"))
+def q_f10s(spark, d):
+    p = V.projects(spark, d).select("project_id", "status")
+    done = Fx.set_status(p, p.where(F.col("project_id") % 5 == 0), "project_id", "status", "completed")
+    return Fx.set_status(done, p.where(F.col("project_id") % 11 == 0), "project_id", "status", "active")
+
+
 @register("f11_link_project_domains", W("""
 SELECT DISTINCT l_orderkey AS project_id, (l_suppkey + 1) AS domain_id, 'competitor' AS role,
        'HIGH' AS priority, CAST(NULL AS VARCHAR) AS notes
@@ -436,10 +511,24 @@ def q_f13(spark, d):
     ids = read_table(spark, d, "customer").where(F.col("c_nationkey") == 3).select(
         F.col("c_custkey").alias("client_id"))
     _, _, links = Fx.deactivate_clients(V.clients(spark, d), ids, V.client_domains(spark, d),
-                                        V.domains(spark, d), V.client_datasets(spark, d))
+                                        V.domains(spark, d), V.client_datasets(spark, d), cascade=True)
     return scalar_output(links)
 
 
+@register("f13_deactivate_clients_no_cascade", W(_F13 + """
+SELECT 'clients' AS what, count(*) FILTER (NOT is_active) AS off FROM newc
+UNION ALL SELECT 'domains', count(*) FILTER (NOT is_active) FROM v_domains
+UNION ALL SELECT 'datasets', count(*) FILTER (NOT is_active) FROM v_client_datasets""",
+                                                 "v_clients", "v_client_domains", "v_domains", "v_dataset_names", "v_client_datasets"))
+def q_f13n(spark, d):
+    ids = read_table(spark, d, "customer").where(F.col("c_nationkey") == 3).select(F.col("c_custkey").alias("client_id"))
+    out = Fx.deactivate_clients(V.clients(spark, d), ids, V.client_domains(spark, d), V.domains(spark, d),
+                                V.client_datasets(spark, d))
+    parts = [df.agg(F.count_if(~F.col("is_active")).alias("off")).select(F.lit(what).alias("what"), "off")
+             for what, df in zip(("clients", "domains", "datasets"), out)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register("f13_deactivate_clients_domains", W(_F13 + """
 SELECT domain_id, domain, domain_name,
        CASE WHEN domain_id IN (SELECT domain_id FROM orphaned) THEN false ELSE is_active END AS is_active, notes
@@ -448,7 +537,7 @@ def q_f13d(spark, d):
     ids = read_table(spark, d, "customer").where(F.col("c_nationkey") == 3).select(
         F.col("c_custkey").alias("client_id"))
     _, doms, _ = Fx.deactivate_clients(V.clients(spark, d), ids, V.client_domains(spark, d),
-                                       V.domains(spark, d), V.client_datasets(spark, d))
+                                       V.domains(spark, d), V.client_datasets(spark, d), cascade=True)
     return doms
 
 
@@ -458,7 +547,7 @@ def q_f13c(spark, d):
     ids = read_table(spark, d, "customer").where(F.col("c_nationkey") == 3).select(
         F.col("c_custkey").alias("client_id"))
     clients, _, _ = Fx.deactivate_clients(V.clients(spark, d), ids, V.client_domains(spark, d),
-                                          V.domains(spark, d), V.client_datasets(spark, d))
+                                          V.domains(spark, d), V.client_datasets(spark, d), cascade=True)
     return clients.select("client_id", "is_active")
 
 
@@ -494,6 +583,19 @@ def q_f14u(spark, d):
     return unknown.select("target_id")
 
 
+@register("f14_resolve_domains_to_create", W(f"""
+WITH t AS (SELECT {raw_domain('(l_suppkey + (l_orderkey % 2) * 500000)', 'l_orderkey')} AS target
+           FROM lineitem WHERE l_orderkey % 3 <> 0),
+c AS (SELECT target, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        lower(trim(target)), '^.*?://', ''), '^www\\.', ''), '[/?#].*$', ''), ':[^:]*$', '')) AS domain FROM t)
+SELECT target FROM c WHERE domain NOT IN (SELECT domain FROM v_domains)""", "v_domains"))
+def q_f14c(spark, d):
+    li = read_table(spark, d, "lineitem").where(F.col("l_orderkey") % 3 != 0)
+    ok, sk = F.col("l_orderkey"), F.col("l_suppkey")
+    t = li.select(F.lit(None).cast("bigint").alias("target_id"), V.raw_domain(sk + (ok % 2) * 500000, ok).alias("target"))
+    return Fx.resolve_domains(V.domains(spark, d), t)[2]
+
+
 @register("f15_format_ids", """
 SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR),
        CAST(greatest((SELECT max(length(CAST(c_custkey AS VARCHAR))) FROM customer),
@@ -503,18 +605,45 @@ def q_f15(spark, d):
     return Fx.format_ids(read_table(spark, d, "customer").select("c_custkey"), "c_custkey")
 
 
-@register("f16_add_client_datasets_warnings", W("""
-WITH batch AS (SELECT DISTINCT o_custkey % 50 AS client_id, n.dataset AS dataset_id
-               FROM orders o JOIN v_dataset_names n ON n.part_id = o.o_orderkey % 200
-               WHERE o.o_orderkey % 7 = 0)
-SELECT b.dataset_id, b.client_id, h.client_id AS held_by
-FROM batch b JOIN v_client_datasets h ON h.dataset_id = b.dataset_id
-WHERE h.is_active AND h.client_id <> b.client_id""", "v_dataset_names", "v_client_datasets"))
-def q_f16(spark, d):
-    o = read_table(spark, d, "orders")
+_F16 = """
+WITH batch AS (SELECT DISTINCT o.o_custkey AS client_id, n.dataset AS dataset_id, 'ga4' AS dataset_type,
+                      'host' || n.part_id || '.com' AS hostname, n.part_id % 100 AS domain_id, 'linked' AS notes
+               FROM orders o JOIN v_dataset_names n ON n.part_id = o.o_orderkey % (SELECT count(*) FROM part)),
+held AS (SELECT dataset_id, min(client_id) AS client_id FROM v_client_datasets
+         WHERE client_id IN (SELECT client_id FROM v_clients) GROUP BY 1)"""
+_F16_VIEWS = ("v_dataset_names", "v_dataset_catalog", "v_client_datasets", "v_clients")
+
+
+def _linked(spark, d):
+    parts = read_table(spark, d, "part").count()
     names = V.dataset_names(spark, d)
-    batch = (o.where(F.col("o_orderkey") % 7 == 0)
-             .select((F.col("o_custkey") % 50).alias("client_id"), (F.col("o_orderkey") % 200).alias("part_id"))
-             .join(names, "part_id").select("client_id", F.col("dataset").alias("dataset_id")).distinct())
-    warnings, _, _ = Fx.add_client_datasets(V.client_datasets(spark, d), V.dataset_catalog(spark, d), batch)
-    return warnings
+    batch = (read_table(spark, d, "orders").select(F.col("o_custkey").alias("client_id"), (F.col("o_orderkey") % parts).alias("part_id"))
+             .join(names, "part_id").select(
+                 "client_id", F.col("dataset").alias("dataset_id"), F.lit("ga4").alias("dataset_type"),
+                 F.concat(F.lit("host"), F.col("part_id").cast("string"), F.lit(".com")).alias("hostname"),
+                 (F.col("part_id") % 100).alias("domain_id"), F.lit("linked").alias("notes")).distinct())
+    return Fx.add_client_datasets(V.client_datasets(spark, d), V.dataset_catalog(spark, d), batch, V.clients(spark, d), NOW)
+
+
+@register("f16_add_client_datasets_warnings", W(_F16 + """
+SELECT b.dataset_id, b.client_id, h.client_id AS held_by, c.client_name AS held_by_name
+FROM batch b JOIN held h ON h.dataset_id = b.dataset_id JOIN v_clients c ON c.client_id = h.client_id""", *_F16_VIEWS))
+def q_f16(spark, d):
+    return _linked(spark, d)[0]
+
+
+@register("f16_add_client_datasets_catalog", W(_F16 + f""",
+last AS (SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY client_id DESC, dataset_type DESC, hostname DESC) = 1)
+SELECT coalesce(c.dataset, l.dataset_id) AS dataset, coalesce(l.dataset_type, c.dataset_type) AS dataset_type,
+       CASE WHEN l.dataset_id IS NOT NULL THEN l.hostname ELSE c.hostname END AS hostname, c.is_standardized, c.owner,
+       CASE WHEN l.dataset_id IS NOT NULL THEN true ELSE c.active END AS active,
+       CASE WHEN l.dataset_id IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE c.updated_at END AS updated_at
+FROM v_dataset_catalog c FULL OUTER JOIN last l ON l.dataset_id = c.dataset""", *_F16_VIEWS))
+def q_f16c(spark, d):
+    return scalar_output(_linked(spark, d)[1])
+
+
+@register("f16_add_client_datasets_links", W(_F16 + """
+SELECT client_id, domain_id, dataset_id, true AS is_active, notes FROM batch""", *_F16_VIEWS))
+def q_f16l(spark, d):
+    return _linked(spark, d)[2]

@@ -154,8 +154,7 @@ def q_h6(spark, d):
 
 @register("h7_backfill_upload_by_job_hour", W(f"""
 SELECT job_id,
-       CASE WHEN upload_id = 'pending-backfill' AND job_id <> 'pending-backfill'
-            THEN {_sha_id("'data'", "job_id", _HB)} ELSE upload_id END AS upload_id,
+       CASE WHEN upload_id = 'pending-backfill' THEN {_sha_id("'data'", "job_id", _HB)} ELSE upload_id END AS upload_id,
        ingest_timestamp, keyword, rank
 FROM v_data""", "v_data"))
 def q_h7(spark, d):
@@ -163,15 +162,29 @@ def q_h7(spark, d):
         "job_id", "upload_id", "ingest_timestamp", "keyword", "rank")
 
 
+_H8_TAIL = f"""'backfill' AS source, 'migration' AS source_program, 'warehouse' AS dataset, 'data' AS table_name,
+       count(*) AS row_count, TIMESTAMP '{NOW}' AS ingest_timestamp, CAST(NULL AS VARCHAR) AS client_id,
+       CAST(NULL AS VARCHAR) AS project_id,
+       'backfill of rows ingested in hour ' || strftime(hb, '%Y-%m-%d %H:00') AS notes"""
+
+
 @register("h8_backfill_events", W(f"""
-SELECT job_id, upload_id, 'backfill' AS source, 'migration' AS source_program, 'warehouse' AS dataset,
-       'data' AS table_name, count(*) AS row_count, hb AS ingest_timestamp,
-       'backfill of rows ingested in hour ' || strftime(hb, '%Y-%m-%d %H:00') AS notes
+SELECT job_id, upload_id, {_H8_TAIL}
 FROM (SELECT job_id, {_sha_id("'data'", "job_id", _HB)} AS upload_id, date_trunc('hour', ingest_timestamp) AS hb
-      FROM v_data WHERE upload_id = 'pending-backfill' AND job_id <> 'pending-backfill') x
+      FROM v_data WHERE upload_id = 'pending-backfill') x
 GROUP BY job_id, upload_id, hb""", "v_data"))
 def q_h8(spark, d):
-    return scalar_output(H.backfill_events(V.data_rows(spark, d), "data", mode="upload"))
+    return scalar_output(H.backfill_events(V.data_rows(spark, d), "data", mode="upload", now=NOW))
+
+
+@register("h8_backfill_events_both", W(f"""
+SELECT job_id, upload_id, {_H8_TAIL}
+FROM (SELECT {_sha_id("'data'", "'job'", _HB)} AS job_id, {_sha_id("'data'", "'upload'", _HB)} AS upload_id,
+             date_trunc('hour', ingest_timestamp) AS hb
+      FROM v_data WHERE upload_id = 'pending-backfill' OR job_id = 'pending-backfill') x
+GROUP BY job_id, upload_id, hb""", "v_data"))
+def q_h8_both(spark, d):
+    return scalar_output(H.backfill_events(V.data_rows(spark, d), "data", mode="both", now=NOW))
 
 
 _NORM = ("lower(regexp_replace(regexp_replace(regexp_replace({c}, '^(https?://)?(www\\.)?', ''), "
@@ -261,38 +274,51 @@ def q_h10o(spark, d):
 def _decisions(spark, d):
     s = read_table(spark, d, "supplier")
     k = F.col("s_suppkey")
-    dec = (F.when(k % 6 == 0, F.concat(F.lit("MATCH "), k.cast("string")))
-           .when(k % 6 == 1, F.lit("CREATE"))
-           .when(k % 6 == 2, F.concat(F.lit("CREATE https://new"), k.cast("string"), F.lit(".com/")))
-           .when(k % 6 == 3, F.lit("SKIP")).when(k % 6 == 4, F.lit(" ")).otherwise(F.lit("maybe later")))
-    return s.select(k.alias("pos"), V.raw_domain(k, k).alias("raw_domain"), dec.alias("decision"),
-                    V.supplier_domain(k).alias("meta_match_domain"))
-
-
+    dec = (F.when(k % 6 == 0, F.concat(F.lit("MATCH "), k.cast("string"), F.lit("\t\n")))
+           .when(k % 6 == 1, F.lit("\nCREATE "))
+           .when(k % 6 == 2, F.concat(F.lit("CREATE https://new"), (k % 9).cast("string"), F.lit(".com/")))
+           .when(k % 6 == 3, F.lit("SKIP")).when(k % 6 == 4, F.lit(" \t"))
+           .when(k % 4 == 1, F.lit("MATCH 99999999999999999999")).otherwise(F.lit("maybe later")))
+    one = s.select(k.alias("pos"), V.raw_domain(k, k).alias("raw_domain"), dec.alias("decision"),
+                   V.supplier_domain(k).alias("meta_match_domain"))
+    # every fifth raw domain is decided a second time, for another id
+    again = s.where(k % 5 == 0).select((k + 1_000_000).alias("pos"), V.raw_domain(k, k).alias("raw_domain"),
+                                       F.concat(F.lit("MATCH "), (k + 1).cast("string")).alias("decision"),
+                                       V.supplier_domain(k + 1).alias("meta_match_domain"))
+    return one.unionByName(again)
+
+
+_T = "trim(decision, chr(32) || chr(9) || chr(10))"
 _DEC_SQL = f"""
 dec AS (SELECT s_suppkey AS pos, {raw_domain('s_suppkey', 's_suppkey')} AS raw_domain,
-          CASE s_suppkey % 6 WHEN 0 THEN 'MATCH ' || CAST(s_suppkey AS VARCHAR) WHEN 1 THEN 'CREATE'
-               WHEN 2 THEN 'CREATE https://new' || CAST(s_suppkey AS VARCHAR) || '.com/' WHEN 3 THEN 'SKIP'
-               WHEN 4 THEN ' ' ELSE 'maybe later' END AS decision,
+          CASE s_suppkey % 6 WHEN 0 THEN 'MATCH ' || CAST(s_suppkey AS VARCHAR) || chr(9) || chr(10)
+               WHEN 1 THEN chr(10) || 'CREATE '
+               WHEN 2 THEN 'CREATE https://new' || CAST(s_suppkey % 9 AS VARCHAR) || '.com/' WHEN 3 THEN 'SKIP'
+               WHEN 4 THEN ' ' || chr(9)
+               ELSE CASE WHEN s_suppkey % 4 = 1 THEN 'MATCH 99999999999999999999' ELSE 'maybe later' END END AS decision,
           {supp_domain('s_suppkey')} AS meta_match_domain
-        FROM supplier),
-parsed AS (SELECT trim(raw_domain) AS raw_domain,
-  CASE WHEN trim(decision) = '' THEN NULL WHEN trim(decision) = 'SKIP' THEN 'SKIP'
-       WHEN regexp_matches(trim(decision), '^MATCH\\s+(\\d+)$') THEN 'MATCH'
-       WHEN trim(decision) = 'CREATE' THEN 'CREATE'
-       WHEN regexp_matches(trim(decision), '^CREATE\\s+(.+)$') THEN 'CREATE' END AS action,
-  CASE WHEN regexp_matches(trim(decision), '^MATCH\\s+(\\d+)$')
-       THEN CAST(regexp_extract(trim(decision), '^MATCH\\s+(\\d+)$', 1) AS BIGINT) END AS domain_id,
-  CASE WHEN regexp_matches(trim(decision), '^MATCH\\s+(\\d+)$') THEN meta_match_domain END AS canonical,
-  CASE WHEN trim(decision) = 'CREATE' THEN trim(raw_domain)
-       WHEN regexp_matches(trim(decision), '^CREATE\\s+(.+)$')
-       THEN trim(regexp_extract(trim(decision), '^CREATE\\s+(.+)$', 1)) END AS provision_target,
-  CASE WHEN trim(decision) = '' THEN 'empty decision for raw=' || trim(raw_domain)
-       WHEN NOT (trim(decision) = 'SKIP' OR trim(decision) = 'CREATE'
-                 OR regexp_matches(trim(decision), '^MATCH\\s+(\\d+)$')
-                 OR regexp_matches(trim(decision), '^CREATE\\s+(.+)$'))
-       THEN 'unparseable decision for raw=' || trim(raw_domain) || ': ' || trim(decision) END AS error
-FROM dec)"""
+        FROM supplier
+        UNION ALL
+        SELECT s_suppkey + 1000000, {raw_domain('s_suppkey', 's_suppkey')}, 'MATCH ' || CAST(s_suppkey + 1 AS VARCHAR),
+               {supp_domain('(s_suppkey + 1)')}
+        FROM supplier WHERE s_suppkey % 5 = 0),
+read AS (SELECT *, {_T} AS t, TRY_CAST(regexp_extract({_T}, '^MATCH\\s+(\\d+)$', 1) AS BIGINT) AS m FROM dec),
+parsed AS (SELECT pos, trim(raw_domain) AS raw_domain,
+  CASE WHEN t = '' THEN NULL WHEN t = 'SKIP' THEN 'SKIP' WHEN m IS NOT NULL THEN 'MATCH'
+       WHEN t = 'CREATE' THEN 'CREATE' WHEN regexp_matches(t, '^CREATE\\s+(.+)$') THEN 'CREATE' END AS action,
+  m AS domain_id, CASE WHEN m IS NOT NULL THEN meta_match_domain END AS canonical,
+  CASE WHEN t = 'CREATE' THEN trim(raw_domain)
+       WHEN regexp_matches(t, '^CREATE\\s+(.+)$') THEN trim(regexp_extract(t, '^CREATE\\s+(.+)$', 1)) END AS provision_target,
+  CASE WHEN t = '' THEN 'no decision for ' || trim(raw_domain)
+       WHEN NOT (t = 'SKIP' OR t = 'CREATE' OR m IS NOT NULL OR regexp_matches(t, '^CREATE\\s+(.+)$'))
+       THEN 'cannot read the decision for ' || trim(raw_domain) || ': ' || t END AS error
+FROM read)"""
+
+
+@register("h11_provision_list", f"""
+WITH {_DEC_SQL} SELECT provision_target, min(pos) AS pos FROM parsed WHERE action = 'CREATE' GROUP BY 1""")
+def q_h11p(spark, d):
+    return H.provision_list(H.parse_decisions(_decisions(spark, d)))
 
 
 @register("h11_parse_decisions", f"WITH {_DEC_SQL} SELECT * FROM parsed")
@@ -313,37 +339,78 @@ def q_h12(spark, d):
     return H.auto_decide(inv).select("raw_domain", "decision")
 
 
+@register("h12_decision_progress", W(f"""
+WITH {_UNION_SQL},
+dec AS (SELECT *, CASE WHEN rows_total % 5 = 0 THEN 'SKIP' ELSE '' END AS decision FROM inv)
+SELECT count(*) AS total, count(*) FILTER (trim(decision) <> '') AS already_done,
+       count(*) FILTER (suggested = 'MATCH') AS auto_matches,
+       count(*) - count(*) FILTER (suggested = 'MATCH') - count(*) FILTER (trim(decision) <> '') AS remaining_manual
+FROM dec""", "v_data", "v_domains"))
+def q_h12p(spark, d):
+    return H.decision_progress(_union_inv(spark, d).withColumn(
+        "decision", F.when(F.col("rows_total") % 5 == 0, F.lit("SKIP")).otherwise(F.lit(""))))
+
+
 _G2 = ("regexp_replace(regexp_replace(regexp_extract(h, '^([^/]*)', 1), ':[^:]*$', '') || "
        "regexp_extract(h, '^[^/]*(/.*)?$', 1), '/+$', '')")
 _G2H = ("regexp_replace(regexp_replace(regexp_replace(lower(trim(provision_target)), '^.*?://', ''), "
         "'^www\\.', ''), '[?#].*$', '')")
 
 
-@register("h13_decision_map", W(f"""
+_MAP_SQL = f"""
 WITH {_DEC_SQL},
-cr AS (SELECT raw_domain, {_G2} AS domain FROM (SELECT raw_domain, {_G2H} AS h FROM parsed
-       WHERE action = 'CREATE') x)
-SELECT raw_domain, domain_id, canonical FROM parsed WHERE action = 'MATCH'
-UNION ALL
-SELECT cr.raw_domain, d.domain_id, cr.domain FROM cr JOIN v_domains d ON d.domain = cr.domain""", "v_domains"))
+cr AS (SELECT pos, raw_domain, {_G2} AS domain FROM (SELECT pos, raw_domain, {_G2H} AS h FROM parsed
+       WHERE action = 'CREATE') x),
+every AS (SELECT pos, raw_domain, domain_id, canonical FROM parsed WHERE action = 'MATCH'
+      UNION ALL SELECT cr.pos, cr.raw_domain, d.domain_id, cr.domain FROM cr JOIN v_domains d ON d.domain = cr.domain),
+m AS (SELECT raw_domain, domain_id, canonical FROM every
+      QUALIFY row_number() OVER (PARTITION BY raw_domain ORDER BY pos DESC) = 1)"""
+
+
+@register("h13_decision_map", W(_MAP_SQL + " SELECT * FROM m", "v_domains"))
 def q_h13(spark, d):
     mapping, _ = H.decision_map(H.parse_decisions(_decisions(spark, d)), V.domains(spark, d))
     return mapping
 
 
-@register("h14_apply_mapping", W(f"""
-WITH {_DEC_SQL},
-cr AS (SELECT raw_domain, {_G2} AS domain FROM (SELECT raw_domain, {_G2H} AS h FROM parsed
-       WHERE action = 'CREATE') x),
-m AS (SELECT raw_domain, domain_id, canonical FROM parsed WHERE action = 'MATCH'
-      UNION ALL SELECT cr.raw_domain, d.domain_id, cr.domain FROM cr JOIN v_domains d ON d.domain = cr.domain)
+@register("h13_decision_errors", W(_MAP_SQL + """
+SELECT raw_domain, domain FROM cr WHERE domain NOT IN (SELECT domain FROM v_domains)""", "v_domains"))
+def q_h13e(spark, d):
+    _, errors = H.decision_map(H.parse_decisions(_decisions(spark, d)), V.domains(spark, d))
+    return errors
+
+
+_H14_SQL = _MAP_SQL + """, t AS (
 SELECT t.upload_id, t.keyword, t.rank, coalesce(m.domain_id, t.domain_id) AS domain_id,
        CASE WHEN m.raw_domain IS NOT NULL THEN m.canonical ELSE t.domain END AS domain
-FROM v_data t LEFT JOIN m ON m.raw_domain = t.domain""", "v_domains", "v_data"))
+FROM v_data t LEFT JOIN m ON m.raw_domain = t.domain)"""
+
+
+def _mapped(spark, d):
+    mapping, _ = H.decision_map(H.parse_decisions(_decisions(spark, d)), V.domains(spark, d))
+    return H.apply_mapping(V.data_rows(spark, d), mapping)
+
+
+@register("h14_apply_mapping", W(_H14_SQL + " SELECT * FROM t", "v_domains", "v_data"))
 def q_h14(spark, d):
+    return _mapped(spark, d).select("upload_id", "keyword", "rank", "domain_id", "domain")
+
+
+@register("h14_mapping_coverage", W(_H14_SQL + " SELECT count(domain_id) AS populated, count(*) AS total FROM t",
+                                    "v_domains", "v_data"))
+def q_h14c(spark, d):
+    return H.mapping_coverage(_mapped(spark, d))
+
+
+@register("h14_repeated_mapping", W(_MAP_SQL + """,
+twice AS (SELECT raw_domain, max(domain_id) AS domain_id FROM (
+  SELECT raw_domain, domain_id FROM m UNION ALL SELECT raw_domain, domain_id + 5 FROM m) x GROUP BY 1)
+SELECT t.upload_id, t.keyword, t.rank, coalesce(w.domain_id, t.domain_id) AS domain_id
+FROM v_data t LEFT JOIN twice w ON w.raw_domain = t.domain""", "v_domains", "v_data"))
+def q_h14r(spark, d):
     mapping, _ = H.decision_map(H.parse_decisions(_decisions(spark, d)), V.domains(spark, d))
-    out = H.apply_mapping(V.data_rows(spark, d), mapping)
-    return out.select("upload_id", "keyword", "rank", "domain_id", "domain")
+    twice = mapping.unionByName(mapping.withColumn("domain_id", F.col("domain_id") + 5))
+    return H.apply_mapping(V.data_rows(spark, d), twice).select("upload_id", "keyword", "rank", "domain_id")
 
 
 DRIFT_COLS = ["client_id", "client_name", "abbreviation", "is_active", "notes"]
@@ -371,31 +438,72 @@ def q_h15(spark, d):
     return H.drift(a, b, DRIFT_COLS)
 
 
+@register("h15_drift_text_and_number", W("""
+SELECT CAST(client_id AS VARCHAR) AS client_id, side, CAST(1 AS BIGINT) AS n
+FROM v_clients CROSS JOIN (VALUES ('only_a'), ('only_b')) t(side) WHERE client_id % 3 = 0""", "v_clients"))
+def q_h15k(spark, d):
+    """Ids of every third client are text on the other side."""
+    c = V.clients(spark, d).select("client_id")
+    text = c.where(F.col("client_id") % 3 == 0)
+    return H.drift(text, text.select(F.col("client_id").cast("string").alias("client_id")), ["client_id"])
+
+
+def _entity_tables(spark, d):
+    return {"clients": V.clients(spark, d), "domains": V.domains(spark, d), "client_domains": V.client_domains(spark, d),
+            "projects": V.projects(spark, d), "project_domains": V.project_domains(spark, d),
+            "dataset_catalog": V.dataset_catalog(spark, d), "client_datasets": V.client_datasets(spark, d),
+            "table_catalog": V.table_catalog(spark, d)}
+
+
+@register("h15_drift_report", W("""
+SELECT 'clients' AS table_name, count(*) FILTER (client_id % 50 = 0) AS only_a, CAST(0 AS BIGINT) AS only_b, 'DRIFT' AS status FROM v_clients
+UNION ALL SELECT 'domains', 0, 0, 'clean'
+UNION ALL SELECT 'client_domains', 0, count(*) FILTER (client_id % 10 = 0), 'DRIFT' FROM v_client_domains
+UNION ALL SELECT 'projects', 0, 0, 'clean' UNION ALL SELECT 'project_domains', 0, 0, 'clean'
+UNION ALL SELECT 'dataset_catalog', 0, 0, 'clean'
+UNION ALL SELECT 'client_datasets', count(*) FILTER (client_id % 3 = 0), count(*) FILTER (client_id % 3 = 0), 'DRIFT' FROM v_client_datasets
+UNION ALL SELECT 'table_catalog', 0, 0, 'clean'""", "v_clients", "v_client_domains", "v_dataset_names", "v_client_datasets"))
+def q_h15r(spark, d):
+    """Projects of the other side have split ids that are mapped back first."""
+    a = _entity_tables(spark, d)
+    b = dict(a)
+    b["clients"] = a["clients"].where(F.col("client_id") % 50 != 0)
+    b["client_domains"] = a["client_domains"].unionByName(a["client_domains"].where(F.col("client_id") % 10 == 0))
+    b["client_datasets"] = a["client_datasets"].withColumn(
+        "notes", F.when(F.col("client_id") % 3 == 0, F.lit("moved")).otherwise(F.col("notes")))
+    shifted = F.when(F.col("project_id") % 7 == 0, F.col("project_id") + 10_000_000).otherwise(F.col("project_id"))
+    for name in ("projects", "project_domains"):
+        b[name] = a[name].withColumn("project_id", shifted)
+    remap = a["projects"].where(F.col("project_id") % 7 == 0).select(
+        (F.col("project_id") + 10_000_000).alias("project_id"), F.col("project_id").alias("old_id"))
+    return H.drift_report(a, b, remap)
+
+
 @register("h16_orphans", W("""
 WITH p AS (SELECT * FROM v_clients WHERE client_id % 10 <> 3),
-dm AS (SELECT * FROM v_domains WHERE domain_id % 9 <> 4)
-SELECT 'client_domains_bad_client' AS "check", CAST(client_id AS VARCHAR) || ',' || CAST(domain_id AS VARCHAR) AS child_key
+dm AS (SELECT * FROM v_domains WHERE domain_id % 9 <> 4),
+pr AS (SELECT * FROM v_projects WHERE project_id % 8 <> 5)
+SELECT 'client_domains_bad_client' AS "check", client_id || ',' || domain_id AS child_key
 FROM v_client_domains WHERE client_id NOT IN (SELECT client_id FROM p)
-UNION ALL
-SELECT 'client_domains_bad_domain', CAST(client_id AS VARCHAR) || ',' || CAST(domain_id AS VARCHAR)
+UNION ALL SELECT 'client_domains_bad_domain', client_id || ',' || domain_id
 FROM v_client_domains WHERE domain_id NOT IN (SELECT domain_id FROM dm)
-UNION ALL
-SELECT 'client_datasets_bad_domain', CAST(domain_id AS VARCHAR)
+UNION ALL SELECT 'projects_bad_client', project_id || ',' || client_id FROM pr WHERE client_id NOT IN (SELECT client_id FROM p)
+UNION ALL SELECT 'project_domains_bad_project', project_id || ',' || domain_id
+FROM v_project_domains WHERE project_id NOT IN (SELECT project_id FROM pr)
+UNION ALL SELECT 'project_domains_bad_domain', project_id || ',' || domain_id
+FROM v_project_domains WHERE domain_id NOT IN (SELECT domain_id FROM dm)
+UNION ALL SELECT 'client_datasets_bad_client', concat_ws(',', client_id, domain_id, dataset_id)
+FROM v_client_datasets WHERE client_id NOT IN (SELECT client_id FROM p)
+UNION ALL SELECT 'client_datasets_bad_domain', concat_ws(',', client_id, domain_id, dataset_id)
 FROM v_client_datasets WHERE domain_id IS NOT NULL AND domain_id NOT IN (SELECT domain_id FROM dm)""",
                            "v_clients", "v_domains", "v_client_domains", "v_dataset_names",
-                           "v_client_datasets"))
+                           "v_client_datasets", "v_projects", "v_project_domains"))
 def q_h16(spark, d):
     clients = V.clients(spark, d).where(F.col("client_id") % 10 != 3)
     doms = V.domains(spark, d).where(F.col("domain_id") % 9 != 4)
-    cd = V.client_domains(spark, d)
-    cds = V.client_datasets(spark, d)
-    return H.orphans([
-        ("client_domains_bad_client", cd.select("client_id", "domain_id"), ["client_id"],
-         clients, ["client_id"]),
-        ("client_domains_bad_domain", cd.select("client_id", "domain_id"), ["domain_id"],
-         doms, ["domain_id"]),
-        ("client_datasets_bad_domain", cds.select("domain_id"), ["domain_id"], doms, ["domain_id"]),
-    ])
+    projects = V.projects(spark, d).where(F.col("project_id") % 8 != 5)
+    return H.entity_orphans(clients, doms, V.client_domains(spark, d), projects,
+                            V.project_domains(spark, d), V.client_datasets(spark, d))
 
 
 @register("h18_project_to_schema", """
@@ -420,42 +528,67 @@ def q_h19(spark, d):
 
 
 def _collided_projects(spark, d):
+    """Every 97th project id is used twice, every 194th three times, two of
+    them with one domain."""
     p = V.projects(spark, d)
-    copies = p.where(F.col("project_id") % 97 == 0).withColumn(
-        "project_name", F.concat(V.supplier_domain(F.col("project_id") % 50), F.lit("_001")))
-    return p.unionByName(copies)
+    domain = V.supplier_domain(F.col("project_id") % 50)
+    out = p
+    for every, tail in ((97, "_001"), (194, "_002")):
+        out = out.unionByName(p.where(F.col("project_id") % every == 0).withColumn(
+            "project_name", F.concat(domain, F.lit(tail))))
+    return out
+
+
+def _keepers(spark, d):
+    """Of every 291st id the shop domain keeps the id, not the first by name."""
+    return V.projects(spark, d).where(F.col("project_id") % 291 == 0).select(
+        "project_id", V.supplier_domain(F.col("project_id") % 50).alias("domain"))
 
 
-_H17_SQL = f"""
-WITH p AS (SELECT * FROM v_projects
+def _h17_sql(keepers: bool) -> str:
+    keep = (f"(project_id % 291 = 0 AND dom = {supp_domain('(project_id % 50)')})" if keepers else "false")
+    copies = " ".join(f"""
            UNION ALL
-           SELECT project_id, client_id, project_type, {supp_domain('(project_id % 50)')} || '_001',
-                  status, notes, created_at FROM v_projects WHERE project_id % 97 = 0),
+           SELECT project_id, client_id, project_type, {supp_domain('(project_id % 50)')} || '{tail}',
+                  status, notes, created_at FROM v_projects WHERE project_id % {every} = 0"""
+                      for every, tail in ((97, "_001"), (194, "_002")))
+    return f"""
+WITH p AS (SELECT * FROM v_projects {copies}),
 pd AS (SELECT *, regexp_replace(project_name, '_[0-9]+$', '') AS dom FROM p),
-c AS (SELECT project_id FROM p GROUP BY 1 HAVING count(*) > 1),
-coll AS (SELECT pd.*, row_number() OVER (PARTITION BY project_id ORDER BY project_name) AS rk
-         FROM pd WHERE project_id IN (SELECT project_id FROM c)),
-movers AS (SELECT project_id, dom, (SELECT max(project_id) FROM p)
-                  + row_number() OVER (ORDER BY project_id, project_name) AS new_id
-           FROM coll WHERE rk > 1)"""
-
-
-@register("h17_split_collided_projects", W(_H17_SQL + """
-SELECT coalesce(m.new_id, pd.project_id) AS project_id, pd.client_id, pd.project_type, pd.project_name,
-       pd.status, pd.notes, pd.created_at
-FROM pd LEFT JOIN movers m ON m.project_id = pd.project_id AND m.dom = pd.dom""", "v_projects"))
-def q_h17p(spark, d):
-    projects, _ = H.split_collided(_collided_projects(spark, d), V.project_domains(spark, d),
-                                   V.domains(spark, d))
-    return scalar_output(projects)
-
-
-@register("h17_split_collided_links", W(_H17_SQL + """
-SELECT coalesce(m.new_id, l.project_id) AS project_id, l.domain_id, l.role, l.priority, l.notes
+ranked AS (SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY {keep} DESC, project_name) AS nth,
+                  count(*) OVER (PARTITION BY project_id) AS uses FROM pd),
+movers AS (SELECT *, (SELECT max(project_id) FROM p) + row_number() OVER (ORDER BY project_id, nth) AS new_id
+           FROM ranked WHERE nth > 1),
+kept AS (SELECT project_id, dom FROM ranked WHERE nth = 1 AND uses > 1),
+target AS (SELECT project_id, dom, min(new_id) AS new_id FROM movers m
+           WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.project_id = m.project_id AND k.dom = m.dom) GROUP BY 1, 2)"""
+
+
+_H17_OUT = {
+    "projects": """
+SELECT coalesce(m.new_id, r.project_id) AS project_id, r.client_id, r.project_type, r.project_name, r.status, r.notes, r.created_at
+FROM ranked r LEFT JOIN movers m ON m.project_id = r.project_id AND m.nth = r.nth""",
+    "links": """
+SELECT coalesce(t.new_id, l.project_id) AS project_id, l.domain_id, l.role, l.priority, l.notes
 FROM v_project_domains l LEFT JOIN v_domains d ON d.domain_id = l.domain_id
-LEFT JOIN movers m ON m.project_id = l.project_id AND m.dom = d.domain""",
-                                         "v_projects", "v_project_domains", "v_domains"))
-def q_h17l(spark, d):
-    _, links = H.split_collided(_collided_projects(spark, d), V.project_domains(spark, d),
-                                V.domains(spark, d))
-    return links
+LEFT JOIN target t ON t.project_id = l.project_id AND t.dom = d.domain""",
+    "remap": "SELECT new_id AS project_id, project_id AS old_id FROM movers",
+    "duplicates": "SELECT project_id, dom AS domain, count(*) AS n FROM ranked WHERE uses > 1 GROUP BY 1, 2 HAVING count(*) > 1",
+}
+
+
+def _h17(part: str, keepers: bool):
+    at = list(_H17_OUT).index(part)
+    name = f"h17_split_collided_{part}" + "_with_keepers" * keepers
+
+    def query(spark, d):
+        out = H.split_collided(_collided_projects(spark, d), V.project_domains(spark, d), V.domains(spark, d),
+                               _keepers(spark, d) if keepers else None)[at]
+        return scalar_output(out) if part == "projects" else out
+    register(name, W(_h17_sql(keepers) + _H17_OUT[part], "v_projects", "v_project_domains", "v_domains"))(query)
+
+
+for _part in _H17_OUT:
+    _h17(_part, False)
+_h17("projects", True)
+_h17("links", True)

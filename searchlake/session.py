@@ -53,21 +53,23 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.
-    When it is unset (local tests) a fresh scratch folder is created.
+    On a cluster the setting is only read, and its absence is an error: a
+    machine-local folder would be another one on every executor. A
+    ``local[...]`` session, where driver and executor are one process, gets a
+    fresh scratch folder when none is set.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if current:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    local = tempfile.mkdtemp(prefix="searchlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if not current:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="searchlake-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
