@@ -55,16 +55,23 @@ def join_labels(c: Column) -> Column:
     return F.when(F.trim(c).startswith("["), F.array_join(arr, ",")).otherwise(c)
 
 
-def stringify_json(c: Column) -> Column:
+def stringify_json(c: Column, data_type: T.DataType = T.StringType()) -> Column:
     """Lists and objects as JSON text, scalars and null unchanged.
 
-    A leaf read as STRING by ``from_json`` already holds the JSON text of a
-    nested value, so this is the identity on such columns; for typed nested
-    columns it is ``to_json``.
+    ``data_type`` is the column's type. A nested column becomes JSON text. A
+    leaf read as STRING by ``from_json`` already holds the JSON text of a
+    nested value and stays as it is, like any scalar.
     """
+    if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(c, {"ignoreNullFields": "false"})
     return c
 
 
+def stringify_nested(df):
+    """B15 on a frame: every list or object column as JSON text."""
+    return df.select(*[stringify_json(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
 def cast_leaf(c: Column, kind: str) -> Column:
     if kind == "bigint":
         return to_bigint(c)

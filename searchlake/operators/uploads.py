@@ -42,12 +42,29 @@ def _filters(**kw) -> list[Column]:
         if val is None:
             continue
         if col == "since":
-            conds.append(F.col("ingest_timestamp") >= F.lit(val).cast("timestamp_ntz"))
+            conds.append(F.col("ingest_timestamp") >= F.lit(val).cast("timestamp"))
         else:
-            conds.append(F.col(col) == F.lit(val))
+            # the log's ids are text: the value is compared as text, the column is not cast
+            conds.append(F.col(col) == F.lit(str(val)))
     return conds
 
 
+def _on_days(data: DataFrame, uploads: DataFrame) -> DataFrame:
+    """``data`` cut to the ingest days of the given upload-log rows, so that a
+    table partitioned by ``ingest_date`` is read for these days only.
+
+    An upload's rows carry its one ingest time, so no row is lost; a backfill
+    event names the time of the backfill instead, and then nothing is cut.
+    The driver reads distinct days, at most one per calendar day.
+    """
+    if "ingest_date" not in data.columns:
+        return data
+    days = uploads.select(F.to_date("ingest_timestamp").alias("day"), (F.col("source") == "backfill").alias("late")).distinct().collect()
+    if any(r["late"] or r["day"] is None for r in days):
+        return data
+    return data.where(F.col("ingest_date").isin(sorted({r["day"] for r in days}))) if days else data.where(F.lit(False))
+
+
 def search_uploads(log: DataFrame, client_id=None, project_id=None, job_id=None,
                    upload_id=None, dataset=None, table=None, since=None,
                    limit: int | None = 50) -> DataFrame:
@@ -65,7 +82,7 @@ def search_uploads(log: DataFrame, client_id=None, project_id=None, job_id=None,
 
 def upload_summary(log: DataFrame, client_id=None) -> DataFrame:
     """Per dataset and table: rows, uploads, latest upload; newest first."""
-    df = log.where(F.col("client_id") == client_id) if client_id is not None else log
+    df = log.where(F.col("client_id") == str(client_id)) if client_id is not None else log
     return (df.groupBy("dataset", "table_name")
             .agg(F.sum("row_count").alias("total_rows"),
                  F.count(F.lit(1)).alias("upload_count"),
@@ -76,14 +93,18 @@ def upload_summary(log: DataFrame, client_id=None) -> DataFrame:
 def preview_upload(log: DataFrame, data: DataFrame, upload_id: str | None = None,
                    limit: int | None = 100, order: list[str] | None = None) -> DataFrame:
     """D3: rows of the data table that carry a logged upload id; empty when
-    the log does not know it. With ``upload_id`` one upload (semi join
-    against its log row); without it every logged upload at once, each cut
-    to ``limit`` rows in ``order`` (a window group limit, applied map-side)."""
-    known = log.select("upload_id").distinct()
+    the log does not know it. With ``upload_id`` one upload: a filter on the
+    id and on the day its log row names; without it every logged upload at
+    once, each cut to ``limit`` rows in ``order`` (a window group limit,
+    applied map-side)."""
     if upload_id is not None:
-        known = known.where(F.col("upload_id") == upload_id)
-        df = data.where(F.col("upload_id") == upload_id).join(known, "upload_id", "left_semi")
+        mine = log.where(F.col("upload_id") == upload_id)
+        df = _on_days(data, mine).where(F.col("upload_id") == upload_id)
+        df = df.join(mine.select("upload_id").distinct(), "upload_id", "left_semi")
+        if limit is not None and order:
+            df = df.orderBy(*order)
         return df.limit(limit) if limit is not None else df
+    known = log.select("upload_id").distinct()
     df = data.join(known, "upload_id", "left_semi")
     if limit is None:
         return df
@@ -94,7 +115,7 @@ def preview_upload(log: DataFrame, data: DataFrame, upload_id: str | None = None
 
 def available_datasets(log: DataFrame, client_id=None) -> DataFrame:
     """Distinct datasets, sorted; empty and null left out."""
-    df = log.where(F.col("client_id") == client_id) if client_id is not None else log
+    df = log.where(F.col("client_id") == str(client_id)) if client_id is not None else log
     return (df.where(F.col("dataset").isNotNull() & (F.col("dataset") != ""))
             .select("dataset").distinct().orderBy("dataset"))
 
@@ -127,7 +148,9 @@ def _by_owner(data: DataFrame, log: DataFrame, owner: str, owner_id, table, limi
     conds = _filters(**{owner: owner_id}, table_name=table)
     jobs = log.where(_and(conds)) if conds else log
     if owner_id is not None:
-        df = data.join(jobs.select("job_id"), "job_id", "left_semi")
+        mine = jobs.select("job_id").distinct()
+        # a job's rows may come from uploads logged for others too
+        df = _on_days(data, log.join(mine, "job_id", "left_semi")).join(mine, "job_id", "left_semi")
     else:
         # every owner at once: (owner, job) pairs joined to the rows; with
         # per_table, (owner, table, job) triples answer every table as well
@@ -142,7 +165,8 @@ def client_data(data: DataFrame, log: DataFrame, client_id=None, table=None,
                 limit: int | None = None, per_table: bool = False) -> DataFrame:
     """Data rows whose job id the log lists for the client (and table).
 
-    One client: a ``left_semi`` join on job ids. No client: the rows of all
+    One client: a ``left_semi`` join on job ids, over the days that the log
+    names for these jobs. No client: the rows of all
     clients, each tagged with its ``client_id`` (join on distinct (client,
     job) pairs; with ``per_table`` also tagged with its ``table_name``).
     AQE broadcasts the log side when it is small, else shuffles, and splits
@@ -157,23 +181,26 @@ def project_data(data: DataFrame, log: DataFrame, project_id=None, table=None,
 
 
 def client_data_by_domain(data: DataFrame, client_domains: DataFrame, domains: DataFrame,
-                          client_id=None, limit: int | None = None) -> DataFrame:
+                          clients, limit: int | None = None) -> DataFrame:
     """Data rows whose domain is one of the client's own (non-competitor)
     domains, in one plan: links join domains, then a semi join.
 
-    With ``client_id=None`` every client is answered at once: each data row is
-    emitted once per client that owns its domain, with a leading ``client_id``
-    (one equi join on the domain; a domain held by very many clients is a
-    skewed key that AQE splits on the data side).
+    ``clients`` is one client id, or a frame of client ids: a batch is
+    answered at once, each data row once per client of the batch that owns
+    its domain, with a leading ``client_id`` (one equi join on the domain; a
+    domain held by very many clients is a skewed key that AQE splits on the
+    data side). A batch of all clients multiplies the data by the owners per
+    domain; that is the caller's choice.
     """
-    own = (client_domains.where(~F.col("is_competitor"))
-           .join(domains.select("domain_id", "domain"), "domain_id")
-           .select("client_id", "domain"))
-    if client_id is not None:
-        df = data.join(own.where(F.col("client_id") == client_id).select("domain"), "domain",
-                       "left_semi")
+    links = client_domains.where(~F.col("is_competitor"))
+    batch = isinstance(clients, DataFrame)
+    links = links.join(clients.select("client_id").distinct(), "client_id", "left_semi") if batch \
+        else links.where(F.col("client_id") == clients)
+    own = links.join(domains.select("domain_id", "domain"), "domain_id").select("client_id", "domain")
+    if batch:
+        df = data.join(own.distinct(), "domain").select("client_id", *data.columns)
     else:
-        df = data.join(own, "domain").select("client_id", *data.columns)
+        df = data.join(own.select("domain"), "domain", "left_semi")
     return df.limit(limit) if limit is not None else df
 
 

@@ -74,8 +74,8 @@ SELECT 'job-' || CAST(user_id % 40 AS VARCHAR) AS job_id,
        't' || CAST(event_id % 7 AS VARCHAR) AS table_name,
        CAST(floor(value) AS BIGINT) AS row_count,
        ts AS ingest_timestamp,
-       CASE WHEN event_id % 5 <> 0 THEN user_id % 20 END AS client_id,
-       CASE WHEN event_id % 3 <> 0 THEN user_id % 30 END AS project_id,
+       CASE WHEN event_id % 5 <> 0 THEN CAST(user_id % 20 AS VARCHAR) END AS client_id,
+       CASE WHEN event_id % 3 <> 0 THEN CAST(user_id % 30 AS VARCHAR) END AS project_id,
        CAST(NULL AS VARCHAR) AS notes
 FROM events
 """
@@ -228,13 +228,12 @@ FROM v_dataset_names WHERE part_id % 10 <> 9
 """
 
 VIEWS["v_client_datasets"] = """
-SELECT g.o_custkey AS client_id, CASE WHEN g.l_partkey % 4 <> 0 THEN g.s END AS domain_id,
-       n.dataset AS dataset_id, (g.o_custkey + g.l_partkey) % 5 <> 0 AS is_active,
+SELECT g.o_custkey AS client_id, CASE WHEN g.part_id % 4 <> 0 THEN g.s END AS domain_id,
+       n.dataset AS dataset_id, (g.o_custkey + g.part_id) % 5 <> 0 AS is_active,
        CAST(NULL AS VARCHAR) AS notes, CAST(NULL AS TIMESTAMP) AS created_at
-FROM (SELECT o.o_custkey, l.l_partkey, min(l.l_suppkey) AS s
-      FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-      WHERE l.l_linenumber = 1 AND l.l_partkey % 7 = 0 GROUP BY 1, 2) g
-JOIN v_dataset_names n ON n.part_id = g.l_partkey
+FROM (SELECT o.o_custkey, l.l_partkey - l.l_partkey % 7 AS part_id, min(l.l_suppkey) AS s
+      FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2) g
+JOIN v_dataset_names n ON n.part_id = g.part_id
 """
 
 VIEWS["v_table_groups"] = """

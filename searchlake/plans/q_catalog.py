@@ -57,6 +57,20 @@ def q_e3(spark, d):
     return E.catalog_diff(V.table_catalog(spark, d), _scan(spark, d))
 
 
+@register("e3_catalog_diff_summary", W(f"""
+WITH {SCAN_SQL}
+SELECT coalesce(c.dataset, s.dataset) AS dataset,
+       count(*) FILTER (c.table_name IS NULL) AS new,
+       count(*) FILTER (s.table_name IS NULL AND c.is_active) AS deactivated,
+       count(*) FILTER (c.table_name IS NOT NULL AND s.table_name IS NOT NULL AND NOT c.is_active) AS reactivated,
+       count(*) FILTER (c.table_name IS NOT NULL AND s.table_name IS NOT NULL AND c.is_active) AS updated,
+       count(*) FILTER (s.table_name IS NOT NULL) AS total
+FROM v_table_catalog c FULL OUTER JOIN scan s
+  ON c.dataset = s.dataset AND c.table_name = s.table_name GROUP BY 1""", "v_table_groups", "v_table_catalog"))
+def q_e3s(spark, d):
+    return E.catalog_diff_summary(V.table_catalog(spark, d), _scan(spark, d))
+
+
 @register("e4_apply_catalog_diff", W(f"""
 WITH {SCAN_SQL}
 SELECT coalesce(c.dataset, s.dataset) AS dataset, coalesce(c.table_name, s.table_name) AS table_name,

@@ -220,6 +220,31 @@ def q_b15(spark, d):
     return e.select("event_id", TY.stringify_json(wrapped["p"]).alias("props_json"))
 
 
+@register("b15_stringify_nested", """
+SELECT p_partkey, p_size, '["' || p_brand || '",null]' AS labels,
+       '{"size":' || p_size || ',"type":' || CASE WHEN p_partkey % 3 = 0 THEN 'null' ELSE '"' || p_type || '"' END || '}' AS info,
+       CASE WHEN p_partkey % 2 = 0 THEN '[{"n":' || p_partkey || '}]' END AS items
+FROM part""")
+def q_b15n(spark, d):
+    k = F.col("p_partkey")
+    nested = read_table(spark, d, "part").select(
+        k, "p_size", F.array(F.col("p_brand"), F.lit(None)).alias("labels"),
+        F.struct(F.col("p_size").alias("size"), F.when(k % 3 != 0, F.col("p_type")).alias("type")).alias("info"),
+        F.when(k % 2 == 0, F.array(F.struct(k.alias("n")))).alias("items"))
+    return TY.stringify_nested(nested)
+
+
+@register("b16_dedupe_by_endpoint", W("""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT keyword, 'en' AS language_code, CAST(2840 AS BIGINT) AS location_code, search_volume, ingest_timestamp,
+         row_number() OVER (PARTITION BY keyword ORDER BY ingest_timestamp DESC, search_volume DESC) AS rn FROM v_data) x
+WHERE rn = 1""", "v_data"))
+def q_b16e(spark, d):
+    rows = V.data_rows(spark, d).select("keyword", F.lit("en").alias("language_code"), F.lit(2840).cast("bigint").alias("location_code"),
+                                        "search_volume", "ingest_timestamp")
+    return scalar_output(A.dedupe(rows, "keyword_overview"))
+
+
 @register("b16_dedupe", W("""
 SELECT job_id, upload_id, ingest_timestamp, domain_id, domain, keyword, search_volume, rank,
        round(traffic_volume, 6) AS traffic_volume FROM (
@@ -262,6 +287,26 @@ def q_b17b(spark, d):
     return A.assemble_pages(_pages(spark, d), "backlinks", page_size=100, limit=1000)
 
 
+@register("b17_assemble_pages_by_run", f"""
+WITH {_PAGES_SQL},
+runs AS (SELECT r AS run, target, "offset", CASE WHEN r = 'b' AND target % 2 = 0 AND "offset" = 100 THEN 3 ELSE n_rows END AS n_rows
+         FROM pages CROSS JOIN (VALUES ('a'), ('b')) t(r)),
+f AS (SELECT *, coalesce(sum(n_rows) OVER w, 0) AS fetched FROM runs
+      WINDOW w AS (PARTITION BY run, target ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+q AS (SELECT *, least(100, 1000 - fetched) AS req FROM f),
+s AS (SELECT *, coalesce(max(CASE WHEN n_rows < req THEN 1 ELSE 0 END) OVER w2, 0) AS stopped FROM q
+      WINDOW w2 AS (PARTITION BY run, target ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT run, target, CAST("offset" AS BIGINT) AS "offset", CAST(n_rows AS BIGINT) AS n_rows FROM s
+WHERE stopped = 0 AND n_rows > 0 AND "offset" < 20000 AND req > 0""")
+def q_b17run(spark, d):
+    """Two runs fetched every target; the second stops early for every other one."""
+    p = _pages(spark, d)
+    short = (F.col("target") % 2 == 0) & (F.col("offset") == 100)
+    b = p.withColumn("n_rows", F.when(short, F.lit(3)).otherwise(F.col("n_rows")).cast("bigint"))
+    both = p.withColumn("run", F.lit("a")).unionByName(b.withColumn("run", F.lit("b")))
+    return A.assemble_pages(both, "backlinks", page_size=100, limit=1000, run=("run",)).select("run", "target", "offset", "n_rows")
+
+
 @register("b17_assemble_pages_ranked", f"""
 WITH {_PAGES_SQL},
 t AS (SELECT *, CASE WHEN lag(n_rows) OVER (PARTITION BY target ORDER BY "offset") = 0 AND n_rows = 0

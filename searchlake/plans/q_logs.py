@@ -76,10 +76,10 @@ def q_d7(spark, d):
     return scalar_output(U.client_data(V.data_rows(spark, d), V.uploads(spark, d), per_table=True))
 
 
-# D8 for every client at once is one output row per (data row, owning client):
-# about 90x the data rows here.  The registered check runs the full join over
-# the whole tables and compares per-client summaries of it; the row-level
-# output is compared with DuckDB on the smallest tables in tests/.
+# D8 for all clients as one batch is one output row per (data row, owning
+# client): about 90x the data rows here. The registered check runs the full
+# join over the whole tables and compares per-client summaries of it; the
+# row-level output is compared with DuckDB on the smallest tables in tests/.
 D8_ROWS_SQL = f"""
 SELECT o.client_id, {DATA_COLS} FROM v_data
 JOIN (SELECT cd.client_id, dm.domain FROM v_client_domains cd JOIN v_domains dm
@@ -112,9 +112,9 @@ def q_d8(spark, d):
 
 
 def d8_rows(spark, d):
-    """D8 rows for every client (client_id first, then the data row)."""
+    """D8 rows for the batch of every client (client_id first, then the data row)."""
     return U.client_data_by_domain(V.data_rows(spark, d), V.client_domains(spark, d),
-                                   V.domains(spark, d))
+                                   V.domains(spark, d), V.clients(spark, d))
 
 
 @register("d9_project_data", W(f"""
@@ -125,6 +125,75 @@ def q_d9(spark, d):
     return scalar_output(U.project_data(V.data_rows(spark, d), V.uploads(spark, d)))
 
 
+# One-owner forms over a stored table (partitioned by ingest day) and a log
+# written by A5: one upload has one ingest time, one client's jobs have a
+# third of the uploads.
+_STORED = """
+stored AS (SELECT job_id, upload_id, DATE '2024-01-01' + CAST(coalesce(TRY_CAST(substr(upload_id, 4) AS BIGINT), 0) % 24 AS INTEGER)
+                  + INTERVAL 0 HOUR AS ingest_timestamp, domain, keyword, search_volume, rank FROM v_data),
+owned AS (SELECT *, CAST(coalesce(TRY_CAST(substr(job_id, 5) AS BIGINT), 0) % 3 AS VARCHAR) AS owner FROM stored)"""
+_STORED_COLS = "job_id, upload_id, ingest_timestamp, domain, keyword, search_volume, rank"
+
+
+def _stored(spark, d):
+    from searchlake.operators import ingest as G
+    from searchlake.session import scratch_path
+    n = lambda c, at: F.coalesce(F.substring(c, at, 20).try_cast("bigint"), F.lit(0))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (n("upload_id", 4) % 24).cast("int")).cast("timestamp")
+    rows = V.data_rows(spark, d).select("job_id", "upload_id", day.alias("ingest_timestamp"), "domain", "keyword", "search_volume", "rank")
+    table, log = scratch_path(spark, "stored"), scratch_path(spark, "stored_log")
+    G.create_table(spark, table, rows.schema)
+    G.append_batch(rows, table, cluster=("job_id",))
+    for owner in range(3):
+        G.upload_event(rows.where(n("job_id", 5) % 3 == owner), "api", "fetch", "warehouse", "ranked_keywords",
+                       client_id=owner, project_id=f"p{owner}").write.mode("append").parquet(log)
+    return spark.read.parquet(table), spark.read.parquet(log)
+
+
+@register("d3_preview_one_upload", W(f"""
+WITH {_STORED} SELECT {_STORED_COLS} FROM stored WHERE upload_id = 'up-33'
+ORDER BY keyword, rank, search_volume, job_id, domain LIMIT 100""", "v_data"))
+def q_d3_one(spark, d):
+    data, log = _stored(spark, d)
+    return scalar_output(U.preview_upload(log, data, "up-33", 100, ["keyword", "rank", "search_volume", "job_id", "domain"])
+                         .select(*_STORED_COLS.split(", ")))
+
+
+@register("d6_one_client_job_ids", W(f"WITH {_STORED} SELECT DISTINCT job_id FROM owned WHERE owner = '1'", "v_data"))
+def q_d6_one(spark, d):
+    return U.client_job_ids(_stored(spark, d)[1], client_id=1)
+
+
+@register("d7_one_client_data", W(f"""
+WITH {_STORED} SELECT {_STORED_COLS} FROM stored WHERE job_id IN (SELECT job_id FROM owned WHERE owner = '1')""", "v_data"))
+def q_d7_one(spark, d):
+    data, log = _stored(spark, d)
+    return scalar_output(U.client_data(data, log, client_id=1).select(*_STORED_COLS.split(", ")))
+
+
+@register("d9_one_project_data", W(f"""
+WITH {_STORED} SELECT {_STORED_COLS} FROM stored WHERE job_id IN (SELECT job_id FROM owned WHERE owner = '2')""", "v_data"))
+def q_d9_one(spark, d):
+    data, log = _stored(spark, d)
+    return scalar_output(U.project_data(data, log, project_id="p2").select(*_STORED_COLS.split(", ")))
+
+
+@register("d8_one_client_data", W(f"""
+SELECT {DATA_COLS} FROM v_data WHERE domain IN (
+  SELECT dm.domain FROM v_client_domains cd JOIN v_domains dm ON dm.domain_id = cd.domain_id
+  WHERE NOT cd.is_competitor AND cd.client_id = 7)""", "v_data", "v_client_domains", "v_domains"))
+def q_d8_one(spark, d):
+    return scalar_output(U.client_data_by_domain(V.data_rows(spark, d), V.client_domains(spark, d), V.domains(spark, d), 7)
+                         .select(*V.data_rows(spark, d).columns))
+
+
+@register("d1_search_uploads_of_client", W(f"""
+SELECT {UPLOAD_COLS} FROM v_uploads WHERE client_id = '7' AND table_name = 't3'
+ORDER BY ingest_timestamp DESC, upload_id LIMIT 50""", "v_uploads"))
+def q_d1c(spark, d):
+    return scalar_output(U.search_uploads(V.uploads(spark, d), client_id=7, table="t3", limit=50))
+
+
 @register("d11_html_ok_urls", W("""
 SELECT address FROM v_crawl
 WHERE lower(CAST(content_type AS VARCHAR)) LIKE '%html%' AND CAST(status_code AS VARCHAR) = '200'
@@ -172,6 +241,16 @@ def q_c2s(spark, d):
                          .select("endpoint", "target", "attempt", "event_id"))
 
 
+@register("c2_first_success_parsed", W("""
+SELECT endpoint, target, attempt, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY endpoint, target
+                               ORDER BY attempt, started_at, event_id) AS rn
+  FROM v_attempts WHERE http_status = 200) x WHERE rn = 1""", "v_attempts"))
+def q_c2p(spark, d):
+    a = V.attempts(spark, d).select("endpoint", "target", "attempt", "started_at", "event_id", "http_status")
+    return scalar_output(A.first_success(a, mode="parsed").select("endpoint", "target", "attempt", "event_id"))
+
+
 @register("c3_mark_terminal", W("""
 SELECT event_id, attempt, n_items, n_items > 0 OR attempt >= 3 AS is_terminal
 FROM v_attempts""", "v_attempts"))
@@ -225,10 +304,18 @@ def q_c6(spark, d):
     return A.accepted_tasks(V.task_posts(spark, d), mode="serp")
 
 
+@register("c6_accepted_tasks_volume", """
+SELECT 'task-' || CAST(event_id AS VARCHAR) AS task_id,
+       CAST(CASE WHEN event_id % 5 = 0 THEN 40501 ELSE 20100 END AS BIGINT) AS status_code, 'kw-' || CAST(user_id AS VARCHAR) AS tag
+FROM events WHERE event_id % 8 <> 0""")
+def q_c6v(spark, d):
+    return A.accepted_tasks(V.task_posts(spark, d), mode="volume")
+
+
 @register("c7_ready_ids", """
 SELECT 'task-' || CAST(event_id AS VARCHAR) AS task_id, CAST(20000 AS BIGINT) AS status_code,
        'Ok.' AS status_message
-FROM events WHERE event_id % 3 <> 0""")
+FROM events""")
 def q_c7(spark, d):
     return A.ready_ids(V.task_ready(spark, d))
 
@@ -238,7 +325,7 @@ SELECT 'task-' || CAST(event_id AS VARCHAR) AS task_id
 FROM events WHERE event_id % 8 <> 0 AND event_id % 5 <> 0 AND event_id % 3 = 0""")
 def q_c8(spark, d):
     sub = A.accepted_tasks(V.task_posts(spark, d), mode="serp").select("task_id")
-    return A.incomplete_tasks(sub, A.ready_ids(V.task_ready(spark, d)))
+    return A.incomplete_tasks(sub, A.ready_ids(V.task_ready(spark, d, F.col("event_id") % 3 != 0)))
 
 
 @register("c9_empties_vs_successes", W("""

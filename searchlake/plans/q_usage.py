@@ -226,6 +226,11 @@ def q_i9(spark, d):
     return I.split_system(read_table(spark, d, "conversations"))
 
 
+@register("i9_split_system_rows", "SELECT conv_id, turn, role, text FROM conversations WHERE role <> 'system'")
+def q_i9r(spark, d):
+    return I.split_system_rows(read_table(spark, d, "conversations")).select("conv_id", "turn", "role", "text")
+
+
 def _fenced(spark, d):
     c = read_table(spark, d, "conversations")
     k = F.col("turn") % 4
@@ -268,3 +273,14 @@ SELECT * FROM v_locations WHERE location_type = 'Country' AND contains(lower(loc
                                          "v_locations"))
 def q_j1n(spark, d):
     return J.find_locations(V.locations(spark, d), "a", "country")
+
+
+@register("j1_find_locations_state", W("""
+SELECT * FROM v_locations WHERE location_type = 'State' AND contains(lower(location_name), 'a')""", "v_locations"))
+def q_j1s(spark, d):
+    return J.find_locations(V.locations(spark, d), "a", "state")
+
+
+@register("j1_find_locations_code", W("SELECT * FROM v_locations WHERE location_code = 2007", "v_locations"))
+def q_j1code(spark, d):
+    return J.find_locations(V.locations(spark, d), code=2007)

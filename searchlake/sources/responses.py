@@ -215,7 +215,7 @@ def domain_rank_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.concat(F.lit("["), item(2840, "en", 10), F.lit(","), item(2036, "en", 3), F.lit("]"))
     raw = envelope(s, F.concat(F.lit("dr-"), sk.cast("string")), F.lit("{}"),
                    F.concat(F.lit('[{"items":'), items, F.lit("}]")))
-    return _out(s.where(sk % 8 != 7), "domain_rank_overview", supplier_domain(sk), raw)
+    return _out(s, "domain_rank_overview", supplier_domain(sk), raw)
 
 
 # ----------------------------------------------------------------- B7-B10, B12

@@ -168,9 +168,9 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("dataset"),
         F.concat(F.lit("t"), (eid % 7).cast("string")).alias("table_name"),
         F.floor("value").cast("bigint").alias("row_count"),
-        F.col("ts").alias("ingest_timestamp"),
-        F.when(eid % 5 != 0, uid % 20).alias("client_id"),
-        F.when(eid % 3 != 0, uid % 30).alias("project_id"),
+        F.col("ts").cast("timestamp").alias("ingest_timestamp"),
+        F.when(eid % 5 != 0, uid % 20).cast("string").alias("client_id"),
+        F.when(eid % 3 != 0, uid % 30).cast("string").alias("project_id"),
         F.lit(None).cast("string").alias("notes"),
     )
 
@@ -339,9 +339,11 @@ def task_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("event_id", F.to_json(F.struct(F.array(task).alias("tasks"))).alias("response"))
 
 
-def task_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ready-list answers: per job a list of finished task ids."""
-    a = attempts(spark, sf_dir).where(F.col("event_id") % 3 != 0)
+def task_ready(spark: SparkSession, sf_dir: str, finished=None) -> DataFrame:
+    """Ready-list answers: per job a list of its (``finished``) task ids."""
+    a = attempts(spark, sf_dir)
+    if finished is not None:
+        a = a.where(finished)
     res = F.struct(F.concat(F.lit("task-"), F.col("event_id").cast("string")).alias("id"),
                    F.lit(20000).alias("status_code"), F.lit("Ok.").alias("status_message"))
     grouped = a.groupBy("upload_id").agg(F.collect_list(res).alias("result"))
@@ -457,17 +459,18 @@ def dataset_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def client_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """v_client_datasets: links from the first line of each order."""
+    """v_client_datasets: one link per customer and dataset of its order
+    lines; a line's part is rounded down to a multiple of 7, so that every
+    line takes part and some datasets stay without a link."""
     t = Tables(spark, sf_dir)
-    li = t.lineitem.where(F.col("l_linenumber") == 1).select("l_orderkey", "l_partkey", "l_suppkey")
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    g = (li.join(o, "l_orderkey").where(F.col("l_partkey") % 7 == 0)
-         .groupBy("o_custkey", "l_partkey").agg(F.min("l_suppkey").alias("s")))
-    names = dataset_names(spark, sf_dir).withColumnRenamed("part_id", "l_partkey")
-    j = g.join(names, "l_partkey")
-    s = F.col("o_custkey") + F.col("l_partkey")
+    li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey",
+                           (F.col("l_partkey") - F.col("l_partkey") % 7).alias("part_id"))
+    g = (li.join(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey")
+         .groupBy("o_custkey", "part_id").agg(F.min("l_suppkey").alias("s")))
+    j = g.join(dataset_names(spark, sf_dir), "part_id")
+    s = F.col("o_custkey") + F.col("part_id")
     return j.select(F.col("o_custkey").alias("client_id"),
-                    F.when(F.col("l_partkey") % 4 != 0, F.col("s")).alias("domain_id"),
+                    F.when(F.col("part_id") % 4 != 0, F.col("s")).alias("domain_id"),
                     F.col("dataset").alias("dataset_id"),
                     (s % 5 != 0).alias("is_active"), F.lit(None).cast("string").alias("notes"),
                     F.lit(None).cast("timestamp_ntz").alias("created_at"))
