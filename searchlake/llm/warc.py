@@ -7,7 +7,8 @@ payload's digest and, in their HTTP header, its length, but not the payload.
 Equal payloads are found by SHA-256 with a count and largest id per digest,
 combined before the shuffle; only digests of several rows are joined back, and
 those of more than 1/1000 of the rows by broadcast, so one page that a third of
-the rows share is no hot key. Rows are dealt evenly over the archive files.
+the rows share is no hot key. The revisits are joined to the pages by id, and
+each task writes what it then holds, in files of about ``file_bytes``.
 
 Reading. Files are listed by Spark and cut into byte ranges. A task scans its
 range for the gzip magic, checks a candidate by decoding the start of the member
@@ -92,26 +93,33 @@ def encode_record(page: int | None, url: str | None, payload: bytes, refers_to:
     return packer.compress(VERSION + head + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def _writer(folder: str):
+def _writer(folder: str, file_bytes: int):
     def run(batches):
         from pyspark import TaskContext
         task = TaskContext.get()
         system, base = _open(folder)
-        # a retried or doubled attempt writes a file of its own; only the committed one is listed
-        name = posixpath.join(base, f"part-{task.partitionId():05d}-{task.taskAttemptId()}.warc.gz")
-        stream, n, size = None, 0, 0
+        stream, name, n, size, files = None, "", 0, 0, 0
+
+        def listed():
+            stream.close()
+            return pa.RecordBatch.from_arrays([pa.array([posixpath.basename(name)]), pa.array([n]), pa.array([size])],
+                                              ["file", "n_records", "bytes"])
+
         for batch in batches:
-            for page, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+            for page, url, html, refers_to in zip(*batch.columns):
                 if stream is None:
+                    # a retried or doubled attempt writes files of its own; only the committed ones are listed
+                    name = posixpath.join(base, f"part-{task.partitionId():05d}-{task.taskAttemptId()}-{files}.warc.gz")
                     system.create_dir(base, recursive=True)
                     stream = system.open_output_stream(name, compression=None)
-                record = encode_record(page, url, (html or "").encode(), refers_to)
+                record = encode_record(page.as_py(), url.as_py(), html.as_py().encode(), refers_to.as_py())
                 stream.write(record)
                 n, size = n + 1, size + len(record)
+                if size >= file_bytes:
+                    yield listed()
+                    stream, n, size, files = None, 0, 0, files + 1
         if stream is not None:
-            stream.close()
-            yield pa.RecordBatch.from_arrays([pa.array([posixpath.basename(name)]), pa.array([n]), pa.array([size])],
-                                             ["file", "n_records", "bytes"])
+            yield listed()
     return run
 
 
@@ -127,14 +135,13 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
                                           F.count(F.lit(1)).alias("rows")).filter(F.col("least") < F.col("first")), "same-payloads")
     revisits = (skew_join(keyed, same, ["sha"], keyed.count(), "rows").filter(F.col("page_id") < F.col("first"))
                 .select("page_id", F.col("first").alias("refers_to"), F.col("sha").alias("of")).distinct())
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("html")), F.lit(0))).first()[0]
-    files = max(1, -(-total // (4 * file_bytes)), min(64, -(-total // (4 * SPLIT_BYTES))))  # gzip leaves about a quarter
-    marked = rows.join(revisits, ["page_id"], "left").select(
-        "page_id", "url", "html",
-        F.when(F.col("of") == F.unhex(F.sha2("html", 256)), F.col("refers_to")).alias("refers_to"))
-    dealt = marked.repartition(files, F.xxhash64("page_id", "html"))
+    digest_of = F.unhex(F.sha2("html", 256))
+    marked = rows.filter(F.col("page_id").isNotNull()).join(revisits, ["page_id"], "left").select(
+        "page_id", "url", "html", F.when(F.col("of") == digest_of, F.col("refers_to")).alias("refers_to"))
+    unnamed = rows.filter(F.col("page_id").isNull()).withColumn("refers_to", F.lit(None).cast("long"))
     # the list of files is written by Spark, which commits one attempt of each task
-    return stage(dealt.mapInArrow(_writer(folder), "file string, n_records long, bytes long"), "archive-list")
+    return stage(marked.unionByName(unnamed).mapInArrow(
+        _writer(folder, file_bytes), "file string, n_records long, bytes long"), "archive-list")
 
 
 class _Range:
