@@ -15,6 +15,7 @@ ORACLES: dict[str, str] = {}
 
 _MODULES = [
     "searchlake.plans.q_responses",
+    "searchlake.plans.q_full_items",
     "searchlake.plans.q_logs",
     "searchlake.plans.q_scalars",
     "searchlake.plans.q_usage",
