@@ -37,7 +37,8 @@ def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.001")
     a = ap.parse_args()
-    import __spark_entry__ as entry
+    from searchlake.plans import registry
+    registry.load_all()
     spark = build_session(shuffle_partitions=8)
     print("# Plan report\n")
     print(f"Executed-plan shapes of the registered queries (`scripts/plan_report.py`, {a.sf_dir}). "
@@ -45,7 +46,7 @@ def main() -> None:
           "partitions, split skewed ones or turn a sort-merge join into a broadcast at run time.\n")
     print("| query | shuffles | broadcasts | BHJ | SMJ | nested loop | windows | group limit | python |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, fn in sorted(entry.queries().items()):
+    for name, fn in sorted(registry.QUERIES.items()):
         try:
             plan = fn(spark, a.sf_dir)._jdf.queryExecution().executedPlan().toString()
         except Exception as e:  # noqa: BLE001

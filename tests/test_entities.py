@@ -119,7 +119,7 @@ def test_parse_decisions(spark):
     got = {r.raw_domain: r for r in H.parse_decisions(df).collect()}
     assert got["a.com"].domain_id == 5 and got["b.com"].provision_target == "b.com"
     assert got["c.com"].provision_target == "c2.com" and got["d.com"].action == "SKIP"
-    assert got["e.com"].error.startswith("empty") and got["f.com"].error.startswith("unparseable")
+    assert got["e.com"].error == "no decision for e.com" and got["f.com"].error == "cannot read the decision for f.com: maybe"
 
 
 def test_match_datasets_rules(spark):
@@ -149,3 +149,36 @@ def test_match_datasets_rules(spark):
     assert got["misc_minibolt_co_nz_data"] == ("substring", "minibolt.co.nz", 12)
     assert got["analytics_2"][0] is None and got["jepto_gsc_gone_com"][0] is None
     assert got["linked_ds"][0] == "known"
+
+
+def test_dense_index_is_dense(spark):
+    from searchlake.operators.ids import dense_index
+    df = spark.range(1000).select((F.col("id") * 37 % 1009).alias("k")).repartition(7)
+    got = sorted((r.k, r.i) for r in dense_index(df, ["k"], start=5, name="i").collect())
+    assert [i for _, i in got] == list(range(5, 1005))
+    assert dense_index(df.limit(0), ["k"], name="i").collect() == []
+
+
+def test_match_long_domains(spark):
+    """The substring rule takes domains of any length, with paths."""
+    long = "a" * 300 + ".com/" + "p" * 40
+    doms = spark.createDataFrame([(1, long, True), (2, "x.io", True), (3, "b", True)], "domain_id bigint, domain string, is_active boolean")
+    links = spark.createDataFrame([(7, 1, False), (8, 2, False), (9, 3, False)], "client_id bigint, domain_id bigint, is_competitor boolean")
+    cat = spark.createDataFrame([("zz_" + long, "other", None), ("qx_io_q", None, None), ("ccc", None, "host.net"), ("g", "ga4", "Www.X.io")],
+                                "dataset string, dataset_type string, hostname string")
+    none = spark.createDataFrame([], "dataset_id string, client_id bigint, domain_id bigint")
+    got = {r.dataset: (r.domain_id, r.status, r.hostname) for r in E.match_datasets(cat, none, links, doms).collect()}
+    assert got["zz_" + long] == (1, "proposed", long) and got["qx_io_q"] == (2, "proposed", "x.io")
+    assert got["ccc"] == (None, "unmatched", None) and got["g"] == (2, "proposed", "x.io")
+
+
+def test_split_reports_equal_domains(spark):
+    p = spark.createDataFrame([(1, "a.com_001"), (1, "a.com_002"), (1, "b.com_001"), (2, "c.com_001")], "project_id bigint, project_name string")
+    links = spark.createDataFrame([(1, 10), (1, 11), (2, 12)], "project_id bigint, domain_id bigint")
+    doms = spark.createDataFrame([(10, "a.com"), (11, "b.com"), (12, "c.com")], "domain_id bigint, domain string")
+    projects, new_links, remap, duplicates = H.split_collided(p, links, doms)
+    assert sorted((r.project_id, r.project_name) for r in projects.collect()) == [
+        (1, "a.com_001"), (2, "c.com_001"), (3, "a.com_002"), (4, "b.com_001")]
+    assert sorted(tuple(r) for r in new_links.collect()) == [(1, 10), (2, 12), (4, 11)]
+    assert sorted(tuple(r) for r in remap.collect()) == [(3, 1), (4, 1)]
+    assert [tuple(r) for r in duplicates.collect()] == [(1, "a.com", 2)]

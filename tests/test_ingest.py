@@ -94,16 +94,32 @@ def test_stream_ingest_replay_is_idempotent(spark):
     layout = A.to_table_layout(A.stamp_upload(A.stamp_fetch(flatten(empty, "ranked_keywords"), None, None),
                                               JOB, "x"), "ranked_keywords")
     A.create_table(spark, table, layout.schema)
-    q = K.stream_ingest(spark, landing, "ranked_keywords", table, events, os.path.join(base, "ck1"), JOB,
-                        query_name="replay")
-    q.awaitTermination()
-    # a second query with a fresh checkpoint replays batch 0: same upload id, skipped
-    q = K.stream_ingest(spark, landing, "ranked_keywords", table, events, os.path.join(base, "ck2"), JOB,
-                        query_name="replay")
-    q.awaitTermination()
-    assert spark.read.parquet(table).count() == 1
-    ev = spark.read.parquet(events).collect()
-    assert len(ev) == 1 and ev[0].upload_id == K.batch_upload_id("replay", 0)
+    def run(checkpoint):
+        K.stream_ingest(spark, landing, "ranked_keywords", table, events, checkpoint, JOB).awaitTermination()
+        return spark.read.parquet(table).count(), [r.row_count for r in spark.read.parquet(events).collect()]
+
+    def uncommit(checkpoint):
+        for name in ("0", ".0.crc"):
+            os.remove(os.path.join(checkpoint, "commits", name))
+
+    first = os.path.join(base, "ck1")
+    assert run(first) == (1, [1])
+    # the batch failed before its commit: it runs again and replaces itself
+    uncommit(first)
+    assert run(first) == (1, [1])
+    # its event was lost as well
+    up = K.batch_upload_id(first, JOB, table, 0)
+    for name in A._read_lines(spark, f"{events}/_uploads/{up}"):
+        os.remove(os.path.join(events, name))
+    uncommit(first)
+    assert run(first) == (1, [1])
+    # it failed between the manifest and the moves
+    for name in A._read_lines(spark, f"{table}/_uploads/{up}"):
+        os.remove(os.path.join(table, name))
+    uncommit(first)
+    assert run(first) == (1, [1])
+    # another stream into the same table and events is no replay
+    assert run(os.path.join(base, "ck2")) == (2, [1, 1])
 
 
 def test_task_states_ready_and_timeout(spark):
@@ -145,3 +161,45 @@ def test_dedupe_stream(spark):
          .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.kw for r in spark.table("dd_test").collect()) == ["j", "k"]
+
+
+def test_created_table_is_readable(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="sl-"), "t")
+    A.create_table(spark, path, A.ATTEMPT_LOG_SCHEMA)
+    back = spark.read.parquet(path)
+    assert back.count() == 0 and set(A.ATTEMPT_LOG_SCHEMA.names) <= set(back.columns)
+    with pytest.raises(FileExistsError):
+        A.create_table(spark, path, A.ATTEMPT_LOG_SCHEMA)
+
+
+def test_task_decisions():
+    import numpy as np
+    waiting = [40601, 40602]
+
+    def first(codes, items, errors=0):
+        return K._decision(np.array(codes), np.array(items), errors, 3, waiting)
+    assert first([40601, 20000, 20000], [0, 0, 4]) == ((2, "ready", None), 0)
+    assert first([50000, 40402], [0, 0]) == ((1, "failed", "task_not_found (40402)"), 1)
+    assert first([50000, 50001], [0, 0], errors=1) == ((1, "failed", "status_50001_after_3_retries"), 3)
+    assert first([40601, 50000], [0, 0]) == (None, 1) and first([], []) == (None, 0)
+
+
+def test_task_states_over_micro_batches(spark):
+    """One file per micro-batch: a late answer of a decided task is ignored, an
+    undecided task times out with the watermark."""
+    base = tempfile.mkdtemp(prefix="sl-")
+    schema = "task_id string, ts timestamp, event_id long, status_code long, n_items long"
+    day = "2024-01-01 "
+    batches = [[("a", day + "00:00:00", 1, 40601, 0), ("b", day + "00:00:00", 2, 40602, 0)],
+               [("a", day + "00:05:00", 3, 20000, 7)],
+               [("a", day + "00:06:00", 4, 40402, 0), ("c", day + "09:00:00", 5, 20000, 1)],
+               [("d", day + "09:30:00", 6, 20000, 1)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "task_id string, ts string, event_id long, status_code long, n_items long").selectExpr(
+            "task_id", "cast(ts as timestamp) ts", "event_id", "status_code", "n_items").coalesce(1).write.parquet(f"{base}/in/b{i}")
+        os.utime(f"{base}/in/b{i}", (1_700_000_000 + i, 1_700_000_000 + i))
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{base}/in"))
+    (K.task_states(src).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
+     .trigger(availableNow=True).start().awaitTermination())
+    got = {r.task_id: (r.state, r.observations) for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got == {"a": ("ready", 2), "b": ("timed_out", 1), "c": ("ready", 1), "d": ("ready", 1)}
