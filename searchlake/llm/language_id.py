@@ -2,13 +2,13 @@
 
 A text's features are its byte n-grams (3 and 4 bytes, ASCII and Latin-1 letters
 lower-cased, digits and white space folded, one space before and after the
-text), hashed into ``buckets`` rows of an embedding table. The mean of the rows
-goes through a linear softmax over the languages seen in training. Table and
-softmax are trained together by stochastic gradient descent in numpy, on the
-driver, from a sample of at most ``sample`` labelled rows with at most
-``train_bytes`` bytes each (a window of hashed length and place, so that short
-texts are learned and calibrated too). That bound is the only one: every row is
-predicted from its whole text.
+text), hashed into ``buckets`` (a power of two) rows of an embedding table. The
+mean of the rows goes through a linear softmax over the languages seen in
+training. Table and softmax are trained together by stochastic gradient descent
+in numpy, on the driver, from a sample of at most ``sample`` labelled rows with
+at most ``train_bytes`` bytes each (a window of hashed length and place, so that
+short texts are learned and calibrated too). That bound is the only one: every
+row is predicted from its whole text.
 
 Calibration: a fifth of the sample is kept from training. A temperature is
 fitted to it, so that ``score`` is the probability that the prediction is right,
