@@ -21,13 +21,12 @@ Steps, all distributed:
 3. representatives are grouped by table key; each is paired with the smallest
    id of its table, and pairs that fit by size are verified on the full sets;
 4. verified links are connected (min-label propagation with pointer jumping);
-5. tables whose members are in several components are searched again, first by
-   pairing members with another pivot of their table, then, for what is left,
-   by all pairs across components. No pair that shares a table and could
-   connect two components stays unverified, so the components are those of all
-   links between documents that share a table. Pairs inside one component
-   change nothing and are not formed, which keeps large groups of near copies
-   linear.
+5. tables whose members are in several components are searched again: each
+   member is paired with one pivot of its table, until that links nothing new;
+   the rest by all pairs across components that share a prefix shingle (an exact
+   filter, see ``_by_prefix``), each verified. So no link between documents that
+   share a table is lost. Pairs inside one component change nothing and are not
+   formed, which keeps large groups of near copies linear.
 
 Hot tables: keys with more than 1/1000 of all rows are joined by broadcast.
 
@@ -48,8 +47,8 @@ from .common import drop_staged, prepare, skew_join, stage
 
 MISS = 1e-4
 ROWS = 2
-PIVOT_ROUNDS = 3
 BLOCK = 256
+SKETCH_BITS = 16
 
 
 def half_keys(percent: int) -> int:
@@ -152,27 +151,92 @@ def _fits(x: str, y: str, percent: int):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
-def _across(shared: DataFrame, component: DataFrame, n_shared: int, pivot: int | None, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a table and lie in different components.
+def _labelled(shared: DataFrame, component: DataFrame) -> DataFrame:
+    return shared.join(component.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+        "label", F.coalesce("component", "doc_id")).drop("component")
 
-    With a pivot round, every member is paired with one member of its table,
-    another one each round; with None, with all members across components.
+
+def _with_pivot(shared: DataFrame, component: DataFrame, n_shared: int, percent: int):
+    """(pairs, open documents): tables that several components share.
+
+    Every member of such a table is paired with one member chosen by hash.
     """
-    labelled = shared.select("key", "doc_id", "n").join(
-        component.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "key", "doc_id", "n", F.coalesce("component", "doc_id").alias("label"))
-    chosen = F.min(F.struct(F.xxhash64(F.lit(pivot or 0), "doc_id").alias("order"), "doc_id", "n", "label"))
+    labelled = _labelled(shared.select("key", "doc_id", "n"), component)
     mixed = stage(labelled.groupBy("key").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), chosen.alias("pivot"))
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"),
+        F.min(F.struct(F.xxhash64("doc_id").alias("order"), "doc_id", "n", "label")).alias("pivot"))
         .filter(F.col("lo") < F.col("hi")), "mixed-tables")
     rows = stage(skew_join(labelled, mixed.drop("lo", "hi"), ["key"], n_shared, "size"), "open-rows")
-    if pivot is None:
-        other = rows.select("key", F.col("doc_id").alias("q"), F.col("n").alias("q_n"), F.col("label").alias("q_label"))
-        found = rows.select("key", "doc_id", "n", "label").join(other, "key").filter(F.col("doc_id") < F.col("q"))
-    else:
-        found = rows.select("doc_id", "n", "label", F.col("pivot.doc_id").alias("q"),
-                            F.col("pivot.n").alias("q_n"), F.col("pivot.label").alias("q_label"))
-    return (found.filter((F.col("label") != F.col("q_label")) & _fits("n", "q_n", percent))
+    q, q_n = F.col("pivot.doc_id"), F.col("pivot.n")
+    pairs = (rows.withColumn("q_n", q_n).filter((F.col("label") != F.col("pivot.label")) & _fits("n", "q_n", percent))
+             .select(F.greatest("doc_id", q).alias("a"), F.least("doc_id", q).alias("b")).distinct())
+    return pairs, rows.select("doc_id", "n").distinct()
+
+
+def _prefixes(order: np.ndarray, percent: int):
+    """Rows (token, doc_id, place, before) of each set's first shingles in a fixed
+    order, rare ones first; ``before`` is the row's predecessor, or null."""
+    def run(batches):
+        none = np.zeros(0, np.int64)
+        for batch in batches:
+            ids, out = batch.column(0).to_numpy(), [(none, none, none, none)]
+            lists = batch.column(1)
+            at, values = lists.offsets.to_numpy(), np.asarray(lists.values).view(np.uint64)
+            for i, doc in enumerate(ids):
+                own = values[at[i]:at[i + 1]]
+                count = order[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                first = np.lexsort((own, count))[:len(own) - -(-percent * len(own) // 100) + 1]
+                place = np.flatnonzero(count[first] > 1)  # a shingle of one document is shared with none
+                tokens = own[first[place]].view(np.int64)
+                out.append((tokens, np.full(len(place), doc, np.int64), place, np.concatenate([tokens[:1], tokens[:-1]])))
+            token, ids, place, before = (np.concatenate(c) for c in zip(*out))
+            start = np.diff(ids, prepend=ids[:1] - 1) != 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token), pa.array(ids), pa.array(place), pa.array(before, mask=start)], ["token", "doc_id", "place", "before"])
+    return run
+
+
+def _sketch(batches):
+    total = np.zeros(1 << SKETCH_BITS, np.int64)
+    for batch in batches:
+        values = np.asarray(batch.column(0).flatten()).view(np.uint64)
+        total += np.bincount((values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+
+
+def _by_prefix(open_docs: DataFrame, sets: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of open documents across components that can be similar enough.
+
+    Sets of x and y shingles with similarity t have at least
+    w = t * (x + y) / (1 + t) in common. In any fixed order of shingles, the
+    first common one then has w - 1 more behind it in either set, so it stands
+    at a place of at most x - w and y - w (from 0); pairs without such a
+    shingle cannot be linked. Rare shingles come first, by a sketch of
+    2 ** SKETCH_BITS counts, so a near copy whose own edits fill its first
+    places meets nobody. In the group of a shingle, only members outside its
+    largest component are paired, with the members of other components. A row
+    is skipped where both sets have the same shingle before this one: that one
+    is common too, and the first common one is never skipped.
+    """
+    own = stage(sets.join(open_docs, "doc_id"), "open-sets")
+    order = np.zeros(1 << SKETCH_BITS, np.int64)
+    for r in own.select("shingles").mapInArrow(_sketch, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        order[r["slot"]] = r["n"]
+    tokens = own.select("doc_id", "shingles").mapInArrow(_prefixes(order, percent), "token long, doc_id long, place long, before long")
+    rows = stage(_labelled(tokens.join(open_docs, "doc_id"), component), "prefixes")
+    mixed = stage(rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n_rows")).groupBy("token").agg(
+        F.max(F.struct("n_rows", "label")).alias("main"), F.sum("n_rows").alias("size"), F.count(F.lit(1)).alias("labels"))
+        .filter("labels > 1").select("token", F.col("main.label").alias("main"), "size"), "mixed-prefixes")
+    met = stage(skew_join(rows, mixed, ["token"], rows.count(), "size"), "prefix-rows")
+    rest = met.filter(F.col("label") != F.col("main")).select("token", "doc_id", "n", "label", "main", "place", "before")
+    other = met.select("token", F.col("doc_id").alias("q"), F.col("n").alias("q_n"), F.col("label").alias("q_label"),
+                       F.col("place").alias("q_place"), F.col("before").alias("q_before"))
+    once = (F.col("q_label") == F.col("main")) | (F.col("doc_id") > F.col("q"))
+    behind = F.least(F.col("n") - F.col("place"), F.col("q_n") - F.col("q_place"))
+    enough = (100 + percent) * behind >= percent * (F.col("n") + F.col("q_n"))
+    repeated = F.coalesce(F.col("before") == F.col("q_before"), F.lit(False))
+    return (rest.join(other, "token").filter((F.col("label") != F.col("q_label")) & once & enough & ~repeated)
             .select(F.greatest("doc_id", "q").alias("a"), F.least("doc_id", "q").alias("b")).distinct())
 
 
@@ -214,19 +278,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
     tried = pairs
     links = stage(_verified(pairs, sets, percent), "verified")
 
-    component = connect(links)
-    for pivot in [*range(PIVOT_ROUNDS), None]:
-        found = stage(_across(shared, component, n_shared, pivot, percent), "pairs")
-        pairs = stage(found.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.limit(1).count():
-            if pivot is None or not found.limit(1).count():
-                break
-            continue
+    component, used = connect(links), [classes, tables, shared, sets, pairs, links]
+    while True:
+        pairs, open_docs = _with_pivot(shared, component, n_shared, percent)
+        pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         fresh = stage(_verified(pairs, sets, percent), "verified")
         tried = stage(tried.union(pairs), "tried")
-        if fresh.limit(1).count():
-            links = stage(links.union(fresh), "verified")
-            component = connect(links)
+        used += [pairs, fresh, tried]
+        if not fresh.limit(1).count():
+            break
+        links = stage(links.union(fresh), "verified")
+        component = connect(links)
+        used.append(links)
+    open_docs = stage(open_docs, "open")
+    pairs = stage(_by_prefix(open_docs, sets, component, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
+    fresh = stage(_verified(pairs, sets, percent), "verified")
+    if fresh.limit(1).count():
+        component = connect(links.union(fresh))
+    drop_staged(*used, open_docs, pairs, fresh)  # the result reads rows, members and component only
 
     smallest = members.join(component.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
         "doc_id", "n", F.coalesce("component", "rep").alias("component_id"))
