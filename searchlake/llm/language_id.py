@@ -21,8 +21,9 @@ gathers and adds; there is no shuffle.
 
 Cases: null text, or text without a letter: ``und``, score 0, not accepted.
 Without any labelled row every text is ``und``. The sample takes the rows of
-smallest hash of each language, languages in equal parts; rows that share a
-``doc_id`` give one example. Other columns are not looked at.
+smallest hash of each language, languages in equal parts (of more than
+``sample`` languages the most frequent); rows that share a ``doc_id`` give one
+example. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textcore as tc
-from .common import prepare
+from .common import prepare, stage
 
 ORDERS = (3, 4)
 FOLD = tc.LOWER.copy()
@@ -156,13 +157,19 @@ def train(docs: DataFrame, usable: Column | None = None, sample: int = 4000, tra
     rows = docs.filter(F.lit(True) if usable is None else usable).select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    n_languages = rows.agg(F.count_distinct("lang")).first()[0]
+    counts = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(sample), "languages")
+    n_languages = counts.count()
     if not n_languages:
         return Model([], np.zeros((buckets + 1, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.5)
-    # keys only; Spark limits each group before the shuffle, and at most ``sample`` rows are left
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (rows.select("doc_id", "lang").withColumn("nth", F.row_number().over(order))
-              .filter(F.col("nth") <= max(1, sample // n_languages)).drop("nth").dropDuplicates(["doc_id"]).limit(sample))
+    each = max(1, sample // n_languages)
+    # a language's rows of smallest hash; a filter leaves about four times as many as are wanted, of any
+    # number of rows, so that the ranking below is small
+    u = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) * F.lit(2.0**-53)
+    near = (rows.select("doc_id", "lang", u.alias("u")).join(F.broadcast(counts), "lang")
+            .filter(F.col("u") * F.col("n") < 4 * each + 40).dropDuplicates(["doc_id", "lang"]))
+    order = Window.partitionBy("lang").orderBy("u", "doc_id")
+    chosen = (near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= each)
+              .select("doc_id", "lang").dropDuplicates(["doc_id"]).limit(sample))
     texts = (rows.join(F.broadcast(chosen), ["doc_id", "lang"]).filter(F.col("text").rlike(r"\p{L}"))
              .groupBy("doc_id", "lang").agg(F.min("text").alias("text")))
     got = texts.mapInArrow(_examples(buckets, train_bytes), "doc_id long, lang string, ids binary, counts binary").collect()
