@@ -12,9 +12,10 @@ sequences of at most ``size`` ids as best-fit decreasing finds.
    ranks within a length, the first sequence, pieces per sequence and offset. A
    length adds at most one run per free-space class, so the plan has fewer than
    ``size`` * ``size`` rows at any input size (a few thousand in practice).
-4. Pieces are ranked within their length, by a salted rank: salts are numbered
-   apart and shifted by the counts of the salts before them, so a frequent
-   length is never sorted in one task. A piece takes the slot of its rank.
+4. Pieces are ranked within their length, by a salted rank: a length has a salt
+   for each ``ROWS_PER_SALT`` pieces; salts are numbered apart and shifted by
+   the counts of the salts before them, so a frequent length is never sorted in
+   one task. A piece takes the slot of its rank.
 
 Tokenizing is in ``bpe.py``.
 
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import prepare, stage
 
-SALTS = 64
+#: Pieces of one length that are ranked together; a frequent length has more salts.
+ROWS_PER_SALT = 20_000
 def _pieces(path: str, end_id: int, size: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
@@ -124,17 +126,17 @@ def _place(plan: dict[int, list[tuple[int, int, int, int]]]):
     return run
 
 
-def ranked(pieces: DataFrame) -> DataFrame:
+def ranked(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
     """``pieces`` with ``rank``, from 0 without gaps within each length."""
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)))
-    counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).collect()  # size * SALTS rows at most
-    before, seen = [], defaultdict(int)
-    for r in sorted(counts, key=lambda r: (r["length"], r["salt"])):
-        before.append((r["length"], r["salt"], seen[r["length"]]))
-        seen[r["length"]] += r["n"]
-    shift = pieces.sparkSession.createDataFrame(before, "length long, salt long, before long")
+    salts = pieces.sparkSession.createDataFrame(  # a row per length, at most ``size``
+        [(k, -(-n // ROWS_PER_SALT)) for k, n in counts.items()], "length long, salts long")
+    salted = pieces.join(F.broadcast(salts), "length").withColumn(
+        "salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("salts")
+    lower = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    shift = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).select(
+        "length", "salt", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("before"))
     own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1
-    return (salted.withColumn("own", own).join(F.broadcast(shift), ["length", "salt"])
+    return (salted.withColumn("own", own).join(shift, ["length", "salt"])
             .withColumn("rank", F.col("own") + F.col("before")).drop("own", "before", "salt"))
 
 
@@ -150,7 +152,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, wit
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     pieces = stage(texts.mapInArrow(_pieces(tokenizer, end_id, size, with_ids), schema), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return _placed(ranked(pieces), plan_slots(counts, size), schema)
+    return _placed(ranked(pieces, counts), plan_slots(counts, size), schema)
 
 
 def _placed(rows: DataFrame, plan, schema: str) -> DataFrame:
