@@ -13,7 +13,7 @@ sequences of at most ``size`` ids as best-fit decreasing finds.
    length adds at most one run per free-space class, so the plan has fewer than
    ``size`` * ``size`` rows at any input size (a few thousand in practice).
 4. Pieces are ranked within their length, by a salted rank: a length has a salt
-   for each ``ROWS_PER_SALT`` pieces; salts are numbered apart and shifted by
+   for every sqrt(pieces) of its pieces; salts are numbered apart and shifted by
    the counts of the salts before them, so a frequent length is never sorted in
    one task. A piece takes the slot of its rank.
 
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,8 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import prepare, stage
 
-#: Pieces of one length that are ranked together; a frequent length has more salts.
-ROWS_PER_SALT = 20_000
+#: At least so many pieces of one length are ranked together.
+LEAST_PER_SALT = 500
 def _pieces(path: str, end_id: int, size: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
@@ -128,8 +129,10 @@ def _place(plan: dict[int, list[tuple[int, int, int, int]]]):
 
 def ranked(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
     """``pieces`` with ``rank``, from 0 without gaps within each length."""
+    # at most sqrt(pieces) pieces a salt, and at most about as many salts
+    each = max(LEAST_PER_SALT, isqrt(sum(counts.values())))
     salts = pieces.sparkSession.createDataFrame(  # a row per length, at most ``size``
-        [(k, -(-n // ROWS_PER_SALT)) for k, n in counts.items()], "length long, salts long")
+        [(k, -(-n // each)) for k, n in counts.items()], "length long, salts long")
     salted = pieces.join(F.broadcast(salts), "length").withColumn(
         "salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("salts")
     lower = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)

@@ -101,7 +101,7 @@ def test_empty_table(spark):
 def test_rank_over_salts(spark, monkeypatch):
     """A frequent length is ranked in many salts, without gaps."""
     from searchlake.llm import packing
-    monkeypatch.setattr(packing, "ROWS_PER_SALT", 7)
+    monkeypatch.setattr(packing, "LEAST_PER_SALT", 7)
     df = spark.range(500).selectExpr("id doc_id", "0 piece", "0L start", "case when id % 10 = 0 then 5L else 3L end length", "id ids_crc32")
     got = packing.ranked(df, {5: 50, 3: 450}).collect()
     assert sorted(r["rank"] for r in got if r["length"] == 5) == list(range(50))
