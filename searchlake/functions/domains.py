@@ -94,12 +94,13 @@ def read_suffix_list(path: str | None = None) -> list[str]:
 def suffix_rules(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The suffix rules as a table: tail, labels, and whether the tail is a
     plain rule, the base of a wildcard rule, or an exception."""
-    rows = []
+    kinds: dict[str, list[bool]] = {}
     for rule in read_suffix_list(path):
         tail = rule.lstrip("!").removeprefix("*.")
-        rows.append((tail, tail.count(".") + 1, not rule.startswith(("!", "*.")), rule.startswith("*."), rule.startswith("!")))
-    df = spark.createDataFrame(rows, "tail string, labels int, plain boolean, wild boolean, exception boolean")
-    return df.groupBy("tail", "labels").agg(*[F.max(c).alias(c) for c in ("plain", "wild", "exception")])
+        kind = kinds.setdefault(tail, [False, False, False])
+        kind[2 if rule.startswith("!") else 1 if rule.startswith("*.") else 0] = True
+    return spark.createDataFrame([(tail, tail.count(".") + 1, *kind) for tail, kind in kinds.items()],
+                                 "tail string, labels int, plain boolean, wild boolean, exception boolean").coalesce(1)
 
 
 def with_suffix_size(df: DataFrame, host: Column, rules: DataFrame, out: str = "_k") -> DataFrame:

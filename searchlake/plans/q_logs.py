@@ -89,7 +89,7 @@ JOIN (SELECT cd.client_id, dm.domain FROM v_client_domains cd JOIN v_domains dm
 @register("d8_client_data_by_domain", W(f"""
 SELECT client_id, count(*) AS n_rows,
        CAST(sum(search_volume) AS BIGINT) AS search_volume, CAST(sum(rank) AS BIGINT) AS rank_sum,
-       CAST(sum(CAST(traffic_volume AS DECIMAL(18, 6))) AS DOUBLE) AS traffic_volume,
+       CAST(sum(CAST(round(traffic_volume * 100) AS BIGINT)) AS BIGINT) AS traffic_cents,
        CAST(sum(length(domain)) AS BIGINT) AS domain_chars,
        CAST(sum(length(keyword)) AS BIGINT) AS keyword_chars,
        CAST(sum(length(upload_id)) AS BIGINT) AS upload_id_chars,
@@ -106,7 +106,7 @@ def q_d8(spark, d):
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("search_volume").cast("bigint").alias("search_volume"),
         F.sum("rank").cast("bigint").alias("rank_sum"),
-        F.sum(F.col("traffic_volume").cast("decimal(18,6)")).cast("double").alias("traffic_volume"),
+        F.sum(F.round(F.col("traffic_volume") * 100).cast("bigint")).alias("traffic_cents"),
         *chars.values(),
         F.min("ingest_timestamp").alias("first_ingest"), F.max("ingest_timestamp").alias("last_ingest")))
 
