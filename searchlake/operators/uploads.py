@@ -49,22 +49,6 @@ def _filters(**kw) -> list[Column]:
     return conds
 
 
-def _on_days(data: DataFrame, uploads: DataFrame) -> DataFrame:
-    """``data`` cut to the ingest days of the given upload-log rows, so that a
-    table partitioned by ``ingest_date`` is read for these days only.
-
-    An upload's rows carry its one ingest time, so no row is lost; a backfill
-    event names the time of the backfill instead, and then nothing is cut.
-    The driver reads distinct days, at most one per calendar day.
-    """
-    if "ingest_date" not in data.columns:
-        return data
-    days = uploads.select(F.to_date("ingest_timestamp").alias("day"), (F.col("source") == "backfill").alias("late")).distinct().collect()
-    if any(r["late"] or r["day"] is None for r in days):
-        return data
-    return data.where(F.col("ingest_date").isin(sorted({r["day"] for r in days}))) if days else data.where(F.lit(False))
-
-
 def search_uploads(log: DataFrame, client_id=None, project_id=None, job_id=None,
                    upload_id=None, dataset=None, table=None, since=None,
                    limit: int | None = 50) -> DataFrame:
@@ -94,12 +78,13 @@ def preview_upload(log: DataFrame, data: DataFrame, upload_id: str | None = None
                    limit: int | None = 100, order: list[str] | None = None) -> DataFrame:
     """D3: rows of the data table that carry a logged upload id; empty when
     the log does not know it. With ``upload_id`` one upload: a filter on the
-    id and on the day its log row names; without it every logged upload at
-    once, each cut to ``limit`` rows in ``order`` (a window group limit,
-    applied map-side)."""
+    id, which Parquet readers get pushed down; without it every logged upload
+    at once, each cut to ``limit`` rows in ``order`` (a window group limit,
+    applied map-side). Days are not cut: the log names one time of an upload,
+    its rows may lie on others."""
     if upload_id is not None:
         mine = log.where(F.col("upload_id") == upload_id)
-        df = _on_days(data, mine).where(F.col("upload_id") == upload_id)
+        df = data.where(F.col("upload_id") == upload_id)
         df = df.join(mine.select("upload_id").distinct(), "upload_id", "left_semi")
         if limit is not None and order:
             df = df.orderBy(*order)
@@ -149,8 +134,9 @@ def _by_owner(data: DataFrame, log: DataFrame, owner: str, owner_id, table, limi
     jobs = log.where(_and(conds)) if conds else log
     if owner_id is not None:
         mine = jobs.select("job_id").distinct()
-        # a job's rows may come from uploads logged for others too
-        df = _on_days(data, log.join(mine, "job_id", "left_semi")).join(mine, "job_id", "left_semi")
+        # by job alone: a job's rows may come from uploads logged for others, from
+        # uploads without an event, and from other days than the log names
+        df = data.join(mine, "job_id", "left_semi")
     else:
         # every owner at once: (owner, job) pairs joined to the rows; with
         # per_table, (owner, table, job) triples answer every table as well
@@ -165,8 +151,7 @@ def client_data(data: DataFrame, log: DataFrame, client_id=None, table=None,
                 limit: int | None = None, per_table: bool = False) -> DataFrame:
     """Data rows whose job id the log lists for the client (and table).
 
-    One client: a ``left_semi`` join on job ids, over the days that the log
-    names for these jobs. No client: the rows of all
+    One client: a ``left_semi`` join on job ids. No client: the rows of all
     clients, each tagged with its ``client_id`` (join on distinct (client,
     job) pairs; with ``per_table`` also tagged with its ``table_name``).
     AQE broadcasts the log side when it is small, else shuffles, and splits
