@@ -15,10 +15,18 @@ Jaccard similarity, sum of least over sum of largest weights, of at least 0.8.
 3. *Multi-index.* Fingerprints of items of one size are indexed by 8 blocks of 8
    bits. A fingerprint within ``RADIUS`` = 22 bits of an item's has a block
    within 22 // 8 = 2 bits of it, so looking every block up with that tolerance
-   finds all items within the radius; the full distance is then checked. At
-   similarity 0.8 a bit differs with probability 0.15, and more than 22 of 64
-   with probability 5e-6; unrelated windows pass at 1 %.
-4. *Verification.* Survivors are compared by exact weighted-shingle similarity.
+   finds all items within the radius; the full distance is then checked.
+   Unrelated windows pass at 1 %.
+4. *Without fingerprints.* The sign of a sum says little where few or repeated
+   shingles decide it (sums tie at 0). Pairs of which the item has under
+   ``DISTINCT`` shingles or a repeated one, or the window a repeated one or fewer
+   shingles than the item, skip the fingerprints: of them, all windows with enough
+   places whose shingle is the item's (without which 0.8 is out of reach) are
+   verified. In the other pairs every shingle counts once; at similarity 0.8
+   a bit then differs with probability 0.152 at most, and more than 22 of 64 with
+   probability 4e-5 (exact sums of random signs up to 300 shingles, the normal
+   limit above).
+5. *Verification.* Survivors are compared by exact weighted-shingle similarity.
    The best window (then the earliest) of a document and item is returned.
 
 Documents stay where they are: no shuffle. Items are sent to the tasks in blocks
@@ -49,6 +57,7 @@ from .common import parts_for, prepare
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 22
+DISTINCT = 9
 BLOCKS = 8
 BLOCK_ITEMS = 16_384
 BLOCK_BYTES = 8 << 20
@@ -85,6 +94,11 @@ class Item:
     weights: np.ndarray
     fingerprint: np.ndarray
 
+    @property
+    def exact(self) -> bool:
+        """Whether its windows are verified without regard to fingerprints."""
+        return len(self.shingles) < DISTINCT or self.weights.max() > 1
+
 
 POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
@@ -111,6 +125,7 @@ class Index:
         self.tables = {n: [near[:, p[:, b]] for b in range(BLOCKS)] for n, p in self.prints.items()}
         self.sieve = {n: _Sieve(np.concatenate([i.shingles for i in items])) for n, items in self.sizes.items()
                       if n < SHINGLE}
+        self.exact = {n: np.array([i.exact for i in items]) for n, items in self.sizes.items()}
         held: dict[int, list] = defaultdict(list)
         for n, items in self.sizes.items():
             if n >= SHINGLE:
@@ -120,6 +135,13 @@ class Index:
         keys = np.array(sorted(held), np.uint64)
         self.long = _Sieve(keys)
         self.sizes_of = [sorted(set(held[k])) for k in keys.tolist()]
+        #: by size: shingles of all items, sorted, and the item number of each
+        self.holders = {}
+        for n, items in self.sizes.items():
+            if n >= SHINGLE:
+                sh = np.concatenate([i.shingles for i in items])
+                order = np.argsort(sh, kind="stable")
+                self.holders[n] = sh[order], np.repeat(np.arange(len(items)), [len(i.shingles) for i in items])[order]
 
     def candidates(self, n: int, prints: np.ndarray):
         """(window, item number) pairs within the radius, of windows for items of n words."""
@@ -132,6 +154,15 @@ class Index:
         return window[close], item[close], distance[close]
 
 
+    def holding(self, n: int, shingles: np.ndarray):
+        """(place, item number) for each place and item of n words that holds its shingle."""
+        keys, numbers = self.holders[n]
+        first, end = np.searchsorted(keys, shingles), np.searchsorted(keys, shingles, "right")
+        each = end - first
+        place = np.repeat(np.arange(len(shingles)), each)
+        return place, numbers[np.arange(len(place)) - np.repeat(np.cumsum(each) - each, each) + np.repeat(first, each)]
+
+
 class _Sieve:
     """Membership of 64-bit hashes in a fixed set."""
 
@@ -170,6 +201,45 @@ def _starts(hits: np.ndarray, span: int, last: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(delta[:-1]) > 0)
 
 
+def _repeats(shingles: np.ndarray, span: int) -> np.ndarray:
+    """For each window of ``span`` shingles, whether one of them occurs twice in it."""
+    n = len(shingles)
+    order = np.argsort(shingles, kind="stable")
+    again = np.full(n, n)  # the next place of the same shingle
+    same = shingles[order[1:]] == shingles[order[:-1]]
+    again[order[:-1][same]] = order[1:][same]
+    nearest = np.minimum.accumulate(again[::-1])[::-1]
+    start = np.arange(n - span + 1)
+    return nearest[start] < start + span
+
+
+def _without_fingerprints(index: Index, n: int, shingles: np.ndarray, hits: np.ndarray, size: int, d: int):
+    """The pairs that fingerprints are not used for, of a document's shingles and the items of n words."""
+    span, weight = size - SHINGLE + 1, n - SHINGLE + 1
+    # similarity s needs an overlap of s / (1 + s) of both weights, and so as many places
+    least = int(np.ceil(SIMILARITY / (1 + SIMILARITY) * (span + weight) - 1e-9))
+    place, number = index.holding(n, shingles[hits])
+    if len(number) < least:
+        return []
+    enough = np.flatnonzero(np.bincount(number) >= least)
+    if not len(enough):
+        return []
+    any_item = np.full(len(shingles) - span + 1, span < weight) | _repeats(shingles, span)
+    out = []
+    for q in enough.tolist():
+        item, mine = index.sizes[n][q], np.zeros(len(shingles) + 1, np.int32)
+        mine[hits[place[number == q]] + 1] = 1
+        mine = np.cumsum(mine)
+        wanted = mine[span:] - mine[:-span] >= least
+        for s in np.flatnonzero(wanted if index.exact[n][q] else wanted & any_item).tolist():
+            window = shingles[s:s + span]
+            sim = similarity(window, item)
+            if sim >= SIMILARITY:
+                own = as_bytes(fingerprint_sums(window)[-1:])[0]
+                out.append((d, q, n, s, size, sim, int(POPCOUNT[own ^ item.fingerprint].sum())))
+    return out
+
+
 def matches(index: Index, data: np.ndarray, offsets: np.ndarray):
     """(document, item, start, words, similarity, distance) of the best window of each contaminated pair."""
     words, docs = word_hashes(data, offsets)
@@ -187,6 +257,7 @@ def matches(index: Index, data: np.ndarray, offsets: np.ndarray):
     for (d, n), hits in todo.items():
         size = min(n, int(counts[d]))
         span, last = size - SHINGLE + 1, int(counts[d]) - size
+        out += _without_fingerprints(index, n, grams[docs[d]:docs[d] + last + span], np.array(hits), size, d)
         starts = _starts(np.array(hits), span, last)
         # each run of starts needs the shingles of its windows
         for run in np.split(starts, np.flatnonzero(np.diff(starts) > span) + 1):

@@ -95,3 +95,25 @@ def test_empty_tables(spark):
     assert D.find_contamination(docs, df).count() == 1
     assert D.find_contamination(docs.limit(0), df).count() == 0 and D.find_contamination(docs, df.limit(0)).count() == 0
     assert D.drop_contaminated(docs, df.limit(0)).count() == 1
+
+
+def buffers(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw])
+
+
+def test_few_or_repeated_shingles_are_never_missed():
+    """Fingerprints of such windows lie beyond the radius in some percent of the pairs."""
+    tied = [(i, f"a{i} b{i} " * 15) for i in range(300)]  # two shingles, 13 of each
+    found = D.matches(D.Index(tied), *buffers([f"{' '.join(t.split()[:-1])}" for _, t in tied]))
+    assert sorted((m[0], m[1]) for m in found) == [(i, i) for i in range(300)]
+    assert {round(m[4], 6) for m in found} == {round(25 / 26, 6)}
+    # items without repeats; the window ends in one word ten times
+    plain = [(i, " ".join(f"w{i}x{j}" for j in range(94))) for i in range(300)]
+    found = D.matches(D.Index(plain), *buffers([" ".join(t.split()[:84]) + " z" * 10 for _, t in plain]))
+    assert sorted((m[0], m[1]) for m in found) == [(i, i) for i in range(300)]
+    assert {m[4] for m in found} == {0.8}
+    # five shingles, of which a shorter document holds four
+    few = [(i, " ".join(f"w{i}x{j}" for j in range(9))) for i in range(2000)]
+    found = D.matches(D.Index(few), *buffers([" ".join(t.split()[:-1]) for _, t in few]))
+    assert sorted((m[0], m[1]) for m in found) == [(i, i) for i in range(2000)]
