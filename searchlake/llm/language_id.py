@@ -5,15 +5,17 @@ lower-cased, digits and white space folded, one space before and after the
 text), hashed into ``buckets`` (a power of two) rows of an embedding table. The
 mean of the rows goes through a linear softmax over the languages seen in
 training. Table and softmax are trained together by stochastic gradient descent
-in numpy, on the driver, from a sample of at most ``sample`` labelled rows with
-at most ``train_bytes`` bytes each (a window of hashed length and place, so that
-short texts are learned and calibrated too). That bound is the only one: every
-row is predicted from its whole text.
-
-Calibration: a fifth of the sample is kept from training. A temperature is
-fitted to it, so that ``score`` is the probability that the prediction is right,
-and ``threshold`` is the score under which only ``reject_rate`` of its rows lie
-(at most 0.5). ``accepted`` is false below the threshold or without letters.
+in numpy, on the driver, from a sample of at most ``sample`` labelled rows. That
+bound is the only one: n-grams are counted over whole texts, and every row is
+predicted from its whole text. So that short texts are learned too, a text longer
+than a hashed length of ``cut_bytes`` >> 0 to 6 (64 at least) gives one cut of this
+length and of a hashed place as a further training example.
+
+Calibration: a fifth of the sample, whole texts, is kept from training, with its
+cuts. A temperature is fitted to it, so that ``score`` is the probability that the
+prediction is right, and ``threshold`` is the score under which ``reject_rate`` of
+its rows lie, rounded down to whole rows (4 of 800; none of fewer than 200), at most
+0.5. ``accepted`` is false below the threshold or without letters.
 
 Prediction multiplies table and softmax once into one row of logits per bucket
 (buckets x languages floats, sent with the task), so a task only hashes,
@@ -89,24 +91,29 @@ def subwords(data: np.ndarray, offsets: np.ndarray, buckets: int):
     return out, docs
 
 
-def _examples(buckets: int, train_bytes: int):
+def _examples(buckets: int, cut_bytes: int):
+    """Bucket counts of each whole text, and of a cut of each longer one (``whole`` false)."""
     def run(batches):
         for batch in batches:
             rows = []
             for doc, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = text.encode()
+                parts = [(True, raw)]
                 place = int(tc.mix(np.array([doc], np.int64).view(np.uint64))[0])
-                most = max(64, train_bytes >> place % 7)
+                most = max(64, cut_bytes >> place % 7)
                 if len(raw) > most:
                     start = (place >> 8) % (len(raw) - most)
-                    raw = raw[start:start + most]
-                data = np.frombuffer(raw, np.uint8)
-                grams, _ = subwords(data, np.array([0, len(data)]), buckets)
-                ids, counts = np.unique(np.concatenate(grams), return_counts=True)
-                inside = ids < buckets
-                rows.append((doc, lang, ids[inside].astype(np.uint32).tobytes(), counts[inside].astype(np.float32).tobytes()))
+                    parts.append((False, raw[start:start + most]))
+                for whole, part in parts:
+                    data = np.frombuffer(part, np.uint8)
+                    counts = np.zeros(buckets + 1, np.int64)
+                    grams, _ = subwords(data, np.array([0, len(data)]), buckets)
+                    for got in grams:
+                        counts += np.bincount(got, minlength=buckets + 1)
+                    ids = np.flatnonzero(counts[:buckets])
+                    rows.append((doc, lang, whole, ids.astype(np.uint32).tobytes(), counts[ids].astype(np.float32).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.int64(), pa.string(), pa.binary(), pa.binary()))], ["doc_id", "lang", "ids", "counts"])
+                (pa.int64(), pa.string(), pa.bool_(), pa.binary(), pa.binary()))], ["doc_id", "lang", "whole", "ids", "counts"])
     return run
 
 
@@ -115,18 +122,21 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def fit(examples: list[tuple[int, str, np.ndarray, np.ndarray]], buckets: int, dim: int = 16, epochs: int = 5,
-        rate: float = 0.5, reject_rate: float = 0.0001, seed: int = 0) -> Model:
-    """Train on (id, language, bucket ids, counts); a fifth of the rows calibrates."""
+def fit(examples: list[tuple[int, str, bool, np.ndarray, np.ndarray]], buckets: int, dim: int = 16, epochs: int = 5,
+        rate: float = 0.5, reject_rate: float = 0.005, seed: int = 0) -> Model:
+    """Train on (id, language, whole, bucket ids, counts); a fifth of the whole texts calibrates."""
     languages = sorted({e[1] for e in examples})
     random = np.random.default_rng(seed)
     table = random.uniform(-1 / dim, 1 / dim, (buckets + 1, dim)).astype(np.float32)
     table[buckets] = 0
     out, bias = np.zeros((dim, len(languages)), np.float32), np.zeros(len(languages), np.float32)
     which = {x: i for i, x in enumerate(languages)}
-    rows = [(which[lang], ids, counts / counts.sum()) for _, lang, ids, counts in sorted(examples, key=lambda e: e[0]) if len(ids)]
-    held = rows[::5] if len(rows) >= 50 else rows
-    train = [r for i, r in enumerate(rows) if i % 5] if len(rows) >= 50 else rows
+    examples = sorted((e for e in examples if len(e[3])), key=lambda e: (e[0], not e[2]))
+    texts = sorted({e[0] for e in examples})
+    kept = set(texts[::5]) if len(texts) >= 50 else set()
+    row = lambda e: (which[e[1]], e[3], e[4] / e[4].sum())
+    held = [row(e) for e in examples if e[2] and (e[0] in kept or not kept)]
+    train = [row(e) for e in examples if e[0] not in kept]
     steps, step = max(1, epochs * len(train)), 0
     for _ in range(epochs):
         for i in random.permutation(len(train)):
@@ -146,11 +156,11 @@ def fit(examples: list[tuple[int, str, np.ndarray, np.ndarray]], buckets: int, d
     grid = np.geomspace(0.05, 20, 60)
     loss = [-np.log(np.maximum(_softmax(scores / t)[np.arange(len(held)), labels], 1e-12)).mean() for t in grid] if held else [0] * 60
     temperature = float(grid[int(np.argmin(loss))])
-    right = _softmax(scores / temperature).max(1) if held else np.ones(1)
-    return Model(languages, logits, bias, temperature, float(min(0.5, np.quantile(right, reject_rate))))
+    right = np.sort(_softmax(scores / temperature).max(1)) if held else np.ones(1)
+    return Model(languages, logits, bias, temperature, float(min(0.5, right[int(reject_rate * len(held))])))
 
 
-def train(docs: DataFrame, usable: Column | None = None, sample: int = 4000, train_bytes: int = 4096, buckets: int = 1 << 15,
+def train(docs: DataFrame, usable: Column | None = None, sample: int = 4000, cut_bytes: int = 4096, buckets: int = 1 << 15,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on at most ``sample`` rows that have a language, a letter and ``usable``."""
     prepare(docs.sparkSession)
@@ -172,8 +182,8 @@ def train(docs: DataFrame, usable: Column | None = None, sample: int = 4000, tra
               .select("doc_id", "lang").dropDuplicates(["doc_id"]).limit(sample))
     texts = (rows.join(F.broadcast(chosen), ["doc_id", "lang"]).filter(F.col("text").rlike(r"\p{L}"))
              .groupBy("doc_id", "lang").agg(F.min("text").alias("text")))
-    got = texts.mapInArrow(_examples(buckets, train_bytes), "doc_id long, lang string, ids binary, counts binary").collect()
-    return fit([(r["doc_id"], r["lang"], np.frombuffer(r["ids"], np.uint32), np.frombuffer(r["counts"], np.float32)) for r in got], buckets)
+    got = texts.mapInArrow(_examples(buckets, cut_bytes), "doc_id long, lang string, whole boolean, ids binary, counts binary").collect()
+    return fit([(r["doc_id"], r["lang"], r["whole"], np.frombuffer(r["ids"], np.uint32), np.frombuffer(r["counts"], np.float32)) for r in got], buckets)
 
 
 def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

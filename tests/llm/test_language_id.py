@@ -62,3 +62,37 @@ def test_repeated_and_null_ids_train(spark):
     rows = [(None, "le chat est la", "fr"), (1, "le chat est la", "fr"), (1, "le chat est la", "fr"), (2, "the cat is there", "en"), (3, "", "en"), (4, None, "fr")]
     model = L.train(docs_frame(spark, rows))
     assert model.languages == ["en", "fr"]
+
+
+def test_examples_count_whole_texts():
+    """A long text counts as prediction does; its cut is a further example."""
+    import pyarrow as pa
+    buckets = 1 << 15
+    texts = ["le chat " * 3, "".join(f"the word {i} " for i in range(2000)) + "der Hund und die Katze"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["fr", "en"]), pa.array(texts)], ["doc_id", "lang", "text"])
+    got = [r for b in L._examples(buckets, 4096)([batch]) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["whole"]) for r in got] == [(1, True), (2, True), (2, False)]
+    for r, text in zip(got, texts):
+        data = np.frombuffer(text.encode(), np.uint8)
+        grams, _ = L.subwords(data, np.array([0, len(data)]), buckets)
+        want = np.bincount(np.concatenate(grams), minlength=buckets + 1)[:buckets]
+        have = np.zeros(buckets)
+        have[np.frombuffer(r["ids"], np.uint32)] = np.frombuffer(r["counts"], np.float32)
+        assert (have == want).all()
+    assert 64 <= np.frombuffer(got[2]["counts"], np.float32).sum() < 2 * 4096 + 4
+
+
+def test_threshold_rejects_the_stated_share_of_held_whole_texts():
+    """Cuts are neither held out nor trained on with a held text; of 400 held texts two lie below the threshold."""
+    random = np.random.default_rng(1)
+    examples = []
+    for i in range(2000):
+        label = int(random.integers(0, 5))
+        ids = np.unique(np.append(random.integers(0, 40, 12), 40 + (label if random.random() < 0.7 else random.integers(0, 5)))).astype(np.uint32)
+        examples.append((i, "abcde"[label], True, ids, np.ones(len(ids), np.float32)))
+        examples.append((i, "abcde"[label], False, ids[:1], np.ones(1, np.float32)))
+    model = L.fit(examples, 128, epochs=30, reject_rate=0.005)
+    held = [e for e in examples if e[2]][::5]
+    z = np.array([(model.logits[e[3]].mean(0) + model.bias) / model.temperature for e in held], np.float64)
+    score = np.sort((np.exp(z - z.max(1, keepdims=True)) / np.exp(z - z.max(1, keepdims=True)).sum(1, keepdims=True)).max(1))
+    assert score[2] < 0.5 and abs(model.threshold - score[2]) < 1e-6
