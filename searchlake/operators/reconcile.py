@@ -328,7 +328,8 @@ def mapping_coverage(table: DataFrame) -> DataFrame:
 def normalize_values(df: DataFrame, cols: list[str]) -> DataFrame:
     """Drift normalization: whole doubles compare equal to integers, NaN is
     null. Next to each value as text stands its kind (``_kind_<column>``), so
-    that the text ``1`` and the number 1 differ."""
+    that the text ``1`` and the number 1 differ. A variant column holds values of
+    several kinds; each row has its own."""
     out = []
     for f in df.select(*cols).schema.fields:
         c, kind = F.col(f"`{f.name}`"), "text"
@@ -338,9 +339,17 @@ def normalize_values(df: DataFrame, cols: list[str]) -> DataFrame:
             c, kind = F.when(whole, F.floor(d).cast("string")).otherwise(d.cast("string")), "number"
         elif isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
             c, kind = c.cast("bigint").cast("string"), "number"
+        elif isinstance(f.dataType, T.VariantType):
+            d, own = F.try_variant_get(c, "$", "double"), F.schema_of_variant(c)
+            d = F.nanvl(d, F.lit(None).cast("double"))
+            whole = (d == F.floor(d)) & (F.abs(d) < 2.0**63)
+            real, text = own.rlike("^(DOUBLE|FLOAT|DECIMAL)"), F.try_variant_get(c, "$", "string")
+            c = F.when(real & whole, F.floor(d).cast("string")).when(real, d.cast("string")).otherwise(text)
+            mixed = F.when(real | (own == "BIGINT"), F.lit("number")).when(own == "STRING", F.lit("text")).otherwise(F.lower(own))
         elif not isinstance(f.dataType, T.StringType):
             c, kind = c.cast("string"), f.dataType.typeName()
-        out += [c.alias(f.name), F.when(c.isNotNull(), F.lit(kind)).alias(f"_kind_{f.name}")]
+        kind = mixed if isinstance(f.dataType, T.VariantType) else F.lit(kind)
+        out += [c.alias(f.name), F.when(c.isNotNull(), kind).alias(f"_kind_{f.name}")]
     return df.select(*out)
 
 

@@ -182,3 +182,11 @@ def test_split_reports_equal_domains(spark):
     assert sorted(tuple(r) for r in new_links.collect()) == [(1, 10), (2, 12), (4, 11)]
     assert sorted(tuple(r) for r in remap.collect()) == [(3, 1), (4, 1)]
     assert [tuple(r) for r in duplicates.collect()] == [(1, "a.com", 2)]
+
+
+def test_drift_of_text_and_number_keys_in_one_column(spark):
+    a = spark.createDataFrame([(i,) for i in range(9)], "k bigint")
+    mixed = a.select(F.when(F.col("k") % 3 == 0, F.col("k").cast("string").cast("variant"))
+                     .when(F.col("k") == 4, F.lit(4.0).cast("variant")).otherwise(F.col("k").cast("variant")).alias("k"))
+    got = sorted((r.k, r.side, r.n) for r in H.drift(a, mixed, ["k"]).collect())
+    assert got == [(k, side, 1) for k in "036" for side in ("only_a", "only_b")]
