@@ -604,9 +604,10 @@ c AS (SELECT target, trim(regexp_replace(regexp_replace(regexp_replace(regexp_re
         lower(trim(target)), '^.*?://', ''), '^www\\.', ''), '[/?#].*$', ''), ':[^:]*$', '')) AS domain FROM t)
 SELECT target FROM c WHERE domain NOT IN (SELECT domain FROM v_domains)""", "v_domains"))
 def q_f14c(spark, d):
-    li = read_table(spark, d, "lineitem").where(F.col("l_orderkey") % 3 != 0)
+    li = read_table(spark, d, "lineitem")
     ok, sk = F.col("l_orderkey"), F.col("l_suppkey")
-    t = li.select(F.lit(None).cast("bigint").alias("target_id"), V.raw_domain(sk + (ok % 2) * 500000, ok).alias("target"))
+    t = li.select(F.when(ok % 3 == 0, F.when(ok % 23 == 0, sk + 1_000_000).otherwise(sk)).alias("target_id"),
+                  V.raw_domain(sk + (ok % 2) * 500000, ok).alias("target"))
     return Fx.resolve_domains(V.domains(spark, d), t)[2]
 
 

@@ -53,3 +53,17 @@ def test_d8_rows_for_every_client(spark, con):
     problem = diff(sdf.columns, [tuple(r) for r in sdf.collect()],
                    [c[0] for c in res.description], drows)
     assert problem is None, problem
+
+
+def test_f14_to_create_is_asked_for_all_rows(spark, con, monkeypatch):
+    """Targets with an id that come back as to be created are seen."""
+    from searchlake.operators import entities
+    right = entities.resolve_domains
+
+    def wrong(domains, targets):
+        resolved, unknown, create = right(domains, targets)
+        return resolved, unknown, create.unionByName(unknown.select("target"))
+    monkeypatch.setattr(entities, "resolve_domains", wrong)
+    sdf = QUERIES["f14_resolve_domains_to_create"](spark, SF)
+    res = con.execute(ORACLES["f14_resolve_domains_to_create"])
+    assert diff(sdf.columns, [tuple(r) for r in sdf.collect()], [c[0] for c in res.description], res.fetchall()) is not None
