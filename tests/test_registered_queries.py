@@ -67,3 +67,21 @@ def test_f14_to_create_is_asked_for_all_rows(spark, con, monkeypatch):
     sdf = QUERIES["f14_resolve_domains_to_create"](spark, SF)
     res = con.execute(ORACLES["f14_resolve_domains_to_create"])
     assert diff(sdf.columns, [tuple(r) for r in sdf.collect()], [c[0] for c in res.description], res.fetchall()) is not None
+
+
+@pytest.mark.parametrize("name", ["k1_stream_events", "k2_stream_attempts"])
+def test_landing_files_grow_with_the_input(spark, con, monkeypatch, name):
+    from searchlake.plans import q_streaming
+    from searchlake.streaming import jobs
+    monkeypatch.setattr(q_streaming, "FILE_BYTES", 4_000, raising=False)
+    files, run = [], "stream_ingest" if name.startswith("k1") else "stream_attempts"
+    stream = getattr(jobs, run)
+
+    def seen(spark, landing, *args, **options):
+        files.append(len(spark.read.parquet(landing).inputFiles()))
+        return stream(spark, landing, *args, **options)
+    monkeypatch.setattr(jobs, run, seen)
+    sdf = QUERIES[name](spark, SF)
+    res = con.execute(ORACLES[name])
+    assert diff(sdf.columns, [tuple(r) for r in sdf.collect()], [c[0] for c in res.description], res.fetchall()) is None
+    assert min(files) > 4
