@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, line_dedup, near_dedup, packing, quality, substring_dedup, token_counts, warc
+from . import (decontaminate, exact_dedup, fingerprints, language_id, line_dedup, merkle, near_dedup, packing, quality, substring_dedup,
+               token_counts, warc, whitening)
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.query,
     "op9_warc": warc.query,
     "op10_token_counts": token_counts.query,
+    "op11_fingerprints": fingerprints.query,
+    "op12_whitening": whitening.query,
+    "op13_merkle": merkle.query,
 }
 
 ORACLES = {
@@ -23,4 +27,6 @@ ORACLES = {
     "op7_near_dedup": near_dedup.SQL,
     "op8_substring_dedup": substring_dedup.SQL,
     "op9_warc": warc.SQL,
+    "op11_fingerprints": fingerprints.SQL,
+    "op13_merkle": merkle.SQL,
 }
