@@ -71,19 +71,29 @@ def _accepted(mode: str) -> Column:
     raise ValueError(mode)
 
 
+def _picked(attempts: DataFrame, keys, pick, tie: tuple[str, ...], **extra: Column) -> DataFrame:
+    """Per key the first (``F.min``) or last (``F.max``) attempt by attempt number, start, ``tie`` and
+    then the remaining columns as the frame has them, so that equal starts have one order."""
+    order = ["attempt", "started_at", *tie]
+    rest = [c for c in attempts.columns if c not in keys and c not in order]
+    out = attempts.groupBy(*keys).agg(pick(F.struct(*order, *rest)).alias("_b"), *[c.alias(n) for n, c in extra.items()])
+    return out.select(*keys, *[F.col("_b." + c).alias(c) for c in order + rest], *extra)
+
+
+def response_task_id(response: Column) -> Column:
+    """The id of ``tasks[0]`` of a response; null without one."""
+    return F.get(F.from_json(response, _T0_SCHEMA)["tasks"], 0)["id"]
+
+
 def first_success(attempts: DataFrame, mode: str = "rows",
-                  keys=("endpoint", "target")) -> DataFrame:
+                  keys=("endpoint", "target"), tie: tuple[str, ...] = ()) -> DataFrame:
     """The first accepted attempt per target; none when none is accepted.
 
     ``mode``: ``rows`` (n_items > 0, most endpoints), ``parsed`` (the first
     answer that parses, backlinks) or ``status`` (status 20000, empty or not,
-    search volume). Order: attempt, started_at, event_id.
+    search volume). Order: attempt, started_at, ``tie``, remaining columns.
     """
-    order = ["attempt", "started_at", "event_id"]
-    carry = [c for c in attempts.columns if c not in keys and c not in order]
-    best = F.min(F.struct(*[F.col(c) for c in order + carry])).alias("_b")
-    out = attempts.where(_accepted(mode)).groupBy(*keys).agg(best)
-    return out.select(*keys, *[F.col("_b." + c).alias(c) for c in order + carry])
+    return _picked(attempts.where(_accepted(mode)), keys, F.min, tie)
 
 
 def classify_task(status: Column, has_task: Column, items_null: Column,
@@ -103,23 +113,23 @@ def classify_task(status: Column, has_task: Column, items_null: Column,
             .otherwise(F.lit("ready")))
 
 
-def last_attempt(attempts: DataFrame, keys=("endpoint", "target")) -> DataFrame:
-    order = ["attempt", "started_at", "event_id"]
-    carry = [c for c in attempts.columns if c not in keys and c not in order]
-    last = F.max(F.struct(*[F.col(c) for c in order + carry])).alias("_b")
-    out = attempts.groupBy(*keys).agg(last)
-    return out.select(*keys, *[F.col("_b." + c).alias(c) for c in order + carry])
+def last_attempt(attempts: DataFrame, keys=("endpoint", "target"), tie: tuple[str, ...] = (), **extra: Column) -> DataFrame:
+    return _picked(attempts, keys, F.max, tie, **extra)
 
 
 def failed_targets(attempts: DataFrame, max_error_retries: int = 3,
-                   mode: str = "single") -> DataFrame:
+                   mode: str = "single", task_id: str | None = None, tie: tuple[str, ...] = ()) -> DataFrame:
     """Keyword, task_id, reason for targets whose last state is a failure.
 
     Reasons: ``task_not_found (40402)``, ``status_S_after_N_retries``,
     ``exception_after_N_retries: <first 100 chars>`` for transport errors,
-    ``timeout`` when still not ready at the end.
+    ``timeout`` when still not ready at the end. The task id is that of the
+    target's latest attempt that has one: the column ``task_id`` names, or
+    ``tasks[0].id`` of the logged response.
     """
-    last = last_attempt(attempts)
+    known = F.col(task_id) if task_id else response_task_id(F.col("response"))
+    latest = F.max(F.when(known.isNotNull(), F.struct("attempt", "started_at", *tie, known.alias("id"))))["id"]
+    last = last_attempt(attempts, tie=tie, _task=latest)
     waiting = NOT_READY_BULK if mode == "bulk" else NOT_READY
     code = F.col("task_status_code")
     exc = F.coalesce(F.nullif(F.col("error"), F.lit("")),
@@ -133,7 +143,7 @@ def failed_targets(attempts: DataFrame, max_error_retries: int = 3,
                                          F.lit(f"_after_{max_error_retries}_retries"))))
     return last.select(
         F.col("endpoint"), F.col("target").alias("keyword"),
-        F.concat(F.lit("task-"), F.col("event_id").cast("string")).alias("task_id"),
+        F.col("_task").alias("task_id"),
         reason.alias("reason"),
     ).where(F.col("reason").isNotNull())
 
@@ -170,11 +180,12 @@ def cost_by_endpoint(attempts: DataFrame) -> DataFrame:
         F.grouping("endpoint").alias("is_total"))
 
 
-def task_progress(attempts: DataFrame, max_error_retries: int = 3) -> DataFrame:
+def task_progress(attempts: DataFrame, max_error_retries: int = 3, task_id: str | None = None,
+                  tie: tuple[str, ...] = ()) -> DataFrame:
     """C11: per endpoint, targets collected, failed and remaining, rate per
     minute over the attempt span, and minutes left at that rate."""
     ok = first_success(attempts).groupBy("endpoint").agg(F.count(F.lit(1)).alias("collected"))
-    bad = failed_targets(attempts, max_error_retries)
+    bad = failed_targets(attempts, max_error_retries, task_id=task_id, tie=tie)
     failed = (bad.join(first_success(attempts).select("endpoint", F.col("target").alias("keyword")),
                        ["endpoint", "keyword"], "left_anti")
               .groupBy("endpoint").agg(F.count(F.lit(1)).alias("failed")))

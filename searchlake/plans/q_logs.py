@@ -226,7 +226,7 @@ SELECT endpoint, target, attempt, started_at, event_id, n_items FROM (
 def q_c2(spark, d):
     a = V.attempts(spark, d).select("endpoint", "target", "attempt", "started_at", "event_id",
                                     "n_items")
-    return scalar_output(A.first_success(a))
+    return scalar_output(A.first_success(a, tie=("event_id",)))
 
 
 @register("c2_first_success_by_status", W("""
@@ -237,7 +237,7 @@ SELECT endpoint, target, attempt, event_id FROM (
 def q_c2s(spark, d):
     a = V.attempts(spark, d).select("endpoint", "target", "attempt", "started_at", "event_id",
                                     "task_status_code", "n_items")
-    return scalar_output(A.first_success(a, mode="status")
+    return scalar_output(A.first_success(a, mode="status", tie=("event_id",))
                          .select("endpoint", "target", "attempt", "event_id"))
 
 
@@ -248,7 +248,7 @@ SELECT endpoint, target, attempt, event_id FROM (
   FROM v_attempts WHERE http_status = 200) x WHERE rn = 1""", "v_attempts"))
 def q_c2p(spark, d):
     a = V.attempts(spark, d).select("endpoint", "target", "attempt", "started_at", "event_id", "http_status")
-    return scalar_output(A.first_success(a, mode="parsed").select("endpoint", "target", "attempt", "event_id"))
+    return scalar_output(A.first_success(a, mode="parsed", tie=("event_id",)).select("endpoint", "target", "attempt", "event_id"))
 
 
 @register("c3_mark_terminal", W("""
@@ -293,7 +293,85 @@ FROM (SELECT *, row_number() OVER (PARTITION BY endpoint, target
       FROM v_attempts) x
 WHERE rn = 1 AND (http_status <> 200 OR task_status_code <> 20000)""", "v_attempts"))
 def q_c5(spark, d):
-    return A.failed_targets(V.attempts(spark, d))
+    return A.failed_targets(_with_tasks(V.attempts(spark, d)), task_id="task_id", tie=("event_id",))
+
+
+def _with_tasks(attempts):
+    return attempts.withColumn("task_id", F.concat(F.lit("task-"), F.col("event_id").cast("string")))
+
+
+# The 18-column log as A6 stores it: calls -> C1 -> C3 -> stamps -> append. Equal starts are
+# ordered by the log's remaining columns.
+_LOG = """
+log AS (
+  SELECT endpoint, CASE WHEN event_id % 9 = 0 THEN '["' || target || '","extra"]' ELSE target END AS target, attempt,
+         strftime(started_at, '%Y-%m-%dT%H:%M:%S.%f') AS started_at, started_at AS at,
+         CASE WHEN http_status = 200 THEN n_items ELSE 0 END > 0 OR attempt >= 3 AS is_terminal, duration_ms,
+         'worker-' || event_id % 4 AS thread_name, http_status,
+         CASE WHEN http_status = 200 THEN task_status_code END AS task_status_code,
+         CASE WHEN http_status = 200 THEN n_items ELSE 0 END AS n_items, coalesce(error, '') AS error,
+         CASE WHEN http_status = 200 THEN 'task-' || CAST(event_id AS VARCHAR) END AS task_id
+  FROM v_attempts)"""
+_LOG_TIES = "is_terminal, duration_ms, thread_name, http_status, task_status_code NULLS FIRST"
+_LOG_LAST = ("attempt DESC, started_at DESC, is_terminal DESC, duration_ms DESC, thread_name DESC, http_status DESC, "
+             "task_status_code DESC NULLS LAST")
+
+
+def _log(spark, d):
+    from searchlake.operators import ingest as G
+    from searchlake.session import scratch_path
+    path, events = scratch_path(spark, "attempt_log"), scratch_path(spark, "log_events")
+    G.create_table(spark, path, G.ATTEMPT_LOG_SCHEMA)
+    G.append_attempts(G.attempt_log_rows(A.mark_terminal(A.attempt_records(V.attempt_calls(spark, d))),
+                                         "0b9f3f61-3c1e-4a77-8f6c-52a4f1a0a001"), path, events)
+    return spark.read.parquet(path).select(*G.ATTEMPT_LOG_SCHEMA.names)
+
+
+@register("c2_first_success_of_log", W(f"""
+WITH {_LOG}
+SELECT endpoint, target, attempt, started_at, is_terminal, duration_ms, thread_name, http_status, task_status_code, n_items FROM (
+  SELECT *, row_number() OVER (PARTITION BY endpoint, target ORDER BY attempt, started_at, {_LOG_TIES}) AS rn
+  FROM log WHERE n_items > 0) x WHERE rn = 1""", "v_attempts"))
+def q_c2_log(spark, d):
+    return A.first_success(_log(spark, d)).select("endpoint", "target", "attempt", "started_at", "is_terminal", "duration_ms",
+                                                  "thread_name", "http_status", "task_status_code", "n_items")
+
+
+@register("c5_failed_targets_of_log", W(f"""
+WITH {_LOG},
+known AS (SELECT endpoint, target, arg_max(task_id, struct_pack(attempt := attempt, s := started_at, t := task_id)) AS task_id
+          FROM log WHERE task_id IS NOT NULL GROUP BY ALL)
+SELECT x.endpoint, x.target AS keyword, k.task_id,
+  CASE WHEN http_status <> 200 THEN 'exception_after_3_retries: '
+            || substr(coalesce(nullif(error, ''), 'http ' || CAST(http_status AS VARCHAR)), 1, 100)
+       WHEN task_status_code = 40402 THEN 'task_not_found (40402)'
+       WHEN task_status_code IN (40601, 40602, 40202) THEN 'timeout'
+       ELSE 'status_' || CAST(task_status_code AS VARCHAR) || '_after_3_retries' END AS reason
+FROM (SELECT *, row_number() OVER (PARTITION BY endpoint, target ORDER BY {_LOG_LAST}) AS rn FROM log) x
+LEFT JOIN known k ON k.endpoint = x.endpoint AND k.target = x.target
+WHERE rn = 1 AND (http_status <> 200 OR task_status_code <> 20000)""", "v_attempts"))
+def q_c5_log(spark, d):
+    return A.failed_targets(_log(spark, d))
+
+
+@register("c11_task_progress_of_log", W(f"""
+WITH {_LOG},
+firsts AS (SELECT DISTINCT endpoint, target FROM log WHERE n_items > 0),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY endpoint, target ORDER BY {_LOG_LAST}) AS rn FROM log) x
+         WHERE rn = 1 AND (http_status <> 200 OR task_status_code <> 20000)),
+bad AS (SELECT endpoint, count(*) AS failed FROM last l
+        WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.endpoint = l.endpoint AND f.target = l.target) GROUP BY endpoint),
+ok AS (SELECT endpoint, count(*) AS collected FROM firsts GROUP BY endpoint),
+span AS (SELECT endpoint, count(DISTINCT target) AS total_tasks, (epoch(max(at)) - epoch(min(at))) / 60.0 AS elapsed_min
+         FROM log GROUP BY endpoint)
+SELECT endpoint, total_tasks, coalesce(collected, 0) AS collected, coalesce(failed, 0) AS failed,
+       total_tasks - coalesce(collected, 0) - coalesce(failed, 0) AS remaining,
+       round(CASE WHEN elapsed_min > 0 THEN coalesce(collected, 0) / elapsed_min ELSE 0.0 END, 6) AS rate_per_min,
+       round(CASE WHEN elapsed_min > 0 AND coalesce(collected, 0) > 0
+                  THEN (total_tasks - collected - coalesce(failed, 0)) / (collected / elapsed_min) ELSE 0.0 END, 6) AS minutes_left
+FROM span LEFT JOIN ok USING (endpoint) LEFT JOIN bad USING (endpoint)""", "v_attempts"))
+def q_c11_log(spark, d):
+    return scalar_output(A.task_progress(_log(spark, d)))
 
 
 @register("c6_accepted_tasks", """
@@ -365,7 +443,7 @@ SELECT endpoint, total_tasks, collected, failed, total_tasks - collected - faile
                   ELSE 0.0 END, 6) AS minutes_left
 FROM j""", "v_attempts"))
 def q_c11(spark, d):
-    return scalar_output(A.task_progress(V.attempts(spark, d)))
+    return scalar_output(A.task_progress(_with_tasks(V.attempts(spark, d)), task_id="task_id", tie=("event_id",)))
 
 
 @register("c12_drop_invalid_targets", """
