@@ -11,7 +11,10 @@ from __future__ import annotations
 import glob
 import os
 import zipfile
+from functools import lru_cache
+from weakref import WeakKeyDictionary
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +70,7 @@ def normalize_domain_review(s: Column) -> Column:
     return F.coalesce(F.lower(d), F.lit(""))
 
 
+@lru_cache(maxsize=4)
 def read_suffix_list(path: str | None = None) -> list[str]:
     """Rules of the ICANN part of a public suffix list file.
 
@@ -99,18 +103,34 @@ def suffix_rules(spark: SparkSession, path: str | None = None) -> DataFrame:
         tail = rule.lstrip("!").removeprefix("*.")
         kind = kinds.setdefault(tail, [False, False, False])
         kind[2 if rule.startswith("!") else 1 if rule.startswith("*.") else 0] = True
-    return spark.createDataFrame([(tail, tail.count(".") + 1, *kind) for tail, kind in kinds.items()],
-                                 "tail string, labels int, plain boolean, wild boolean, exception boolean").coalesce(1)
+    tails = list(kinds)
+    flags = {name: pa.array([kinds[t][i] for t in tails]) for i, name in enumerate(("plain", "wild", "exception"))}
+    table = pa.table({"tail": pa.array(tails), "labels": pa.array([t.count(".") + 1 for t in tails], pa.int32()), **flags})
+    # Arrow data of this size is part of the plan: reading the rules takes no job
+    rules = spark.createDataFrame(table)
+    _SIZES[rules] = (len(tails), max(t.count(".") + 1 for t in tails))
+    return rules
+
+
+#: (rules, most labels) of rule tables whose size is known.
+_SIZES: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def _size_of(rules: DataFrame) -> tuple[int, int]:
+    if rules not in _SIZES:
+        _SIZES[rules] = tuple(rules.agg(F.count(F.lit(1)), F.max("labels")).first())
+    return _SIZES[rules]
 
 
 def with_suffix_size(df: DataFrame, host: Column, rules: DataFrame, out: str = "_k") -> DataFrame:
     """Add ``out``: the number of labels in the host's public suffix, 0 when none.
 
-    One equi join per label count that rules have, on the host's last labels.
+    The host's last 1, 2, ... labels are looked up in one relation of the
+    rules, which is broadcast once (a tail only meets rules of as many labels).
     An exception rule wins and is one label shorter; else the longest match
     wins, and a wildcard takes one label more than its base, if there is one.
     """
-    n_rules, most = rules.agg(F.count(F.lit(1)), F.max("labels")).first()
+    n_rules, most = _size_of(rules)
     if not n_rules:
         raise ValueError("no public suffix rules")
     labels = F.split(host, r"\.")
@@ -118,7 +138,7 @@ def with_suffix_size(df: DataFrame, host: Column, rules: DataFrame, out: str = "
     plain = wild = exception = F.lit(0)
     drop = ["_labels", "_n"]
     for size in range(1, most + 1):
-        side = rules.where(F.col("labels") == size).select(
+        side = rules.select(
             F.col("tail").alias(f"_tail{size}"), F.col("plain").alias(f"_p{size}"),
             F.col("wild").alias(f"_w{size}"), F.col("exception").alias(f"_e{size}"))
         if n_rules <= BROADCAST_RULES:

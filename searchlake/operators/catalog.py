@@ -142,12 +142,18 @@ def gsc_datasets(names: DataFrame, col: str = "dataset") -> DataFrame:
 
 
 def upsert_datasets(catalog: DataFrame, found: DataFrame, keep_hostname: bool = True,
-                    now=None) -> DataFrame:
+                    now=None, order: str | None = None) -> DataFrame:
     """Upsert by dataset: type replaced, the row made active and stamped
     ``now``. With ``keep_hostname`` (the scan path) a null new hostname
-    keeps the old one; otherwise (the link path) it overwrites."""
-    f = found.select("dataset", F.col("dataset_type").alias("_t"), F.col("hostname").alias("_h"),
-                     F.lit(True).alias("_hit"))
+    keeps the old one; otherwise (the link path) it overwrites. A dataset
+    found several times is one upsert, as if they were made one after the
+    other by ``order`` (a column of ``found``; else by type and hostname): the
+    last type, and the last hostname (the last known one with
+    ``keep_hostname``)."""
+    at = F.col(order) if order else F.lit(0)
+    last = F.struct(at.alias("at"), F.col("dataset_type").alias("t"), F.col("hostname").alias("h"))
+    named = F.when(F.col("hostname").isNotNull(), last) if keep_hostname else last
+    f = found.groupBy("dataset").agg(F.max(last)["t"].alias("_t"), F.max(named)["h"].alias("_h"), F.lit(True).alias("_hit"))
     j = catalog.join(f, "dataset", "full_outer")
     hit = F.col("_hit").isNotNull()
     host = F.coalesce(F.col("_h"), F.col("hostname")) if keep_hostname else F.col("_h")

@@ -153,15 +153,15 @@ def add_domains(domains: DataFrame, client_domains: DataFrame, batch: DataFrame,
     cleaned = (batch.where(F.trim(F.col(raw_col)) != "")
                .select(clean_domain_keep_path(F.col(raw_col)).alias("domain"), F.col(pos_col))
                .where(F.col("domain") != ""))
-    firsts = domain_to_name(cleaned.groupBy("domain").agg(F.min(pos_col).alias("first_pos")), "domain", rules)
+    firsts = cleaned.groupBy("domain").agg(F.min(pos_col).alias("first_pos"))
     known = firsts.join(domains.select("domain", "domain_id"), "domain", "left")
     new = known.where(F.col("domain_id").isNull()).drop("domain_id")
     new_rows = dense_index(new, ["first_pos", "domain"], start=max_id(domains, "domain_id") + 1,
                            name="domain_id")
-    new_domains = new_rows.select("domain_id", "domain", "domain_name", F.lit(True).alias("is_active"),
+    new_domains = domain_to_name(new_rows, "domain", rules).select("domain_id", "domain", "domain_name", F.lit(True).alias("is_active"),
                                   F.lit(None).cast("string").alias("notes"))
-    ids = (known.where(F.col("domain_id").isNotNull())
-           .unionByName(new_rows.select("domain", "first_pos", "domain_name", "domain_id")))
+    ids = domain_to_name(known.where(F.col("domain_id").isNotNull())
+                         .unionByName(new_rows.select("domain", "first_pos", "domain_id")), "domain", rules)
     if client_id is None:
         result = ids.select("domain_id", "domain", "domain_name", F.lit(False).alias("skipped"), "first_pos")
         return result, new_domains, client_domains.limit(0)
@@ -176,28 +176,27 @@ def add_domains(domains: DataFrame, client_domains: DataFrame, batch: DataFrame,
 
 
 def patch(table: DataFrame, changes: DataFrame, keys: list[str],
-          set_null: str | None = None) -> DataFrame:
+          set_null: str | None = None, order: str | None = None) -> DataFrame:
     """set only the fields given. ``changes`` holds the keys and the
     changed columns; a null there means "unchanged", unless the column is
-    listed in the optional array column ``set_null`` (then null is set)."""
-    fields = [c for c in changes.columns if c not in keys and c != set_null]
-    ch = changes.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in fields],
-                        *( [F.col(set_null).alias("_nulls")] if set_null else []),
-                        F.lit(True).alias("_hit"))
-    j = table.join(ch, keys, "left")
-    out = []
-    for f in table.schema.fields:
-        c = f.name
-        if c in fields:
-            newv = F.col(f"_new_{c}").cast(f.dataType)
-            expr = F.coalesce(newv, F.col(c))
-            if set_null:
-                expr = F.when(F.array_contains(F.col("_nulls"), F.lit(c)), F.lit(None).cast(f.dataType)) \
-                        .otherwise(expr)
-            out.append(expr.alias(c))
-        else:
-            out.append(F.col(c))
-    return j.select(*out)
+    listed in the optional array column ``set_null`` (then null is set).
+
+    Several changes of one key are applied one after the other by the column
+    ``order``: each field takes the last change that names it (without
+    ``order``, or at one place of it, the greatest value; a null set is the
+    least). The table keeps its rows, however often a key is changed."""
+    fields = [c for c in changes.columns if c not in keys and c not in (set_null, order)]
+    at = F.col(order) if order else F.lit(0)
+
+    def last(c: str) -> Column:
+        nulled = F.coalesce(F.array_contains(F.col(set_null), F.lit(c)), F.lit(False)) if set_null else F.lit(False)
+        value = F.when(~nulled, F.col(c))
+        return F.max(F.when(nulled | F.col(c).isNotNull(), F.struct(at.alias("at"), value.alias("v")))).alias(f"_new_{c}")
+    if not fields:
+        return table
+    j = table.join(changes.groupBy(*keys).agg(*[last(c) for c in fields]), keys, "left")
+    return j.select(*[F.when(F.col(f"_new_{f.name}").isNotNull(), F.col(f"_new_{f.name}.v").cast(f.dataType))
+                      .otherwise(F.col(f.name)).alias(f.name) if f.name in fields else F.col(f.name) for f in table.schema.fields])
 
 
 def set_status(table: DataFrame, keys: DataFrame, key: str, status_col: str, value) -> DataFrame:

@@ -178,6 +178,34 @@ def q_e9l(spark, d):
     return scalar_output(E.upsert_datasets(V.dataset_catalog(spark, d), found, False, NOW))
 
 
+# each dataset found three times, by scans that disagree: the last type and the last known hostname count
+@register("e9_upsert_datasets_found_often", W(f"""
+WITH found AS (SELECT dataset, {_CLASSIFY} AS dataset_type, {_GSC_HOST} AS hostname, part_id FROM v_dataset_names WHERE part_id % 4 <> 0),
+seen AS (
+  SELECT dataset, 'ga4' AS dataset_type, 'first.' || part_id AS hostname, 1 AS scan FROM found UNION ALL
+  SELECT dataset, 'other', CASE WHEN part_id % 3 = 0 THEN 'second.' || part_id END, 2 FROM found UNION ALL
+  SELECT dataset, dataset_type, hostname, 3 FROM found),
+f AS (SELECT dataset, arg_max(dataset_type, scan) FILTER (scan = 3) AS dataset_type,
+             arg_max(hostname, scan) FILTER (hostname IS NOT NULL) AS hostname FROM seen GROUP BY dataset)
+SELECT coalesce(c.dataset, f.dataset) AS dataset,
+       CASE WHEN f.dataset IS NOT NULL THEN f.dataset_type ELSE c.dataset_type END AS dataset_type,
+       CASE WHEN f.dataset IS NOT NULL THEN coalesce(f.hostname, c.hostname) ELSE c.hostname END AS hostname,
+       c.is_standardized, c.owner,
+       CASE WHEN f.dataset IS NOT NULL THEN true ELSE c.active END AS active,
+       CASE WHEN f.dataset IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE c.updated_at END AS updated_at
+FROM v_dataset_catalog c FULL OUTER JOIN f ON c.dataset = f.dataset""", "v_dataset_names", "v_dataset_catalog"))
+def q_e9o(spark, d):
+    names = V.dataset_names(spark, d).where(F.col("part_id") % 4 != 0)
+    kinds = E.classify_datasets(names).select("dataset", "dataset_type")
+    part, host = F.col("part_id").cast("string"), E.gsc_hostname(F.col("dataset"))
+    found = names.select("dataset", "part_id").join(kinds, "dataset")
+    seen = (found.select("dataset", F.lit("ga4").alias("dataset_type"), F.concat(F.lit("first."), part).alias("hostname"), F.lit(1).alias("scan"))
+            .unionByName(found.select("dataset", F.lit("other").alias("dataset_type"),
+                                      F.when(F.col("part_id") % 3 == 0, F.concat(F.lit("second."), part)).alias("hostname"), F.lit(2).alias("scan")))
+            .unionByName(found.select("dataset", "dataset_type", host.alias("hostname"), F.lit(3).alias("scan"))))
+    return scalar_output(E.upsert_datasets(V.dataset_catalog(spark, d), seen, True, NOW, order="scan"))
+
+
 @register("e10_prune_datasets_full", W("""
 SELECT * FROM v_dataset_catalog c WHERE c.dataset IN (SELECT dataset FROM v_dataset_names WHERE part_id % 8 <> 0)""",
                                        "v_dataset_names", "v_dataset_catalog"))
@@ -476,6 +504,23 @@ def q_f10n(spark, d):
     return Fx.patch(c, changes, ["client_id"], set_null="to_null")
 
 
+# two changes of every client: the later one leaves the name alone, sets notes for some and nulls them for others
+@register("f10_patch_keys_twice", W("""
+SELECT client_id, 'first ' || client_name AS client_name, abbreviation, is_active,
+       CASE WHEN client_id % 4 = 0 THEN NULL WHEN client_id % 3 = 0 THEN 'second' ELSE 'first' END AS notes
+FROM v_clients""", "v_clients"))
+def q_f10t(spark, d):
+    c = V.clients(spark, d).drop("created_at")
+    k = F.col("client_id")
+    none = F.array().cast("array<string>")
+    first = c.select("client_id", F.lit(1).alias("nth"), F.concat(F.lit("first "), "client_name").alias("client_name"),
+                     F.lit("first").alias("notes"), none.alias("to_null"))
+    second = c.select("client_id", F.lit(2).alias("nth"), F.lit(None).cast("string").alias("client_name"),
+                      F.when(k % 3 == 0, F.lit("second")).alias("notes"),
+                      F.when(k % 4 == 0, F.array(F.lit("notes"))).otherwise(none).alias("to_null"))
+    return Fx.patch(c, second.unionByName(first), ["client_id"], set_null="to_null", order="nth")
+
+
 @register("f10_project_status", W("""
 SELECT project_id, CASE WHEN project_id % 11 = 0 THEN 'active' WHEN project_id % 5 = 0 THEN 'completed' ELSE status END AS status
 FROM v_projects""", "v_projects"))
