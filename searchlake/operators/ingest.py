@@ -149,6 +149,18 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType,
     empty.coalesce(1).write.parquet(f"{path}/{partition_col}=__HIVE_DEFAULT_PARTITION__")
 
 
+#: Ids that readers filter by; each row group carries a Bloom filter of them.
+BLOOM_COLUMNS = ("job_id", "upload_id")
+
+
+def _with_blooms(writer, columns, skip=()):
+    for c in BLOOM_COLUMNS:
+        if c in columns and c not in skip:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    # the size follows the distinct ids of the row group
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+
+
 def append_batch(df: DataFrame, path: str, ts_col: str = "ingest_timestamp",
                  cluster=("domain_id", "job_id"), files_per_day: int | None = None) -> bool:
     """A4: append rows to an existing table.
@@ -156,7 +168,8 @@ def append_batch(df: DataFrame, path: str, ts_col: str = "ingest_timestamp",
     Empty input: skipped. Missing table: refused, not created. Rows are
     rebalanced by ingest day (or hashed into ``files_per_day`` buckets per
     day when given), sorted inside each file by ``cluster`` and written
-    partitioned by day.
+    partitioned by day. Files carry Bloom filters of ``BLOOM_COLUMNS``, so a
+    filter on one job or upload skips row groups on any day.
     Returns whether anything was written.
     """
     spark = df.sparkSession
@@ -173,47 +186,30 @@ def append_batch(df: DataFrame, path: str, ts_col: str = "ingest_timestamp",
         # small days, so no single task writes a hot day
         out = out.hint("rebalance", "ingest_date")
     out = out.sortWithinPartitions("ingest_date", *cluster)
-    out.write.mode("append").partitionBy("ingest_date").parquet(path)
+    _with_blooms(out.write.mode("append"), df.columns).partitionBy("ingest_date").parquet(path)
     return True
 
 
-def replace_upload(df: DataFrame, path: str, upload_id: str, ts_col: str | None = "ingest_timestamp",
-                   cluster=("domain_id", "job_id")) -> list[str]:
-    """A4 for streams: add the rows of one upload; a repeat with the same
-    ``upload_id`` replaces what the upload wrote before.
+def replace_upload(df: DataFrame, path: str, upload_id: str, cluster=("domain_id", "job_id")) -> DataFrame | None:
+    """A4 for streams: store the rows of one upload as its own partition.
 
-    The rows go to a staging folder (hidden from readers), a manifest names
-    the final files, then the files are moved. Whatever step a failed attempt
-    got to, the next one deletes the files its manifest names and starts
-    over; nothing depends on the upload event or on how often it is tried.
-    ``ts_col`` None: the table has no day partitions. Returns the new files.
+    The table is partitioned by ``upload_id`` and written with Spark's dynamic
+    partition overwrite, so a repeat with the same id (a micro-batch that is
+    replayed) replaces that upload and nothing else; Spark commits the
+    partition as a whole. Day filters are answered by the row-group statistics
+    of ``ingest_timestamp``, of which an upload has one. Returns the stored
+    rows, or None when the upload has none.
     """
     spark = df.sparkSession
-    manifest, staging = f"{path}/_uploads/{upload_id}", f"{path}/_staging/{upload_id}"
-    for name in _read_lines(spark, manifest):
-        _delete(spark, f"{path}/{name}")
-    _delete(spark, staging)
-    if ts_col is None:
-        df.coalesce(1).write.parquet(staging)
-    else:
-        out = df.withColumn("ingest_date", F.to_date(ts_col)).hint("rebalance", "ingest_date")
-        out.sortWithinPartitions("ingest_date", *cluster).write.partitionBy("ingest_date").parquet(staging)
-    fs, root = _fs(spark, staging)
-    base = fs.getFileStatus(root).getPath().toString().rstrip("/")
-    moves, files = [], fs.listFiles(root, True)
-    while files.hasNext():
-        source = files.next().getPath().toString()
-        folder, _, name = source[len(base) + 1:].rpartition("/")
-        if name.startswith("part-"):
-            moves.append((source, f"{folder}/{upload_id}-{name}".lstrip("/")))
-    _write_lines(spark, manifest, [m[1] for m in moves])
-    for source, name in moves:
-        _, target = _fs(spark, f"{path}/{name}")
-        fs.mkdirs(target.getParent())
-        if not fs.rename(_fs(spark, source)[1], target):
-            raise OSError(f"could not move {source}")
-    _delete(spark, staging)
-    return [f"{path}/{m[1]}" for m in moves]
+    out = df.withColumn("upload_id", F.lit(upload_id)).hint("rebalance")
+    if cluster:
+        out = out.sortWithinPartitions(*cluster)
+    _with_blooms(out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic"), df.columns, skip=("upload_id",)) \
+        .partitionBy("upload_id").parquet(path)
+    part = f"{path}/upload_id={upload_id}"
+    if not path_exists(spark, part):
+        return None
+    return spark.read.parquet(part).withColumn("upload_id", F.lit(upload_id))
 
 
 def upload_event(df: DataFrame, source: str, source_program: str, dataset: str, table: str,
@@ -232,6 +228,27 @@ def upload_event(df: DataFrame, source: str, source_program: str, dataset: str,
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in UPLOAD_EVENT_SCHEMA.fields])
 
 
+def stored_uploads(rows: DataFrame, path: str) -> DataFrame:
+    """The rows of a table that carry an upload id of ``rows``, which was stamped with one or a few."""
+    ids = [r["upload_id"] for r in rows.select("upload_id").distinct().limit(MANY_UPLOADS + 1).collect()]
+    stored = rows.sparkSession.read.parquet(path)
+    if len(ids) > MANY_UPLOADS:
+        return stored.join(rows.select("upload_id").distinct(), "upload_id", "left_semi")
+    return stored.where(any_of("upload_id", ids))
+
+
+#: Up to so many ids are equalities that Parquet readers test against Bloom filters; more are a semi join.
+MANY_UPLOADS = 64
+
+
+def any_of(column: str, values: list) -> Column:
+    """``column`` equals one of a few values, as equalities (a long IN list is pushed down as a range only)."""
+    out = F.lit(False)
+    for i, v in enumerate(values):
+        out = F.col(column) == F.lit(v) if i == 0 else out | (F.col(column) == F.lit(v))
+    return out
+
+
 def attempt_log_rows(records: DataFrame, job_id: str, upload_id: str | None = None, ts=None) -> DataFrame:
     """Rows of the 18-column attempt log: C1 records with ``is_terminal``
     (C3), stamped with the flush's job, upload and time."""
@@ -241,9 +258,10 @@ def attempt_log_rows(records: DataFrame, job_id: str, upload_id: str | None = No
 
 def append_attempts(rows: DataFrame, path: str, events_path: str | None = None) -> None:
     """Append attempt rows to the shared attempt log (partitioned by day,
-    sorted by (job_id, endpoint)) and write one upload event per flush."""
+    sorted by (job_id, endpoint)) and write one upload event per flush, counted
+    from the stored rows (the log's rows of the flush's uploads)."""
     if append_batch(rows, path, cluster=("job_id", "endpoint")) and events_path is not None:
-        upload_event(rows, "debug_log", "attempt_log", "logs", "debug_request_logs") \
+        upload_event(stored_uploads(rows, path), "debug_log", "attempt_log", "logs", "debug_request_logs") \
             .write.mode("append").parquet(events_path)
 
 
@@ -453,8 +471,8 @@ def ingest_responses(responses: DataFrame, endpoint: str, table: str, events: st
     upload event. Returns the upload id, or None when nothing was written.
 
     The flatten, typing and stamping are one narrow stage; the append
-    rebalances by ingest day; the event is a small aggregate of the written
-    rows (read back from the persisted batch, not recomputed).
+    rebalances by ingest day; the event is a small aggregate of the stored
+    rows of this upload, found by its id (row groups of others are skipped).
     """
     from searchlake.operators.flatten import flatten
     validate_job_id(job_id)
@@ -462,12 +480,9 @@ def ingest_responses(responses: DataFrame, endpoint: str, table: str, events: st
     rows = flatten(responses, endpoint)
     rows = stamp_fetch(rows, domain_id, domain, mode)
     rows = stamp_upload(rows, job_id, upload_id)
-    rows = to_table_layout(rows, endpoint).persist()
-    try:
-        if not append_batch(rows, table):
-            return None
-        upload_event(rows, "api", source_program or f"ingest_{endpoint}", "warehouse", endpoint) \
-            .write.mode("append").parquet(events)
-    finally:
-        rows.unpersist()
+    if not append_batch(to_table_layout(rows, endpoint), table):
+        return None
+    stored = responses.sparkSession.read.parquet(table).where(F.col("upload_id") == upload_id)
+    upload_event(stored, "api", source_program or f"ingest_{endpoint}", "warehouse", endpoint) \
+        .write.mode("append").parquet(events)
     return upload_id

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from searchlake.operators.ingest import MANY_UPLOADS, any_of
+
 
 def _and(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds, F.lit(True))
@@ -133,10 +135,12 @@ def _by_owner(data: DataFrame, log: DataFrame, owner: str, owner_id, table, limi
     conds = _filters(**{owner: owner_id}, table_name=table)
     jobs = log.where(_and(conds)) if conds else log
     if owner_id is not None:
-        mine = jobs.select("job_id").distinct()
+        mine = jobs.where(F.col("job_id").isNotNull()).select("job_id").distinct()
         # by job alone: a job's rows may come from uploads logged for others, from
-        # uploads without an event, and from other days than the log names
-        df = data.join(mine, "job_id", "left_semi")
+        # uploads without an event, and from other days than the log names. The ids of
+        # an owner of few jobs become equalities, which Bloom filters answer
+        ids = [r["job_id"] for r in mine.limit(MANY_UPLOADS + 1).collect()]
+        df = data.where(any_of("job_id", ids)) if len(ids) <= MANY_UPLOADS else data.join(mine, "job_id", "left_semi")
     else:
         # every owner at once: (owner, job) pairs joined to the rows; with
         # per_table, (owner, table, job) triples answer every table as well
@@ -151,7 +155,8 @@ def client_data(data: DataFrame, log: DataFrame, client_id=None, table=None,
                 limit: int | None = None, per_table: bool = False) -> DataFrame:
     """Data rows whose job id the log lists for the client (and table).
 
-    One client: a ``left_semi`` join on job ids. No client: the rows of all
+    One client: the rows of its job ids, as pushed-down equalities that skip
+    row groups by Bloom filter, or a ``left_semi`` join when they are many. No client: the rows of all
     clients, each tagged with its ``client_id`` (join on distinct (client,
     job) pairs; with ``per_table`` also tagged with its ``table_name``).
     AQE broadcasts the log side when it is small, else shuffles, and splits

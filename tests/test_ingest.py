@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 import tempfile
 
 import pytest
@@ -93,7 +94,8 @@ def test_stream_ingest_replay_is_idempotent(spark):
     from searchlake.operators.flatten import flatten
     layout = A.to_table_layout(A.stamp_upload(A.stamp_fetch(flatten(empty, "ranked_keywords"), None, None),
                                               JOB, "x"), "ranked_keywords")
-    A.create_table(spark, table, layout.schema)
+    A.create_table(spark, table, layout.schema, "upload_id")
+
     def run(checkpoint):
         K.stream_ingest(spark, landing, "ranked_keywords", table, events, checkpoint, JOB).awaitTermination()
         return spark.read.parquet(table).count(), [r.row_count for r in spark.read.parquet(events).collect()]
@@ -109,21 +111,64 @@ def test_stream_ingest_replay_is_idempotent(spark):
     assert run(first) == (1, [1])
     # its event was lost as well
     up = K.batch_upload_id(first, JOB, table, 0)
-    for name in A._read_lines(spark, f"{events}/_uploads/{up}"):
-        os.remove(os.path.join(events, name))
+    shutil.rmtree(os.path.join(events, f"upload_id={up}"))
     uncommit(first)
     assert run(first) == (1, [1])
-    # it failed between the manifest and the moves
-    for name in A._read_lines(spark, f"{table}/_uploads/{up}"):
-        os.remove(os.path.join(table, name))
+    # it failed before Spark committed the partition
+    shutil.rmtree(os.path.join(table, f"upload_id={up}"))
     uncommit(first)
     assert run(first) == (1, [1])
     # another stream into the same table and events is no replay
     assert run(os.path.join(base, "ck2")) == (2, [1, 1])
+    back = spark.read.parquet(table).select("upload_id", "job_id").collect()
+    assert {r.upload_id for r in back} == {K.batch_upload_id(os.path.join(base, c), JOB, table, 0) for c in ("ck1", "ck2")}
+
+
+def test_replacing_an_upload_leaves_others(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="sl-"), "t")
+    rows = lambda *ks: spark.createDataFrame([(k, "j") for k in ks], "keyword string, job_id string")
+    for up, ks in (("u1", "ab"), ("u2", "c"), ("u1", "x")):
+        assert A.replace_upload(rows(*ks), path, up, ("job_id",)).count() == len(ks)
+    assert sorted((r.upload_id, r.keyword) for r in spark.read.parquet(path).collect()) == [("u1", "x"), ("u2", "c")]
+    assert A.replace_upload(rows("x").limit(0), path, "u3", ("job_id",)) is None
+
+
+def test_event_counts_the_stored_attempts(spark):
+    base = tempfile.mkdtemp(prefix="sl-")
+    path, events = f"{base}/log", f"{base}/events"
+    A.create_table(spark, path, A.ATTEMPT_LOG_SCHEMA)
+    records = spark.createDataFrame([("e", f"t{i}", 1) for i in range(7)], "endpoint string, target string, attempt long")
+    filled = records.withColumns({f.name: F.lit(None).cast(f.dataType) for f in A.ATTEMPT_LOG_SCHEMA.fields if f.name not in records.columns})
+    for up in ("u1", "u2"):
+        A.append_attempts(A.attempt_log_rows(filled, JOB, up), path, events)
+    assert sorted((r.upload_id, r.row_count) for r in spark.read.parquet(events).collect()) == [("u1", 7), ("u2", 7)]
+
+
+def test_posted_tasks_that_no_get_saw_time_out(spark):
+    base = tempfile.mkdtemp(prefix="sl-")
+    day = "2024-01-01 "
+
+    def land(folder, schema, files):
+        for i, rows in enumerate(files):
+            spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(f"{base}/{folder}/b{i}")
+            os.utime(f"{base}/{folder}/b{i}", (1_700_000_000 + i, 1_700_000_000 + i))
+    land("posts", "task_id string, ts string", [[("a", day + "00:00:00"), ("lost", day + "00:01:00"), ("slow", day + "00:02:00")],
+                                                [("young", day + "08:30:00")], [("z", day + "09:00:00")]])
+    land("gets", "task_id string, ts string, status_code long, n_items long",
+         [[("a", day + "00:05:00", 40601, 0), ("slow", day + "00:05:00", 40601, 0)], [("a", day + "00:20:00", 20000, 3)],
+          [("young", day + "09:00:00", 40601, 0), ("slow", day + "08:00:00", 20000, 1)]])
+    read = lambda folder, schema: (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+                                   .option("recursiveFileLookup", "true").parquet(f"{base}/{folder}"))
+    states = K.task_states(read("gets", "task_id string, ts timestamp, status_code long, n_items long"),
+                           posts=read("posts", "task_id string, ts timestamp"))
+    (states.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
+     .trigger(availableNow=True).start().awaitTermination())
+    got = {r.task_id: (r.state, r.observations) for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got.pop("slow") in (("timed_out", 1), ("ready", 2))  # as the watermark or the late answer comes first
+    assert got == {"a": ("ready", 2), "lost": ("timed_out", 0)}
 
 
 def test_task_states_ready_and_timeout(spark):
-    import shutil
     base = tempfile.mkdtemp(prefix="sl-k3-")
     schema = "task_id string, ts string, event_id bigint, status_code bigint, n_items bigint"
     batches = [[("a", "2024-01-01 00:00:00", 1, 40602, 0), ("b", "2024-01-01 00:00:00", 2, 40602, 0)],

@@ -39,3 +39,42 @@ def test_reads_take_rows_of_every_day(spark):
     assert _keywords(U.preview_upload(log, data, "u1", 2, ["keyword"])) == ["a", "b"]
     assert _keywords(U.preview_upload(log, data, "u2", None)) == []
     assert _keywords(U.client_data(data, log, client_id=3)) == []
+
+
+def _scanned(df):
+    """Rows that the file scans of an executed plan gave out."""
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), 0
+    plan = plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        if "FileSourceScan" in leaves.apply(i).getClass().getSimpleName():
+            total += leaves.apply(i).metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_one_owner_skips_row_groups_of_others(spark):
+    n, jobs = 40_000, 400
+    # random order inside a file and no common day: neither statistics nor partitions tell the jobs apart
+    rows = spark.range(n).select(F.md5((F.col("id") % jobs).cast("string")).alias("job_id"), F.md5((F.col("id") % (4 * jobs)).cast("string")).alias("upload_id"),
+                                 F.col("id").cast("string").alias("keyword"), F.timestamp_seconds(F.col("id") % 86_400).alias("ingest_timestamp"))
+    base = tempfile.mkdtemp(prefix="sl-")
+    table = os.path.join(base, "t")
+    A.create_table(spark, table, rows.schema)
+    for part in range(8):
+        A.append_batch(rows.where(F.pmod(F.xxhash64("job_id"), F.lit(8)) == part), table, cluster=("keyword",))
+    log = rows.where(F.col("job_id").isin([F.md5(F.lit("7")), F.md5(F.lit("8"))])).select(
+        "job_id", "upload_id", F.lit("5").alias("client_id"), F.lit("t").alias("table_name"))
+    data = spark.read.parquet(table)
+    mine = U.client_data(data, log, client_id=5)
+    assert mine.count() == 2 * n // jobs
+    assert _scanned(U.client_data(data, log, client_id=5)) <= n // 2
+    one = rows.first()["upload_id"]
+    found = U.preview_upload(rows.select("upload_id"), data, one, None)
+    assert found.count() == n // (4 * jobs) and _scanned(data.where(F.col("upload_id") == one)) <= n // 4
+
+
+def test_an_owner_of_many_jobs(spark):
+    rows = spark.range(1000).select(F.concat(F.lit("j"), "id").alias("job_id"), F.col("id").cast("string").alias("keyword"))
+    log = rows.select("job_id", F.when(F.col("keyword").cast("long") % 2 == 0, "1").alias("client_id"))
+    assert U.client_data(rows, log, client_id=1).count() == 500
