@@ -7,7 +7,8 @@ payload's digest and, in their HTTP header, its length, but not the payload.
 Equal payloads are found by SHA-256 with a count and largest id per digest,
 combined before the shuffle; only digests of several rows are joined back, and
 those of more than 1/1000 of the rows by broadcast, so one page that a third of
-the rows share is no hot key. The revisits are joined to the pages by id, and
+the rows share is no hot key. The revisits are joined to the pages by id and
+digest, so a row becomes one record whatever other rows share its id, and
 each task writes what it then holds, in files of about ``file_bytes``.
 
 Reading. Files are listed by Spark and cut into byte ranges. A task scans its
@@ -19,7 +20,9 @@ compressed data fails the check and is passed over.
 The folder must be one that all executors share; it is opened with Arrow's file
 systems (local or shared mounts, object stores, HDFS).
 
-Cases: null html is an empty payload. Rows with a null id are written as
+Cases: null html is an empty payload; payloads of any length are written and read
+whole, in time that grows with their length. Rows that share an id are records of
+their own, each judged by its payload. Rows with a null id are written as
 responses, with an id made of the row's position, and read back with a null id.
 Rows that share the largest id are all responses. A member that is cut short
 ends the file's records. Other columns are not looked at. An empty table writes
@@ -135,9 +138,8 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
                                           F.count(F.lit(1)).alias("rows")).filter(F.col("least") < F.col("first")), "same-payloads")
     revisits = (skew_join(keyed, same, ["sha"], keyed.count(), "rows").filter(F.col("page_id") < F.col("first"))
                 .select("page_id", F.col("first").alias("refers_to"), F.col("sha").alias("of")).distinct())
-    digest_of = F.unhex(F.sha2("html", 256))
-    marked = rows.filter(F.col("page_id").isNotNull()).join(revisits, ["page_id"], "left").select(
-        "page_id", "url", "html", F.when(F.col("of") == digest_of, F.col("refers_to")).alias("refers_to"))
+    marked = (rows.filter(F.col("page_id").isNotNull()).withColumn("of", F.unhex(F.sha2("html", 256)))
+              .join(revisits, ["page_id", "of"], "left").select("page_id", "url", "html", "refers_to"))
     unnamed = rows.filter(F.col("page_id").isNull()).withColumn("refers_to", F.lit(None).cast("long"))
     # the list of files is written by Spark, which commits one attempt of each task
     return stage(marked.unionByName(unnamed).mapInArrow(
@@ -149,7 +151,7 @@ class _Range:
 
     def __init__(self, handle, start: int, size: int):
         self.handle, self.at, self.size = handle, start, size
-        self.data = b""
+        self.data = bytearray()
 
     def fill(self, upto: int) -> bool:
         """Have the bytes before ``upto``, if the file has them."""
@@ -162,7 +164,8 @@ class _Range:
         return upto <= self.size
 
     def drop(self, before: int) -> None:
-        self.data, self.at = self.data[before - self.at:], before
+        del self.data[:before - self.at]
+        self.at = before
 
 
 def _starts_record(window: bytes) -> bool:
@@ -271,7 +274,7 @@ def read_archives(spark: SparkSession, folder: str, files: DataFrame | None = No
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
     ranges = files.select("file", starts.alias("start")).select("file", "start", (F.col("start") + split_bytes).alias("end"))
     ranges = stage(ranges, "archive-ranges")
-    return ranges.repartition(max(1, ranges.count()), "file", "start").mapInArrow(
+    return ranges.repartition(max(1, ranges.count())).mapInArrow(  # one range a task
         _reader(with_payload), RECORD_FIELDS + ", payload binary" * with_payload)
 
 

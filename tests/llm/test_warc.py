@@ -82,3 +82,22 @@ def test_empty_table(spark):
     folder = scratch_path(spark, "warc-test")
     files = warc.write_archives(pages_frame(spark, [(1, "u", "h")]).limit(0), folder)
     assert files.collect() == [] and warc.read_archives(spark, folder, files).collect() == []
+
+
+def test_rows_that_share_an_id_are_records_of_their_own(spark):
+    rows = [(1, "u", "A"), (1, "u", "B"), (5, "u", "A"), (6, "u", "B"), (7, "u", "c"), (7, "v", "c"), (5, "u", "D"), (9, "u", "D"), (1, "w", "A")]
+    got = sorted((r["page_id"], r["payload_digest"], r["record_type"], r["refers_to"] or 0) for r in round_trip(spark, rows))
+    largest = {h: max(i for i, _, x in rows if x == h) for _, _, h in rows}
+    assert got == sorted((i, sha(h), "response" if largest[h] == i else "revisit", 0 if largest[h] == i else largest[h]) for i, _, h in rows)
+
+
+def test_a_very_large_payload(tmp_path):
+    """Longer than many read blocks, and incompressible; the ranges inside it own no record."""
+    payload = random.Random(3).randbytes(40 << 20)
+    records = [warc.encode_record(1, "u", b"first", None), warc.encode_record(2, "u", payload, None), warc.encode_record(3, "u", b"last", None)]
+    path = str(tmp_path / "a.warc.gz")
+    data = b"".join(records)
+    open(path, "wb").write(data)
+    step = 16 << 20
+    found = [warc.parse_record(raw) for at in range(0, len(data), step) for _, raw in warc.records_in(path, at, at + step)]
+    assert [r["page_id"] for r in found] == [1, 2, 3] and found[1]["payload"] == payload
