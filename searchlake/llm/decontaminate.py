@@ -103,6 +103,15 @@ class Item:
 POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
+#: Windows times items looked up at once.
+LOOKED_UP = 1 << 21
+
+
+def _lists(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, items): items of each byte value, one after the other."""
+    return np.concatenate([[0], np.cumsum(near.sum(1))]), np.nonzero(near)[1].astype(np.int32)
+
+
 class Index:
     """Items of one block, by size in words."""
 
@@ -120,9 +129,9 @@ class Index:
         self.short = [n for n in self.sizes if n < SHINGLE]
         distance = POPCOUNT[np.arange(256)[:, None] ^ np.arange(256)[None, :]]
         near = distance <= radius // BLOCKS
-        #: by size: item fingerprints, and for each block and byte value the items near it
+        #: by size: item fingerprints, and for each block the items near a byte value, as one list with starts
         self.prints = {n: np.array([i.fingerprint for i in items]) for n, items in self.sizes.items()}
-        self.tables = {n: [near[:, p[:, b]] for b in range(BLOCKS)] for n, p in self.prints.items()}
+        self.tables = {n: [_lists(near[:, p[:, b]]) for b in range(BLOCKS)] for n, p in self.prints.items()}
         self.sieve = {n: _Sieve(np.concatenate([i.shingles for i in items])) for n, items in self.sizes.items()
                       if n < SHINGLE}
         self.exact = {n: np.array([i.exact for i in items]) for n, items in self.sizes.items()}
@@ -144,15 +153,26 @@ class Index:
                 self.holders[n] = sh[order], np.repeat(np.arange(len(items)), [len(i.shingles) for i in items])[order]
 
     def candidates(self, n: int, prints: np.ndarray):
-        """(window, item number) pairs within the radius, of windows for items of n words."""
-        possible = np.zeros((len(prints), len(self.prints[n])), bool)
-        for block, table in enumerate(self.tables[n]):
-            possible |= table[prints[:, block]]
-        window, item = np.nonzero(possible)
-        distance = POPCOUNT[prints[window] ^ self.prints[n][item]].sum(1, dtype=np.int32)
-        close = distance <= self.radius
-        return window[close], item[close], distance[close]
-
+        """(window, item number, distance) within the radius, of windows for items of n words.
+
+        Windows are looked up a few at a time, so that memory follows the items of the size.
+        """
+        items, parts = self.prints[n], []
+        step = max(1, LOOKED_UP // len(items))
+        for first in range(0, len(prints), step):
+            some = prints[first:first + step]
+            possible = np.zeros((len(some), len(items)), bool)
+            for block, (starts, near) in enumerate(self.tables[n]):
+                # the items that meet each window in this block: a run of the block's list
+                lo = starts[some[:, block]]
+                each = starts[some[:, block].astype(np.int64) + 1] - lo
+                rows = np.repeat(np.arange(len(some)), each)
+                possible[rows, near[np.arange(len(rows)) + np.repeat(lo - (np.cumsum(each) - each), each)]] = True
+            window, item = np.nonzero(possible)
+            distance = POPCOUNT[some[window] ^ items[item]].sum(1, dtype=np.int32)
+            close = distance <= self.radius
+            parts.append((window[close] + first, item[close], distance[close]))
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, int),) * 3
 
     def holding(self, n: int, shingles: np.ndarray):
         """(place, item number) for each place and item of n words that holds its shingle."""

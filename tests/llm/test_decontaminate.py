@@ -117,3 +117,24 @@ def test_few_or_repeated_shingles_are_never_missed():
     few = [(i, " ".join(f"w{i}x{j}" for j in range(9))) for i in range(2000)]
     found = D.matches(D.Index(few), *buffers([" ".join(t.split()[:-1]) for _, t in few]))
     assert sorted((m[0], m[1]) for m in found) == [(i, i) for i in range(2000)]
+
+
+def test_many_items_of_one_size_in_bounded_memory():
+    """16,384 items of one size against a document of 5000 windows; the lookup equals a direct comparison."""
+    import tracemalloc
+
+    import numpy as np
+    from searchlake.llm import decontaminate as D
+    random = np.random.default_rng(0)
+    index = D.Index([(i, " ".join(f"w{x}" for x in random.integers(0, 400, 12))) for i in range(16_384)])
+    prints = random.integers(0, 256, (5000, 8)).astype(np.uint8)
+    prints[::500] = index.prints[12][::1639][:10] ^ 1
+    tracemalloc.start()
+    window, item, distance = index.candidates(12, prints)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+    got = set(zip(window.tolist(), item.tolist()))
+    for w in range(0, 5000, 250):
+        apart = D.POPCOUNT[prints[w] ^ index.prints[12]].sum(1)
+        assert {i for x, i in got if x == w} == set(np.flatnonzero(apart <= index.radius).tolist())
