@@ -97,5 +97,5 @@ def test_empty_documents_pass_all_stages(spark, tmp_path):
 
 def test_registered():
     names = {n.split("_")[0] for n in llm.QUERIES}
-    assert names == {f"op{i}" for i in range(1, 11)} and set(llm.ORACLES) <= set(llm.QUERIES)
+    assert names == {f"op{i}" for i in range(1, 14)} and set(llm.ORACLES) <= set(llm.QUERIES)
     assert set(llm.QUERIES) | {"pipeline"} <= set(entry.queries()) and public_tokenizers.path("byte_bpe_50k.json")
