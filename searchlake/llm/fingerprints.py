@@ -148,12 +148,12 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def successors(keyed: DataFrame) -> DataFrame:
-    """(k1, k2, n, rows, next1, next2) of the distinct documents of (doc_id, k1, k2, n), by falling id."""
+    """(doc_id, k1, k2, n, rows, next1, next2) of the distinct documents of (doc_id, k1, k2, n), by falling id."""
     distinct = stage(keyed.groupBy("doc_id", "k1", "k2", "n").agg(F.count(F.lit(1)).alias("rows")), "fingerprint-keys")
     placed = stage(dense_index(distinct, [F.col("doc_id").desc_nulls_last(), F.col("k1"), F.col("k2")], start=0, name="place"), "fingerprint-order")
     total = max(1, placed.count())
     after = placed.select(F.pmod(F.col("place") - 1, F.lit(total)).alias("place"), F.col("k1").alias("next1"), F.col("k2").alias("next2"))
-    return stage(placed.join(after, "place").select("k1", "k2", "n", "rows", "next1", "next2"), "successors")
+    return stage(placed.join(after, "place").select("doc_id", "k1", "k2", "n", "rows", "next1", "next2"), "successors")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,10 +169,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if links.filter(F.col("rows") > 1).limit(1).count():
         rows = rows.dropDuplicates(["k1", "k2"])  # combined before the shuffle, also of a hot row
 
-    starts = links.select("k1", "k2", "n", "next1", "next2", "rows").join(
-        rows.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), "text"), ["next1", "next2"]).select(
-        "k1", "k2", "n", "next1", "next2", "rows", F.expr("substring(text, 1, cast(n div 3 as int))").alias("start"))
-    both = rows.join(starts, ["k1", "k2"]).select(
+    # both uses of the texts read the same columns, so that one exchange serves both
+    texts = rows.select("k1", "k2", "text")
+    starts = links.join(texts.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), "text"), ["next1", "next2"]).select(
+        "k1", "k2", "doc_id", "n", "next1", "next2", "rows", F.expr("substring(text, 1, cast(n div 3 as int))").alias("start"))
+    both = texts.join(starts, ["k1", "k2"]).select(
         "k1", "k2", "doc_id", "n", "next1", "next2", "rows", "text",
         F.concat(F.expr("substring(text, 1, cast(n - n div 3 as int))"), "start").alias("edited"))
     keys = ["k1", "k2", "doc_id", "n", "next1", "next2", "rows", "sha"]
