@@ -4,9 +4,9 @@ A text is the multiset of its paragraphs (split at ``\\n``; an empty text is one
 empty paragraph). A paragraph is hashed to a wide vector, a text's fingerprint is
 the sum of the vectors of its paragraphs, lane by lane, modulo powers of two:
 
-* ``STRONG`` lanes modulo 2**32, from the SHA-256 of the paragraph and of ``+`` and
-  the paragraph. Texts with equal multisets of paragraphs have equal lanes in any
-  order of the paragraphs; others have equal lanes with a chance of 2**-512.
+* ``STRONG`` lanes modulo 2**48, from the SHA-256 of the paragraph. Texts with equal
+  multisets of paragraphs have equal lanes in any order of the paragraphs; others have
+  equal lanes with a chance of 2**-240.
 * ``LANES`` lanes modulo 2**16: each ``WORDS``-word shingle of the paragraph (words
   are runs outside ``[\\x20\\x09-\\x0D]``; a paragraph of fewer words is one shingle,
   one without words none) adds +1 or -1 to each, by a bit of its MD5.
@@ -44,7 +44,9 @@ from searchlake.operators.ids import dense_index
 from .common import stage
 
 WORDS = 3
-STRONG = 16
+STRONG = 5
+#: Hex digits of a strong lane.
+DIGITS = 12
 LANES = 128
 WHITE = r"[\x20\x09-\x0D]+"
 #: Bits j and j + 32 of a 64-bit half are counted in one 64-bit sum.
@@ -73,15 +75,15 @@ def shingles(text: Column) -> Column:
 
 def strong_lanes(text: Column) -> Column:
     """Sums over the paragraphs, one for each strong lane."""
-    hashed = F.transform(paragraphs(text), lambda p: F.concat(F.sha2(p, 256), F.sha2(F.concat(F.lit("+"), p), 256)))
-    lanes = F.transform(hashed, lambda h: F.transform(F.sequence(F.lit(0), F.lit(STRONG - 1)), lambda i: _word(h, i * 8 + 1, 8)))
+    hashed = F.transform(paragraphs(text), lambda p: F.sha2(p, 256))
+    lanes = F.transform(hashed, lambda h: F.array(*[_word(h, i * DIGITS + 1, DIGITS) for i in range(STRONG)]))
     zero = F.array_repeat(F.lit(0).cast("long"), STRONG)
-    return F.aggregate(lanes, zero, lambda a, b: F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(HALF))))
+    return F.aggregate(lanes, zero, lambda a, b: F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit((1 << 4 * DIGITS) - 1))))
 
 
 def texts_fingerprints(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """``keys`` (which tell the rows apart) and ``fp``, the fingerprint as bytes."""
-    strong = F.transform(strong_lanes(F.col(f"`{text_col}`")), lambda x: F.lpad(F.hex(x), 8, "0"))
+    strong = F.transform(strong_lanes(F.col(f"`{text_col}`")), lambda x: F.lpad(F.hex(x), DIGITS, "0"))
     # both are computed once a text, below the explode
     rows = texts.select(*keys, F.unhex(F.array_join(strong, "")).alias("strong"), shingles(F.col(f"`{text_col}`")).alias("shingles"))
     rows = rows.select(*keys, "strong", F.explode_outer("shingles").alias("shingle"))
@@ -105,17 +107,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def lanes_of(fp: Column) -> tuple[Column, Column]:
-    """Strong lanes (0 to 2**32 - 1) and likeness lanes (0 to 2**16 - 1) of a fingerprint in hex."""
+    """Strong lanes (0 to 2**48 - 1) and likeness lanes (0 to 2**16 - 1) of a fingerprint in hex."""
     at = lambda n, first, digits: F.transform(
         F.sequence(F.lit(0), F.lit(n - 1)), lambda i: _word(fp, i * digits + first, digits))
-    return at(STRONG, 1, 8), at(LANES, 1 + 8 * STRONG, 4)
+    return at(STRONG, 1, DIGITS), at(LANES, 1 + DIGITS * STRONG, 4)
 
 
 def _combined(a: Column, b: Column, sign: int) -> Column:
     def part(x: Column, y: Column, digits: int) -> Column:
         sums = F.zip_with(x, y, lambda p, q: (p + F.lit(sign) * q).bitwiseAND(F.lit((1 << 4 * digits) - 1)))
         return F.array_join(F.transform(sums, lambda v: F.lower(F.lpad(F.hex(v), digits, "0"))), "")
-    return F.concat(*[part(x, y, digits) for x, y, digits in zip(lanes_of(a), lanes_of(b), (8, 4))])
+    return F.concat(*[part(x, y, digits) for x, y, digits in zip(lanes_of(a), lanes_of(b), (DIGITS, 4))])
 
 
 def plus(fp: Column, inserted: Column) -> Column:
@@ -144,7 +146,7 @@ def lane_likeness(a: Column, b: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Likeness of two fingerprints in hex, 0 to 1."""
-    return lane_likeness(*[signed_lanes(F.unhex(F.substring(fp, 8 * STRONG + 1, 4 * LANES))) for fp in (a, b)])
+    return lane_likeness(*[signed_lanes(F.unhex(F.substring(fp, DIGITS * STRONG + 1, 4 * LANES))) for fp in (a, b)])
 
 
 def successors(keyed: DataFrame) -> DataFrame:
@@ -182,13 +184,13 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     each = texts_fingerprints(versions, [*keys, "which"]).groupBy(*keys).agg(
         *[F.max(F.when(F.col("which") == at, F.col("fp"))).alias(name) for at, name in enumerate(("fp", "edited_fp"))])
     each = stage(each, "fingerprints")
-    after = each.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.substring("fp", 4 * STRONG + 1, 2 * LANES).alias("next_lanes"))
-    lanes = signed_lanes(F.substring("fp", 4 * STRONG + 1, 2 * LANES))
+    after = each.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.substring("fp", DIGITS * STRONG // 2 + 1, 2 * LANES).alias("next_lanes"))
+    lanes = signed_lanes(F.substring("fp", DIGITS * STRONG // 2 + 1, 2 * LANES))
     return (each.join(after, ["next1", "next2"])
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
             .select("doc_id", F.col("n").alias("n_chars"), F.lower(F.hex("sha")).alias("edited_sha256"),
                     F.lower(F.hex("fp")).alias("fingerprint"), F.lower(F.hex("edited_fp")).alias("edited_fingerprint"),
-                    lane_likeness(lanes, signed_lanes(F.substring("edited_fp", 4 * STRONG + 1, 2 * LANES))).alias("near_edited"),
+                    lane_likeness(lanes, signed_lanes(F.substring("edited_fp", DIGITS * STRONG // 2 + 1, 2 * LANES))).alias("near_edited"),
                     lane_likeness(lanes, signed_lanes(F.col("next_lanes"))).alias("near_next")))
 
 
@@ -199,8 +201,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     """The same numbers in DuckDB SQL."""
-    strong = ", ".join(f"sum(('0x' || sha256('{'+' * (i // 8)}' || p)[{i % 8 * 8 + 1}:{i % 8 * 8 + 8}])::BIGINT)::BIGINT & {HALF}"
-                       for i in range(STRONG))
+    strong = ", ".join(f"(sum(('0x' || sha256(p)[{i * DIGITS + 1}:{(i + 1) * DIGITS}])::BIGINT) % {1 << 4 * DIGITS})::BIGINT" for i in range(STRONG))
     # bit j of a half is bit j % 32 of its low word (j under 32) or high word
     word = lambda h, bit: f"w{2 * h + (0 if bit >= 32 else 1)}"
     signs = ", ".join(f"sum(2 * (({word(h, bit)} >> {bit % 32}) & 1) - 1)::BIGINT" for h in (0, 1) for bit in range(64))
@@ -235,7 +236,7 @@ f AS (
   SELECT doc_id, which, strong, [{wrapped} FOR x IN coalesce(s, list_resize([]::BIGINT[], {LANES}, 0))] AS s,
   FROM strong LEFT JOIN sums USING (doc_id, which)),
 t AS (
-  SELECT doc_id, which, s, array_to_string([printf('%08x', x) FOR x IN strong], '')
+  SELECT doc_id, which, s, array_to_string([printf('%0{DIGITS}x', x) FOR x IN strong], '')
     || array_to_string([printf('%04x', x & 65535) FOR x IN s], '') AS fp FROM f)
 SELECT e.doc_id, e.n_chars, sha256(e.edited) AS edited_sha256, a.fp AS fingerprint, b.fp AS edited_fingerprint,
        {near('a.s', 'b.s')} AS near_edited, {near('a.s', 'c.s')} AS near_next

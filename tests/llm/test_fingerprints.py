@@ -15,8 +15,8 @@ def lanes(text):
     """Brute force: strong sums and signed sums of one text."""
     strong, signs = [0] * fp.STRONG, [0] * fp.LANES
     for p in (text or "").split("\n"):
-        raw = hashlib.sha256(p.encode()).hexdigest() + hashlib.sha256(b"+" + p.encode()).hexdigest()
-        strong = [(x + int(raw[8 * i:8 * i + 8], 16)) % 2**32 for i, x in enumerate(strong)]
+        raw = hashlib.sha256(p.encode()).hexdigest()
+        strong = [(x + int(raw[12 * i:12 * i + 12], 16)) % 2**48 for i, x in enumerate(strong)]
         words = WORD.findall(p)
         runs = [words[i:i + 3] for i in range(len(words) - 2)] if len(words) > 2 else [words] * bool(words)
         for run, many in Counter(map(" ".join, runs)).items():
@@ -27,7 +27,7 @@ def lanes(text):
 
 
 def text_of(strong, signs):
-    return "".join("%08x" % x for x in strong) + "".join("%04x" % (x % 2**16) for x in signs)
+    return "".join("%012x" % x for x in strong) + "".join("%04x" % (x % 2**16) for x in signs)
 
 
 def near(a, b):
