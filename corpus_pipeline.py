@@ -5,8 +5,9 @@ and returns a DataFrame, which is written as Parquet and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents``; each
 stage works on every row its predecessor kept.
 
-1. ``language_id``: documents whose language is rejected go (no letter, or a
-   calibrated score under the model's threshold).
+1. ``language_id``: documents whose language is rejected go (no letter, a
+   calibrated score under the model's threshold, or n-grams untypical of every
+   learned language). Without any labelled document all with a letter stay.
 2. ``line_dedup``: repeated lines leave all but one of their documents.
 3. ``near_dedup``: one document of each near-duplicate group stays (5-word
    shingles, similarity 0.8).
@@ -14,7 +15,8 @@ stage works on every row its predecessor kept.
 5. ``packing``: the rest is tokenized and packed; one row per piece.
 
 Nulls, empty and repeated rows are handled as each operator's docstring says;
-rows without a ``doc_id`` pass stages 2 to 5 unlinked.
+rows without a ``doc_id`` pass stages 2 to 5 unlinked. Texts of any length are read
+whole by every stage. Ids must be numbers.
 """
 
 from __future__ import annotations
