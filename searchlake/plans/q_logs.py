@@ -305,7 +305,7 @@ def _with_tasks(attempts):
 _LOG = """
 log AS (
   SELECT endpoint, CASE WHEN event_id % 9 = 0 THEN '["' || target || '","extra"]' ELSE target END AS target, attempt,
-         strftime(started_at, '%Y-%m-%dT%H:%M:%S.%f') AS started_at, started_at AS at,
+         strftime(started_at, '%Y-%m-%dT%H:%M:%S.%f') AS started_at, started_at AS moment,
          CASE WHEN http_status = 200 THEN n_items ELSE 0 END > 0 OR attempt >= 3 AS is_terminal, duration_ms,
          'worker-' || event_id % 4 AS thread_name, http_status,
          CASE WHEN http_status = 200 THEN task_status_code END AS task_status_code,
@@ -362,7 +362,7 @@ last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY endpoint, targ
 bad AS (SELECT endpoint, count(*) AS failed FROM last l
         WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.endpoint = l.endpoint AND f.target = l.target) GROUP BY endpoint),
 ok AS (SELECT endpoint, count(*) AS collected FROM firsts GROUP BY endpoint),
-span AS (SELECT endpoint, count(DISTINCT target) AS total_tasks, (epoch(max(at)) - epoch(min(at))) / 60.0 AS elapsed_min
+span AS (SELECT endpoint, count(DISTINCT target) AS total_tasks, (epoch(max(moment)) - epoch(min(moment))) / 60.0 AS elapsed_min
          FROM log GROUP BY endpoint)
 SELECT endpoint, total_tasks, coalesce(collected, 0) AS collected, coalesce(failed, 0) AS failed,
        total_tasks - coalesce(collected, 0) - coalesce(failed, 0) AS remaining,
