@@ -356,14 +356,67 @@ def normalize_values(df: DataFrame, cols: list[str]) -> DataFrame:
 def drift(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
     """Multiset difference both ways: rows (with multiplicity) only in
     ``a`` and only in ``b``. One union and one signed grouped count."""
-    na = normalize_values(a, cols).withColumn("_s", F.lit(1))
-    nb = normalize_values(b, cols).withColumn("_s", F.lit(-1))
-    g = na.unionByName(nb).groupBy(*cols, *[f"_kind_{c}" for c in cols]).agg(F.sum("_s").alias("_net"))
+    return _net_rows(normalize_values(a, cols), normalize_values(b, cols), cols)
+
+
+def _net_rows(na: DataFrame, nb: DataFrame, cols: list[str]) -> DataFrame:
+    both = na.withColumn("_s", F.lit(1)).unionByName(nb.withColumn("_s", F.lit(-1)))
+    g = both.groupBy(*cols, *[f"_kind_{c}" for c in cols]).agg(F.sum("_s").alias("_net"))
     return g.where(F.col("_net") != 0).select(
         *cols, F.when(F.col("_net") > 0, F.lit("only_a")).otherwise(F.lit("only_b")).alias("side"),
         F.abs("_net").alias("n"))
 
 
+#: Hash lanes of a row: five of 24 bits, so a bucket's sums hold for 2^39 rows.
+_LANES, _LANE_HEX = 5, 6
+
+
+def _row_hash(cols: list[str]) -> Column:
+    """MD5 of normalized values with kind and length, nulls marked, so no two different rows read alike."""
+    parts = [F.coalesce(F.concat(F.col(f"`_kind_{c}`"), F.lit(":"), F.length(f"`{c}`").cast("string"), F.lit(":"), F.col(f"`{c}`")),
+                        F.lit("-")) for c in cols]
+    return F.md5(F.concat_ws("|", *parts))
+
+
+def _bucket(h: Column, buckets: int) -> Column:
+    return F.pmod(F.conv(F.substring(h, 31, 2), 16, 10).cast("bigint") + 256 * F.conv(F.substring(h, 25, 6), 16, 10).cast("bigint"),
+                  F.lit(buckets))
+
+
+def unequal_buckets(a: DataFrame, b: DataFrame, cols: list[str], buckets: int = 65536) -> DataFrame:
+    """Buckets of the row hash in which two tables differ in row count or hash sums.
+
+    Each side is one scan with a partial aggregate: what is shuffled is at most
+    one row a bucket and task, however many rows the tables have. Buckets that
+    agree hold the same rows but with probability 2^-120.
+    """
+    sides = []
+    for df, sign in ((a, 1), (b, -1)):
+        h = normalize_values(df, cols).select(_row_hash(cols).alias("_h"))
+        lanes = [F.conv(F.substring("_h", 1 + i * _LANE_HEX, _LANE_HEX), 16, 10).cast("bigint") for i in range(_LANES)]
+        sides.append(h.select(_bucket(F.col("_h"), buckets).alias("bucket"), F.lit(sign).cast("bigint").alias("rows"),
+                              *[(lane * sign).alias(f"s{i}") for i, lane in enumerate(lanes)]))
+    sums = ["rows", *[f"s{i}" for i in range(_LANES)]]
+    g = sides[0].unionByName(sides[1]).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    return g.where(reduce(lambda x, y: x | y, [F.col(c) != 0 for c in sums])).select("bucket")
+
+
+def drift_by_checksums(a: DataFrame, b: DataFrame, cols: list[str], buckets: int = 65536) -> DataFrame:
+    """H15 for large tables that mostly agree: the result of :func:`drift`, but
+    only rows of unequal buckets are shuffled.
+
+    The unequal buckets (at most ``buckets`` numbers, so they are broadcast) cut
+    both sides at a second scan, before the signed count. Equal tables shuffle
+    checksums alone; ``d`` differing rows bring along ``d / buckets`` of the others.
+    """
+    differ = unequal_buckets(a, b, cols, buckets)
+    cut = []
+    for df in (a, b):
+        n = normalize_values(df, cols).withColumn("_b", _bucket(_row_hash(cols), buckets))
+        cut.append(n.join(F.broadcast(differ), n["_b"] == differ["bucket"], "left_semi").drop("_b"))
+    return _net_rows(cut[0], cut[1], cols)
+
+
 def drift_summary(a: DataFrame, b: DataFrame, cols: list[str], name: str) -> DataFrame:
     d = drift(a, b, cols)
     s = d.agg(F.coalesce(F.sum(F.when(F.col("side") == "only_a", F.col("n"))), F.lit(0)).alias("only_a"),

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from searchlake.operators import reconcile as H
+from searchlake.operators import stored as S
+from searchlake.operators.ingest import append_batch, create_table
 from searchlake.plans.checks import scalar_output
 from searchlake.plans.oracle_views import raw_domain, supp_domain
 from searchlake.plans.oracle_views import with_views as W
 from searchlake.plans.registry import register
+from searchlake.session import scratch_path
 from searchlake.sources import testviews as V
 from searchlake.sources.tables import read_table
 
@@ -187,6 +190,82 @@ def q_h8_both(spark, d):
     return scalar_output(H.backfill_events(V.data_rows(spark, d), "data", mode="both", now=NOW))
 
 
+# stored by month, ids missing and raw names in every third month only: files of the other months must stay
+_STORED_SQL = """
+st AS (SELECT * REPLACE (
+         date_trunc('month', ingest_timestamp) + to_hours(rank) AS ingest_timestamp,
+         CASE WHEN month(ingest_timestamp) % 3 <> 0 AND job_id = 'pending-backfill' THEN 'job-late' ELSE job_id END AS job_id,
+         CASE WHEN month(ingest_timestamp) % 3 <> 0 AND upload_id = 'pending-backfill' THEN 'up-late' ELSE upload_id END AS upload_id,
+         CASE WHEN month(ingest_timestamp) % 3 <> 0 THEN 'unmapped.example' ELSE domain END AS domain) FROM v_data)"""
+
+
+def _stored(spark, d):
+    """Path of the stored table and its files before a change."""
+    ts = F.col("ingest_timestamp").cast("timestamp")
+    other = F.month(ts) % 3 != 0
+    rows = V.data_rows(spark, d).withColumns({
+        "job_id": F.when(other & (F.col("job_id") == "pending-backfill"), F.lit("job-late")).otherwise(F.col("job_id")),
+        "upload_id": F.when(other & (F.col("upload_id") == "pending-backfill"), F.lit("up-late")).otherwise(F.col("upload_id")),
+        "domain": F.when(other, F.lit("unmapped.example")).otherwise(F.col("domain")),
+        "ingest_timestamp": F.date_trunc("month", ts) + F.make_dt_interval(hours=F.col("rank").cast("int"))})
+    path, files = scratch_path(spark, "data"), scratch_path(spark, "files")
+    create_table(spark, path, T.StructType(rows.withColumn("ingest_date", F.to_date("ingest_timestamp")).schema.fields))
+    append_batch(rows, path)
+    _files(spark, path).distinct().write.parquet(files)
+    return path, spark.read.parquet(files).withColumn("kept_file", F.lit(True))
+
+
+def _files(spark, path):
+    return spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("at"))
+
+
+def _rows_and_files(spark, path, files):
+    now = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"),
+                                          F.col("_metadata.file_modification_time").alias("at"))
+    return scalar_output(now.join(files, ["file", "at"], "left").fillna(False, ["kept_file"]).drop("file", "at"))
+
+
+def _backfill_stored_sql(job, upload):
+    return W(f"""
+WITH {_STORED_SQL}
+SELECT {job} AS job_id, {upload} AS upload_id, ingest_timestamp, domain, keyword, rank,
+       month(ingest_timestamp) % 3 <> 0 AS kept_file
+FROM st""", "v_data")
+
+
+_STORED_COLS = ["job_id", "upload_id", "ingest_timestamp", "domain", "keyword", "rank", "kept_file"]
+
+
+@register("h6_backfill_stored", _backfill_stored_sql(
+    f"CASE WHEN job_id = 'pending-backfill' THEN {_sha_id("'data'", "'job'", _HB)} ELSE job_id END",
+    f"CASE WHEN upload_id = 'pending-backfill' THEN {_sha_id("'data'", "'upload'", _HB)} ELSE upload_id END"))
+def q_h6_stored(spark, d):
+    path, files = _stored(spark, d)
+    S.backfill_stored(spark, path, "data", "both")
+    return _rows_and_files(spark, path, files).select(*_STORED_COLS)
+
+
+@register("h7_backfill_stored", _backfill_stored_sql(
+    "job_id", f"CASE WHEN upload_id = 'pending-backfill' THEN {_sha_id("'data'", "job_id", _HB)} ELSE upload_id END"))
+def q_h7_stored(spark, d):
+    path, files = _stored(spark, d)
+    S.backfill_stored(spark, path, "data", "upload")
+    return _rows_and_files(spark, path, files).select(*_STORED_COLS)
+
+
+@register("h8_backfill_stored_events", W(f"""
+WITH {_STORED_SQL}
+SELECT {_sha_id("'data'", "'job'", _HB)} AS job_id, {_sha_id("'data'", "'upload'", _HB)} AS upload_id, count(*) AS row_count
+FROM st WHERE upload_id = 'pending-backfill' OR job_id = 'pending-backfill' GROUP BY 1, 2""", "v_data"))
+def q_h8_stored(spark, d):
+    """The second run finds nothing to do: each event is there once."""
+    path, _ = _stored(spark, d)
+    events = scratch_path(spark, "events")
+    for _ in range(2):
+        S.backfill_stored(spark, path, "data", "both", events)
+    return spark.read.parquet(events).select("job_id", "upload_id", "row_count")
+
+
 _NORM = ("lower(regexp_replace(regexp_replace(regexp_replace({c}, '^(https?://)?(www\\.)?', ''), "
          "'/+$', ''), '\\s+', '', 'g'))")
 
@@ -413,6 +492,21 @@ def q_h14r(spark, d):
     return H.apply_mapping(V.data_rows(spark, d), twice).select("upload_id", "keyword", "rank", "domain_id")
 
 
+@register("h14_map_stored", W(_MAP_SQL + f""", {_STORED_SQL}, hit AS (
+SELECT st.*, m.raw_domain, coalesce(m.domain_id, st.domain_id) AS new_id,
+       CASE WHEN m.raw_domain IS NOT NULL THEN m.canonical ELSE st.domain END AS new_domain
+FROM st LEFT JOIN m ON m.raw_domain = st.domain)
+SELECT upload_id, keyword, rank, new_id AS domain_id, new_domain AS domain,
+       NOT bool_or(raw_domain IS NOT NULL AND (domain_id IS DISTINCT FROM new_id OR domain IS DISTINCT FROM new_domain))
+           OVER (PARTITION BY date_trunc('month', ingest_timestamp)) AS kept_file
+FROM hit""", "v_data", "v_domains"))
+def q_h14_stored(spark, d):
+    mapping, _ = H.decision_map(H.parse_decisions(_decisions(spark, d)), V.domains(spark, d))
+    path, files = _stored(spark, d)
+    S.map_stored(spark, path, mapping)
+    return _rows_and_files(spark, path, files).select("upload_id", "keyword", "rank", "domain_id", "domain", "kept_file")
+
+
 DRIFT_COLS = ["client_id", "client_name", "abbreviation", "is_active", "notes"]
 
 
@@ -449,6 +543,29 @@ def q_h15k(spark, d):
     return H.drift(c, c.select(mixed.alias("client_id")), ["client_id"])
 
 
+# stored rows against a copy that lost some, holds some twice and has others changed
+@register("h15_drift_by_checksums", W("""
+WITH a AS (SELECT job_id, upload_id, domain, keyword, rank, traffic_volume,
+                  CAST(replace(upload_id, 'up-', '') AS VARCHAR) AS o FROM v_data),
+b AS (SELECT job_id, upload_id, domain, keyword, rank,
+             CASE WHEN o LIKE '%77' THEN traffic_volume + 1 ELSE traffic_volume END AS traffic_volume
+      FROM a WHERE o NOT LIKE '%55'
+      UNION ALL SELECT job_id, upload_id, domain, keyword, rank, traffic_volume FROM a WHERE o LIKE '%99'),
+g AS (SELECT job_id, upload_id, domain, keyword, rank, traffic_volume, sum(s) AS net
+      FROM (SELECT * EXCLUDE (o), 1 AS s FROM a UNION ALL SELECT *, -1 FROM b) u GROUP BY ALL)
+SELECT job_id, upload_id, domain, keyword, CAST(rank AS VARCHAR) AS rank, round(traffic_volume, 2) AS traffic_volume,
+       CASE WHEN net > 0 THEN 'only_a' ELSE 'only_b' END AS side, CAST(abs(net) AS BIGINT) AS n
+FROM g WHERE net <> 0""", "v_data"))
+def q_h15_checksums(spark, d):
+    cols = ["job_id", "upload_id", "domain", "keyword", "rank", "traffic_volume"]
+    a = V.data_rows(spark, d).select(*cols)
+    up = F.col("upload_id")
+    b = a.where(~up.endswith("55")).withColumn("traffic_volume", F.when(up.endswith("77"), F.col("traffic_volume") + 1)
+                                                .otherwise(F.col("traffic_volume"))).unionByName(a.where(up.endswith("99")))
+    out = H.drift_by_checksums(a, b, cols)
+    return out.withColumn("traffic_volume", F.round(F.col("traffic_volume").cast("double"), 2))
+
+
 def _entity_tables(spark, d):
     return {"clients": V.clients(spark, d), "domains": V.domains(spark, d), "client_domains": V.client_domains(spark, d),
             "projects": V.projects(spark, d), "project_domains": V.project_domains(spark, d),

@@ -139,7 +139,7 @@ def q_i5(spark, d):
                                     "total_output_tokens", "message_count"))
 
 
-def _compaction_sql(tokens, messages) -> str:
+def compaction_sql(tokens, messages) -> str:
     """Oracle: a recursive fold over the sends of each conversation."""
     t = "NULL" if tokens is None else str(tokens)
     m = "NULL" if messages is None else str(messages)
@@ -172,17 +172,17 @@ def _compaction(spark, d, tokens, messages):
                                     "messages_left"))
 
 
-@register("i6_compaction_points_tokens", _compaction_sql(1500, None))
+@register("i6_compaction_points_tokens", compaction_sql(1500, None))
 def q_i6t(spark, d):
     return _compaction(spark, d, 1500, None)
 
 
-@register("i6_compaction_points_messages", _compaction_sql(None, 5))
+@register("i6_compaction_points_messages", compaction_sql(None, 5))
 def q_i6m(spark, d):
     return _compaction(spark, d, None, 5)
 
 
-@register("i6_compaction_points_both", _compaction_sql(2500, 4))
+@register("i6_compaction_points_both", compaction_sql(2500, 4))
 def q_i6b(spark, d):
     return _compaction(spark, d, 2500, 4)
 

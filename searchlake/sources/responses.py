@@ -30,7 +30,29 @@ def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     (``.../<endpoint>/<target>/<n>.json``)."""
     if fmt == "parquet":
         return spark.read.parquet(path)
-    df = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("_path"))
+    return _documents(spark.read.text(path, wholetext=True))
+
+
+def stream_responses(spark: SparkSession, path: str, fmt: str = "json", max_files: int | None = None) -> DataFrame:
+    """A1 as a stream: JSON documents as they land, with no other landing table.
+    ``json``: one document per file, read whole; ``jsonl``: one document per
+    line, which suits large landings (few files, and files are split). Endpoint
+    and target come from the path, ``.../<endpoint>/<target>/<file>``, where a
+    folder may also be named ``column=value``; blank documents are left out."""
+    if fmt not in ("json", "jsonl"):
+        raise ValueError(f"fmt must be json or jsonl, not {fmt!r}")
+    reader = spark.readStream.format("text").option("wholetext", fmt == "json").option("recursiveFileLookup", True) \
+        .option("pathGlobFilter", "*.json*" if fmt == "json" else "*")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    docs = _documents(reader.load(path))
+    name = F.regexp_replace(F.col("endpoint"), "^endpoint=", "")
+    return docs.where(F.trim("raw") != "").withColumns({
+        "endpoint": name, "target": F.regexp_replace(F.col("target"), "^target=", "")})
+
+
+def _documents(text: DataFrame) -> DataFrame:
+    df = text.select("value", F.col("_metadata.file_path").alias("_path"))
     parts = F.split(F.col("_path"), "/")
     n = F.size(parts)
     return df.select(F.element_at(parts, n - 2).alias("endpoint"),
