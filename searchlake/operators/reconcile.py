@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from searchlake.functions.domains import clean_domain_keep_path, normalize_domain_sql, strip
 from searchlake.operators.ingest import UPLOAD_EVENT_SCHEMA
 from searchlake.schemas import SENTINEL
+from searchlake.session import cut_lineage
 
 
 # ----------------------------------------------------------------- H1-H4
@@ -326,6 +327,14 @@ def mapping_coverage(table: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- H15-H19
 def normalize_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows of :func:`_normal_columns`: each value as text and its kind."""
+    out = []
+    for name, value, kind in _normal_columns(df, cols):
+        out += [value.alias(name), kind.alias(f"_kind_{name}")]
+    return df.select(*out)
+
+
+def _normal_columns(df: DataFrame, cols: list[str]) -> list[tuple[str, Column, Column]]:
     """Drift normalization: whole doubles compare equal to integers, NaN is
     null. Next to each value as text stands its kind (``_kind_<column>``), so
     that the text ``1`` and the number 1 differ. A variant column holds values of
@@ -349,8 +358,8 @@ def normalize_values(df: DataFrame, cols: list[str]) -> DataFrame:
         elif not isinstance(f.dataType, T.StringType):
             c, kind = c.cast("string"), f.dataType.typeName()
         kind = mixed if isinstance(f.dataType, T.VariantType) else F.lit(kind)
-        out += [c.alias(f.name), F.when(c.isNotNull(), kind).alias(f"_kind_{f.name}")]
-    return df.select(*out)
+        out.append((f.name, c, F.when(c.isNotNull(), kind)))
+    return out
 
 
 def drift(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
@@ -367,20 +376,12 @@ def _net_rows(na: DataFrame, nb: DataFrame, cols: list[str]) -> DataFrame:
         F.abs("_net").alias("n"))
 
 
-#: Hash lanes of a row: five of 24 bits, so a bucket's sums hold for 2^39 rows.
-_LANES, _LANE_HEX = 5, 6
-
-
-def _row_hash(cols: list[str]) -> Column:
-    """MD5 of normalized values with kind and length, nulls marked, so no two different rows read alike."""
-    parts = [F.coalesce(F.concat(F.col(f"`_kind_{c}`"), F.lit(":"), F.length(f"`{c}`").cast("string"), F.lit(":"), F.col(f"`{c}`")),
-                        F.lit("-")) for c in cols]
-    return F.md5(F.concat_ws("|", *parts))
-
-
-def _bucket(h: Column, buckets: int) -> Column:
-    return F.pmod(F.conv(F.substring(h, 31, 2), 16, 10).cast("bigint") + 256 * F.conv(F.substring(h, 25, 6), 16, 10).cast("bigint"),
-                  F.lit(buckets))
+def _row_hashes(df: DataFrame, cols: list[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of normalized values with kind and length, nulls marked, so no two different rows read alike."""
+    parts = [F.coalesce(F.concat(kind, F.lit(":"), F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+             for _, c, kind in _normal_columns(df, cols)]
+    row = F.concat_ws("|", *parts)
+    return F.xxhash64(row), F.xxhash64(F.lit(1), row)
 
 
 def unequal_buckets(a: DataFrame, b: DataFrame, cols: list[str], buckets: int = 65536) -> DataFrame:
@@ -388,15 +389,17 @@ def unequal_buckets(a: DataFrame, b: DataFrame, cols: list[str], buckets: int =
 
     Each side is one scan with a partial aggregate: what is shuffled is at most
     one row a bucket and task, however many rows the tables have. Buckets that
-    agree hold the same rows but with probability 2^-120.
+    agree hold the same rows but with a probability of about 2^-100: the sums are
+    those of 24-bit parts of both hashes, so they hold for 2^39 rows a bucket.
     """
     sides = []
     for df, sign in ((a, 1), (b, -1)):
-        h = normalize_values(df, cols).select(_row_hash(cols).alias("_h"))
-        lanes = [F.conv(F.substring("_h", 1 + i * _LANE_HEX, _LANE_HEX), 16, 10).cast("bigint") for i in range(_LANES)]
-        sides.append(h.select(_bucket(F.col("_h"), buckets).alias("bucket"), F.lit(sign).cast("bigint").alias("rows"),
+        one, two = _row_hashes(df, cols)
+        h = df.select(one.alias("_h1"), two.alias("_h2"))
+        lanes = [F.shiftright(c, at).bitwiseAND(F.lit(0xFFFFFF)) for c in ("_h1", "_h2") for at in (0, 24, 40)]
+        sides.append(h.select(F.pmod("_h1", F.lit(buckets)).alias("bucket"), F.lit(sign).cast("bigint").alias("rows"),
                               *[(lane * sign).alias(f"s{i}") for i, lane in enumerate(lanes)]))
-    sums = ["rows", *[f"s{i}" for i in range(_LANES)]]
+    sums = ["rows", *[f"s{i}" for i in range(6)]]
     g = sides[0].unionByName(sides[1]).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in sums])
     return g.where(reduce(lambda x, y: x | y, [F.col(c) != 0 for c in sums])).select("bucket")
 
@@ -409,11 +412,12 @@ def drift_by_checksums(a: DataFrame, b: DataFrame, cols: list[str], buckets: int
     both sides at a second scan, before the signed count. Equal tables shuffle
     checksums alone; ``d`` differing rows bring along ``d / buckets`` of the others.
     """
-    differ = unequal_buckets(a, b, cols, buckets)
+    differ = F.broadcast(cut_lineage(unequal_buckets(a, b, cols, buckets)))
     cut = []
     for df in (a, b):
-        n = normalize_values(df, cols).withColumn("_b", _bucket(_row_hash(cols), buckets))
-        cut.append(n.join(F.broadcast(differ), n["_b"] == differ["bucket"], "left_semi").drop("_b"))
+        # the bucket is one expression over the stored columns; values are normalized after the cut
+        rows = df.select(*cols, F.pmod(_row_hashes(df, cols)[0], F.lit(buckets)).alias("bucket"))
+        cut.append(normalize_values(rows.join(differ, "bucket", "left_semi"), cols))
     return _net_rows(cut[0], cut[1], cols)
 
 

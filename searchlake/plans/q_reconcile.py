@@ -562,7 +562,12 @@ def q_h15_checksums(spark, d):
     up = F.col("upload_id")
     b = a.where(~up.endswith("55")).withColumn("traffic_volume", F.when(up.endswith("77"), F.col("traffic_volume") + 1)
                                                 .otherwise(F.col("traffic_volume"))).unionByName(a.where(up.endswith("99")))
-    out = H.drift_by_checksums(a, b, cols)
+    stored = []
+    for side in (a, b):
+        path = scratch_path(spark, "side")
+        side.write.parquet(path)
+        stored.append(spark.read.parquet(path))
+    out = H.drift_by_checksums(stored[0], stored[1], cols)
     return out.withColumn("traffic_volume", F.round(F.col("traffic_volume").cast("double"), 2))
 
 
