@@ -22,8 +22,11 @@ gives the same keys.
 Cases: null or empty text has no n-grams and weight 0. A null ``doc_id`` has no
 label. Rows tied with the k-th key are all kept. Without target documents all
 weights are 0 and the sample is uniform. Labels of unknown documents are
-ignored; a document with several labels is good if one says so. Other columns
-are not looked at. Empty tables give an empty result.
+ignored, in the share as in the target model; a document with several labels is
+good if one says so. Rows that repeat a labelled id all take its label; equal rows
+have equal keys. Texts of any length are read whole; a text of over 4 MB is a
+slice of its own. Ids must be numbers (a text id that is none is an error). Other
+columns are not looked at. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -135,8 +138,12 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, buckets:
     """
     prepare(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    judged = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    good = (judged.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
+    judged = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+              .filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality")))
+    # ids only, combined before the shuffle, so that a repeated id is one row of the join
+    known = rows.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
+    judged = stage(judged.join(known, "doc_id", "left_semi"), "labels")
+    good = (judged.filter("quality = 1").select("doc_id")
             .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(target_docs))
     marked = rows.join(F.broadcast(good.withColumn("good", F.lit(True))), "doc_id", "left").select(
         "text", F.coalesce("good", F.lit(False)).cast("byte").cast("boolean").alias("good"))

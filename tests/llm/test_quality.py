@@ -37,6 +37,7 @@ def test_features_are_tokens_and_pairs():
 
 def test_weights_match_brute_force(spark):
     rows = [(i, t) for i, t in corpus(4, n=40) if i is not None and len(t or "") < 5000]
+    rows.append((7001, " ".join(f"word{n % 977}, next" for n in range(30_000))))  # one very long text
     good, buckets = {i for i, _ in rows if i % 3 == 0}, 500
 
     def hashed(text):
@@ -75,12 +76,26 @@ def test_gumbel_sample_follows_the_weights(spark):
     assert abs(sum(r["key"] for r in a) / 2000 - 0.5772) < 0.1  # mean of the Gumbel distribution
 
 
-def test_separates_labelled_documents(spark):
-    sf = "/root/testdata/sf0.01"
-    j = Q.query(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("quality", "log_weight", "kept").collect()
-    good, bad = ([r["log_weight"] for r in j if r["quality"] == q] for q in (1, 0))
-    auc = sum((a > b) + 0.5 * (a == b) for a in good for b in bad) / (len(good) * len(bad))
-    assert auc > 0.95 and sum(r["kept"] for r in j if r["quality"] == 1) > 0.95 * len(good)
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_separates_held_out_documents(spark, sf):
+    """Trained on the labels of every second document by hash, judged on the others."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet").withColumn("held", F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = Q.resample(docs, labels.filter("not held"))
+    j = out.join(labels.filter("held"), "doc_id").select("quality", "log_weight", "kept").collect()
+    good, bad = (np.sort([r["log_weight"] for r in j if r["quality"] == q]) for q in (1, 0))
+    less, equal = np.searchsorted(bad, good, "left"), np.searchsorted(bad, good, "right")
+    auc = (less + equal).sum() / 2 / (len(good) * len(bad))
+    print(f"AUC {auc:.4f} on {len(j)} held-out labels")
+    assert len(j) > 50 and auc > 0.95 and sum(r["kept"] for r in j if r["quality"] == 1) > 0.95 * len(good)
+
+
+def test_labels_of_unknown_documents_change_nothing(spark):
+    rows = [(i, f"word{i % 7} text{i % 3} more") for i in range(60)]
+    known = [(i, int(i % 4 == 0)) for i in range(40)]
+    a = Q.resample(docs_frame(spark, rows), labels_frame(spark, known), target_docs=10).collect()
+    b = Q.resample(docs_frame(spark, rows), labels_frame(spark, known + [(1000 + i, 1) for i in range(500)]), target_docs=10).collect()
+    assert sorted(a) == sorted(b) and sum(r["kept"] for r in a) == 15
 
 
 def test_nulls_ties_and_empty(spark):
