@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from searchlake.session import written
 
 # Dataset type prefixes, in lookup order.
 DEFAULT_DATASET_PREFIXES = [
@@ -231,7 +232,8 @@ def approve_matches(catalog: DataFrame, links: DataFrame, approvals: DataFrame,
 
 
 # ----------------------------------------------------------------- E14
-GRAMS = (1, 2, 4, 8, 16)
+#: Gram sizes; a domain has grams of the largest size that it is long enough for.
+GRAMS = (1, 2, 4, 8)
 
 
 def _norm_host(c: Column) -> Column:
@@ -266,6 +268,46 @@ def _host_candidates(hosts: DataFrame, lookup: DataFrame) -> DataFrame:
     return exact.unionByName(fuzzy)
 
 
+def rarest_grams(keys: DataFrame) -> DataFrame:
+    """One row per distinct non-empty ``key``: its rarest gram and the gram's
+    size (the largest of ``GRAMS`` that the key is long enough for).
+
+    The frequency of a gram is the number of keys of its size that hold it;
+    ties go to the gram that sorts first. A start that many domains share
+    (``www-shop``, ``the.``) so files none of them, unless it is all they have.
+    """
+    size = F.array_max(F.filter(F.array(*[F.lit(g) for g in GRAMS]), lambda g: g <= F.length("key")))
+    every = (keys.where(F.length("key") > 0).select("key").distinct().withColumn("size", size)
+             .select("key", "size", F.explode(F.array_distinct(F.transform(
+                 F.sequence(F.lit(1), F.length("key") - F.col("size") + 1),
+                 lambda i: F.substring(F.col("key"), i, F.col("size"))))).alias("gram")))
+    held_by = every.groupBy("size", "gram").agg(F.count(F.lit(1)).alias("held_by"))
+    return (every.join(held_by, ["size", "gram"]).groupBy("key", "size")
+            .agg(F.min(F.struct("held_by", "gram"))["gram"].alias("gram")))
+
+
+def name_grams(names: DataFrame, index: DataFrame) -> DataFrame:
+    """The grams of each name (dataset, nm), of the sizes that ``index`` has:
+    one row a character and size, mostly one size or two."""
+    sizes = index.agg(F.collect_set("size")).scalar()
+    starts = names.select("dataset", "nm", F.explode(sizes).alias("size")).where(F.col("size") <= F.length("nm"))
+    return (starts.select("dataset", "nm", "size",
+                          F.explode(F.sequence(F.lit(1), F.length("nm") - F.col("size") + 1)).alias("i"))
+            .select("dataset", "nm", "size", F.substring("nm", F.col("i"), F.col("size")).alias("gram")))
+
+
+def _longest_contained(names: DataFrame, keys: DataFrame) -> DataFrame:
+    """The longest key in each name, if any; equally long ones: the first in order.
+
+    A key in a name brings its rarest gram along, so the join on grams finds
+    it; the whole key is then checked. The best key per name is combined before
+    the shuffle, and only the key travels.
+    """
+    index = rarest_grams(keys)
+    return (name_grams(names, index).join(index, ["size", "gram"]).where(F.contains("nm", "key"))
+            .groupBy("dataset").agg(F.min(F.struct((-F.length("key")).alias("shorter"), "key"))["key"].alias("key")))
+
+
 def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFrame,
                    domains: DataFrame) -> DataFrame:
     """Propose a client domain for each catalog dataset.
@@ -279,22 +321,22 @@ def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFra
     equals the host or that starts with host + ``.``. Hosts and domains are
     lower-cased with ``www.`` removed. Ties: domain text, then id.
 
-    Candidates come from a union of equi joins (exact key, first label, and
-    for the substring rule a gram: the key's first 16, 8, 4, 2 or 1
-    characters, whichever it has, against the same-sized grams of the name;
-    the whole key is then checked), ranked per dataset. A name of n
-    characters makes at most 5 n gram rows, whatever lengths domains have.
+    Candidates of the host rule come from equi joins (exact key, first
+    label), ranked per dataset. Names that it leaves open go to the substring
+    rule, an index of each domain under its rarest gram (``rarest_grams``).
 
     Returns one row per dataset: ``status`` is ``known``, ``proposed`` or
     ``unmatched``; ``hostname`` is the cleaned host of a proposed ga4 dataset,
     else the proposed domain; an unmatched dataset shows its own host name if
     it is ga4, else none (the substring rule, tried last, clears it).
     """
-    lookup = match_lookup(client_domains, domains)
+    # both are read by several branches below and cost a join or an aggregate of the links
+    lookup = written(match_lookup(client_domains, domains), "match-lookup")
     link_agg = links.groupBy(F.col("dataset_id").alias("dataset")).agg(
-        F.min("domain_id").alias("domain_id"), F.min("client_id").alias("client_id"))
-    cat = catalog.select("dataset", "dataset_type", "hostname")
-    open_ = cat.join(link_agg.select("dataset"), "dataset", "left_anti")
+        F.min("domain_id").alias("domain_id"), F.min("client_id").alias("client_id"), F.lit(0).alias("rule"))
+    cat = written(catalog.select("dataset", "dataset_type", "hostname").join(link_agg, "dataset", "left"), "match-catalog")
+    linked = cat.where(F.col("rule") == 0)
+    open_ = cat.where(F.col("rule").isNull()).select("dataset", "dataset_type", "hostname")
     ds, typ = F.col("dataset"), F.col("dataset_type")
     low = F.lower(ds)
     gsc = typ == "gsc"
@@ -309,25 +351,19 @@ def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFra
                                   F.lower(F.replace(F.substring(ds, len("jepto_gsc_") + 1, 1 << 30),
                                                     F.lit("_"), F.lit("."))).alias("h"))))
     host_c = _host_candidates(hosts, lookup)
-    # substring rule: grams of the name meet the first gram of a key
-    size = F.array_max(F.filter(F.array(*[F.lit(g) for g in GRAMS]), lambda g: g <= F.length("key")))
-    grams = lookup.drop("first_label").where(F.length("key") > 0).withColumn("size", size).withColumn(
-        "gram", F.substring(F.col("key"), F.lit(1), F.col("size")))
     names = open_.where(typ.isNull() | (typ != "ga4")).select(
         "dataset", F.replace(low, F.lit("_"), F.lit(".")).alias("nm"))
-    starts = names.where(F.length("nm") > 0).select("dataset", "nm", F.explode(F.sequence(F.lit(1), F.length("nm"))).alias("i"))
-    fits = F.filter(F.array(*[F.lit(g) for g in GRAMS]), lambda g: g <= F.length("nm") - F.col("i") + 1)
-    subs = (starts.select("dataset", "nm", "i", F.explode(fits).alias("size"))
-            .select("dataset", "nm", "size", F.substring("nm", F.col("i"), F.col("size")).alias("gram")))
-    sub_c = subs.join(grams, ["size", "gram"]).where(F.contains("nm", "key")).select(
-        "dataset", F.lit(4).alias("rule"), F.lit(0).alias("sub"), "key", "client_id", "domain_id", "domain")
-    cands = host_c.unionByName(sub_c)
-    length_key = F.when(F.col("rule") == 4, -F.length("key")).otherwise(F.length("key"))
+    length_key = F.length("key")
     w = Window.partitionBy("dataset").orderBy("rule", "sub", length_key, "key", "domain_id")
-    best = (cands.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-            .select("dataset", "client_id", "domain_id", "domain", "rule"))
-    known = (link_agg.join(domains.select("domain_id", "domain"), "domain_id", "left")
-             .select("dataset", "client_id", "domain_id", "domain", F.lit(0).alias("rule")))
+    best_host = (host_c.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+                 .select("dataset", "client_id", "domain_id", "domain", "rule"))
+    contained = _longest_contained(names.join(best_host.select("dataset"), "dataset", "left_anti"),
+                                   lookup.select("key"))
+    best_sub = contained.join(lookup.drop("first_label"), "key").select(
+        "dataset", "client_id", "domain_id", "domain", F.lit(4).alias("rule"))
+    best = best_host.unionByName(best_sub)
+    known = linked.join(domains.select("domain_id", "domain"), "domain_id", "left")
+    matched = known.unionByName(open_.join(best, "dataset", "left"))
     names_of_rule = {0: "known", 1: "host", 2: "sc_domain", 3: "jepto_gsc", 4: "substring"}
     rule_name = None
     for k, v in names_of_rule.items():
@@ -336,7 +372,7 @@ def match_datasets(catalog: DataFrame, links: DataFrame, client_domains: DataFra
     # the substring rule, tried last, leaves no host name when it finds nothing
     missed = F.when(typ == "ga4", F.col("hostname"))
     rule = F.col("rule")
-    return (cat.join(known.unionByName(best), "dataset", "left")
+    return (matched
             .select("dataset", "dataset_type", "client_id", "domain_id", "domain", "rule", rule_name.alias("match_rule"),
                     F.when(rule == 0, F.lit("known")).when(rule.isNotNull(), F.lit("proposed"))
                     .otherwise(F.lit("unmatched")).alias("status"),

@@ -1,5 +1,7 @@
 """Entity, catalog and reconciliation operators on the reference's cases."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -172,6 +174,27 @@ def test_match_long_domains(spark):
     assert got["ccc"] == (None, "unmatched", None) and got["g"] == (2, "proposed", "x.io")
 
 
+def test_rarest_grams_match_brute_force(spark):
+    """Each domain lies under the gram that fewest others hold; names make one gram row a
+    character and size in use; the longest contained domain is that of all pairs."""
+    stems = ["shop", "the.shop", "big-data", "a", "xy", "abc", "aaaaaaaaaaaa", "日本語.jp"]
+    keys = sorted({f"{s}{n}.{t}" for s in stems for n in ("", "1", "22") for t in ("com", "com.au")} | {"a", "xy", "t.co", ""})
+    names = [f"{p}.{k}.{q}" for i, k in enumerate(keys) for p, q in [("", ""), ("zz", "www"), (keys[-1 - i], "9")]] + ["", "none", "aa"]
+    kd = spark.createDataFrame([(k,) for k in keys + keys[:3]], "key string")
+    nd = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "dataset string, nm string")
+    grams = lambda k, n: {k[i:i + n] for i in range(len(k) - n + 1)}
+    size = {k: max(g for g in E.GRAMS if g <= len(k)) for k in keys if k}
+    held = Counter((n, g) for k, n in size.items() for g in grams(k, n))
+    want = {k: (n, min((held[n, g], g) for g in grams(k, n))[1]) for k, n in size.items()}
+    index = E.rarest_grams(kd)
+    assert {r.key: (r.size, r.gram) for r in index.collect()} == want and index.count() == len(want)
+    rows = Counter(r.dataset for r in E.name_grams(nd, index).collect())
+    assert all(rows[str(i)] == sum(max(0, len(n) - s + 1) for s in set(size.values())) for i, n in enumerate(names))
+    got = {r.dataset: r.key for r in E._longest_contained(nd, kd).collect()}
+    assert got == {str(i): min((-len(k), k) for k in size if k in n)[1]
+                   for i, n in enumerate(names) if any(k in n for k in size)}
+
+
 def test_split_reports_equal_domains(spark):
     p = spark.createDataFrame([(1, "a.com_001"), (1, "a.com_002"), (1, "b.com_001"), (2, "c.com_001")], "project_id bigint, project_name string")
     links = spark.createDataFrame([(1, 10), (1, 11), (2, 12)], "project_id bigint, domain_id bigint")
