@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from searchlake.operators import attempts as A
+from searchlake.operators import sketches as K
 from searchlake.operators import uploads as U
 from searchlake.plans.checks import scalar_output
 from searchlake.plans.oracle_views import with_views as W
@@ -413,6 +414,35 @@ def q_c9(spark, d):
     return scalar_output(A.empties_vs_successes(V.attempts(spark, d)))
 
 
+def stored_sketches(spark, rows, make, name):
+    """Sketches of all uploads, appended, appended again as a replay, and read back."""
+    path = scratch_path(spark, name)
+    K.append_sketches(make(rows, now="2025-06-01 00:00:00"), path)
+    again = spark.read.parquet(path).withColumn("sketched_at", F.expr("sketched_at + INTERVAL 1 HOUR"))
+    K.append_sketches(again, path)
+    return K.latest_sketches(spark.read.parquet(path))
+
+
+@register("c9_median_from_sketches", W("""
+SELECT n_items = 0 AS is_empty, count(*) AS n, count(duration_ms) > 0 AS has_median, true AS within_error
+FROM v_attempts GROUP BY 1""", "v_attempts"))
+def q_c9_sketches(spark, d):
+    """The merged median's exact rank lies within three times the stated error."""
+    rows = V.attempts(spark, d)
+    got = K.approx_empties_vs_successes(stored_sketches(spark, rows, K.duration_sketches, "duration-sketches"))
+    ms, mid = F.col("duration_ms"), F.col("p50_ms")
+    side = (F.col("n_items") == 0).alias("is_empty")
+    at = (rows.groupBy(side, "duration_ms").agg(F.count(F.lit(1)).alias("c")).where(ms.isNotNull()).alias("r")
+          .join(F.broadcast(got).alias("g"), F.col("r.is_empty").eqNullSafe(F.col("g.is_empty")))
+          .groupBy("g.is_empty").agg(F.sum("c").alias("known"), F.coalesce(F.sum(F.when(ms < mid, F.col("c"))), F.lit(0)).alias("below"),
+                                     F.sum(F.when(ms <= mid, F.col("c"))).alias("upto")))
+    slack = F.col("known") * 3 * K.KLL_RANK_ERROR + 1
+    return got.alias("g").join(at.alias("a"), F.col("g.is_empty").eqNullSafe(F.col("a.is_empty")), "left").select(
+        "g.is_empty", "n", mid.isNotNull().alias("has_median"),
+        F.coalesce((F.col("below") - slack <= F.col("known") / 2) & (F.col("upto") + slack >= F.col("known") / 2),
+                   mid.isNull()).alias("within_error"))
+
+
 @register("c10_cost_by_endpoint", W("""
 SELECT endpoint, round(CAST(sum(CAST(task_cost AS DECIMAL(18, 9))) AS DOUBLE), 6) AS total_cost, count(*) AS calls,
        CAST(grouping(endpoint) AS TINYINT) AS is_total

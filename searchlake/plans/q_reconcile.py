@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from searchlake.operators import reconcile as H
+from searchlake.operators import sketches as K
 from searchlake.operators import stored as S
 from searchlake.operators.ingest import append_batch, create_table
 from searchlake.plans.checks import scalar_output
 from searchlake.plans.oracle_views import raw_domain, supp_domain
 from searchlake.plans.oracle_views import with_views as W
+from searchlake.plans.q_logs import stored_sketches
 from searchlake.plans.registry import register
 from searchlake.session import scratch_path
 from searchlake.sources import testviews as V
@@ -298,6 +300,20 @@ def q_h9s(spark, d):
     return H.inventory_summary(H.domain_inventory(V.data_rows(spark, d), V.domains(spark, d)))
 
 
+@register("h9_distinct_from_sketches", W("""
+SELECT job_id, count(*) AS row_count, true AS raw_within_error, true AS norm_within_error
+FROM v_data WHERE domain IS NOT NULL GROUP BY 1""", "v_data"))
+def q_h9_sketches(spark, d):
+    """Merged estimates of each job lie within five standard errors of the exact counts."""
+    rows = V.data_rows(spark, d)
+    got = K.approx_distinct_domains(stored_sketches(spark, rows, K.domain_sketches, "domain-sketches"), ("job_id",))
+    exact = rows.where(F.col("domain").isNotNull()).groupBy("job_id").agg(
+        F.count_distinct("domain").alias("raw"), F.count_distinct(H.normalize_domain_sql(F.col("domain"))).alias("norm"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * 5 * K.HLL_ERROR
+    return got.join(exact, "job_id").select("job_id", "row_count", near("raw_domains", "raw").alias("raw_within_error"),
+                                            near("norm_domains", "norm").alias("norm_within_error"))
+
+
 def _backlinks_domains(spark, d):
     p = read_table(spark, d, "part")
     k = F.col("p_partkey")
