@@ -13,7 +13,8 @@ smallest ``doc_id`` stays.
 3. *Index files.* One entry per distinct hash (rows and smallest id, combined
    before the shuffle) goes to its bucket's owner, a task that holds a range of
    consecutive buckets, and is written there as ``owner=N`` files.
-4. *Chains.* The texts of rows whose hash has several rows meet at their owner.
+4. *Chains.* The texts of rows whose hash has several rows meet at their owner;
+   a bitmap of these hashes, of bounded size, keeps most others out of the shuffle.
    Copies are combined in salted groups first, so a text held by a third of all
    rows reaches its owner as a few rows. The owner compares bytes: unequal texts
    of one hash are entries of one chain, each with its smallest id and its size.
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from .common import parts_for, skew_join, stage
 
 SALTS = 32
+#: The filter before the texts' shuffle has at most 2 ** FILTER_BITS bits, 64 a row.
+FILTER_BITS = 26
 #: Directory slots are at most 2 ** MAX_DEPTH; beyond it buckets overflow into chains of pages.
 MAX_DEPTH = 16
 
@@ -95,26 +98,44 @@ def build_index(keys: DataFrame, capacity: int = 1 << 14, max_depth: int = MAX_D
     return slots, written, owners
 
 
+def shared_words(shared: DataFrame, n_shared: int) -> tuple[DataFrame, int]:
+    """(word, mask) of a bitmap over the leading bits of the hashes in ``shared``, and its bits.
+
+    Four bits or more a hash, up to ``2 ** FILTER_BITS``: at most a million rows of
+    two numbers, whatever the input. Beyond that the bitmap fills up and lets more
+    rows pass that need not; it never drops one of a shared hash.
+    """
+    bits = min(FILTER_BITS, max(6, (4 * n_shared).bit_length()))
+    place = leading_bits(F.col("h"), bits)
+    return (shared.groupBy(F.shiftright(place, 6).alias("word"))
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))).alias("mask")), bits)
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  capacity: int = 1 << 14, hash_bits: int = 64) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     ``hash_bits`` under 64 clears the low bits of the hash, to test collisions.
     """
-    text = normalised(F.col(f"`{text_col}`"))
+    hashed = docs.select(F.col(f"`{id_col}`").alias("doc_id"), normalised(F.col(f"`{text_col}`")).alias("norm"))
     h = F.xxhash64("norm")
     if hash_bits < 64:
         h = F.shiftleft(F.shiftright(h, 64 - hash_bits), 64 - hash_bits)
-    hashed = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("norm")).withColumn("h", h)
-    keys = stage(hashed.select("doc_id", "h", F.unhex(F.sha2("norm", 256)).alias("sha")), "text-keys")
+    hashed = hashed.withColumn("h", h)
+    sha = F.unhex(F.sha2("norm", 256))
+    keys = stage(hashed.select("doc_id", "h", sha.alias("sha")), "text-keys")
     n_rows = keys.count()
     _, index, owners = build_index(keys, capacity)
 
     shared = index.filter(F.col("n_rows") > 1).select("h", "owner", "bucket", "n_rows")
     wanted = skew_join(keys, shared, ["h"], n_rows, "n_rows").select(
         "doc_id", "sha", "h", "owner", "bucket").dropDuplicates(["doc_id", "sha"])
-    texts = docs.select(F.col(f"`{id_col}`").alias("text_id"), text.alias("norm")).withColumn(
-        "text_sha", F.unhex(F.sha2("norm", 256)))
+    # only texts whose hash may be shared are shuffled
+    words, bits = shared_words(shared, shared.count())
+    place = leading_bits(F.col("h"), bits)
+    bit = F.call_function("shiftright", F.col("mask"), place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1))
+    texts = (hashed.withColumn("word", F.shiftright(place, 6)).join(F.broadcast(words), "word").filter(bit == 1)
+             .select(F.col("doc_id").alias("text_id"), "norm", sha.alias("text_sha")))
     members = wanted.join(texts, F.col("doc_id").eqNullSafe(F.col("text_id")) & (F.col("sha") == F.col("text_sha")))
     combined = (members.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"), "owner", "bucket", "h", "sha", "norm")
                 .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size")))
