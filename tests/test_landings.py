@@ -51,3 +51,27 @@ def test_streams_share_a_packed_landing(spark, monkeypatch, name):
     assert len(seen) == 1
     files = _files(seen.pop(), "**/part-*")
     assert files and all(f.endswith((".txt.gz", ".zstd.parquet")) for f in files)
+
+
+def test_batch_job_computes_its_rows_once(spark):
+    """An accumulator in the row path counts the responses read: each once, also for none."""
+    from searchlake.schemas import ENDPOINTS
+    read = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+    table, events = scratch_path(spark, "job"), scratch_path(spark, "job_events")
+    A.create_table(spark, table, ENDPOINTS["ranked_keywords"].table_schema())
+    some = V.ranked_responses(spark, SF).limit(20).localCheckpoint()
+    job = "7c0a5e1d-2b3f-4a6c-9d8e-1f2a3b4c5d6e"
+    up = A.ingest_responses(some.mapInPandas(count, some.schema), "ranked_keywords", table, events, job)
+    assert up and read.value == 20
+    assert spark.read.parquet(events).first()["row_count"] == spark.read.parquet(table).count() > 0
+    before = sorted(_files(table, "**/*.parquet"))
+    assert A.ingest_responses(some.limit(0), "ranked_keywords", table, events, job) is None
+    assert sorted(_files(table, "**/*.parquet")) == before and spark.read.parquet(events).count() == 1
+    bad = some.withColumn("raw", F.lit("garbage"))
+    assert A.ingest_responses(bad, "ranked_keywords", table, events, job) is None
+    assert sorted(_files(table, "**/*.parquet")) == before
