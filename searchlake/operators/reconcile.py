@@ -422,9 +422,17 @@ def drift_by_checksums(a: DataFrame, b: DataFrame, cols: list[str], buckets: int
 
 
 def drift_summary(a: DataFrame, b: DataFrame, cols: list[str], name: str) -> DataFrame:
-    d = drift(a, b, cols)
-    s = d.agg(F.coalesce(F.sum(F.when(F.col("side") == "only_a", F.col("n"))), F.lit(0)).alias("only_a"),
-              F.coalesce(F.sum(F.when(F.col("side") == "only_b", F.col("n"))), F.lit(0)).alias("only_b"))
+    """How many rows (with multiplicity) only one side has. Rows are counted
+    under their two 64-bit hashes, which alone are shuffled; two different ones of n
+    rows share both with a probability of about n^2 / 2^129."""
+    sides = []
+    for df, sign in ((a, 1), (b, -1)):
+        one, two = _row_hashes(df, cols)
+        sides.append(df.select(one.alias("_h1"), two.alias("_h2"), F.lit(sign).cast("bigint").alias("_s")))
+    net = F.col("_net")
+    s = sides[0].unionByName(sides[1]).groupBy("_h1", "_h2").agg(F.sum("_s").alias("_net")).agg(
+        F.coalesce(F.sum(F.when(net > 0, net)), F.lit(0)).alias("only_a"),
+        F.coalesce(F.sum(F.when(net < 0, -net)), F.lit(0)).alias("only_b"))
     return s.select(F.lit(name).alias("table_name"), "only_a", "only_b",
                     F.when((F.col("only_a") == 0) & (F.col("only_b") == 0), F.lit("clean"))
                     .otherwise(F.lit("DRIFT")).alias("status"))

@@ -14,7 +14,7 @@ from searchlake.plans.oracle_views import raw_domain, supp_domain
 from searchlake.plans.oracle_views import with_views as W
 from searchlake.plans.q_logs import stored_sketches
 from searchlake.plans.registry import register
-from searchlake.session import scratch_path
+from searchlake.session import scratch_path, written
 from searchlake.sources import testviews as V
 from searchlake.sources.tables import read_table
 
@@ -603,8 +603,11 @@ UNION ALL SELECT 'dataset_catalog', 0, 0, 'clean'
 UNION ALL SELECT 'client_datasets', count(*) FILTER (client_id % 3 = 0), count(*) FILTER (client_id % 3 = 0), 'DRIFT' FROM v_client_datasets
 UNION ALL SELECT 'table_catalog', 0, 0, 'clean'""", "v_clients", "v_client_domains", "v_dataset_names", "v_client_datasets"))
 def q_h15r(spark, d):
-    """Projects of the other side have split ids that are mapped back first."""
+    """Projects of the other side have split ids that are mapped back first. Tables
+    made by joins or groupings are stored once, not made again on each side."""
     a = _entity_tables(spark, d)
+    for name in ("client_domains", "project_domains", "client_datasets"):
+        a[name] = written(a[name], name)
     b = dict(a)
     b["clients"] = a["clients"].where(F.col("client_id") % 50 != 0)
     b["client_domains"] = a["client_domains"].unionByName(a["client_domains"].where(F.col("client_id") % 10 == 0))

@@ -1,4 +1,4 @@
-"""What the derived landings and the stored uploads cost: one exchange of lines, one landing for two streams."""
+"""What derived tables and stored uploads cost: one exchange of lines, one landing for two streams, views made once."""
 
 import glob
 
@@ -75,3 +75,15 @@ def test_batch_job_computes_its_rows_once(spark):
     bad = some.withColumn("raw", F.lit("garbage"))
     assert A.ingest_responses(bad, "ranked_keywords", table, events, job) is None
     assert sorted(_files(table, "**/*.parquet")) == before
+
+
+def test_drift_report_makes_its_views_once_and_shuffles_hashes(spark):
+    from searchlake.operators import reconcile as H
+    report = registry.QUERIES["h15_drift_report"](spark, SF)
+    assert not any("lineitem" in f for f in report.inputFiles())  # stored before, not joined on each side
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (3, ""), (4, "y"), (4, "y")], "k int, v string")
+    s = H.drift_summary(a, b, ["k", "v"], "t")
+    assert "hashpartitioning(_h1" in s._jdf.queryExecution().executedPlan().toString()
+    assert tuple(s.first()) == ("t", 2, 3, "DRIFT")
+    assert tuple(H.drift_summary(a, a, ["v", "k"], "t").first()) == ("t", 0, 0, "clean")
