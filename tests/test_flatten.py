@@ -143,3 +143,15 @@ def test_read_responses_json_files(spark):
     assert set(got) == {"x.com", "y.com"} and got["x.com"].endpoint == "keyword_suggestions"
     rows = B.flatten_keyword_suggestions(landed, keep=("target",)).collect()
     assert [(r.target, r.keyword) for r in rows] == [("x.com", "bus rental")]
+
+
+def test_items_are_parsed_once(spark):
+    """B2: no test of the items' size, with the whole parsing in it, is pushed below the explode."""
+    raw = '{"tasks":[{"id":"t","result":[{"items":[{"type":"people_also_ask","items":[{"title":"q"}]}]}]}]}'
+    empty = '{"tasks":[{"id":"t","result":[{"items":[]}]}]}'
+    rows = spark.createDataFrame([(1, "kw", raw), (2, "none", empty), (3, "bad", "{")], ["id", "target", "raw"])
+    # made from a join, as pushed filters would become its condition
+    responses = rows.select("id", "target").join(rows.select("id", "raw"), "id")
+    got = B.extract_paa(B.flatten_serp(responses))
+    assert "size(from_json" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in got.collect()] == [("kw", "q", "", "", "q")]
