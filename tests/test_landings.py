@@ -87,3 +87,13 @@ def test_drift_report_makes_its_views_once_and_shuffles_hashes(spark):
     assert "hashpartitioning(_h1" in s._jdf.queryExecution().executedPlan().toString()
     assert tuple(s.first()) == ("t", 2, 3, "DRIFT")
     assert tuple(H.drift_summary(a, a, ["v", "k"], "t").first()) == ("t", 0, 0, "clean")
+
+
+def test_parsing_tasks_follow_the_bytes_of_the_lines(spark, monkeypatch):
+    """The tasks that make and parse responses follow the lines' bytes, not the few bytes shuffled."""
+    from searchlake.plans import registry
+    from searchlake.sources import tables
+    registry.load_all()
+    monkeypatch.setattr(tables, "RESPONSE_BYTES", 2048, raising=False)
+    size = int(tables.read_table(spark, SF, "lineitem")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    assert registry.QUERIES["b6_flatten_ranked_keywords"](spark, SF).rdd.getNumPartitions() == -(-size // 2048)
