@@ -97,3 +97,15 @@ def test_parsing_tasks_follow_the_bytes_of_the_lines(spark, monkeypatch):
     monkeypatch.setattr(tables, "RESPONSE_BYTES", 2048, raising=False)
     size = int(tables.read_table(spark, SF, "lineitem")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     assert registry.QUERIES["b6_flatten_ranked_keywords"](spark, SF).rdd.getNumPartitions() == -(-size // 2048)
+
+
+def test_calls_are_made_behind_the_exchange_of_events(spark, monkeypatch):
+    """K2: events are shuffled, not the JSON of calls; a batch has more files than by the bytes of lines."""
+    from searchlake.plans import q_streaming as Q
+    from searchlake.sources.tables import read_table
+    plan = V.attempt_calls(spark, SF, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("RoundRobinPartitioning(5)") == 1 and "to_json" not in plan.split("RoundRobinPartitioning(5)")[1]
+    a, b = V.attempt_calls(spark, SF, 5), V.attempt_calls(spark, SF)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    events = read_table(spark, "/root/testdata/sf0.1", "events")
+    assert Q._files_a_batch(events, 3, Q.EVENT_FILE_BYTES) > Q._files_a_batch(events, 3)
