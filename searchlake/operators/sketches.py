@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from searchlake.functions.domains import normalize_domain_sql
@@ -69,11 +69,10 @@ def latest_sketches(stored: DataFrame) -> DataFrame:
     A replay replaces the upload as a whole: a key that only an earlier write has
     (a kind of answer that is gone) does not stay.
     """
-    last = stored.groupBy("job_id", "upload_id").agg(F.max("sketched_at").alias("last"))
     one = [c for c in stored.columns if c in ("job_id", "upload_id", "is_empty")]
-    kept = stored.alias("s").join(last.alias("l"), F.col("s.job_id").eqNullSafe(F.col("l.job_id"))
-                                  & F.col("s.upload_id").eqNullSafe(F.col("l.upload_id"))
-                                  & (F.col("s.sketched_at") == F.col("l.last"))).select("s.*")
+    # one shuffle: the window's partitions serve dropDuplicates as well
+    last = F.max("sketched_at").over(Window.partitionBy("job_id", "upload_id"))
+    kept = stored.withColumn("_last", last).where(F.col("sketched_at") == F.col("_last")).drop("_last")
     # a write repeated with the same stamp holds the same rows twice
     return kept.dropDuplicates(one)
 

@@ -64,3 +64,14 @@ def test_distinct_domains(spark):
     total = K.approx_distinct_domains(sk).first()
     assert total.row_count == H.domain_inventory(table, table.select("domain").limit(0)).agg(F.sum("row_count")).first()[0]
     assert K.approx_distinct_domains(sk.limit(0)).first().raw_domains == 0
+
+
+def test_latest_sketches_take_one_shuffle(spark, tmp_path):
+    """Stored sketches are shuffled once by upload, not joined with themselves and shuffled again."""
+    path = str(tmp_path / "sketches")
+    log = spark.createDataFrame([("j", "u1", 0, 4), ("j", "u1", 5, 6), (None, None, 5, 8)], ATTEMPTS)
+    K.append_sketches(K.duration_sketches(log, now="2025-01-01 00:00:00"), path)
+    latest = K.latest_sketches(spark.read.parquet(path))
+    assert latest._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted((str(r.job_id), str(r.is_empty), r.n) for r in latest.collect()) == [
+        ("None", "False", 1), ("j", "False", 1), ("j", "True", 1)]
