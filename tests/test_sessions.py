@@ -88,3 +88,44 @@ def test_a_turn_that_comes_twice_while_it_waits_counts_once():
     done = _run(fn, state, [(0, 1, 1, 1, 0)])
     assert done["total_input_tokens"].tolist() == [1, 6]
     assert np.frombuffer(state.value[4], np.int64).size == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_group_of_conversations_is_folded_as_each_alone(seed):
+    """One call a hash group emits what a call a conversation does: gaps, late and double turns, timeouts, a null key."""
+    rng = random.Random(seed)
+    for step, outputs, sends in ((Z._totals, ["total_input_tokens", "total_output_tokens", "message_count"], False),
+                                 (Z._compaction(60, 4), ["send_no", "cum_tokens", "fired", "messages_left"], True)):
+        args = (step, "k", "pos", outputs, 1000, sends)
+        keys = [None, "9007199254740993", "b", "c"]
+        turns = [(k, p, rng.randrange(12), rng.randrange(12), int(rng.random() < 0.6), rng.randrange(900))
+                 for k in keys for p in range(-1, 25) if rng.random() < 0.9]
+        turns += rng.sample(turns, 8)
+        rng.shuffle(turns)
+        alone, grouped, states, group = [], [], {k: State() for k in keys}, State()
+        each, together = Z._fold(*args), Z._fold_group(*args)
+        batches = [turns[i:i + 15] for i in range(0, len(turns), 15)] + [[]]
+        for now, batch in enumerate(batches):
+            now = 400 * now if batch else 1_000_000
+            for k in keys:
+                mine, state = [t[1:] for t in batch if t[0] == k], states[k]
+                state.watermark, state.hasTimedOut = now, not mine and state.timeout is not None and state.timeout < now
+                if mine or state.hasTimedOut:
+                    state.timeout = None
+                    for f in each((k,), iter([_frame(mine)]), state):
+                        alone += f.astype(object).where(f.notna(), None).values.tolist()
+            group.watermark, group.hasTimedOut = now, not batch
+            frame = pd.DataFrame(batch, columns=["_key", *Z._FIELDS])
+            for f in together((0,), iter([frame]), group):
+                grouped += f.astype(object).where(f.notna(), None).values.tolist()
+        assert sorted(map(str, grouped)) == sorted(map(str, alone)) and len(alone) > 40
+
+
+def test_calls_follow_groups_not_conversations(spark):
+    from pyspark.sql import functions as F
+    turns = spark.readStream.format("rate").load().select(F.col("value").alias("conv_id"), F.col("value").alias("turn"),
+                                                          F.col("value").alias("input_tokens"), F.col("value").alias("output_tokens"),
+                                                          F.col("timestamp").alias("ts"))
+    for stream in (Z.stream_totals(turns), Z.stream_compaction(turns, 10, 4)):
+        plan = stream._jdf.queryExecution().analyzed().toString()
+        assert "pmod(xxhash64(_key" in plan and stream.schema["conv_id"].dataType.simpleString() == "bigint"
