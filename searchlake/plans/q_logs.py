@@ -100,22 +100,25 @@ SELECT client_id, count(*) AS n_rows,
 FROM ({D8_ROWS_SQL}) r GROUP BY client_id""", "v_data", "v_client_domains", "v_domains"))
 def q_d8(spark, d):
     # fixed-width aggregates only, so the summary stays a hash aggregate over
-    # the expanded rows (string min/max would sort them)
-    rows = d8_rows(spark, d)
-    chars = {c: F.sum(F.length(c)).cast("bigint").alias(f"{c}_chars")
-             for c in ("domain", "keyword", "upload_id", "job_id")}
+    # the expanded rows (string min/max would sort them); what is summed is made
+    # once a data row, not once an expanded row
+    texts = ("domain", "keyword", "upload_id", "job_id")
+    data = V.data_rows(spark, d).withColumns({f"{c}_chars": F.length(c) for c in texts} | {
+        "traffic_cents": F.round(F.col("traffic_volume") * 100).cast("bigint")})
+    rows = d8_rows(spark, d, data)
+    chars = {c: F.sum(f"{c}_chars").cast("bigint").alias(f"{c}_chars") for c in texts}
     return scalar_output(rows.groupBy("client_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("search_volume").cast("bigint").alias("search_volume"),
         F.sum("rank").cast("bigint").alias("rank_sum"),
-        F.sum(F.round(F.col("traffic_volume") * 100).cast("bigint")).alias("traffic_cents"),
+        F.sum("traffic_cents").alias("traffic_cents"),
         *chars.values(),
         F.min("ingest_timestamp").alias("first_ingest"), F.max("ingest_timestamp").alias("last_ingest")))
 
 
-def d8_rows(spark, d):
+def d8_rows(spark, d, data=None):
     """D8 rows for the batch of every client (client_id first, then the data row)."""
-    return U.client_data_by_domain(V.data_rows(spark, d), V.client_domains(spark, d),
+    return U.client_data_by_domain(V.data_rows(spark, d) if data is None else data, V.client_domains(spark, d),
                                    V.domains(spark, d), V.clients(spark, d))
 
 

@@ -78,3 +78,13 @@ def test_an_owner_of_many_jobs(spark):
     rows = spark.range(1000).select(F.concat(F.lit("j"), "id").alias("job_id"), F.col("id").cast("string").alias("keyword"))
     log = rows.select("job_id", F.when(F.col("keyword").cast("long") % 2 == 0, "1").alias("client_id"))
     assert U.client_data(rows, log, client_id=1).count() == 500
+
+
+def test_client_summary_measures_each_data_row_once(spark):
+    """Text lengths and cents are made below the join, once a data row, not once an expanded row."""
+    from searchlake.plans import registry
+    registry.load_all()
+    df = registry.QUERIES["d8_client_data_by_domain"](spark, "/root/testdata/sf0.001")
+    above, below = df._jdf.queryExecution().optimizedPlan().toString().split("Join ", 1)
+    assert "length(" not in above and "round(" not in above
+    assert below.count("length(") >= 4 and "round(" in below
