@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from searchlake.operators import ingest as A
 from searchlake.plans import registry
 from searchlake.session import scratch_path
+from searchlake.sources import responses as R
 from searchlake.sources import testviews as V
 from searchlake.streaming import jobs as K
 
@@ -109,3 +110,41 @@ def test_calls_are_made_behind_the_exchange_of_events(spark, monkeypatch):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
     events = read_table(spark, "/root/testdata/sf0.1", "events")
     assert Q._files_a_batch(events, 3, Q.EVENT_FILE_BYTES) > Q._files_a_batch(events, 3)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _aggregated(plan):
+    """What the plan's aggregates collect."""
+    return [line for line in plan.splitlines() if "collect_list(" in line]
+
+
+def test_backlinks_are_made_behind_the_exchange_of_lines(spark):
+    r = R.backlinks_responses(spark, SF, 5)
+    plan = _plan(r)
+    assert plan.count("Exchange hashpartitioning(") == 1
+    assert "domain_from" not in plan.split("Exchange hashpartitioning(")[1]
+    assert not any("StructsToJson" in line.split("functions=")[1].split("output=")[0] for line in _aggregated(plan))
+    assert r.rdd.getNumPartitions() == 5
+    plain = R.backlinks_responses(spark, SF)
+    assert r.exceptAll(plain).isEmpty() and plain.exceptAll(r).isEmpty()
+    # Spark's own reading of the texts: one page of a supplier's lines of an order each
+    item = "array<struct<url_from:string>>"
+    doc = f"tasks array<struct<id:string,cost:string,data:struct<target:string>,result:array<struct<target:string,items:{item}>>>>"
+    d = r.select("target", F.from_json("raw", doc)["tasks"].alias("t"))
+    d = d.select("target", F.size("t").alias("n"), F.col("t")[0].alias("t"))
+    bad = (F.col("n") != 1) | (F.col("t.cost") != "0.01") | (F.col("t.data.target") != F.col("target")) \
+        | (F.size("t.result") != 1) | (F.col("t.result")[0]["target"] != F.col("target"))
+    assert d.where(F.coalesce(bad, F.lit(True))).isEmpty()
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert d.select(F.sum(F.size(F.col("t.result")[0]["items"]))).first()[0] == lines.count()
+
+
+@pytest.mark.parametrize("name", ["b3_flatten_backlinks"])
+def test_parsed_texts_are_made_before(spark, name):
+    """``from_json`` interprets its arguments: the responses' texts are to be columns by then."""
+    plan = _plan(registry.QUERIES[name](spark, SF))
+    lines = [line for line in plan.splitlines() if "from_json(" in line and "tasks" in line]
+    assert lines and not any("StructsToJson" in line or "array_join" in line for line in lines)
