@@ -155,3 +155,29 @@ def test_items_are_parsed_once(spark):
     got = B.extract_paa(B.flatten_serp(responses))
     assert "size(from_json" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert [tuple(r) for r in got.collect()] == [("kw", "q", "", "", "q")]
+
+
+def test_serp_without_its_texts_keeps_every_row(spark):
+    """Results and items that are no objects, and broken documents, give the rows that the texts give."""
+    def doc(result):
+        return '{"tasks":[{"id":"t","status_code":20000,"data":{"device":"mobile","location_code":2840},"result":%s}]}' % result
+    item = '{"type":"organic","rank_group":1,"rank_absolute":2.0,"title":"T","items":[{"a":1}]}'
+    block = '{"keyword":"k","datetime":"2024-01-02 03:04:05 +00:00","se_results_count":%s,"item_types":["organic"],"items":%s}'
+    arrays = [f"[{item}]", f'[{item},5,null,"x","",[{item}],{{}},true]', "[]", "null", item, '"x"',
+              '[{"type":{"a":1},"rank_group":"7","title":[1,{"b":2}]}]', '[{"type":"a","type":"b","rank_group":1.5}]',
+              "[1.0]", f"[[],{item}]"]
+    raws = [doc("[" + block % (n, a) + "]") for a in arrays for n in ("5", '"6.0"', "[1]")]
+    good = block % (5, f"[{item}]")
+    raws += [doc(r) for r in (f"[{good},5]", f"[5,{good}]", f"[null,{good}]", good, "null", "[]", "7", f'["x",{good}]',
+                              '[{"items":{"a":1}}]', f'[{{"datetime":{{}},"items":[{item}]}}]', f"[{good},{{]")]
+    whole = doc(f"[{good}]")
+    raws += ["", "null", "[]", "5", "{}", '{"tasks":null}', '{"tasks":[]}', '{"tasks":{}}', '{"tasks":[5]}',
+             whole[:-3], whole[:-60], whole + "x", "[" + whole + "]", whole.replace('{"device"', '[{"device"'),
+             whole.replace('"id":"t"', '"id":["t"]'), whole.replace('"data":{"device":"mobile","location_code":2840}', '"data":5')]
+    responses = spark.createDataFrame([(f"kw{i}", r) for i, r in enumerate(raws + [None])], "target string, raw string")
+    want = B.flatten_serp(responses).drop("data", "item")
+    got = B.flatten_serp(responses, columns=[c for c in want.columns if c != "task_id"])
+    assert got.columns == want.columns and got.schema == want.schema
+    key = lambda r: tuple(map(str, r))
+    want, got = sorted(want.collect(), key=key), sorted(got.collect(), key=key)
+    assert len(want) > 40 and got == want

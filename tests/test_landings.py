@@ -142,7 +142,16 @@ def test_backlinks_are_made_behind_the_exchange_of_lines(spark):
     assert d.select(F.sum(F.size(F.col("t.result")[0]["items"]))).first()[0] == lines.count()
 
 
-@pytest.mark.parametrize("name", ["b3_flatten_backlinks"])
+def test_serp_is_made_behind_the_exchange_of_lines(spark):
+    r = R.serp_responses(spark, SF, 5)
+    plan = _plan(r)
+    assert plan.count("Exchange hashpartitioning(") == 2 and "ShuffledHashJoin" in plan  # lines, orders
+    assert not any("StructsToJson" in line.split("functions=")[1].split("output=")[0] for line in _aggregated(plan))
+    plain = R.serp_responses(spark, SF)
+    assert r.exceptAll(plain).isEmpty() and plain.exceptAll(r).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["b1_flatten_serp", "b2_extract_paa", "b3_flatten_backlinks"])
 def test_parsed_texts_are_made_before(spark, name):
     """``from_json`` interprets its arguments: the responses' texts are to be columns by then."""
     plan = _plan(registry.QUERIES[name](spark, SF))
