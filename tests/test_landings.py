@@ -151,7 +151,8 @@ def test_serp_is_made_behind_the_exchange_of_lines(spark):
     assert r.exceptAll(plain).isEmpty() and plain.exceptAll(r).isEmpty()
 
 
-@pytest.mark.parametrize("name", ["b1_flatten_serp", "b2_extract_paa", "b3_flatten_backlinks"])
+@pytest.mark.parametrize("name", ["b1_flatten_serp", "b2_extract_paa", "b3_flatten_backlinks",
+                                  "b6_flatten_ranked_keywords", "d10_top_keywords"])
 def test_parsed_texts_are_made_before(spark, name):
     """``from_json`` interprets its arguments: the responses' texts are to be columns by then."""
     plan = _plan(registry.QUERIES[name](spark, SF))
