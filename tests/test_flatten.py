@@ -181,3 +181,19 @@ def test_serp_without_its_texts_keeps_every_row(spark):
     key = lambda r: tuple(map(str, r))
     want, got = sorted(want.collect(), key=key), sorted(got.collect(), key=key)
     assert len(want) > 40 and got == want
+
+
+def test_serp_query_gives_all_columns(spark):
+    """B1 as a query: the two texts of a row are made as well, the result's once a response."""
+    from searchlake.plans import registry
+    from searchlake.schemas import ENDPOINTS
+    registry.load_all()
+    got = registry.QUERIES["b1_flatten_serp"](spark, "/root/testdata/sf0.001")
+    assert got.columns == [name for name, _, _ in ENDPOINTS["serp_organic"].columns] + ["task_id"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = [i for i, line in enumerate(plan) if "map_filter" in line]
+    assert len(made) == 1 and made[0] > next(i for i, line in enumerate(plan) if "posexplode" in line)
+    rows = [(json.loads(r["data"]), json.loads(r["item"]), r) for r in got.collect()]
+    assert rows and all("items" not in data and data["keyword"] == r["keyword"] and data["se_domain"] == r["se_domain"]
+                        and item["type"] == r["item_type"] and item["rank_absolute"] == r["rank_absolute"]
+                        and ("items" in item) == (r["item_type"] == "people_also_ask") for data, item, r in rows)
