@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 
 from searchlake.operators import flatten as B
 from searchlake.schemas import ENDPOINTS
@@ -197,3 +198,56 @@ def test_serp_query_gives_all_columns(spark):
     assert rows and all("items" not in data and data["keyword"] == r["keyword"] and data["se_domain"] == r["se_domain"]
                         and item["type"] == r["item_type"] and item["rank_absolute"] == r["rank_absolute"]
                         and ("items" in item) == (r["item_type"] == "people_also_ask") for data, item, r in rows)
+
+
+ODD = ["5", "5.0", "5.5", "-0", "1e3", "1e400", "-1e400", "123456789012345678901234567890", "9223372036854775808", "NaN", "-Infinity",
+       '"NaN"', '"Infinity"', '""', '" 7 "', '"12.0"', '"x"', "true", '"true"', "null", "[]", '["a",null,{"b":1}]', '{"a":1}', '"[x"',
+       "1e-20", "01"]
+
+
+@pytest.mark.parametrize("name", ["ranked_keywords", "backlinks", "domain_rank_overview"])
+def test_leaves_read_in_their_type_give_the_rows_of_texts(spark, monkeypatch, name):
+    """Values of any other kind, and broken documents, give the rows that reading all leaves as text gives."""
+    ep = ENDPOINTS[name]
+    good = {"bigint": "5", "double": "2.5", "boolean": "true", "csv": '["a",null,"b"]', "json": "[1]"}
+
+    def text(node):
+        return node if isinstance(node, str) else "{" + ",".join(f'"{k}":{text(v)}' for k, v in node.items()) + "}"
+
+    def doc(over, result='[{"items":[%s,%s]}]'):
+        blocks = {"item": {}, "task": {}}
+        for column, path, kind in ep.columns:
+            if not path.startswith("$") and over.get(column, "") is not None:
+                block, *path = path.split(".") if path.startswith("task.") else ("item", *path.split("."))
+                node = blocks[block]
+                for part in path[:-1]:
+                    node = node.setdefault(part, {})
+                node[path[-1]] = over.get(column, good.get(kind, '"s"'))
+        task = {"id": '"t"'} | blocks["task"]
+        task["result"] = result % ((text(blocks["item"]),) * result.count("%s"))
+        return '{"tasks":[%s]}' % text(task)
+    raws = [doc({column: v}) for column, _, kind in ep.columns if kind in B.NATIVE for v in ODD] + [doc({c: None}) for c, _, _ in ep.columns]
+    whole = doc({})
+    raws += [whole, whole + "x", whole[:-3], whole[:-60], "[" + whole + "]", "", "null", "[]", "{}", '{"tasks":[5]}', None]
+    raws += [doc({}, r) for r in ('[{"items":[%s,5,null,"x",{},[%s]]}]', '[{"items":%s}]', '[5,{"items":[%s]}]', '{"items":[%s]}', "null")]
+    got = [[], []]
+    given = spark.createDataFrame([(f"k{i}", r) for i, r in enumerate(raws)], "target string, raw string")
+    native = B._native(ep)
+    assert len(native) > 10
+    for rows in got:
+        out = B.flatten(given, ep, keep=("target",), with_position=True)
+        rows += [out.dtypes, sorted(out.collect(), key=lambda r: (r["target"], r["item_pos"]))]
+        monkeypatch.setattr(B, "_native", lambda ep: {})
+    assert got[0][0] == got[1][0] and len(got[0][1]) > len(raws)
+    assert [repr(r) for r in got[0][1]] == [repr(r) for r in got[1][1]]
+
+
+def test_a_wide_endpoint_is_compiled(spark):
+    """No generated method of the flattener exceeds the 8000 bytes up to which the JVM compiles one, and numbers are read as such."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    for name in ("ranked_keywords", "backlinks"):
+        out = B.flatten(spark.createDataFrame([("k", "{}")], "target string, raw string"), name)
+        plan = out._jdf.queryExecution().executedPlan()
+        stages = debug.codegenStringSeq(plan)
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+        assert "rank,LongType" in plan.toString() or "rank_absolute,LongType" in plan.toString()
