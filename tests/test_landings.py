@@ -158,3 +158,50 @@ def test_parsed_texts_are_made_before(spark, name):
     plan = _plan(registry.QUERIES[name](spark, SF))
     lines = [line for line in plan.splitlines() if "from_json(" in line and "tasks" in line]
     assert lines and not any("StructsToJson" in line or "array_join" in line for line in lines)
+
+
+@pytest.mark.parametrize("name", ["k1_stream_ingest", "k1_stream_events"])
+def test_two_streams_run_side_by_side(spark, monkeypatch, name):
+    """Both streams of K1 are started before either is waited for, over a landing of more files than K1's by JSON has."""
+    from searchlake.plans import q_streaming as Q
+    monkeypatch.setattr(Q, "LANDING_FILE_BYTES", 4_000, raising=False)
+    seen, files, stream = [], set(), K.stream_ingest
+
+    class Seen:
+        def __init__(self, query):
+            self.query = query
+
+        def awaitTermination(self):
+            seen.append("wait")
+            return self.query.awaitTermination()
+
+        def stop(self):
+            self.query.stop()
+
+    def spy(spark, landing, *args, **options):
+        seen.append("start")
+        files.add(len(_files(landing, "part-*")))
+        return Seen(stream(spark, landing, *args, **options))
+    monkeypatch.setattr(K, "stream_ingest", spy)
+    registry.QUERIES[name](spark, SF).collect()
+    assert seen == ["start", "start", "wait", "wait"] * 2
+    assert len(files) == 1 and min(files) > 12
+
+
+def test_a_failed_stream_ends_the_other(spark):
+    from searchlake.plans import q_streaming as Q
+    ended = []
+
+    class Stream:
+        def __init__(self, name, fails=False):
+            self.name, self.fails = name, fails
+
+        def awaitTermination(self):
+            if self.fails:
+                raise RuntimeError(self.name)
+
+        def stop(self):
+            ended.append(self.name)
+    with pytest.raises(RuntimeError, match="a"):
+        Q._finish(Stream("a", True), Stream("b"))
+    assert ended == ["a", "b"]
